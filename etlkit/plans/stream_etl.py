@@ -32,12 +32,12 @@ def decoded_events(messages: DataFrame, row_schema: T.StructType = CLINICAL_EVEN
     """Change events with the event time as TIMESTAMP. Events that cannot be read or have no time take the
     message's arrival time as `seen_at`, so they pass the watermark and reach the dead-letter side."""
     events = with_event_time(parse_cdc(messages, row_schema), event_time)
-    return events.withColumn("seen_at", F.coalesce(event_time, "timestamp"))
+    return events.withColumn("seen_at", F.coalesce(event_time, "message_timestamp"))
 
 
 def run_stream_etl(spark: SparkSession, messages: DataFrame, rules: list[RowRule], path: str, checkpoint: str,
                    row_schema: T.StructType = CLINICAL_EVENT_SCHEMA, event_time: str = "event_time",
-                   keys: list[str] = ("value",), delay: str = "1 hour", as_of=None, every: str | None = None,
+                   keys: list[str] = ("message_value",), delay: str = "1 hour", as_of=None, every: str | None = None,
                    run_log_path: str | None = None) -> StreamRun | None:
     """One streaming query. With `every=None` it works off what is there, as one scheduled run, and reports;
     with an interval such as CADENCE it keeps running and returns the query.

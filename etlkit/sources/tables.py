@@ -37,13 +37,13 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, raw text of rows that did not parse)."""
+    """(parsed rows, rows that did not parse with their raw text)."""
     if CORRUPT not in df.columns:
         return df, df.sparkSession.createDataFrame([], f"{CORRUPT} string")
-    # A query on the corrupt column alone is refused for text sources: keep one data column beside it.
-    other = next(c for c in df.columns if c != CORRUPT)
-    rejected = df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT, other)
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rejected
+    # The parser looks only at the columns a query needs, and would pass a row whose bad cell is in another
+    # one. This condition is true for every row and needs them all.
+    whole = df.where(F.hash(*[c for c in df.columns if c != CORRUPT]) >= -2**31)
+    return whole.where(F.col(CORRUPT).isNull()).drop(CORRUPT), whole.where(F.col(CORRUPT).isNotNull())
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:

@@ -31,9 +31,13 @@ def read_events(spark: SparkSession, options: dict[str, str], fmt: str = "kafka"
 def parse_cdc(messages: DataFrame, row_schema: T.StructType) -> DataFrame:
     """Decode change events `{op, before, after, ts_ms}` from `value`.
 
-    Adds `op`, `ts_ms`, `change_time`, the fields of the row (its new state, or the old one for a delete) and
-    `parse_error`: NULL for a sound event, else what is wrong. The raw `value` stays, for the dead-letter side.
+    Gives `op`, `ts_ms`, `change_time`, the fields of the row (its new state, or the old one for a delete),
+    `parse_error` (NULL for a sound event, else what is wrong), and the message's own columns as `message_key`,
+    `message_value` and so on, for the dead-letter side.
     """
+    clash = {"op", "ts_ms", "change_time", "parse_error", *[f"message_{c}" for c in messages.columns]} & set(row_schema.names)
+    if clash:
+        raise ValueError(f"row fields clash with event columns: {', '.join(sorted(clash))}")
     envelope = T.StructType([
         T.StructField("op", T.StringType()), T.StructField("before", row_schema),
         T.StructField("after", row_schema), T.StructField("ts_ms", T.LongType()),
@@ -48,6 +52,6 @@ def parse_cdc(messages: DataFrame, row_schema: T.StructType) -> DataFrame:
              .when(e("ts_ms").isNull(), "no change time")
              .when(state.isNull(), "no row"))
     return decoded.select(
-        *messages.columns, e("op").alias("op"), e("ts_ms").alias("ts_ms"),
+        *[F.col(c).alias(f"message_{c}") for c in messages.columns], e("op").alias("op"), e("ts_ms").alias("ts_ms"),
         F.timestamp_millis(e("ts_ms")).alias("change_time"),
         *[state.getField(name).alias(name) for name in row_schema.names], error.alias("parse_error"))

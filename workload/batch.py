@@ -35,7 +35,7 @@ FLAGSHIP_RULES = [not_null("claim_status"), matches("priority", "^[1-4]-[A-Z ]+"
 @query(f"""WITH {CLAIMS_SQL}
 SELECT CAST(date_trunc('month', claim_date) AS DATE) AS claim_month, count(*) AS total_claims,
   CAST(sum(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-  round(CAST(sum(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE) / count(claim_amount), 4) AS avg_amount,
+  CAST(sum(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE) / count(claim_amount) AS avg_amount,
   min(sha256(CAST(patient_id AS VARCHAR))) AS first_patient
 FROM claims WHERE claim_status <> 'P' AND regexp_matches(priority, '^[1-4]-[A-Z ]+') GROUP BY 1""")
 def etl_flagship(spark, folder):
@@ -47,7 +47,7 @@ def etl_flagship(spark, folder):
         F.min("patient_id_masked").alias("first_patient"))
     return months.join(patients, "claim_month").select(
         "claim_month", "total_claims", F.col("total_amount").cast("double").alias("total_amount"),
-        F.round("avg_amount", 4).alias("avg_amount"), "first_patient")
+        "avg_amount", "first_patient")
 
 
 # ---- projections, masks, splits ----------------------------------------------------------------------------
@@ -110,12 +110,12 @@ def range_prune(spark, folder):
 
 def _shown(months):
     return months.select("claim_month", "total_claims", F.col("total_amount").cast("double").alias("total_amount"),
-                         F.round("avg_amount", 4).alias("avg_amount"))
+                         "avg_amount")
 
 
 ROLLUP_SQL = """SELECT CAST(date_trunc('month', claim_date) AS DATE) AS claim_month, count(*) AS total_claims,
   CAST(sum(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-  round(CAST(sum(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE) / count(claim_amount), 4) AS avg_amount FROM """
+  CAST(sum(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE) / count(claim_amount) AS avg_amount FROM """
 
 
 @query(f"WITH {CLAIMS_SQL} {ROLLUP_SQL} claims GROUP BY 1")
@@ -128,13 +128,8 @@ def refresh_monthly(spark, folder):
     """A stored rollup of the claims up to mid-March 1998, brought up to date with the later ones."""
     all_claims, cut = claims(spark, folder), F.lit("1998-03-15").cast("date")
     path = scratch_path(spark, "monthly")
-    replace_table(op.monthly_rollup(all_claims.where(F.col("claim_date") <= cut)), path, "claim_month")
-    view = spark.read.parquet(path)
-    touched = op.refresh_monthly(view, all_claims.where(F.col("claim_date") > cut))
-    stage = scratch_path(spark, "monthly-touched")
-    touched.write.parquet(stage)
-    replace_table(spark.read.parquet(stage), path, "claim_month", whole=False)
-    return _shown(spark.read.parquet(path))
+    replace_table(op.monthly_rollup(all_claims.where(F.col("claim_date") <= cut)), path)
+    return _shown(op.refresh_monthly(spark.read.parquet(path), all_claims.where(F.col("claim_date") > cut)))
 
 
 @query(f"""WITH {CLAIMS_SQL} {ROLLUP_SQL} claims WHERE date_trunc('month', claim_date) IN

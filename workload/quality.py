@@ -195,7 +195,7 @@ NUMERIC_SQL = """SELECT '{c}' AS column_name, count({c}) AS filled, CAST(min({c}
 @query("\nUNION ALL\n".join(NUMERIC_SQL.format(c=c) for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def profile_numeric(spark, folder):
     lines = load(spark, folder, "lineitem").select("l_quantity", "l_extendedprice", "l_discount")
-    profile = op.profile_numeric(lines, lines.columns, accuracy=100_000)
+    profile = op.profile_numeric(lines, lines.columns, accuracy=1_000_000)
     return profile.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
 
 

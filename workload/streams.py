@@ -29,7 +29,8 @@ def query(sql: str | None = None):
 
 def _stream(spark, folder, name="events"):
     schema = load(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parquet")
+    # A pattern rather than a plain path, so that the table may be one file or a folder of files.
+    return spark.readStream.schema(schema).parquet(f"{folder}/{{{name}}}.parquet")
 
 
 def _finish(q):
@@ -61,7 +62,7 @@ def change_messages(events):
 
 
 CDC_SQL = """SELECT event_id, CASE event_type WHEN 'view' THEN 'c' WHEN 'click' THEN 'u' WHEN 'error' THEN 'd' WHEN 'purchase' THEN 'x' END AS op,
-  CASE WHEN event_type <> 'signup' THEN epoch_ms(ts) END AS ts_ms, CASE WHEN event_type <> 'signup' THEN user_id END AS user_id,
+  CASE WHEN event_type <> 'signup' THEN epoch_us(ts) // 1000 END AS ts_ms, CASE WHEN event_type <> 'signup' THEN user_id END AS user_id,
   CASE WHEN event_type <> 'signup' THEN value END AS value,
   CASE event_type WHEN 'signup' THEN 'not readable as JSON' WHEN 'purchase' THEN 'unknown operation' END AS parse_error FROM events"""
 
@@ -70,7 +71,7 @@ CDC_SQL = """SELECT event_id, CASE event_type WHEN 'view' THEN 'c' WHEN 'click'
 def parse_cdc(spark, folder):
     decoded = st.parse_cdc(change_messages(load(spark, folder, "events")), ROW)
     sound = F.col("parse_error").isNull() | (F.col("parse_error") == "unknown operation")
-    return decoded.select(F.col("key").cast("bigint").alias("event_id"), F.when(sound, F.col("op")).alias("op"),
+    return decoded.select(F.col("message_key").cast("bigint").alias("event_id"), F.when(sound, F.col("op")).alias("op"),
                           *[F.when(sound, F.col(c)).alias(c) for c in ("ts_ms", "user_id", "value")], "parse_error")
 
 
@@ -84,7 +85,7 @@ FROM ({CDC_SQL}) WHERE parse_error IS NULL) WHERE rn = 1 AND op <> 'd'""")
 def change_stream_table(spark, folder):
     """A stream of changes applied to a table: last change per key, deleted keys gone."""
     decoded = st.parse_cdc(change_messages(_stream(spark, folder)), ROW).where("parse_error IS NULL")
-    changes = decoded.select(F.col("key").cast("bigint").alias("event_id"), "op", "ts_ms", "user_id", "value")
+    changes = decoded.select(F.col("message_key").cast("bigint").alias("event_id"), "op", "ts_ms", "user_id", "value")
     path = scratch_path(spark, "changes")
     _finish(st.write_changes_stream(changes, ["user_id"], "ts_ms", ["event_id"], path, scratch_path(spark, "checkpoint"), every=None))
     return st.current_rows(spark.read.parquet(path), ["user_id"], "ts_ms", ["event_id"]).select("user_id", "value")
@@ -182,7 +183,7 @@ def stream_etl(spark, folder):
     messages = clinical_messages(_stream(spark, folder)).unionByName(clinical_messages(_stream(spark, folder)))
     path = scratch_path(spark, "flow")
     plans.run_stream_etl(spark, messages, [not_null("patient_id"), not_null("provider_id")], path, scratch_path(spark, "checkpoint"),
-                         keys=["key"], delay="60 days", as_of="2024-01-31")
+                         keys=["message_key"], delay="60 days", as_of="2024-01-31")
     columns = ["event_time", "patient_id", "event_type", "provider_id"]
     served = plans.served_events(spark, path).withColumn("outcome", F.lit(VALID))
     dead = read_outcome(spark, path, REJECTED).select(*columns).withColumn("outcome", F.lit(REJECTED))

@@ -29,8 +29,16 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str], newest: str |
     `changes` must bring every column of the target except `stamp`, which is set to `as_of` on the rows
     that come from changes. Columns only `changes` has, such as its update time, are dropped.
     """
-    winners = latest_per_key(changes, keys, newest, tie_break)
-    lacking = [c for c in target.columns if c not in changes.columns and c != stamp]
+    return merge_winners(target, latest_per_key(changes, keys, newest, tie_break), keys, as_of, stamp)
+
+
+def merge_winners(target: DataFrame, winners: DataFrame, keys: list[str], as_of=None,
+                  stamp: str | None = "processed_at") -> DataFrame:
+    """The merge itself, for changes that are one row per key already.
+
+    The target is not shuffled if the keys of the changes are few enough to be sent to all executors.
+    """
+    lacking = [c for c in target.columns if c not in winners.columns and c != stamp]
     if lacking:
         raise ValueError(f"changes lack target columns: {', '.join(lacking)}")
     incoming = add_audit(winners, as_of, stamp) if stamp in target.columns else winners

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from etlkit.functions.audit import moment
+from etlkit.operators.changes import latest_per_key
 
 UNKNOWN_KEY = -1
 
@@ -75,14 +76,18 @@ def build_dim_date(span: DataFrame, holidays: DataFrame | None = None) -> DataFr
 # ---- slowly changing dimension -----------------------------------------------------------------------------
 
 def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, as_of, surrogate: str | None = None,
-               tracked: list[str] | None = None, close_missing: bool = False) -> DataFrame:
+               tracked: list[str] | None = None, close_missing: bool = False,
+               newest: str | list[str] | None = None, tie_break: list[str] = ()) -> DataFrame:
     """The dimension after a snapshot, each key at most one row with `expiration_date` NULL.
 
     A changed key gets its open row closed at `as_of` and a new one opened from `as_of`; validity is
     half-open. Closed rows pass through. New rows have a NULL `surrogate`; number them with `number_new_rows`.
-    The snapshot has one row per key. A snapshot of the day a row was opened overwrites that row's values
+    The snapshot has one row per key; name `newest` and `tie_break` columns to reduce one that has several.
+    A snapshot of the day a row was opened overwrites that row's values
     rather than leaving a row that is valid for no time.
     """
+    if newest:
+        snapshot = latest_per_key(snapshot, [key], newest, list(tie_break))
     at = moment(as_of).cast("date")
     attributes = [c for c in dim.columns if c not in (surrogate, key, "effective_date", "expiration_date")]
     tracked = tracked or attributes

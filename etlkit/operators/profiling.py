@@ -1,4 +1,4 @@
-"""Profiles of columns, tables and loads. Each is one aggregation over one scan."""
+"""Profiles of columns, tables and loads."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from etlkit.functions.audit import moment
+from etlkit.operators.quantiles import DEFAULT_K, column_sketches, quantile_of
 
 
 def null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -29,33 +30,40 @@ def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
                              F.try_divide(F.col("filled_cells").cast("double"), F.col("cells").cast("double")))
 
 
-def freshness(df: DataFrame, column: str, as_of, max_lag_seconds: int, accuracy: int = 10_000) -> DataFrame:
-    """One row: newest value, its lag behind `as_of`, median and 95th percentile lag, and whether it is fresh."""
+def freshness(df: DataFrame, column: str, as_of, max_lag_seconds: int) -> DataFrame:
+    """One row: newest value, its lag behind `as_of`, and whether it is fresh."""
+    totals = df.agg(F.max(column).alias("latest"))
+    lag = moment(as_of).cast("double") - F.col("latest").cast("timestamp").cast("double")
+    return totals.withColumn("lag_seconds", lag).withColumn(
+        "is_fresh", F.coalesce(F.col("lag_seconds") <= max_lag_seconds, F.lit(False)))
+
+
+def lag_percentiles(df: DataFrame, column: str, as_of, quantiles: list[float] = (0.5, 0.95),
+                    k: int = DEFAULT_K) -> DataFrame:
+    """One row: how far the rows lie behind `as_of`, in seconds, as `lag_p50`, `lag_p95`, ..."""
     lag = moment(as_of).cast("double") - F.col(column).cast("timestamp").cast("double")
-    totals = df.agg(F.max(column).alias("latest"), F.min(lag).alias("lag_seconds"),
-                    F.percentile_approx(lag, [0.5, 0.95], accuracy).alias("p"))
-    return totals.select("latest", "lag_seconds", F.col("p")[0].alias("lag_p50"), F.col("p")[1].alias("lag_p95"),
-                         F.coalesce(F.col("lag_seconds") <= max_lag_seconds, F.lit(False)).alias("is_fresh"))
+    return column_sketches(df, {"lag": lag}, k).select(*[quantile_of("lag", q).alias(f"lag_p{q * 100:g}") for q in quantiles])
 
 
 def profile_numeric(df: DataFrame, columns: list[str], quantiles: list[float] = (0.25, 0.5, 0.75),
-                    accuracy: int = 10_000) -> DataFrame:
-    """One row per column: filled rows, min, max, mean, stddev and quantiles named `p25`, `p50`, ...
+                    k: int = DEFAULT_K) -> DataFrame:
+    """One row per column: filled rows, min, max, mean, stddev and approximate quantiles named `p25`, `p50`, ...
 
-    Quantiles come from a sketch of bounded size whose rank error is at most rows / `accuracy`.
+    Two jobs, one for the moments and one for the sketches, each over the listed columns only.
     """
     wanted = [float(q) for q in quantiles]
     totals = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
         totals += [F.count(c).alias(f"n{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
-                   F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}"),
-                   F.percentile_approx(x, wanted, accuracy).alias(f"q{i}")]
+                   F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}")]
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("filled"), F.col(f"min{i}").alias("min"),
                      F.col(f"max{i}").alias("max"), F.col(f"mean{i}").alias("mean"), F.col(f"sd{i}").alias("stddev"),
-                     *[F.col(f"q{i}")[j].alias(f"p{q * 100:g}") for j, q in enumerate(wanted)])
+                     *[quantile_of(f"sketch{i}", q).alias(f"p{q * 100:g}") for q in wanted])
             for i, c in enumerate(columns)]
-    return df.agg(*totals).select(F.inline(F.array(*rows)))
+    sketches = column_sketches(df, {f"sketch{i}": F.col(c) for i, c in enumerate(columns)}, k)
+    # One row beside one row.
+    return df.agg(*totals).join(sketches, F.lit(True)).select(F.inline(F.array(*rows)))
 
 
 def volume_anomalies(df: DataFrame, column: str, trailing: int = 7, z: float = 3.0,

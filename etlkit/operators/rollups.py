@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
@@ -14,8 +14,9 @@ def _with_average(totals: DataFrame) -> DataFrame:
     return totals.withColumn("avg_amount", mean)
 
 
-def monthly_rollup(df: DataFrame, date_column: str = "claim_date", amount_column: str = "claim_amount") -> DataFrame:
-    """claim_month, total_claims, amount_count, total_amount, avg_amount.
+def monthly_rollup(df: DataFrame, date_column: str = "claim_date", amount_column: str = "claim_amount",
+                   extra: list[Column] = ()) -> DataFrame:
+    """claim_month, total_claims, amount_count, total_amount, avg_amount, and the `extra` aggregates.
 
     Amounts are summed as decimals, so the total does not depend on the order of the rows; the count of
     filled amounts is kept so that rollups can be added up and their averages still come out right.
@@ -23,7 +24,7 @@ def monthly_rollup(df: DataFrame, date_column: str = "claim_date", amount_column
     return _with_average(df.groupBy(F.trunc(date_column, "month").alias("claim_month")).agg(
         F.count(F.lit(1)).alias("total_claims"),
         F.count(amount_column).alias("amount_count"),
-        F.sum(F.col(amount_column).cast(MONEY)).cast(TOTAL).alias("total_amount")))
+        F.sum(F.col(amount_column).cast(MONEY)).cast(TOTAL).alias("total_amount"), *extra))
 
 
 def refresh_monthly(view: DataFrame, added: DataFrame, date_column: str = "claim_date",

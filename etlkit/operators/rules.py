@@ -1,10 +1,10 @@
 """Data-quality rules. A rule says what to check; `split` and `suite` decide how it runs.
 
-Four kinds, by what they need to see:
+Kinds, by what they need to see:
   RowRule     one boolean per row        - usable in splits and suites
   TotalRule   one aggregate of the table - evaluated together with the row rules in a single pass
   SchemaRule  column names and types     - no data is read
-  JobRule     a grouping or a join       - one job of its own
+  JobRule     a grouping or a join       - one job of its own, as for MeasureRule
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from etlkit.functions.audit import moment
 from etlkit.operators.ordering import order_violations
+from etlkit.operators.quantiles import DEFAULT_K, column_sketches, quantile_of
 
 TYPE_FAMILIES = {
     "numeric": T.NumericType,
@@ -83,6 +84,15 @@ class JobRule(Rule):
     job: Callable[[DataFrame], DataFrame] = None
 
 
+@dataclass(frozen=True)
+class MeasureRule(Rule):
+    """`job` returns one row, observed and element_count, and `observed` must lie in the bounds."""
+
+    job: Callable[[DataFrame], DataFrame] = None
+    low: float | None = None
+    high: float | None = None
+
+
 # ---- schema ------------------------------------------------------------------------------------------------
 
 def has_column(column: str, category: str = "schema") -> SchemaRule:
@@ -197,10 +207,13 @@ def mean_between(column: str, low: float, high: float, category: str = "statisti
                      value=lambda df: F.avg(column).cast("double"), low=low, high=high)
 
 
-def quantile_between(column: str, q: float, low: float, high: float, accuracy: int = 10_000,
-                     category: str = "statistical") -> TotalRule:
-    return TotalRule(f"quantile_between:{column}:{q}", "quantile_between", category, (column,),
-                     value=lambda df: F.percentile_approx(column, q, accuracy).cast("double"), low=low, high=high)
+def quantile_between(column: str, q: float, low: float, high: float, k: int = DEFAULT_K,
+                     category: str = "statistical") -> MeasureRule:
+    def job(df: DataFrame) -> DataFrame:
+        sketch = column_sketches(df, {"s": F.col(column)}, k)
+        return sketch.select(quantile_of("s", q).alias("observed"), F.kll_sketch_get_n_double("s").alias("element_count"))
+
+    return MeasureRule(f"quantile_between:{column}:{q}", "quantile_between", category, (column,), job=job, low=low, high=high)
 
 
 def complete(columns: list[str], at_least: float = 1.0, category: str = "completeness") -> TotalRule:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from etlkit.operators.rules import (JobRule, RowRule, Rule, SchemaRule, TotalRule, between, columns_match,
+from etlkit.operators.rules import (JobRule, MeasureRule, RowRule, Rule, SchemaRule, TotalRule, between, columns_match,
                                     has_column, has_type, in_set, increasing, matches, mean_between, not_null,
                                     pair_compare, row_count, sum_equals, unique)
 
@@ -39,6 +39,15 @@ def _enough(rule: Rule, n: Column, bad: Column) -> Column:
     return (n - bad).cast("double") >= n.cast("double") * F.lit(rule.mostly)
 
 
+def _in_bounds(rule: TotalRule | MeasureRule, value: Column) -> Column:
+    ok = value.isNotNull()
+    if rule.low is not None:
+        ok = ok & (value >= rule.low)
+    if rule.high is not None:
+        ok = ok & (value <= rule.high)
+    return ok
+
+
 def run_suite(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One result row per rule, as a lazy DataFrame.
 
@@ -62,12 +71,10 @@ def run_suite(df: DataFrame, rules: list[Rule]) -> DataFrame:
         elif isinstance(rule, TotalRule):
             value = F.col(f"value{i}")
             totals.append(rule.value(df).alias(f"value{i}"))
-            ok = F.lit(True)
-            if rule.low is not None:
-                ok = ok & (value >= rule.low)
-            if rule.high is not None:
-                ok = ok & (value <= rule.high)
-            rows.append(F.struct(*_result(rule, ok, value, F.col("total"))))
+            rows.append(F.struct(*_result(rule, _in_bounds(rule, value), value, F.col("total"))))
+        elif isinstance(rule, MeasureRule):
+            value = F.col("observed")
+            parts.append(rule.job(df).select(*_result(rule, _in_bounds(rule, value), value, F.col("element_count"))))
         elif isinstance(rule, JobRule):
             n, bad = F.col("element_count"), F.col("unexpected_count")
             parts.append(rule.job(df).select(*_result(rule, _enough(rule, n, bad), F.try_divide((n - bad).cast("double"), n.cast("double")), n, bad)))

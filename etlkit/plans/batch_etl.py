@@ -51,10 +51,7 @@ def run_batch_etl(spark: SparkSession, input_path: str, output_path: str, fmt: s
         else:
             tagged = with_outcome(mask_columns(raw, sensitive), rules, as_of)
         counts = Observation("batch_etl")
-        tagged = tagged.observe(counts, F.count(F.lit(1)).alias("loaded"),
-                                F.count_if(F.col("outcome") == VALID).alias("valid"),
-                                F.count_if(F.col("outcome") == REJECTED).alias("rejected"))
-        write_outcomes(tagged, output_path, [partition_col] if partition_col else [])
+        write_outcomes(tagged, output_path, [partition_col] if partition_col else [], counts=counts)
         seen = counts.get
         log.record("batch_etl", **seen)
     log.save()

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from etlkit.operators.changes import latest_per_key, upsert
+from etlkit.operators.changes import latest_per_key, merge_winners
 from etlkit.operators.rules import Rule
 from etlkit.operators.suite import SuiteFailed, raise_on_failure, run_suite
 from etlkit.session import scratch_path, settle
-from etlkit.sources.tables import counted
 
 VALID, REJECTED = "valid", "rejected"
 
@@ -29,12 +28,17 @@ def arranged(df: DataFrame, partition_cols: list[str], cluster_cols: list[str] =
 
 
 def _write(df: DataFrame, path: str, mode: str, partition_cols: list[str], cluster_cols: list[str] = (),
-           fmt: str = "parquet") -> None:
-    writer = arranged(df, partition_cols, cluster_cols).write.format(fmt).mode(mode)
+           fmt: str = "parquet", counts: tuple[Observation, list[Column]] | None = None, arrange: bool = True, dynamic: bool = True) -> None:
+    if arrange:
+        df = arranged(df, partition_cols, cluster_cols)
+    if counts:
+        # After the shuffle: the tasks that write count once each, also if an executor is lost and others rerun.
+        df = df.observe(counts[0], *counts[1])
+    writer = df.write.format(fmt).mode(mode)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
-        if mode == "overwrite":
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+    if mode == "overwrite":
+        writer = writer.option("partitionOverwriteMode", "dynamic" if partition_cols and dynamic else "static")
     writer.save(path)
 
 
@@ -50,14 +54,14 @@ def append_rejected(rejected: DataFrame, path: str) -> bool:
     return True
 
 
-def replace_table(df: DataFrame, path: str, partition_col: str | None = None, whole: bool = True) -> None:
-    """Full refresh; with `whole=False` only the partitions that `df` has rows for are replaced."""
-    if partition_col and not whole:
-        _write(df, path, "overwrite", [partition_col])
-        return
-    writer = arranged(df, [partition_col] if partition_col else []).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static")
-    (writer.partitionBy(partition_col) if partition_col else writer).parquet(path)
+def replace_table(df: DataFrame, path: str, partition_col: str | None = None, whole: bool = True,
+                  arrange: bool = True) -> None:
+    """Full refresh; with `whole=False` only the partitions that `df` has rows for are replaced.
+
+    `arrange=False` skips the shuffle for rows that are laid out by partition already.
+    """
+    columns = [partition_col] if partition_col else []
+    _write(df, path, "overwrite", columns, arrange=arrange, dynamic=bool(columns) and not whole)
 
 
 def write_clustered(df: DataFrame, path: str, partition_cols: list[str], cluster_cols: list[str],
@@ -84,17 +88,21 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str
 
 # ---- both sides of a split from one scan -------------------------------------------------------------------
 
-def write_outcomes(tagged: DataFrame, path: str, partition_cols: list[str] = (), batch_id: int | None = None) -> None:
+def write_outcomes(tagged: DataFrame, path: str, partition_cols: list[str] = (), batch_id: int | None = None,
+                   counts: Observation | None = None) -> None:
     """Write valid and rejected rows in one job, as the two partitions `outcome=...` of one folder.
 
     Both sides come from one scan and are committed together. With a `batch_id`, the batch is a partition
-    of its own and writing it again replaces it, so a repeated micro-batch adds nothing.
+    of its own and writing it again replaces it, so a repeated micro-batch adds nothing. `counts` receives
+    loaded, valid and rejected.
     """
+    seen = counts and (counts, [F.count(F.lit(1)).alias("loaded"),
+                                *[F.count_if(F.col("outcome") == side).alias(side) for side in (VALID, REJECTED)]])
     if batch_id is None:
-        _write(tagged, path, "append", ["outcome", *partition_cols])
+        _write(tagged, path, "append", ["outcome", *partition_cols], counts=seen)
     else:
         _write(tagged.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, "overwrite",
-               ["outcome", "batch_id", *partition_cols])
+               ["outcome", "batch_id", *partition_cols], counts=seen)
 
 
 def outcome_path(path: str, outcome: str) -> str:
@@ -135,20 +143,23 @@ def upsert_table(spark: SparkSession, path: str, changes: DataFrame, keys: list[
     winners = settle(latest_per_key(changes, keys, newest, tie_break))
     stage = scratch_path(spark, "upsert")
     if partition_col is None:
-        upsert(target, winners, keys, newest, tie_break, as_of, stamp).write.parquet(stage)
+        merge_winners(target, winners, keys, as_of, stamp).write.parquet(stage)
         spark.read.schema(target.schema).parquet(stage).write.mode("overwrite").parquet(path)
         return
-    held = target.select(*keys, partition_col).join(winners.select(*keys), keys, "left_semi").select(partition_col)
+    places = winners.select(partition_col)
+    if partition_col not in keys:
+        held = target.select(*keys, partition_col).join(winners.select(*keys), keys, "left_semi")
+        places = places.unionByName(held.select(partition_col))
     # Partition values only: as many as the table has folders.
-    touched = [r[0] for r in held.unionByName(winners.select(partition_col)).distinct().collect()]
+    touched = [r[0] for r in places.distinct().collect()]
     if not touched:
         return
     affected = target.where(_is_one_of(partition_col, touched))
-    merged = upsert(affected, winners, keys, newest, tie_break, as_of, stamp)
+    merged = merge_winners(affected, winners, keys, as_of, stamp)
     _write(merged, stage, "append", [partition_col])
     staged = spark.read.schema(target.schema).parquet(stage)
     filled = {r[0] for r in staged.select(partition_col).distinct().collect()}
-    _write(staged, path, "overwrite", [partition_col])
+    _write(staged, path, "overwrite", [partition_col], arrange=False)
     for value in touched:
         if value not in filled:
             staged.drop(partition_col).where(F.lit(False)).write.mode("overwrite").parquet(
@@ -162,17 +173,16 @@ def publish_if_valid(df: DataFrame, rules: list[Rule], target: str, stage_path:
                      as_table: bool = False) -> tuple[DataFrame, int]:
     """Stage, check, publish. Returns the suite result and the number of rows published.
 
-    The rows are staged and counted in one job and the rules run on what was staged. If a rule fails, or the
+    The rules run on what was staged. If a rule fails, or the
     count differs from `expected_rows`, the target stays as it was and `SuiteFailed` is raised. Otherwise the
     staged rows replace the target: by copying into the folder `target`, or, with `as_table`, by pointing the
     catalog table `target` at the staged folder, which moves no data.
     """
     spark = df.sparkSession
     stage_path = stage_path or scratch_path(spark, "publish")
-    passing, seen = counted(df, "staged")
-    replace_table(passing, stage_path, partition_col)
-    rows = seen.get["rows"]
+    replace_table(df, stage_path, partition_col)
     staged = spark.read.schema(df.schema).parquet(stage_path)
+    rows = staged.count()  # from the file footers
     result = run_suite(staged, rules) if rules else None
     if result is not None:
         result = result.persist()
@@ -185,5 +195,5 @@ def publish_if_valid(df: DataFrame, rules: list[Rule], target: str, stage_path:
             spark.sql(f"MSCK REPAIR TABLE {target}")
         spark.catalog.refreshTable(target)
     else:
-        replace_table(staged, target, partition_col)
+        replace_table(staged, target, partition_col, arrange=False)
     return result, rows

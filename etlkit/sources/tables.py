@@ -47,7 +47,10 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """Count the rows that pass this point as part of whatever job runs, instead of in a job of its own."""
+    """Count the rows that pass this point as part of whatever job runs, instead of in a job of its own.
+
+    For logs: if the point lies before a shuffle and an executor is lost, tasks that run again count again.
+    """
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
@@ -81,7 +84,7 @@ def extract_table(spark: SparkSession, reader: str | Callable[[SparkSession], Da
     """Extract a whole table; returns the extract and its row count.
 
     `reader` is a Parquet path or a function such as `jdbc_reader(...)`. With `stage_path` the extract is
-    written there by the executors, counted in the same job and read back, so the source is read once.
+    written there by the executors and read back, so the source is read once.
     Without it the count is None and only emptiness is tested.
     """
     source = spark.read.parquet(reader) if isinstance(reader, str) else reader(spark)
@@ -89,12 +92,12 @@ def extract_table(spark: SparkSession, reader: str | Callable[[SparkSession], Da
         if fail_if_empty and source.isEmpty():
             raise ValueError("extract is empty")
         return source, None
-    source, seen = counted(source, "extract")
     source.write.mode("overwrite").parquet(stage_path)
-    rows = seen.get["rows"]
+    staged = spark.read.schema(source.schema).parquet(stage_path)
+    rows = staged.count()  # from the file footers
     if fail_if_empty and rows == 0:
         raise ValueError("extract is empty")
-    return spark.read.parquet(stage_path), rows
+    return staged, rows
 
 
 def incremental_slice(source: DataFrame, source_ts: str, target: DataFrame | None = None,

@@ -66,8 +66,11 @@ def _replace_batch(batch: DataFrame, batch_id: int, path: str) -> None:
 
 def write_rollup_stream(rollup: DataFrame, path: str, checkpoint: str, every: str | None = CADENCE) -> StreamingQuery:
     """Write the windows each micro-batch changed, so open windows are visible before they close."""
-    return write_batches(rollup, lambda batch, batch_id: _replace_batch(batch, batch_id, path), checkpoint,
-                         mode="update", every=every)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # A stateful batch has as many partitions as the state; its few rows fit a file or two.
+        _replace_batch(batch.hint("rebalance"), batch_id, path)
+
+    return write_batches(rollup, write, checkpoint, mode="update", every=every)
 
 
 def read_rollup(spark: SparkSession, path: str, dimensions: list[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from etlkit.operators import (accuracy_rate, completeness, find_duplicates, freshness, monthly_rollup, null_profile, recompute_months,
+from etlkit.operators import (accuracy_rate, completeness, find_duplicates, freshness, monthly_rollup, lag_percentiles, null_profile, profile_numeric, recompute_months,
                               reconcile, reconcile_literal, refresh_monthly, require_columns, row_count_match, row_diff, volume_anomalies)
 
 SCHEMA = "claim_id int, claim_amount double"
@@ -100,3 +100,17 @@ def test_rollups_add_up(spark, rows):
     assert rows(refresh_monthly(monthly_rollup(df.where("id < 600")), df.where("id >= 600"))) == full
     march = rows(recompute_months(df, df.where("claim_date = date'2024-03-05'")))
     assert march == [x for x in full if str(x[0]) == "2024-03-01"]
+
+
+def test_quantiles_of_many_rows_are_close(spark):
+    df = spark.range(0, 400_000, 1, 16).selectExpr("(id * 7919) % 400000 AS x", "cast(null AS int) AS y")
+    row = {r["column_name"]: r for r in profile_numeric(df, ["x", "y"], quantiles=[0.1, 0.5]).collect()}
+    assert abs(row["x"]["p10"] - 40_000) < 1_600 and abs(row["x"]["p50"] - 200_000) < 1_600
+    assert row["x"]["mean"] == 199_999.5 and row["x"]["filled"] == 400_000
+    assert row["y"]["p50"] is None and row["y"]["filled"] == 0
+    assert profile_numeric(df.limit(0), ["x"]).first()["p50"] is None
+
+
+def test_lag_percentiles(spark):
+    df = spark.range(1, 101).selectExpr("timestamp_seconds(1704067200 - id) AS t")
+    assert tuple(lag_percentiles(df, "t", "2024-01-01").first()) == (50.0, 95.0)

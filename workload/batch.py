@@ -36,18 +36,15 @@ FLAGSHIP_RULES = [not_null("claim_status"), matches("priority", "^[1-4]-[A-Z ]+"
 SELECT CAST(date_trunc('month', claim_date) AS DATE) AS claim_month, count(*) AS total_claims,
   CAST(sum(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
   CAST(sum(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE) / count(claim_amount) AS avg_amount,
-  min(sha256(CAST(patient_id AS VARCHAR))) AS first_patient
+  CAST(sum(CAST('0x' || substr(sha256(CAST(patient_id AS VARCHAR)), 1, 8) AS BIGINT)) AS BIGINT) AS patient_checksum
 FROM claims WHERE claim_status <> 'P' AND regexp_matches(priority, '^[1-4]-[A-Z ]+') GROUP BY 1""")
 def etl_flagship(spark, folder):
     raw = claims(spark, folder).withColumn("claim_status", F.nullif("claim_status", F.lit("P")))
     masked = fn.mask_columns(raw, ["patient_id"])
     valid, _ = op.split_valid(masked, FLAGSHIP_RULES, as_of="2024-01-31")
-    months = op.monthly_rollup(valid)
-    patients = valid.groupBy(F.trunc("claim_date", "month").alias("claim_month")).agg(
-        F.min("patient_id_masked").alias("first_patient"))
-    return months.join(patients, "claim_month").select(
-        "claim_month", "total_claims", F.col("total_amount").cast("double").alias("total_amount"),
-        "avg_amount", "first_patient")
+    checksum = F.sum(F.conv(F.substring("patient_id_masked", 1, 8), 16, 10).cast("bigint")).alias("patient_checksum")
+    return op.monthly_rollup(valid, extra=[checksum]).select(
+        "claim_month", "total_claims", F.col("total_amount").cast("double").alias("total_amount"), "avg_amount", "patient_checksum")
 
 
 # ---- projections, masks, splits ----------------------------------------------------------------------------

@@ -187,6 +187,12 @@ def freshness(spark, folder):
         "latest", F.round("lag_seconds", 3).alias("lag_seconds"), "is_fresh")
 
 
+@query("""SELECT CAST(quantile_disc(lag, 0.5) AS DOUBLE) AS lag_p50, CAST(quantile_disc(lag, 0.95) AS DOUBLE) AS lag_p95
+FROM (SELECT epoch(TIMESTAMP '2001-12-31') - epoch(o_orderdate) AS lag FROM orders)""")
+def lag_percentiles(spark, folder):
+    return op.lag_percentiles(load(spark, folder, "orders"), "o_orderdate", "2001-12-31", k=65_535)
+
+
 NUMERIC_SQL = """SELECT '{c}' AS column_name, count({c}) AS filled, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
  round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev, CAST(quantile_disc({c}, 0.25) AS DOUBLE) AS p25,
  CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS p50, CAST(quantile_disc({c}, 0.75) AS DOUBLE) AS p75 FROM lineitem"""
@@ -195,7 +201,7 @@ NUMERIC_SQL = """SELECT '{c}' AS column_name, count({c}) AS filled, CAST(min({c}
 @query("\nUNION ALL\n".join(NUMERIC_SQL.format(c=c) for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def profile_numeric(spark, folder):
     lines = load(spark, folder, "lineitem").select("l_quantity", "l_extendedprice", "l_discount")
-    profile = op.profile_numeric(lines, lines.columns, accuracy=1_000_000)
+    profile = op.profile_numeric(lines, lines.columns, k=65_535)
     return profile.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
 
 

@@ -16,9 +16,16 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Stream state on local disk with change logs in the checkpoint, rather than all in executor memory.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+SPARK_DEFAULT_PARTITIONS = "200"
+
+
 def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 256 << 20) -> int:
     """Initial shuffle partitions: enough that one holds about `target_bytes`, and at least one per core.
 
@@ -35,19 +42,21 @@ def get_session(app_name: str = "etlkit", master: str | None = None, input_bytes
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = configure(builder.getOrCreate())
-    if "spark.sql.shuffle.partitions" not in conf:
-        cores = spark.sparkContext.defaultParallelism
-        if input_bytes is not None:
-            spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions_for(input_bytes, cores))
-        elif is_local(spark):
-            spark.conf.set("spark.sql.shuffle.partitions", cores)
+    if input_bytes is not None and PARTITIONS not in conf:
+        spark.conf.set(PARTITIONS, shuffle_partitions_for(input_bytes, spark.sparkContext.defaultParallelism))
     return spark
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+    """Apply the runtime settings to a session somebody else built.
+
+    The number of shuffle partitions is the cluster's to choose; only a local session that still has Spark's
+    default gets one per core, since stream state opens a store for each.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if is_local(spark) and spark.conf.get(PARTITIONS) == SPARK_DEFAULT_PARTITIONS:
+        spark.conf.set(PARTITIONS, spark.sparkContext.defaultParallelism)
     return spark
 
 

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from etlkit.operators.rules import (JobRule, MeasureRule, RowRule, Rule, SchemaRule, TotalRule, between, columns_match,
                                     has_column, has_type, in_set, increasing, matches, mean_between, not_null,
                                     pair_compare, row_count, sum_equals, unique)
 
-RESULT_COLUMNS = ["rule_id", "rule_type", "column", "category", "success", "observed", "element_count",
-                  "unexpected_count", "unexpected_pct"]
-
-
 class SuiteFailed(Exception):
     """At least one rule of a suite failed; `failures` holds their ids."""
 
@@ -21,71 +20,67 @@ class SuiteFailed(Exception):
         self.failures = failures
 
 
-def _result(rule: Rule, success: Column, observed: Column | None = None, n: Column | None = None,
-            bad: Column | None = None) -> list[Column]:
-    none = F.lit(None)
-    n = none if n is None else n
-    bad = none if bad is None else bad
-    share = F.try_divide(bad.cast("double") * 100, n.cast("double"))
-    return [F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.rule_type).alias("rule_type"),
-            F.lit(",".join(rule.columns) or None).cast("string").alias("column"),
-            F.lit(rule.category).alias("category"), F.coalesce(success, F.lit(False)).alias("success"),
-            (none if observed is None else observed).cast("double").alias("observed"),
-            n.cast("bigint").alias("element_count"), bad.cast("bigint").alias("unexpected_count"),
-            share.alias("unexpected_pct")]
-
+RATIO, BOUNDS, FIXED = "ratio", "bounds", "fixed"
+META = ("array<struct<rule_id:string, rule_type:string, column:string, category:string, verdict:string, mostly:double,"
+        " low:double, high:double, fixed:boolean>>")
 
-def _enough(rule: Rule, n: Column, bad: Column) -> Column:
-    return (n - bad).cast("double") >= n.cast("double") * F.lit(rule.mostly)
 
-
-def _in_bounds(rule: TotalRule | MeasureRule, value: Column) -> Column:
-    ok = value.isNotNull()
-    if rule.low is not None:
-        ok = ok & (value >= rule.low)
-    if rule.high is not None:
-        ok = ok & (value <= rule.high)
-    return ok
+def _verdict(rule: Rule, df: DataFrame) -> dict:
+    """How the rule's result follows from its measures: a share of passing elements, a value in bounds, or
+    nothing but the schema."""
+    out = {"rule_id": rule.rule_id, "rule_type": rule.rule_type, "column": ",".join(rule.columns) or None,
+           "category": rule.category, "verdict": RATIO, "mostly": rule.mostly}
+    if isinstance(rule, SchemaRule):
+        out.update(verdict=FIXED, fixed=rule.test(df.schema))
+    elif rule.missing_from(df):
+        out.update(verdict=FIXED, fixed=False)
+    elif isinstance(rule, (TotalRule, MeasureRule)):
+        out.update(verdict=BOUNDS, low=rule.low, high=rule.high)
+    return out
 
 
 def run_suite(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One result row per rule, as a lazy DataFrame.
 
     Row and total rules of the whole suite share one aggregation, hence one scan; schema rules read no data;
-    each uniqueness, reference or order rule adds one job over the columns it names. A rule on a column the
-    table lacks fails, rather than stopping the suite.
+    each uniqueness, reference, order or quantile rule adds one job over the columns it names. A rule on a
+    column the table lacks fails, rather than stopping the suite.
     """
     if len({r.rule_id for r in rules}) < len(rules):
         raise ValueError("rule ids must be unique within a suite")
-    totals, rows, parts = [F.count(F.lit(1)).alias("total")], [], []
-    for i, rule in enumerate(rules):
-        if isinstance(rule, SchemaRule):
-            rows.append(F.struct(*_result(rule, F.lit(rule.test(df.schema)))))
-        elif rule.missing_from(df):
-            rows.append(F.struct(*_result(rule, F.lit(False))))
+    verdicts = [_verdict(rule, df) for rule in rules]
+    totals, shared, jobs = [F.count(F.lit(1)).alias("total")], [], []
+    for i, (rule, verdict) in enumerate(zip(rules, verdicts)):
+        n = bad = value = None
+        if verdict["verdict"] == FIXED:
+            pass
         elif isinstance(rule, RowRule):
-            n, bad = F.col(f"n{i}"), F.col(f"bad{i}")
-            totals += [F.count_if(rule.applies()).alias(f"n{i}"),
-                       F.count_if(rule.applies() & ~rule.passes(df)).alias(f"bad{i}")]
-            rows.append(F.struct(*_result(rule, _enough(rule, n, bad), F.try_divide((n - bad).cast("double"), n.cast("double")), n, bad)))
+            n, bad = f"n{i}", f"bad{i}"
+            totals += [F.count_if(rule.applies()).alias(n), F.count_if(rule.applies() & ~rule.passes(df)).alias(bad)]
         elif isinstance(rule, TotalRule):
-            value = F.col(f"value{i}")
-            totals.append(rule.value(df).alias(f"value{i}"))
-            rows.append(F.struct(*_result(rule, _in_bounds(rule, value), value, F.col("total"))))
-        elif isinstance(rule, MeasureRule):
-            value = F.col("observed")
-            parts.append(rule.job(df).select(*_result(rule, _in_bounds(rule, value), value, F.col("element_count"))))
+            n, value = "total", f"value{i}"
+            totals.append(rule.value(df).cast("double").alias(value))
         elif isinstance(rule, JobRule):
-            n, bad = F.col("element_count"), F.col("unexpected_count")
-            parts.append(rule.job(df).select(*_result(rule, _enough(rule, n, bad), F.try_divide((n - bad).cast("double"), n.cast("double")), n, bad)))
+            jobs.append(rule.job(df).selectExpr(f"{i} AS i", "bigint(element_count) AS n", "bigint(unexpected_count) AS bad",
+                                                "double(null) AS value"))
+            continue
+        elif isinstance(rule, MeasureRule):
+            jobs.append(rule.job(df).selectExpr(f"{i} AS i", "bigint(element_count) AS n", "bigint(null) AS bad",
+                                                "double(observed) AS value"))
+            continue
         else:
             raise TypeError(f"not a rule: {rule!r}")
-    if rows:
-        parts.insert(0, df.agg(*totals).select(F.inline(F.array(*rows))))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        shared.append(f"named_struct('i', {i}, 'n', bigint({n or 'null'}), 'bad', bigint({bad or 'null'}), "
+                      f"'value', double({value or 'null'}))")
+    parts = [df.agg(*totals).selectExpr(f"inline(array({', '.join(shared)}))")] if shared else []
+    measures = reduce(DataFrame.unionByName, [*parts, *jobs])
+    described = measures.withColumn("r", F.from_json(F.lit(json.dumps(verdicts)), META)[F.col("i")])
+    return described.selectExpr(
+        "r.rule_id", "r.rule_type", "r.column", "r.category",
+        f"""CASE r.verdict WHEN '{FIXED}' THEN r.fixed WHEN '{RATIO}' THEN double(n - bad) >= n * r.mostly
+            ELSE value IS NOT NULL AND value >= coalesce(r.low, value) AND value <= coalesce(r.high, value) END AS success""",
+        f"CASE r.verdict WHEN '{RATIO}' THEN try_divide(double(n - bad), n) ELSE value END AS observed",
+        "n AS element_count", "bad AS unexpected_count", "try_divide(100 * double(bad), n) AS unexpected_pct")
 
 
 def raise_on_failure(result: DataFrame) -> DataFrame:

@@ -42,16 +42,17 @@ def parse_cdc(messages: DataFrame, row_schema: T.StructType) -> DataFrame:
         T.StructField("op", T.StringType()), T.StructField("before", row_schema),
         T.StructField("after", row_schema), T.StructField("ts_ms", T.LongType()),
         T.StructField("_corrupt", T.StringType())])
-    event = F.from_json("value", envelope, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    decoded = messages.withColumn("_e", event)
-    e = lambda name: F.col(f"_e.{name}")
-    state = F.when(e("op") == "d", e("before")).otherwise(e("after"))
-    error = (F.when(F.col("value").isNull(), "no value")
-             .when(F.col("_e").isNull() | e("_corrupt").isNotNull(), "not readable as JSON")
-             .when(e("op").isNull() | ~e("op").isin(*CHANGE_OPS), "unknown operation")
-             .when(e("ts_ms").isNull(), "no change time")
+    value = F.col("message_value")
+    event = F.from_json(value, envelope, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    # A generator, because a filter on its columns is not pushed below it: pushed below a projection, a filter
+    # on `parse_error` would parse the message again for each field it looks at.
+    decoded = messages.select(*[F.col(c).alias(f"message_{c}") for c in messages.columns]).select("*", F.inline(F.array(event)))
+    state = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    error = (F.when(value.isNull(), "no value")
+             .when(F.col("_corrupt").isNotNull() | (F.trim(value) == ""), "not readable as JSON")
+             .when(F.col("op").isNull() | ~F.col("op").isin(*CHANGE_OPS), "unknown operation")
+             .when(F.col("ts_ms").isNull(), "no change time")
              .when(state.isNull(), "no row"))
     return decoded.select(
-        *[F.col(c).alias(f"message_{c}") for c in messages.columns], e("op").alias("op"), e("ts_ms").alias("ts_ms"),
-        F.timestamp_millis(e("ts_ms")).alias("change_time"),
+        *[f"message_{c}" for c in messages.columns], "op", "ts_ms", F.timestamp_millis("ts_ms").alias("change_time"),
         *[state.getField(name).alias(name) for name in row_schema.names], error.alias("parse_error"))

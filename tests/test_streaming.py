@@ -41,7 +41,7 @@ def test_change_events(spark):
              ({"op": "d", "before": row, "ts_ms": 1}, ("d", 1, None)), ({"op": "r", "after": row, "ts_ms": 1}, ("r", 1, None)),
              ({"op": "x", "after": row, "ts_ms": 1}, ("x", None, "unknown operation")), ({"after": row, "ts_ms": 1}, (None, None, "unknown operation")),
              ({"op": "d", "after": row, "ts_ms": 1}, ("d", None, "no row")), ({"op": "c", "after": row}, ("c", None, "no change time")),
-             ("{broken", (None, None, "not readable as JSON")), (None, (None, None, "no value")),
+             ("{broken", (None, None, "not readable as JSON")), (" ", (None, None, "not readable as JSON")), (None, (None, None, "no value")),
              ({"op": "c", "after": {"id": "text"}, "ts_ms": 1}, (None, None, "not readable as JSON"))]
     df = st.parse_cdc(spark.createDataFrame(messages(*[c for c, _ in cases]), MESSAGE), ROW)
     found = {int(r["message_key"]): r for r in df.collect()}
@@ -54,6 +54,12 @@ def test_change_events(spark):
         st.parse_cdc(df.selectExpr("message_value AS value"), T.StructType([T.StructField("op", T.StringType())]))
 
 
+def test_a_message_is_parsed_once(spark, place):
+    feed(spark, place("in"), messages("{}"), MESSAGE)
+    sound = st.parse_cdc(spark.read.schema(MESSAGE).parquet(place("in")), ROW).where("parse_error IS NULL AND op = 'c' AND id > 3")
+    assert sound._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+
+
 def test_message_source_from_files(spark, place):
     feed(spark, place("in"), messages({"op": "c", "after": {"id": 1, "value": 1.0}, "ts_ms": 1}), MESSAGE)
     df = st.read_events(spark, {"path": place("in")}, fmt="parquet")

@@ -1,7 +1,7 @@
 from etlkit.operators.changes import apply_changes, drop_deleted, latest_per_key, merge_versions, upsert
 from etlkit.operators.counting import find_duplicates, row_count_match, row_counts
 from etlkit.operators.modelling import (as_of_join, assign_keys, build_dim_date, build_dim_provider, fixed_span,
-                                        key_lookup, load_fact, number_new_rows, scd2_merge, span_of)
+                                        key_lookup, load_fact, number_new_rows, refresh_patients, scd2_merge, span_of)
 from etlkit.operators.ordering import order_violations
 from etlkit.operators.profiling import completeness, freshness, lag_percentiles, null_profile, profile_numeric, volume_anomalies
 from etlkit.operators.reconciling import (accuracy_rate, in_sample, reconcile, reconcile_literal, require_columns,

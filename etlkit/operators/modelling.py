@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from etlkit.functions.audit import moment
 from etlkit.operators.changes import latest_per_key
+from etlkit.session import settle
 
 UNKNOWN_KEY = -1
 
@@ -127,6 +128,13 @@ def number_new_rows(dim: DataFrame, surrogate: str, by: list[str]) -> DataFrame:
     return held.unionByName(assign_keys(fresh, surrogate, by, existing=held).select(*dim.columns))
 
 
+def refresh_patients(dim: DataFrame, snapshot: DataFrame, as_of, **options) -> DataFrame:
+    """The patient dimension after a snapshot, new versions numbered. The merge is written once to the
+    checkpoint folder, since numbering reads it several times."""
+    merged = settle(scd2_merge(dim, snapshot, "patient_id", as_of, surrogate="patient_key", **options))
+    return number_new_rows(merged, "patient_key", ["patient_id"])
+
+
 # ---- fact table --------------------------------------------------------------------------------------------
 
 def as_of_join(facts: DataFrame, dim: DataFrame, key: str, at: str, columns: list[str],

@@ -59,11 +59,11 @@ def profile_numeric(df: DataFrame, columns: list[str], quantiles: list[float] =
                    F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}")]
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("filled"), F.col(f"min{i}").alias("min"),
                      F.col(f"max{i}").alias("max"), F.col(f"mean{i}").alias("mean"), F.col(f"sd{i}").alias("stddev"),
-                     *[quantile_of(f"sketch{i}", q).alias(f"p{q * 100:g}") for q in wanted])
+                     *[quantile_of(f"s.sketch{i}", q).alias(f"p{q * 100:g}") for q in wanted])
             for i, c in enumerate(columns)]
     sketches = column_sketches(df, {f"sketch{i}": F.col(c) for i, c in enumerate(columns)}, k)
-    # One row beside one row.
-    return df.agg(*totals).join(sketches, F.lit(True)).select(F.inline(F.array(*rows)))
+    return df.agg(*totals).withColumn("s", sketches.select(F.struct(*sketches.columns)).scalar()).select(
+        F.inline(F.array(*rows)))
 
 
 def volume_anomalies(df: DataFrame, column: str, trailing: int = 7, z: float = 3.0,

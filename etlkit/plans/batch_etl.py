@@ -30,12 +30,16 @@ class EtlRun:
 def run_batch_etl(spark: SparkSession, input_path: str, output_path: str, fmt: str = "parquet",
                   schema: T.StructType = CLINICAL_SCHEMA, mask: list[str] = ("name", "dob"),
                   rules: list[RowRule] | None = None, partition_col: str | None = "visit_date", as_of=None,
-                  rules_before_mask: bool = False, run_log_path: str | None = None) -> EtlRun:
+                  rules_before_mask: bool = False, run_log_path: str | None = None,
+                  batch_id: int | None = None) -> EtlRun:
     """One scan of the input, one write job; the counts are taken while the rows pass.
 
     Masking comes first, so rules see masked columns only; `rules_before_mask` turns that round for rules
     on sensitive columns. The raw text of rows that do not parse may hold anything: it is masked as well,
     and those rows are rejected.
+
+    Rows are appended. With a `batch_id`, such as the load date as a number, the load is a partition of its
+    own, and running it again replaces what an earlier attempt left.
     """
     log = RunLog(spark, run_log_path)
     rules = clinical_rules() if rules is None else list(rules)
@@ -51,7 +55,7 @@ def run_batch_etl(spark: SparkSession, input_path: str, output_path: str, fmt: s
         else:
             tagged = with_outcome(mask_columns(raw, sensitive), rules, as_of)
         counts = Observation("batch_etl")
-        write_outcomes(tagged, output_path, [partition_col] if partition_col else [], counts=counts)
+        write_outcomes(tagged, output_path, [partition_col] if partition_col else [], batch_id, counts)
         seen = counts.get
         log.record("batch_etl", **seen)
     log.save()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from etlkit.operators import (as_of_join, assign_keys, build_dim_date, build_dim_provider, fixed_span, load_fact, number_new_rows,
-                              scd2_merge)
+                              refresh_patients, scd2_merge)
 from etlkit.sources import DIM_DATE_SCHEMA, FACT_CLAIMS_SCHEMA
 
 D = dt.date
@@ -60,6 +60,18 @@ def test_scd2_properties(dim, snapshot, rows):
     assert sorted(r[0] for r in keyed.select("patient_key").collect()) == [1, 2, 3, 4, 5, 6]
 
 
+def test_refresh_patients(dim, snapshot, rows):
+    out = refresh_patients(dim, snapshot, "2024-01-01")
+    assert sorted(r["patient_key"] for r in out.collect()) == [1, 2, 3, 4, 5, 6]
+    assert {r["patient_id"] for r in out.where("patient_key > 4").collect()} == {"a", "d"}
+
+
+def test_scd2_reduces_a_snapshot_with_several_rows_per_key(dim, spark, rows):
+    snap = spark.createDataFrame([("a", f"Z{i}", "p", i) for i in range(200)], SNAP + ", seq int")
+    out = scd2_merge(dim, snap, "patient_id", "2024-01-01", surrogate="patient_key", newest="seq", tie_break=["city"])
+    assert rows(out.where("patient_id = 'a' AND expiration_date IS NULL"), "city") == [("Z199",)]
+
+
 def test_scd2_missing_and_same_day(dim, snapshot, spark, rows):
     closed = scd2_merge(dim, snapshot, "patient_id", "2024-01-01", surrogate="patient_key", close_missing=True)
     assert rows(closed.where("patient_id = 'c' AND expiration_date = date'2024-01-01'"), "patient_key") == [(4,)]

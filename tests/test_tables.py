@@ -165,6 +165,13 @@ def test_batch_etl_rejects_unparsed_text_without_leaking_it(spark, tmp_path):
     assert row["failed_rules"] == ["parses"] and "Secret" not in str(row)
 
 
+def test_a_batch_that_runs_again_replaces_its_rows(spark, clinical, tmp_path):
+    clinical.write.parquet(str(tmp_path / "in"))
+    for day in (20240130, 20240131, 20240131):
+        run = run_batch_etl(spark, str(tmp_path / "in"), str(tmp_path / "out"), as_of="2024-01-31", batch_id=day)
+    assert (run.loaded, spark.read.parquet(run.valid_path).count(), spark.read.parquet(run.rejected_path).count()) == (5, 4, 6)
+
+
 def test_batch_etl_rules_before_mask(spark, clinical, tmp_path):
     clinical.write.parquet(str(tmp_path / "in"))
     run = run_batch_etl(spark, str(tmp_path / "in"), str(tmp_path / "out"), rules=[not_null("name")], rules_before_mask=True)

@@ -75,9 +75,7 @@ def scd2_merge(spark, folder):
   (SELECT max(c_custkey) FROM customer) + count(*) FILTER (effective_date = DATE '2024-01-01') AS last_key FROM ({SCD2_SQL})""")
 def surrogate_keys(spark, folder):
     """New versions of a dimension get the numbers that follow the keys in use, without a gap."""
-    merged = settle(op.scd2_merge(_patients(spark, folder), _patient_snapshot(spark, folder), "patient_id", "2024-01-01",
-                                  surrogate="patient_key", close_missing=True))
-    keyed = op.number_new_rows(merged, "patient_key", ["patient_id"])
+    keyed = op.refresh_patients(_patients(spark, folder), _patient_snapshot(spark, folder), "2024-01-01", close_missing=True)
     per_key = keyed.groupBy("patient_key").agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct_keys"),
                        F.min("patient_key").alias("first_key"), F.max("patient_key").alias("last_key"))

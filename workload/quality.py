@@ -113,6 +113,8 @@ def quality_suite(spark, folder):
     _sql_row("references:o_custkey", "references", "o_custkey", "referential", "o_custkey IS NOT NULL", "c_custkey IS NULL", source="o"),
     _sql_total("complete:o_custkey+p", "complete", "o_custkey,p", "completeness", "(count(o_custkey) + count(p)) / (2.0 * count(*))", "value >= 1"),
     _sql_total("fresh:o_orderdate", "fresh", "o_orderdate", "timeliness", "epoch(TIMESTAMP '2001-08-02') - epoch(max(o_orderdate))", "value <= 86400"),
+    _sql_total("quantile_between:o_totalprice:0.5", "quantile_between", "o_totalprice", "statistical", "quantile_disc(o_totalprice, 0.5)",
+               "value BETWEEN 100000 AND 400000"),
     "SELECT 'has_column:email', 'has_column', 'email', 'schema', false, NULL, NULL, NULL, NULL",
     "SELECT 'not_null:email', 'not_null', 'email', 'completeness', false, NULL, NULL, NULL, NULL",
     "SELECT 'schema_matches', 'schema_matches', 'o_orderkey,o_totalprice', 'schema', true, NULL, NULL, NULL, NULL",
@@ -128,6 +130,7 @@ def further_rules(spark, folder):
         r.expr_rule("urgent_is_dear", "o_orderpriority <> '1-URGENT' OR o_totalprice > 1000"),
         r.references("o_custkey", parents, "c_custkey"), r.complete(["o_custkey", "p"]),
         r.fresh("o_orderdate", as_of="2001-08-02", max_lag_seconds=86_400),
+        r.quantile_between("o_totalprice", 0.5, 100_000, 400_000, k=65_535),
         r.has_column("email"), r.not_null("email"), r.schema_matches(expected)]))
 
 

@@ -38,15 +38,15 @@ def decoded_events(messages: DataFrame, row_schema: T.StructType = CLINICAL_EVEN
 def run_stream_etl(spark: SparkSession, messages: DataFrame, rules: list[RowRule], path: str, checkpoint: str,
                    row_schema: T.StructType = CLINICAL_EVENT_SCHEMA, event_time: str = "event_time",
                    keys: list[str] = ("message_value",), delay: str = "1 hour", as_of=None, every: str | None = None,
-                   run_log_path: str | None = None) -> StreamRun | None:
+                   spread: int = 16, run_log_path: str | None = None) -> StreamRun | None:
     """One streaming query. With `every=None` it works off what is there, as one scheduled run, and reports;
     with an interval such as CADENCE it keeps running and returns the query.
 
-    Repeats are dropped by `keys` (the whole message by default). What fails a rule, or is no sound change
+    Repeats are dropped by `keys` (the whole message by default), see `dedup_events` for `spread`. What fails a rule, or is no sound change
     event, goes to the dead-letter side with the raw message.
     """
     sound = expr_rule("sound_event", F.col("parse_error").isNull())
-    events = dedup_events(decoded_events(messages, row_schema, event_time), list(keys), "seen_at", delay)
+    events = dedup_events(decoded_events(messages, row_schema, event_time), list(keys), "seen_at", delay, spread)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         dated = with_outcome(batch, [sound, *rules], as_of).withColumn("event_day", F.to_date("seen_at"))

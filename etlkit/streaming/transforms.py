@@ -17,13 +17,23 @@ def with_event_time(df: DataFrame, column: str = "event_time") -> DataFrame:
     return df.withColumn(column, parsed)
 
 
-def dedup_events(df: DataFrame, keys: list[str], event_time: str = "event_time", delay: str = "1 hour") -> DataFrame:
+def dedup_events(df: DataFrame, keys: list[str], event_time: str = "event_time", delay: str = "1 hour",
+                 spread: int = 16) -> DataFrame:
     """First arrival per key; repeats within `delay` of event time are dropped and older keys are forgotten,
-    so the state holds no more than the keys of that span."""
+    so the state holds no more than the keys of that span.
+
+    The copies of one event may be many. On a stream nothing combines them before they are shuffled, so they
+    are first reduced in `spread` groups, by the task that read them, and only what is left of each group
+    meets. `spread=1` leaves that step out, which saves a shuffle where copies are few.
+    """
     timed = with_event_time(df, event_time)
     if not df.isStreaming:
         return timed.dropDuplicates(keys)
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    timed = timed.withWatermark(event_time, delay)
+    if spread > 1:
+        grouped = timed.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(spread)))
+        timed = grouped.dropDuplicatesWithinWatermark([*keys, "_group"]).drop("_group")
+    return timed.dropDuplicatesWithinWatermark(keys)
 
 
 def event_rollup(df: DataFrame, dimensions: list[str], every: str, event_time: str = "event_time",

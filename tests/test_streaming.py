@@ -94,6 +94,16 @@ def test_repeats_across_runs_are_dropped(spark, place):
     assert sorted(r["id"] for r in spark.read.parquet(place("out")).collect()) == [1, 2, 3]
 
 
+@pytest.mark.parametrize("spread", [1, 16])
+def test_many_copies_of_one_event(spark, place, spread):
+    schema = "id bigint, event_time timestamp"
+    spark.range(0, 6000, 1, 6).selectExpr("if(id % 3 = 0, 0, id % 40) AS id", "timestamp'2024-01-01' AS event_time").write.parquet(place("in"))
+    for _ in range(2):
+        events = st.dedup_events(stream(spark, place("in"), schema, maxFilesPerTrigger=4), ["id"], spread=spread)
+        st.write_table_stream(events, place("out"), place("check"), every=None).awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(place("out")).collect()) == list(range(40))
+
+
 def test_split_stream_and_repeated_batch(spark, place):
     schema = "id bigint, value double"
     feed(spark, place("in"), [(i, float(i)) if i % 4 else (i, None) for i in range(20)], schema)

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from etlkit.functions.arrays import array_of
+
 # Source type name -> Spark type. DECIMAL keeps its own precision and scale.
 TYPE_MAP = {
     "VARCHAR": "string",
@@ -46,8 +48,7 @@ def convert_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
     A row with a failed cast keeps NULL in that cell. `split_converted` parts such rows from the rest.
     """
-    failed = F.array_compact(F.array(*[
-        F.when(F.col(c).isNotNull() & _converted(c, t).isNull(), F.lit(c)) for c, t in types.items()]))
+    failed = array_of(*[(F.col(c).isNotNull() & _converted(c, t).isNull(), F.lit(c)) for c, t in types.items()])
     return df.select(*[_converted(c, types[c]).alias(c) if c in types else F.col(c) for c in df.columns],
                      failed.alias("failed_casts"))
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from etlkit.functions.arrays import array_of
 from etlkit.functions.audit import moment
 from etlkit.operators.changes import latest_per_key
 from etlkit.session import settle
@@ -112,11 +113,10 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, as_of, surrogate:
 
     none = F.lit(None)
     held = F.col(f"d.{surrogate}") if surrogate else none
-    old = F.when(known & ~(changed & same_day),
-                 row("d", held, F.col("d.effective_date"), F.when(changed | gone, at)))
-    new = F.when(changed & same_day, row("s", held, F.col("d.effective_date"), none)).when(
-        (seen & ~known) | changed, row("s", none, at, none))
-    merged = pairs.select(F.inline(F.array_compact(F.array(old, new))))
+    merged = pairs.select(F.inline(array_of(
+        (known & ~(changed & same_day), row("d", held, F.col("d.effective_date"), F.when(changed | gone, at))),
+        (changed & same_day, row("s", held, F.col("d.effective_date"), none)),
+        ((seen & ~known) | (changed & ~same_day), row("s", none, at, none)))))
     return closed.unionByName(merged)
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from etlkit.functions.arrays import array_of
 from etlkit.functions.audit import add_audit
 from etlkit.operators.rules import RowRule, matches, not_null
 
@@ -30,7 +31,7 @@ def _row_rules(rules: list) -> list[RowRule]:
 
 def failed_rules(df: DataFrame, rules: list[RowRule]) -> Column:
     """array<string>: ids of the rules the row fails, empty if it passes all."""
-    return F.array_compact(F.array(*[F.when(~r.passes(df), F.lit(r.rule_id)) for r in _row_rules(rules)]))
+    return array_of(*[(~r.passes(df), F.lit(r.rule_id)) for r in _row_rules(rules)])
 
 
 def with_outcome(df: DataFrame, rules: list[RowRule], as_of=None) -> DataFrame:

@@ -83,6 +83,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete what a `scratch_path` holds; refuses any other path."""
+    if not path.startswith(f"{shared_folder(spark).rstrip('/')}/"):
+        raise ValueError(f"not a scratch path: {path}")
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def settle(df):
     """Write `df` to the reliable checkpoint folder and read it back, cutting its lineage.
 

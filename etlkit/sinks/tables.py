@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from etlkit.operators.changes import latest_per_key, merge_winners
 from etlkit.operators.rules import Rule
 from etlkit.operators.suite import SuiteFailed, raise_on_failure, run_suite
-from etlkit.session import scratch_path, settle
+from etlkit.session import drop_scratch, scratch_path, settle
 
 VALID, REJECTED = "valid", "rejected"
 
@@ -145,6 +145,7 @@ def upsert_table(spark: SparkSession, path: str, changes: DataFrame, keys: list[
     if partition_col is None:
         merge_winners(target, winners, keys, as_of, stamp).write.parquet(stage)
         spark.read.schema(target.schema).parquet(stage).write.mode("overwrite").parquet(path)
+        drop_scratch(spark, stage)
         return
     places = winners.select(partition_col)
     if partition_col not in keys:
@@ -164,6 +165,7 @@ def upsert_table(spark: SparkSession, path: str, changes: DataFrame, keys: list[
         if value not in filled:
             staged.drop(partition_col).where(F.lit(False)).write.mode("overwrite").parquet(
                 _partition_folder(path, partition_col, value))
+    drop_scratch(spark, stage)
 
 
 # ---- publish only what passes ------------------------------------------------------------------------------
@@ -176,16 +178,17 @@ def publish_if_valid(df: DataFrame, rules: list[Rule], target: str, stage_path:
     The rules run on what was staged. If a rule fails, or the
     count differs from `expected_rows`, the target stays as it was and `SuiteFailed` is raised. Otherwise the
     staged rows replace the target: by copying into the folder `target`, or, with `as_table`, by pointing the
-    catalog table `target` at the staged folder, which moves no data.
+    catalog table `target` at the staged folder, which moves no data. A stage of a failed check is kept.
     """
     spark = df.sparkSession
-    stage_path = stage_path or scratch_path(spark, "publish")
+    own_stage = None if stage_path else scratch_path(spark, "publish")
+    stage_path = stage_path or own_stage
     replace_table(df, stage_path, partition_col)
     staged = spark.read.schema(df.schema).parquet(stage_path)
     rows = staged.count()  # from the file footers
     result = run_suite(staged, rules) if rules else None
     if result is not None:
-        result = result.persist()
+        result = spark.createDataFrame(result.collect(), result.schema)  # one row per rule
         raise_on_failure(result)
     if expected_rows is not None and rows != expected_rows:
         raise SuiteFailed([f"row count {rows} instead of {expected_rows}"])
@@ -196,4 +199,6 @@ def publish_if_valid(df: DataFrame, rules: list[Rule], target: str, stage_path:
         spark.catalog.refreshTable(target)
     else:
         replace_table(staged, target, partition_col, arrange=False)
+        if own_stage:
+            drop_scratch(spark, own_stage)
     return result, rows

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from etlkit.operators import SuiteFailed, clinical_rules, with_outcome
 from etlkit.operators.rules import not_null, row_count, unique
 from etlkit.plans import GateFailed, enforce_gate, post_load_gate, run_batch_etl, run_migration
-from etlkit.session import scratch_path, shared_folder, shuffle_partitions_for
+from etlkit.session import drop_scratch, scratch_path, shared_folder, shuffle_partitions_for
 from etlkit.sinks import (REJECTED, VALID, append_rejected, append_table, create_table, publish_if_valid, read_outcome, replace_table,
                           write_clustered, write_outcomes)
 from etlkit.sources import CLAIMS_SCHEMA, CLINICAL_SCHEMA, extract_table, jdbc_reader, loaded_on, range_predicates, read_table, split_corrupt
@@ -225,6 +225,17 @@ def test_post_load_gate(spark):
         enforce_gate(post_load_gate(good, "2025-01-01"))
 
 
+def test_only_scratch_can_be_dropped(spark, tmp_path):
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    drop_scratch(spark, path)
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
+    for other in (str(tmp_path), shared_folder(spark), f"{shared_folder(spark)}-other/x"):
+        with pytest.raises(ValueError):
+            drop_scratch(spark, other)
+
+
 def test_session_helpers(spark):
     assert shuffle_partitions_for(100 << 40, 8) == 409_600 and shuffle_partitions_for(1, 8) == 8
     folder = shared_folder(spark)

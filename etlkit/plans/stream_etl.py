@@ -29,28 +29,29 @@ class StreamRun:
 
 def decoded_events(messages: DataFrame, row_schema: T.StructType = CLINICAL_EVENT_SCHEMA,
                    event_time: str = "event_time") -> DataFrame:
-    """Change events with the event time as TIMESTAMP. Events that cannot be read or have no time take the
-    message's arrival time as `seen_at`, so they pass the watermark and reach the dead-letter side."""
+    """Change events with the event time as TIMESTAMP, and the day they belong to: that of the event, or of
+    the message's arrival for events that cannot be read or have no time."""
     events = with_event_time(parse_cdc(messages, row_schema), event_time)
-    return events.withColumn("seen_at", F.coalesce(event_time, "message_timestamp"))
+    return events.withColumn("event_day", F.to_date(F.coalesce(event_time, "message_timestamp")))
 
 
 def run_stream_etl(spark: SparkSession, messages: DataFrame, rules: list[RowRule], path: str, checkpoint: str,
                    row_schema: T.StructType = CLINICAL_EVENT_SCHEMA, event_time: str = "event_time",
-                   keys: list[str] = ("message_value",), delay: str = "1 hour", as_of=None, every: str | None = None,
+                   keys: list[str] = ("value",), delay: str = "1 hour", as_of=None, every: str | None = None,
                    spread: int = 16, run_log_path: str | None = None) -> StreamRun | None:
     """One streaming query. With `every=None` it works off what is there, as one scheduled run, and reports;
     with an interval such as CADENCE it keeps running and returns the query.
 
-    Repeats are dropped by `keys` (the whole message by default), see `dedup_events` for `spread`. What fails a rule, or is no sound change
+    Repeats of a message that arrive within `delay` are dropped before it is decoded, by the message columns
+    `keys` (the whole value by default); see `dedup_events` for `spread`. What fails a rule, or is no sound change
     event, goes to the dead-letter side with the raw message.
     """
     sound = expr_rule("sound_event", F.col("parse_error").isNull())
-    events = dedup_events(decoded_events(messages, row_schema, event_time), list(keys), "seen_at", delay, spread)
+    once = dedup_events(messages, list(keys), "timestamp", delay, spread)
+    events = decoded_events(once, row_schema, event_time)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        dated = with_outcome(batch, [sound, *rules], as_of).withColumn("event_day", F.to_date("seen_at"))
-        write_outcomes(dated, path, ["event_day"], batch_id)
+        write_outcomes(with_outcome(batch, [sound, *rules], as_of), path, ["event_day"], batch_id)
 
     query = write_batches(events, write, checkpoint, every=every)
     if every is not None:

@@ -122,13 +122,13 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
 
 
 def test_created_table_fills_defaults(spark, tmp_path):
-    spark.sql("CREATE DATABASE IF NOT EXISTS healthcare_analytics")
+    spark.sql("CREATE DATABASE IF NOT EXISTS analytics")
     for _ in range(2):
-        create_table(spark, "healthcare_analytics.claims", CLAIMS_SCHEMA, str(tmp_path / "claims"), ["claim_date"], {"processed_at": "current_timestamp()"})
-    spark.sql("INSERT INTO healthcare_analytics.claims (claim_id, patient_id, claim_amount, claim_date) VALUES ('c', 'p', 1.5, date'2024-01-01')")
-    row = spark.table("healthcare_analytics.claims").first()
+        create_table(spark, "analytics.claims", CLAIMS_SCHEMA, str(tmp_path / "claims"), ["claim_date"], {"processed_at": "current_timestamp()"})
+    spark.sql("INSERT INTO analytics.claims (claim_id, patient_id, claim_amount, claim_date) VALUES ('c', 'p', 1.5, date'2024-01-01')")
+    row = spark.table("analytics.claims").first()
     assert row["claim_id"] == "c" and row["processed_at"] is not None
-    spark.sql("DROP TABLE healthcare_analytics.claims")
+    spark.sql("DROP TABLE analytics.claims")
 
 
 def test_outcomes_from_one_scan(spark, clinical, tmp_path):

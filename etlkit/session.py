@@ -44,6 +44,8 @@ def get_session(app_name: str = "etlkit", master: str | None = None, input_bytes
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = configure(builder.getOrCreate())
+    for key in {*RUNTIME_CONF, PARTITIONS} & set(conf):
+        spark.conf.set(key, conf[key])
     if input_bytes is not None and PARTITIONS not in conf:
         spark.conf.set(PARTITIONS, shuffle_partitions_for(input_bytes, spark.sparkContext.defaultParallelism))
     return spark

@@ -236,6 +236,30 @@ def test_only_scratch_can_be_dropped(spark, tmp_path):
             drop_scratch(spark, other)
 
 
+def test_empty_batch(spark, clinical, tmp_path):
+    clinical.limit(0).write.parquet(str(tmp_path / "in"))
+    run = run_batch_etl(spark, str(tmp_path / "in"), str(tmp_path / "out"), as_of="2024-01-31")
+    assert (run.loaded, run.valid, run.rejected) == (0, 0, 0)
+
+
+def scans(spark, since):
+    """Physical plans of the SQL executions after `since`, as text."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs = store.executionsList()
+    return [runs.apply(i).physicalPlanDescription() for i in range(since, runs.size())]
+
+
+def test_batch_etl_reads_its_input_once(spark, clinical, tmp_path):
+    source = str(tmp_path / "in")
+    clinical.write.parquet(source)
+    before = spark._jsparkSession.sharedState().statusStore().executionsList().size()
+    run_batch_etl(spark, source, str(tmp_path / "out"), as_of="2024-01-31")
+    plans = scans(spark, before)
+    assert len(plans) == 1
+    assert plans[0].split("== Physical Plan ==")[-1].count("(1) Scan parquet") >= 1
+    assert sum(line.startswith("(") and "Scan parquet" in line for line in plans[0].splitlines()) == 1
+
+
 def test_session_helpers(spark):
     assert shuffle_partitions_for(100 << 40, 8) == 409_600 and shuffle_partitions_for(1, 8) == 8
     folder = shared_folder(spark)

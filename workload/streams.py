@@ -91,6 +91,16 @@ def change_stream_table(spark, folder):
     return st.current_rows(spark.read.parquet(path), ["user_id"], "ts_ms", ["event_id"]).select("user_id", "value")
 
 
+@query(SQL["change_stream_table"])
+def folded_changes(spark, folder):
+    """The same changes folded into a base table, and the current rows read from base and log together."""
+    decoded = st.parse_cdc(change_messages(load(spark, folder, "events")), ROW).where("parse_error IS NULL")
+    changes = decoded.select(F.col("message_key").cast("bigint").alias("event_id"), "op", "ts_ms", "user_id", "value")
+    noon, base = F.col("ts_ms") < F.unix_millis(F.lit("2024-01-15 12:00:00").cast("timestamp")), scratch_path(spark, "base")
+    st.fold_changes(None, changes.where(noon), ["user_id"], "ts_ms", ["event_id"], base)
+    return st.current_rows(changes.where(~noon), ["user_id"], "ts_ms", ["event_id"], base=spark.read.parquet(base)).select("user_id", "value")
+
+
 # ---- events ------------------------------------------------------------------------------------------------
 
 @query("""SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS events,

@@ -177,8 +177,8 @@ def load_fact(claims: DataFrame, dim_patient: DataFrame, dim_date: DataFrame, di
     Measures the claims lack come out NULL. Keys the dimensions lack become -1.
     """
     day = F.to_date(F.col(date_column))
-    # One row per calendar day: bounded, whatever the size of the fact table.
-    dates = F.broadcast(dim_date.select("date_key", F.col("full_date").alias("_day")))
+    # One row per calendar day by construction: bounded by the range of dates, whatever the size of the facts.
+    dates = F.broadcast(dim_date.groupBy(F.col("full_date").alias("_day")).agg(F.min("date_key").alias("date_key")))
     facts = claims.join(dates, day == F.col("_day"), "left").drop("_day")
     if point_in_time:
         facts = as_of_join(facts, dim_patient, "patient_id", date_column, ["patient_key"])

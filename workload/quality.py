@@ -208,15 +208,14 @@ def profile_numeric(spark, folder):
     return profile.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
 
 
-@query("""WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE event_type = 'purchase' OR value > 100 GROUP BY 1),
+@query("""WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1),
 cal AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM d),
 f AS (SELECT cal.day, coalesce(n, 0) AS n FROM cal LEFT JOIN d ON cal.day = d.day),
 s AS (SELECT day, n, avg(n) OVER w AS mean, stddev_samp(n) OVER w AS stddev FROM f WINDOW w AS (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
 SELECT day, n, round(mean, 4) AS mean, round(stddev, 4) AS stddev, round((n - mean) / nullif(stddev, 0), 4) AS z_score,
   coalesce(abs((n - mean) / nullif(stddev, 0)) > 1.5, false) AS is_anomaly FROM s""")
 def volume_anomalies(spark, folder):
-    events = load(spark, folder, "events").where("event_type = 'purchase' OR value > 100")
-    return op.volume_anomalies(events, "ts", trailing=7, z=1.5).withColumns(
+    return op.volume_anomalies(load(spark, folder, "events"), "ts", trailing=7, z=1.5).withColumns(
         {c: F.round(c, 4) for c in ("mean", "stddev", "z_score")})
 
 

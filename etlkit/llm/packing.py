@@ -19,7 +19,7 @@ END_ID = 1
 ISLAND_TOKENS = 2_000_000  # a problem of one group of islands: about 500 sequences
 ISLANDS = 2  # populations that work on one problem and exchange their best
 ROUNDS = 2
-CACHE = 400_000  # chunks of text whose ids a task remembers
+CACHE = 800_000  # chunks of text whose ids a task remembers
 KEPT_FILL = 0.995  # sequences filled less than this are dissolved and packed again across problems
 
 
@@ -27,27 +27,58 @@ KEPT_FILL = 0.995  # sequences filled less than this are dissolved and packed ag
 
 class Encoder:
     """Token ids of whole texts. White space ends every token of the vocabulary and is dropped, so a text is encoded
-    as its chunks between ASCII white space, and the ids of chunks seen before are looked up."""
+    as its chunks between ASCII white space, and the ids of chunks seen before are looked up. New chunks are encoded
+    many at a time, with a mark between them."""
+
+    MARK = "\u2603"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.mark = self._ids(self.MARK)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _learn(self, chunks: list[str]) -> None:
+        plain = [c for c in chunks if self.MARK not in c]
+        for c in set(chunks) - set(plain):
+            self.known[c] = self._ids(c).tobytes()
+        for i in range(0, len(plain), 5_000):
+            part = plain[i:i + 5_000]
+            ids = self._ids(f" {self.MARK} ".join(part))
+            at = np.flatnonzero(ids == self.mark[0])
+            for j in range(1, len(self.mark)):
+                at = at[ids[np.minimum(at + j, len(ids) - 1)] == self.mark[j]]
+            if len(at) != len(part) - 1:  # a chunk gave the ids of the mark
+                self.known.update((c, self._ids(c).tobytes()) for c in part)
+                continue
+            raw, width = ids.tobytes(), len(self.mark)
+            starts, ends = [0, *((at + width) * 4).tolist()], [*(at * 4).tolist(), len(raw)]
+            self.known.update((c, raw[x:y]) for c, x, y in zip(part, starts, ends))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.translate(_AS_SPACE).split(" ") for t in texts]
-        new = list({c for chunks in split for c in chunks} - self.known.keys())
-        if new:
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-                new = list({c for chunks in split for c in chunks})
-            for i in range(0, len(new), 20_000):
-                part = new[i:i + 20_000]
-                self.known.update(zip(part, (np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(part, add_special_tokens=False))))
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, chunks)) + np.uint32(END_ID).tobytes(), np.uint32) for chunks in split]
-
-
-_AS_SPACE = dict.fromkeys(map(ord, "\t\n\r\x0b\x0c"), " ")
+        split = []
+        for t in texts:
+            for space in "\n\t\r\x0b\x0c":
+                t = t.replace(space, " ")
+            split.append(t.split(" "))
+        new = set().union(*split) - self.known.keys()
+        if len(self.known) + len(new) > CACHE:
+            self.known = {"": b""}
+            new = set().union(*split) - {""}
+        self._learn(list(new))
+        get, end = self.known.__getitem__, np.uint32(END_ID).tobytes()
+        return [np.frombuffer(b"".join(map(get, chunks)) + end, np.uint32) for chunks in split]
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: later tasks find what earlier ones have learnt."""
+    import tokenizers
+    kept = vars(tokenizers).setdefault("_etlkit_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
@@ -58,7 +89,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        encode = Encoder(tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
+        encode = encoder(tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)

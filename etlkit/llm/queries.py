@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from etlkit.llm.common import table
+from etlkit.llm.ngram_join import near_groups
 from etlkit.llm.packing import pack
 from etlkit.llm.quality import score_quality
 from etlkit.llm.sharding import shard_by_bytes
+from etlkit.llm.vector_join import link_vectors
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -36,3 +38,13 @@ def op3_quality_classifier(spark, folder):
 @query()
 def op10_best_fit_packing(spark, folder):
     return pack(table(spark, folder, "documents"))
+
+
+@query()
+def op9_ngram_jaccard_join(spark, folder):
+    return near_groups(table(spark, folder, "documents"))
+
+
+@query()
+def op1_embedding_near_dedup(spark, folder):
+    return link_vectors(table(spark, folder, "embeddings"))

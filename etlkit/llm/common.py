@@ -200,3 +200,13 @@ def linked_groups(links: DataFrame, name: str, most: int = 60) -> DataFrame:
         raise RuntimeError("links did not settle")
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+SMALL_KEYS = 500_000  # ids that may be sent to every task
+
+
+def only_with(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """The rows of `df` whose `column` is in `keys` (distinct). Up to SMALL_KEYS counted ids are broadcast, so wide rows
+    stay where they are; more are joined by a shuffle."""
+    few = keys.count() <= SMALL_KEYS
+    return df.join(F.broadcast(keys) if few else keys, column, "left_semi")

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from etlkit.llm.common import added_up, array_rows, columns_of, linked_groups, mixed, runs_of, slices, staged, words_of
+from etlkit.llm.common import added_up, array_rows, columns_of, linked_groups, mixed, only_with, runs_of, slices, staged, words_of
 
 WORDS = 5
 SHARE = (80, 100)  # least intersection / union
@@ -143,8 +143,8 @@ def _tokens(docs: DataFrame, salt: int) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, salt: int, name: str) -> DataFrame:
     """The pairs (a, b) that are similar enough; sets are computed again for the documents that occur in a pair."""
     pairs = staged(pairs, f"{name}-pairs")
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(owners, "node").select("doc_id")
-    sets = staged(_tokens(docs.join(needed, "doc_id", "left_semi"), salt).dropDuplicates(["node"]), f"{name}-sets")
+    needed = staged(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(owners, "node").select("doc_id").distinct(), f"{name}-needed")
+    sets = staged(_tokens(only_with(docs, needed, "doc_id"), salt).dropDuplicates(["node"]), f"{name}-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))

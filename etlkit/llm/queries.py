@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from etlkit.llm.common import table
+from etlkit.llm.line_dedup import drop_repeated_lines
 from etlkit.llm.ngram_join import near_groups
 from etlkit.llm.packing import pack
 from etlkit.llm.quality import score_quality
@@ -48,3 +51,19 @@ def op9_ngram_jaccard_join(spark, folder):
 @query()
 def op1_embedding_near_dedup(spark, folder):
     return link_vectors(table(spark, folder, "embeddings"))
+
+
+@query("""WITH l AS (SELECT doc_id, i - 1 AS pos, string_split(text, chr(10))[i] AS line
+    FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
+  u AS (SELECT line, min(doc_id * 1000000 + pos) AS o, length(line) AS n FROM l WHERE trim(line, ' ') <> '' GROUP BY line),
+  v AS (SELECT o, n, i, left(line, i - 1) || substr(line, i + 1) AS cut FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM u WHERE n >= 16)),
+  same AS (SELECT v.o FROM v JOIN (SELECT n, i, cut, min(o) AS first FROM v GROUP BY ALL) USING (n, i, cut) WHERE first < v.o),
+  less AS (SELECT v.o AS long, u.o AS short FROM v JOIN u ON u.line = v.cut WHERE u.n >= 16),
+  gone AS (SELECT o FROM same UNION SELECT long FROM less WHERE short < long UNION SELECT short FROM less WHERE long < short)
+SELECT doc_id, count(*)::INTEGER AS n_lines, count(*) FILTER (NOT keep)::INTEGER AS n_removed,
+  md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (keep), '')) AS kept_md5
+FROM (SELECT l.doc_id, l.pos, l.line, trim(l.line, ' ') = '' OR (u.o = l.doc_id * 1000000 + l.pos AND gone.o IS NULL) AS keep
+      FROM l LEFT JOIN u ON u.line = l.line LEFT JOIN gone ON gone.o = u.o) GROUP BY doc_id""")
+def op4_line_dedup(spark, folder):
+    kept = drop_repeated_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("kept_md5"))

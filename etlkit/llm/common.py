@@ -99,12 +99,12 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
             at = to
 
 
-def words_of(data: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words between white space: (hash, text index, start, end), A-Z in lower case."""
+def words_of(data: np.ndarray, ends: np.ndarray, lower: bool = True, between: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, by default between white space: (hash, text index, start, end), A-Z in lower case."""
     if lower:
         data = LOWER[data]
     inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~SPACES[data]
+    inside[:-1] = ~between[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     cut = ends[1:-1][ends[1:-1] < len(data)]
@@ -210,3 +210,10 @@ def only_with(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     stay where they are; more are joined by a shuffle."""
     few = keys.count() <= SMALL_KEYS
     return df.join(F.broadcast(keys) if few else keys, column, "left_semi")
+
+
+def without(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """The rows of `df` whose `column` is not in `keys` (distinct); NULLs stay. Joined like `only_with`."""
+    keys = staged(keys, "dropped")
+    few = keys.count() <= SMALL_KEYS
+    return df.join(F.broadcast(keys) if few else keys, column, "left_anti").select(*df.columns)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from etlkit.llm.common import table
+from etlkit.llm.decontaminate import find_leaks
+from etlkit.llm.language import identify_documents, identify_pages, train
 from etlkit.llm.line_dedup import drop_repeated_lines
 from etlkit.llm.ngram_join import near_groups
 from etlkit.llm.packing import pack
@@ -67,3 +69,17 @@ FROM (SELECT l.doc_id, l.pos, l.line, trim(l.line, ' ') = '' OR (u.o = l.doc_id
 def op4_line_dedup(spark, folder):
     kept = drop_repeated_lines(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("kept_md5"))
+
+
+@query()
+def op2_language_id(spark, folder):
+    """Documents (page_id NULL) and pages (doc_id NULL), by one model."""
+    docs = table(spark, folder, "documents")
+    languages, model = train(docs)
+    found = identify_documents(docs, languages, model).withColumn("page_id", F.lit(None).cast("long"))
+    return found.unionByName(identify_pages(table(spark, folder, "pages"), languages, model).withColumn("doc_id", F.lit(None).cast("long")))
+
+
+@query()
+def op5_benchmark_decontamination(spark, folder):
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

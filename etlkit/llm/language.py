@@ -105,34 +105,44 @@ def fuse(scored: DataFrame, languages: list[str]) -> DataFrame:
     if not languages:
         return scored.withColumns({"lang": F.lit(UNKNOWN), "confidence": F.lit(0.0), "kept": F.lit(False)}).drop("ll", "q", "n", "host", "domain", "suffix", "declared")
     k = len(languages)
-    informed = F.when(F.col("n") > 0, 1.0).otherwise(0.0)
-    own = [F.get("q", F.lit(i)) * informed for i in range(k)]
+    own = [F.when(F.col("n") > 0, F.get("q", F.lit(i))).otherwise(0.0) for i in range(k)]
+    whole = np.array([x or 0.0 for x in scored.agg(*[F.sum(x) for x in own]).first()])
+    out = scored
+    for key, name in (("host", "_h"), ("domain", "_d"), ("declared", "_c"), ("suffix", "_s")):
+        sums = scored.where(F.col(key).isNotNull()).groupBy(key).agg(F.array(*[F.sum(x) for x in own]).alias(name))
+        out = out.join(sums, key, "left")
+    carried = [f for f in scored.schema if f.name not in ("ll", "q", "n", "host", "domain", "suffix", "declared")]
+
+    def rows_of(column) -> tuple[np.ndarray, np.ndarray]:
+        """Values per language, zero where NULL, and where there are some."""
+        there = np.asarray(column.is_valid())
+        values = np.zeros((len(column), k))
+        values[there] = np.asarray(column.drop_null().flatten(), float).reshape(-1, k)
+        return values, there[:, None]
 
-    def sums(key: str | None, name: str) -> DataFrame:
-        total = [F.sum(x).alias(f"{name}{i}") for i, x in enumerate(own)]
-        return scored.where(F.col(key).isNotNull()).groupBy(key).agg(*total) if key else scored.agg(*total)
+    def each(batches):
+        for batch in batches:
+            n = np.asarray(batch.column("n"))
+            ll, _ = rows_of(batch.column("ll"))
+            q = rows_of(batch.column("q"))[0] * (n > 0)[:, None]
+            prior = np.broadcast_to((whole + 1) / (whole.sum() + k), ll.shape)
+            for name in ("_d", "_h"):
+                total, there = rows_of(batch.column(name))
+                rest = np.maximum(total - q * there, 0)
+                prior = (rest + HOST_WEIGHT * prior) / (rest.sum(1, keepdims=True) + HOST_WEIGHT)
+            score = ll + np.log(prior)
+            for name in ("_c", "_s"):
+                total, there = rows_of(batch.column(name))
+                score += np.where(there, np.log((total + 0.5) / (whole + 1)), 0)
+            best = score.argmax(1) if len(score) else np.zeros(0, int)
+            sure = 1 / np.exp(score - score.max(1, keepdims=True)).sum(1) if len(score) else np.zeros(0)
+            kept = (n > 0) & (sure >= LEAST_CONFIDENCE)
+            lang = [languages[b] if ok else UNKNOWN for b, ok in zip(best, kept)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in carried], pa.array(lang, pa.string()), pa.array(sure), pa.array(kept)],
+                                             [*[f.name for f in carried], "lang", "confidence", "kept"])
 
-    whole = [x or 0.0 for x in sums(None, "a").first()]
-    out = scored
-    for key, name in (("host", "h"), ("domain", "d"), ("declared", "c"), ("suffix", "s")):
-        out = out.join(sums(key, name), key, "left")
-    level = [F.lit((whole[i] + 1) / (sum(whole) + k)) for i in range(k)]
-    for name in ("d", "h"):
-        rest = [F.greatest(F.coalesce(f"{name}{i}", F.lit(0.0)) - F.when(F.col(f"{name}{i}").isNotNull(), own[i]).otherwise(0.0), F.lit(0.0)) for i in range(k)]
-        n = sum(rest[1:], rest[0])
-        level = [(r + HOST_WEIGHT * p) / (n + HOST_WEIGHT) for r, p in zip(rest, level)]
-    out = out.withColumns({f"_p{i}": F.log(p) for i, p in enumerate(level)})
-    said = lambda name, i: F.when(F.col(f"{name}{i}").isNull(), 0.0).otherwise(F.log((F.col(f"{name}{i}") + 0.5) / F.lit(whole[i] + 1.0)))
-    out = out.withColumns({f"_s{i}": F.get("ll", F.lit(i)) + F.col(f"_p{i}") + said("c", i) + said("s", i) for i in range(k)})
-    scores = [F.col(f"_s{i}") for i in range(k)]
-    top = F.greatest(*scores) if k > 1 else scores[0]
-    out = out.withColumn("_top", top).withColumn("confidence", 1 / sum([F.exp(s - F.col("_top")) for s in scores[1:]], F.exp(scores[0] - F.col("_top"))))
-    best = F.lit(languages[-1])
-    for l, s in reversed(list(zip(languages, scores))):
-        best = F.when(s == F.col("_top"), l).otherwise(best)
-    kept = (F.col("n") > 0) & (F.col("confidence") >= LEAST_CONFIDENCE)
-    out = out.withColumn("kept", kept).withColumn("lang", F.when(kept, best).otherwise(UNKNOWN))
-    return out.drop("ll", "q", "n", "host", "domain", "suffix", "declared", "_top", *[f"{x}{i}" for x in ("h", "d", "c", "s", "_p", "_s") for i in range(k)])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
+    return out.select(*[f.name for f in carried], "n", "ll", "q", "_h", "_d", "_c", "_s").mapInArrow(each, f"{schema}, lang string, confidence double, kept boolean")
 
 
 def identify_pages(pages: DataFrame, languages: list[str], model: np.ndarray) -> DataFrame:

@@ -12,6 +12,7 @@ from etlkit.llm.ngram_join import near_groups
 from etlkit.llm.packing import pack
 from etlkit.llm.quality import score_quality
 from etlkit.llm.sharding import shard_by_bytes
+from etlkit.llm.suffix_dedup import remove_repeated_strings
 from etlkit.llm.vector_join import link_vectors
 
 QUERIES: dict = {}
@@ -83,3 +84,8 @@ def op2_language_id(spark, folder):
 @query()
 def op5_benchmark_decontamination(spark, folder):
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op8_suffix_array_dedup(spark, folder):
+    return remove_repeated_strings(table(spark, folder, "documents")).drop("text")

@@ -75,6 +75,16 @@ class Chunks:
                     yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([chunk], pa.int64()), pa.array([value], pa.binary())], ["part", "chunk", "data"])
         return self._with(answers).mapInArrow(each, "part int, chunk long, data binary")
 
+    def route(self, questions, answers: DataFrame, number: bool = True) -> DataFrame:
+        """(chunk, data): what `questions(ids, ends, data, answers)` returns by the chunk it is for. Chunks without
+        answers are not asked; with `number` the first of the answers is the chunk's own number."""
+        def each(batches):
+            for chunk, texts, got in _rows(batches):
+                if got:
+                    for to, value in questions(*texts, [chunk.to_bytes(8, "little")] * number + got).items():
+                        yield pa.RecordBatch.from_arrays([pa.array([to], pa.int64()), pa.array([value], pa.binary())], ["chunk", "data"])
+        return self._with(answers).mapInArrow(each, "chunk long, data binary")
+
     def finish(self, result, schema: str, answers: DataFrame | None) -> DataFrame:
         """Rows that `result(ids, ends, data, answers)` gives as a record batch per chunk."""
         def each(batches):
@@ -96,10 +106,12 @@ def _rows(batches):
             yield batch.column(0)[i].as_py(), (ids, ends, np.frombuffer(raw, np.uint8)), [x.as_py() for x in batch.column(2)[i].values] if batch.column(2)[i].is_valid else []
 
 
-def answered(questions: DataFrame, answer) -> DataFrame:
-    """(chunk, data): per part, `answer([data of each chunk])` returns one value, or None, for each of them."""
+def answered(questions: DataFrame, answer, numbered: bool = False) -> DataFrame:
+    """(chunk, data): per part, `answer([data of each chunk])` returns one value, or None, for each of them. With
+    `numbered` it also gets the chunks' numbers."""
     def each(rows: pd.DataFrame) -> pd.DataFrame:
-        out = [(c, d) for c, d in zip(rows["chunk"], answer(list(rows["data"]))) if d is not None]
+        found = answer(list(rows["data"]), rows["chunk"].to_numpy()) if numbered else answer(list(rows["data"]))
+        out = [(c, d) for c, d in zip(rows["chunk"], found) if d is not None]
         return pd.DataFrame(out, columns=["chunk", "data"])
     return questions.groupBy("part").applyInPandas(each, "chunk long, data binary")
 

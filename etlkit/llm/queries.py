@@ -10,6 +10,7 @@ from etlkit.llm.language import identify_documents, identify_pages, train
 from etlkit.llm.line_dedup import drop_repeated_lines
 from etlkit.llm.ngram_join import near_groups
 from etlkit.llm.packing import pack
+from etlkit.llm.passages import remove_repeated_passages
 from etlkit.llm.quality import score_quality
 from etlkit.llm.sharding import shard_by_bytes
 from etlkit.llm.suffix_dedup import remove_repeated_strings
@@ -89,3 +90,8 @@ def op5_benchmark_decontamination(spark, folder):
 @query()
 def op8_suffix_array_dedup(spark, folder):
     return remove_repeated_strings(table(spark, folder, "documents")).drop("text")
+
+
+@query()
+def op7_substring_dedup(spark, folder):
+    return remove_repeated_passages(table(spark, folder, "documents")).drop("text")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from etlkit.functions.arrays import array_of
 from etlkit.functions.audit import moment
 from etlkit.operators.changes import latest_per_key
-from etlkit.session import settle
+from etlkit.session import staged
 
 UNKNOWN_KEY = -1
 
@@ -121,7 +121,7 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, as_of, surrogate:
 
 
 def number_new_rows(dim: DataFrame, surrogate: str, by: list[str]) -> DataFrame:
-    """Give rows with a NULL `surrogate` the next free keys. `dim` is read more than once: settle it first
+    """Give rows with a NULL `surrogate` the next free keys. `dim` is read more than once: staged it first
     if it is costly to compute."""
     held = dim.where(F.col(surrogate).isNotNull())
     fresh = dim.where(F.col(surrogate).isNull())
@@ -131,7 +131,7 @@ def number_new_rows(dim: DataFrame, surrogate: str, by: list[str]) -> DataFrame:
 def refresh_patients(dim: DataFrame, snapshot: DataFrame, as_of, **options) -> DataFrame:
     """The patient dimension after a snapshot, new versions numbered. The merge is written once to the
     checkpoint folder, since numbering reads it several times."""
-    merged = settle(scd2_merge(dim, snapshot, "patient_id", as_of, surrogate="patient_key", **options))
+    merged = staged(scd2_merge(dim, snapshot, "patient_id", as_of, surrogate="patient_key", **options))
     return number_new_rows(merged, "patient_key", ["patient_id"])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from etlkit.functions.audit import moment
-from etlkit.operators.quantiles import DEFAULT_K, column_sketches, quantile_of
+from etlkit.operators.quantiles import exact_quantiles
 
 
 def null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -38,18 +38,17 @@ def freshness(df: DataFrame, column: str, as_of, max_lag_seconds: int) -> DataFr
         "is_fresh", F.coalesce(F.col("lag_seconds") <= max_lag_seconds, F.lit(False)))
 
 
-def lag_percentiles(df: DataFrame, column: str, as_of, quantiles: list[float] = (0.5, 0.95),
-                    k: int = DEFAULT_K) -> DataFrame:
+def lag_percentiles(df: DataFrame, column: str, as_of, quantiles: list[float] = (0.5, 0.95)) -> DataFrame:
     """One row: how far the rows lie behind `as_of`, in seconds, as `lag_p50`, `lag_p95`, ..."""
     lag = moment(as_of).cast("double") - F.col(column).cast("timestamp").cast("double")
-    return column_sketches(df, {"lag": lag}, k).select(*[quantile_of("lag", q).alias(f"lag_p{q * 100:g}") for q in quantiles])
+    return exact_quantiles(df, {"lag": lag}, list(quantiles)).select(
+        *[F.get("values", F.lit(i)).alias(f"lag_p{q * 100:g}") for i, q in enumerate(quantiles)])
 
 
-def profile_numeric(df: DataFrame, columns: list[str], quantiles: list[float] = (0.25, 0.5, 0.75),
-                    k: int = DEFAULT_K) -> DataFrame:
-    """One row per column: filled rows, min, max, mean, stddev and approximate quantiles named `p25`, `p50`, ...
+def profile_numeric(df: DataFrame, columns: list[str], quantiles: list[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """One row per column: filled rows, min, max, mean, stddev and exact quantiles named `p25`, `p50`, ...
 
-    Two jobs, one for the moments and one for the sketches, each over the listed columns only.
+    Two scans of the listed columns, one for the moments and one that counts values.
     """
     wanted = [float(q) for q in quantiles]
     totals = []
@@ -59,11 +58,11 @@ def profile_numeric(df: DataFrame, columns: list[str], quantiles: list[float] =
                    F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}")]
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("filled"), F.col(f"min{i}").alias("min"),
                      F.col(f"max{i}").alias("max"), F.col(f"mean{i}").alias("mean"), F.col(f"sd{i}").alias("stddev"),
-                     *[quantile_of(f"s.sketch{i}", q).alias(f"p{q * 100:g}") for q in wanted])
-            for i, c in enumerate(columns)]
-    sketches = column_sketches(df, {f"sketch{i}": F.col(c) for i, c in enumerate(columns)}, k)
-    return df.agg(*totals).withColumn("s", sketches.select(F.struct(*sketches.columns)).scalar()).select(
-        F.inline(F.array(*rows)))
+) for i, c in enumerate(columns)]
+    found = exact_quantiles(df, {c: F.col(c) for c in columns}, wanted).select(
+        F.col("name").alias("column_name"), *[F.get("values", F.lit(i)).alias(f"p{q * 100:g}") for i, q in enumerate(wanted)])
+    # One row per column on either side.
+    return df.agg(*totals).select(F.inline(F.array(*rows))).join(F.broadcast(found), "column_name")
 
 
 def volume_anomalies(df: DataFrame, column: str, trailing: int = 7, z: float = 3.0,

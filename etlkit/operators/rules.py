@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from etlkit.functions.audit import moment
 from etlkit.operators.ordering import order_violations
-from etlkit.operators.quantiles import DEFAULT_K, column_sketches, quantile_of
+from etlkit.operators.quantiles import exact_quantiles
 
 TYPE_FAMILIES = {
     "numeric": T.NumericType,
@@ -207,11 +207,10 @@ def mean_between(column: str, low: float, high: float, category: str = "statisti
                      value=lambda df: F.avg(column).cast("double"), low=low, high=high)
 
 
-def quantile_between(column: str, q: float, low: float, high: float, k: int = DEFAULT_K,
+def quantile_between(column: str, q: float, low: float, high: float,
                      category: str = "statistical") -> MeasureRule:
     def job(df: DataFrame) -> DataFrame:
-        sketch = column_sketches(df, {"s": F.col(column)}, k)
-        return sketch.select(quantile_of("s", q).alias("observed"), F.kll_sketch_get_n_double("s").alias("element_count"))
+        return exact_quantiles(df, {"s": F.col(column)}, [q]).select(F.get("values", F.lit(0)).alias("observed"), F.col("n").alias("element_count"))
 
     return MeasureRule(f"quantile_between:{column}:{q}", "quantile_between", category, (column,), job=job, low=low, high=high)
 

@@ -77,7 +77,7 @@ def run_suite(df: DataFrame, rules: list[Rule]) -> DataFrame:
     described = measures.withColumn("r", F.from_json(F.lit(json.dumps(verdicts)), META)[F.col("i")])
     return described.selectExpr(
         "r.rule_id", "r.rule_type", "r.column", "r.category",
-        f"""CASE r.verdict WHEN '{FIXED}' THEN r.fixed WHEN '{RATIO}' THEN double(n - bad) >= n * r.mostly
+        f"""CASE r.verdict WHEN '{FIXED}' THEN r.fixed WHEN '{RATIO}' THEN n = 0 OR double(n - bad) / n >= r.mostly
             ELSE value IS NOT NULL AND value >= coalesce(r.low, value) AND value <= coalesce(r.high, value) END AS success""",
         f"CASE r.verdict WHEN '{RATIO}' THEN try_divide(double(n - bad), n) ELSE value END AS observed",
         "n AS element_count", "bad AS unexpected_count", "try_divide(100 * double(bad), n) AS unexpected_pct")

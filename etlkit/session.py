@@ -28,12 +28,13 @@ PARTITIONS = "spark.sql.shuffle.partitions"
 SPARK_DEFAULT_PARTITIONS = "200"
 
 
-def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 256 << 20) -> int:
-    """Initial shuffle partitions: enough that one holds about `target_bytes`, and at least one per core.
+def shuffle_partitions_for(shuffled_bytes: int, cores: int, target_bytes: int = 1 << 30, most: int = 50_000) -> int:
+    """Initial shuffle partitions: about `target_bytes` each, at least one per core.
 
-    Adaptive execution merges the ones that turn out small, so a high start is safe.
+    Adaptive execution merges the ones that turn out small, but the driver keeps books of map tasks times partitions
+    whatever it merges, hence `most`; beyond it partitions grow, and sorts and aggregations spill.
     """
-    return max(cores, -(-input_bytes // target_bytes))
+    return max(cores, min(most, -(-shuffled_bytes // target_bytes)))
 
 
 def get_session(app_name: str = "etlkit", master: str | None = None, input_bytes: int | None = None,
@@ -59,7 +60,7 @@ def configure(spark: SparkSession) -> SparkSession:
     """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
-    if is_local(spark) and spark.conf.get(PARTITIONS) == SPARK_DEFAULT_PARTITIONS:
+    if is_local(spark) and spark.conf.get(PARTITIONS) == SPARK_DEFAULT_PARTITIONS and not spark.sparkContext.getConf().contains(PARTITIONS):
         spark.conf.set(PARTITIONS, spark.sparkContext.defaultParallelism)
     return spark
 
@@ -94,12 +95,12 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def settle(df):
-    """Write `df` to the reliable checkpoint folder and read it back, cutting its lineage.
+def staged(df, name: str = "staged"):
+    """Write `df` as Parquet to the shared scratch folder and read it back, cutting its lineage.
 
     For results that several later steps read. The files survive the loss of executors.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

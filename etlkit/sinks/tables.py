@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from etlkit.operators.changes import latest_per_key, merge_winners
 from etlkit.operators.rules import Rule
 from etlkit.operators.suite import SuiteFailed, raise_on_failure, run_suite
-from etlkit.session import drop_scratch, scratch_path, settle
+from etlkit.session import drop_scratch, scratch_path, staged
 
 VALID, REJECTED = "valid", "rejected"
 
@@ -140,7 +140,7 @@ def upsert_table(spark: SparkSession, path: str, changes: DataFrame, keys: list[
     partition is replaced; running the merge again after a failure gives the same table.
     """
     target = spark.read.parquet(path)
-    winners = settle(latest_per_key(changes, keys, newest, tie_break))
+    winners = staged(latest_per_key(changes, keys, newest, tie_break))
     stage = scratch_path(spark, "upsert")
     if partition_col is None:
         merge_winners(target, winners, keys, as_of, stamp).write.parquet(stage)

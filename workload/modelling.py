@@ -8,7 +8,7 @@ from etlkit import operators as op
 from etlkit import plans
 from etlkit.operators.rules import between, in_set, matches, not_null, row_count, unique
 from etlkit.operators.suite import SuiteFailed
-from etlkit.session import scratch_path, settle
+from etlkit.session import scratch_path, staged
 from etlkit.sinks import REJECTED, VALID, publish_if_valid, read_outcome, replace_table
 from workload.inputs import claims, load
 
@@ -130,7 +130,7 @@ def load_fact(spark, folder):
 @query(f"""WITH f AS ({FACT_SQL}) SELECT count(*) AS n, count(*) AS distinct_keys, CAST(1 AS BIGINT) AS first_key, count(*) AS last_key FROM f""")
 def numbered_facts(spark, folder):
     """The fact table with its own surrogate key."""
-    facts = op.assign_keys(settle(_facts(spark, folder)), "claim_key", ["claim_id"])
+    facts = op.assign_keys(staged(_facts(spark, folder)), "claim_key", ["claim_id"])
     per_key = facts.groupBy("claim_key").agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct_keys"),
                        F.min("claim_key").alias("first_key"), F.max("claim_key").alias("last_key"))
@@ -212,7 +212,7 @@ def publish_if_valid_twice(spark, folder):
     rules = [between("c_acctbal", 0, None), matches("c_name", "^Customer#"), in_set("c_mktsegment", ["HOUSEHOLD", "FURNITURE", "MACHINERY", "BUILDING", "AUTOMOBILE"])]
     publish_if_valid(customers.where("c_acctbal > 0"), rules, target)
     first = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n")).select(F.lit("published").alias("step"), "n")
-    first = settle(first)
+    first = staged(first)
     try:
         publish_if_valid(customers, rules, target)
         raise AssertionError("a failing table was published")

@@ -130,7 +130,7 @@ def further_rules(spark, folder):
         r.expr_rule("urgent_is_dear", "o_orderpriority <> '1-URGENT' OR o_totalprice > 1000"),
         r.references("o_custkey", parents, "c_custkey"), r.complete(["o_custkey", "p"]),
         r.fresh("o_orderdate", as_of="2001-08-02", max_lag_seconds=86_400),
-        r.quantile_between("o_totalprice", 0.5, 100_000, 400_000, k=65_535),
+        r.quantile_between("o_totalprice", 0.5, 100_000, 400_000),
         r.has_column("email"), r.not_null("email"), r.schema_matches(expected)]))
 
 
@@ -193,7 +193,7 @@ def freshness(spark, folder):
 @query("""SELECT CAST(quantile_disc(lag, 0.5) AS DOUBLE) AS lag_p50, CAST(quantile_disc(lag, 0.95) AS DOUBLE) AS lag_p95
 FROM (SELECT epoch(TIMESTAMP '2001-12-31') - epoch(o_orderdate) AS lag FROM orders)""")
 def lag_percentiles(spark, folder):
-    return op.lag_percentiles(load(spark, folder, "orders"), "o_orderdate", "2001-12-31", k=65_535)
+    return op.lag_percentiles(load(spark, folder, "orders"), "o_orderdate", "2001-12-31")
 
 
 NUMERIC_SQL = """SELECT '{c}' AS column_name, count({c}) AS filled, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
@@ -204,7 +204,7 @@ NUMERIC_SQL = """SELECT '{c}' AS column_name, count({c}) AS filled, CAST(min({c}
 @query("\nUNION ALL\n".join(NUMERIC_SQL.format(c=c) for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def profile_numeric(spark, folder):
     lines = load(spark, folder, "lineitem").select("l_quantity", "l_extendedprice", "l_discount")
-    profile = op.profile_numeric(lines, lines.columns, k=65_535)
+    profile = op.profile_numeric(lines, lines.columns)
     return profile.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
 
 

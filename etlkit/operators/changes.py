@@ -36,14 +36,22 @@ def merge_winners(target: DataFrame, winners: DataFrame, keys: list[str], as_of=
                   stamp: str | None = "processed_at") -> DataFrame:
     """The merge itself, for changes that are one row per key already.
 
-    The target is not shuffled if the keys of the changes are few enough to be sent to all executors.
+    The target is not shuffled if the keys of the changes are few enough to be sent to all executors. NULL keys
+    match NULL keys, so merging the same changes again changes nothing.
     """
     lacking = [c for c in target.columns if c not in winners.columns and c != stamp]
     if lacking:
         raise ValueError(f"changes lack target columns: {', '.join(lacking)}")
     incoming = add_audit(winners, as_of, stamp) if stamp in target.columns else winners
     incoming = incoming.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in target.columns])
-    return target.join(winners.select(*keys), keys, "left_anti").select(*target.columns).unionByName(incoming)
+    return without_keys(target, winners, keys).unionByName(incoming)
+
+
+def without_keys(target: DataFrame, winners: DataFrame, keys: list[str]) -> DataFrame:
+    """The target's rows whose key is none of the winners', NULL counting as equal to NULL."""
+    named = winners.select(*[F.col(k).alias(f"_w{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_w{i}")) for i, k in enumerate(keys)]
+    return target.join(named, same, "left_anti").select(*target.columns)
 
 
 def merge_versions(*parts: DataFrame, keys: list[str], newest: str | list[str], tie_break: list[str]) -> DataFrame:
@@ -62,5 +70,5 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], newest
                   tie_break: list[str], op: str = "op") -> DataFrame:
     """The target after inserts, updates and deletes: per key the last change decides, `op` 'd' removes it."""
     winners = latest_per_key(changes, keys, newest, tie_break)
-    kept = target.join(winners.select(*keys), keys, "left_anti").select(*target.columns)
+    kept = without_keys(target, winners, keys)
     return kept.unionByName(drop_deleted(winners, op).select(*target.columns))

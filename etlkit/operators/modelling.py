@@ -14,18 +14,23 @@ from etlkit.operators.changes import latest_per_key
 from etlkit.session import staged
 
 UNKNOWN_KEY = -1
+BUCKET_ROWS = 1_000_000
+MOST_BUCKETS = 200_000  # bucket starts are sent to all tasks: some megabytes
 
 
 # ---- surrogate keys ----------------------------------------------------------------------------------------
 
 def assign_keys(df: DataFrame, key: str, by: list[str], existing: DataFrame | None = None,
-                buckets: int = 1024) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """Add `key`: dense numbers that follow the largest `key` in `existing` (1, 2, ... without it).
 
     `by` names the business key, one row each. Rows are numbered inside hash buckets of it, and each bucket
     starts where the one before ends, so no task sees more than one bucket and the same input gets the same
-    numbers on every run. `df` is read twice, once for the bucket sizes.
+    numbers on every run. Without `buckets` there are as many as give about BUCKET_ROWS each. `df` is read twice, and
+    a third time to count it if `buckets` is not given.
     """
+    if buckets is None:
+        buckets = max(8, min(MOST_BUCKETS, -(-df.count() // BUCKET_ROWS)))
     bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     # At most `buckets` rows from here on: safe for a single window and for a broadcast.
@@ -84,12 +89,17 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, as_of, surrogate:
 
     A changed key gets its open row closed at `as_of` and a new one opened from `as_of`; validity is
     half-open. Closed rows pass through. New rows have a NULL `surrogate`; number them with `number_new_rows`.
-    The snapshot has one row per key; name `newest` and `tie_break` columns to reduce one that has several.
+    A snapshot with several rows per key is reduced by `newest` and `tie_break`, or else to the row with the
+    greatest values, the same on every run. Rows without a key are left out; `rows_without_key` gives them.
     A snapshot of the day a row was opened overwrites that row's values
     rather than leaving a row that is valid for no time.
     """
+    snapshot = snapshot.where(F.col(key).isNotNull())
     if newest:
         snapshot = latest_per_key(snapshot, [key], newest, list(tie_break))
+    else:
+        others = [c for c in snapshot.columns if c != key]
+        snapshot = snapshot.groupBy(key).agg(F.max(F.struct(*others)).alias("_s")).select(key, "_s.*") if others else snapshot.distinct()
     at = moment(as_of).cast("date")
     attributes = [c for c in dim.columns if c not in (surrogate, key, "effective_date", "expiration_date")]
     tracked = tracked or attributes
@@ -120,6 +130,11 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, as_of, surrogate:
     return closed.unionByName(merged)
 
 
+def rows_without_key(snapshot: DataFrame, key: str) -> DataFrame:
+    """What `scd2_merge` leaves out."""
+    return snapshot.where(F.col(key).isNull())
+
+
 def number_new_rows(dim: DataFrame, surrogate: str, by: list[str]) -> DataFrame:
     """Give rows with a NULL `surrogate` the next free keys. `dim` is read more than once: staged it first
     if it is costly to compute."""

@@ -70,14 +70,16 @@ def reconcile(source: DataFrame, target: DataFrame, keys: list[str], columns: li
 
 
 def reconcile_literal(source: DataFrame, target: DataFrame, key: str, column: str) -> DataFrame:
-    """The report as first published, for tables whose key is unique: rows only the target has show no key,
-    and a NULL against a value is not a mismatch."""
-    paired = pair_up(source, target, [key], [column])
-    a, b = F.col(f"source_{column}"), F.col(f"target_{column}")
-    alone = (F.col("source_rows") == 0) | (F.col("target_rows") == 0)
-    return paired.where((a != b) | alone).select(
-        F.when(F.col("source_rows") > 0, F.col(key)).alias(key),
-        a.alias(f"source_{column}"), b.alias(f"target_{column}"), F.abs(a - b).alias("difference"))
+    """The report as first published, a full outer join: rows only the target has show no key, NULL keys match
+    nothing, a key that repeats is compared row by row, and a NULL against a value is not a mismatch.
+
+    `reconcile` collapses keys instead, which bounds its result where keys repeat often.
+    """
+    s = source.select(F.col(key).alias("_s"), F.col(column).alias("_a"))
+    t = target.select(F.col(key).alias("_t"), F.col(column).alias("_b"))
+    a, b = F.col("_a"), F.col("_b")
+    return s.join(t, F.col("_s") == F.col("_t"), "full_outer").where((a != b) | F.col("_s").isNull() | F.col("_t").isNull()).select(
+        F.col("_s").alias(key), a.alias(f"source_{column}"), b.alias(f"target_{column}"), F.abs(a - b).alias("difference"))
 
 
 def accuracy_rate(df: DataFrame, trusted: DataFrame, keys: list[str], columns: list[str],

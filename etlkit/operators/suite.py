@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -116,3 +117,58 @@ def claims_suite() -> list[Rule]:
         has_type("claim_amount", "float"),
         increasing("processed_at", order_by="claim_id"),
     ]
+
+
+def load_suite(text: str, order_by: str = "claim_id") -> list[Rule]:
+    """The rules of a suite file: JSON with `expectations`, each an `expectation_type`, its `kwargs`, and optionally
+    `meta.category`. `mostly` is read from the arguments. `order_by` is the order in which values are to increase
+    where an entry names none. An unknown type, or an argument not understood, is an error."""
+    out = []
+    for n, entry in enumerate(json.loads(text)["expectations"]):
+        kind, args = entry["expectation_type"], dict(entry.get("kwargs", {}))
+        if kind not in _READ:
+            raise ValueError(f"entry {n}: unknown expectation_type {kind!r}")
+        changes = {}
+        if "mostly" in args:
+            changes["mostly"] = float(args.pop("mostly"))
+        if category := (entry.get("meta") or {}).get("category"):
+            changes["category"] = category
+        rule = _READ[kind](args, order_by)
+        if args:
+            raise ValueError(f"entry {n}: arguments of {kind} not understood: {', '.join(sorted(args))}")
+        out.append(replace(rule, **changes))
+    return out
+
+
+def _bounds(a: dict) -> tuple:
+    return a.pop("min_value", None), a.pop("max_value", None)
+
+
+def _pair(a: dict, _) -> Rule:
+    """Equal, or, with `or_equal`, not above; rows with a missing value are ignored, which is the only choice."""
+    if a.pop("ignore_row_if", "either_value_is_missing") != "either_value_is_missing":
+        raise ValueError("pairs are compared where both values are there")
+    return pair_compare(a.pop("column_A"), "<=" if a.pop("or_equal", False) else "=", a.pop("column_B"))
+
+
+def _rising(a: dict, order_by: str) -> Rule:
+    a.pop("parse_strings_as_datetimes", None)  # columns have types here
+    return increasing(a.pop("column"), order_by=a.pop("order_by", order_by), strictly=a.pop("strictly", False))
+
+
+# The names of expectation types and their arguments in suite files.
+_READ = {
+    "expect_table_row_count_to_be_between": lambda a, _: row_count(*_bounds(a)),
+    "expect_column_to_exist": lambda a, _: has_column(a.pop("column")),
+    "expect_column_values_to_not_be_null": lambda a, _: not_null(a.pop("column")),
+    "expect_column_values_to_be_unique": lambda a, _: unique(a.pop("column")),
+    "expect_column_values_to_match_regex": lambda a, _: matches(a.pop("column"), a.pop("regex")),
+    "expect_column_values_to_be_between": lambda a, _: between(a.pop("column"), *_bounds(a)),
+    "expect_column_mean_to_be_between": lambda a, _: mean_between(a.pop("column"), *_bounds(a)),
+    "expect_column_values_to_be_in_set": lambda a, _: in_set(a.pop("column"), a.pop("value_set")),
+    "expect_column_pair_values_to_be_equal": _pair,
+    "expect_multicolumn_sum_to_equal": lambda a, _: sum_equals(a.pop("column_list"), total=a.pop("sum_total"), precision=a.pop("precision", 0)),
+    "expect_table_columns_to_match_set": lambda a, _: columns_match(a.pop("column_set"), exact=a.pop("exact_match", True)),
+    "expect_column_values_to_be_of_type": lambda a, _: has_type(a.pop("column"), a.pop("type_")),
+    "expect_column_values_to_be_increasing": _rising,
+}

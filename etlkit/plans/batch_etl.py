@@ -31,7 +31,7 @@ def run_batch_etl(spark: SparkSession, input_path: str, output_path: str, fmt: s
                   schema: T.StructType = CLINICAL_SCHEMA, mask: list[str] = ("name", "dob"),
                   rules: list[RowRule] | None = None, partition_col: str | None = "visit_date", as_of=None,
                   rules_before_mask: bool = False, run_log_path: str | None = None,
-                  batch_id: int | None = None) -> EtlRun:
+                  batch_id: int | None = None, options: dict[str, str] | None = None) -> EtlRun:
     """One scan of the input, one write job; the counts are taken while the rows pass.
 
     Masking comes first, so rules see masked columns only; `rules_before_mask` turns that round for rules
@@ -39,12 +39,13 @@ def run_batch_etl(spark: SparkSession, input_path: str, output_path: str, fmt: s
     and those rows are rejected.
 
     Rows are appended. With a `batch_id`, such as the load date as a number, the load is a partition of its
-    own, and running it again replaces what an earlier attempt left.
+    own, and running it again replaces what an earlier attempt left, on every side. `options` go to the reader, such
+    as {"header": "true"} for text with a header line.
     """
     log = RunLog(spark, run_log_path)
     rules = clinical_rules() if rules is None else list(rules)
     with log.timed("batch_etl"):
-        raw = read_table(spark, input_path, fmt, schema)
+        raw = read_table(spark, input_path, fmt, schema, **(options or {}))
         sensitive = list(mask)
         if CORRUPT in raw.columns:
             sensitive.append(CORRUPT)

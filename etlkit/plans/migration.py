@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from etlkit.operators.reconciling import require_columns
 from etlkit.operators.rules import Rule
 from etlkit.plans.runlog import RunLog
-from etlkit.session import scratch_path
+from etlkit.session import drop_scratch, scratch_path
 from etlkit.sinks.tables import publish_if_valid
 from etlkit.sources.tables import extract_table
 
@@ -29,16 +29,19 @@ class MigrationRun:
 def run_migration(spark: SparkSession, reader: str | Callable[[SparkSession], DataFrame], target: str,
                   transform: Callable[[DataFrame], DataFrame] = lambda df: df,
                   required: list[str] = REQUIRED_COLUMNS, rules: list[Rule] = (),
-                  keeps_rows: bool = False, partition_col: str | None = None,
+                  keeps_rows: bool = True, partition_col: str | None = None,
                   run_log_path: str | None = None) -> MigrationRun:
-    """The source is read once, into staging. The published count is compared with the staged one; both are
-    reported. A transform that must neither drop nor add rows is held to it by `keeps_rows`."""
+    """The source is read once, into staging, and after the transform written once more, beside the target, which it
+    becomes by a rename. The published count must equal the staged one, or `SuiteFailed` is raised and the target stays;
+    a transform that is meant to drop or add rows says so by `keeps_rows=False`. The staged extract is deleted at the end."""
     log = RunLog(spark, run_log_path)
     with log.timed("migration"):
-        extract, extracted = extract_table(spark, reader, stage_path=scratch_path(spark, "extract"))
+        stage = scratch_path(spark, "extract")
+        extract, extracted = extract_table(spark, reader, stage_path=stage)
         require_columns(extract, required)
         _, published = publish_if_valid(transform(extract), list(rules), target, partition_col=partition_col,
                                         expected_rows=extracted if keeps_rows else None)
         log.record("migration", extracted=extracted, published=published)
+        drop_scratch(spark, stage)
     log.save()
     return MigrationRun(log.run_id, extracted, published, extracted == published)

@@ -1,3 +1,4 @@
-from etlkit.sinks.tables import (REJECTED, VALID, append_rejected, append_table, create_table, outcome_path,
+from etlkit.sinks.files import recover, stream_id
+from etlkit.sinks.tables import (LATE, REJECTED, VALID, append_rejected, append_table, create_table, outcome_path,
                                  publish_if_valid, read_outcome, replace_table, upsert_table, write_clustered,
                                  write_outcomes)

@@ -11,9 +11,12 @@ from pyspark.sql import types as T
 from etlkit.operators.changes import latest_per_key, merge_winners
 from etlkit.operators.rules import Rule
 from etlkit.operators.suite import SuiteFailed, raise_on_failure, run_suite
-from etlkit.session import drop_scratch, scratch_path, staged
+from etlkit.session import staged
+from etlkit.sinks.files import Folders, next_folder, recover, replace_folder, swap_in, swap_in_partitions
 
-VALID, REJECTED = "valid", "rejected"
+VALID, REJECTED, LATE = "valid", "rejected", "late"
+OUTCOMES = (VALID, REJECTED, LATE)
+BATCH_LOADS = "batch"  # name of the loads that no stream writes
 
 
 def arranged(df: DataFrame, partition_cols: list[str], cluster_cols: list[str] = ()) -> DataFrame:
@@ -58,10 +61,14 @@ def replace_table(df: DataFrame, path: str, partition_col: str | None = None, wh
                   arrange: bool = True) -> None:
     """Full refresh; with `whole=False` only the partitions that `df` has rows for are replaced.
 
-    `arrange=False` skips the shuffle for rows that are laid out by partition already.
+    `arrange=False` skips the shuffle for rows that are laid out by partition already. A full refresh is written
+    beside the table and swapped in by renames, see `sinks.files`; `df` may read from it.
     """
     columns = [partition_col] if partition_col else []
-    _write(df, path, "overwrite", columns, arrange=arrange, dynamic=bool(columns) and not whole)
+    if whole:
+        replace_folder(df, path, lambda rows, folder: _write(rows, folder, "overwrite", columns, arrange=arrange, dynamic=False))
+    else:
+        _write(df, path, "overwrite", columns, arrange=arrange)
 
 
 def write_clustered(df: DataFrame, path: str, partition_cols: list[str], cluster_cols: list[str],
@@ -89,20 +96,23 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str
 # ---- both sides of a split from one scan -------------------------------------------------------------------
 
 def write_outcomes(tagged: DataFrame, path: str, partition_cols: list[str] = (), batch_id: int | None = None,
-                   counts: Observation | None = None) -> None:
-    """Write valid and rejected rows in one job, as the two partitions `outcome=...` of one folder.
+                   counts: Observation | None = None, stream: str = BATCH_LOADS) -> None:
+    """Write valid and rejected rows in one job, as the partitions `outcome=...` of one folder.
 
-    Both sides come from one scan and are committed together. With a `batch_id`, the batch is a partition
-    of its own and writing it again replaces it, so a repeated micro-batch adds nothing. `counts` receives
-    loaded, valid and rejected.
+    All sides come from one scan. With a `batch_id`, the batch of the `stream` (or other kind of load) is a partition
+    of its own on each side, and writing it again replaces all of it, wherever its rows went before. `counts`
+    receives loaded, valid, rejected and late.
     """
     seen = counts and (counts, [F.count(F.lit(1)).alias("loaded"),
-                                *[F.count_if(F.col("outcome") == side).alias(side) for side in (VALID, REJECTED)]])
+                                *[F.count_if(F.col("outcome") == side).alias(side) for side in OUTCOMES]])
     if batch_id is None:
         _write(tagged, path, "append", ["outcome", *partition_cols], counts=seen)
-    else:
-        _write(tagged.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, "overwrite",
-               ["outcome", "batch_id", *partition_cols], counts=seen)
+        return
+    files = Folders(tagged.sparkSession, path)
+    for side in OUTCOMES:
+        files.delete(f"{outcome_path(path, side)}/stream={stream}/batch_id={batch_id}")
+    _write(tagged.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("bigint")}), path, "append",
+           ["outcome", "stream", "batch_id", *partition_cols], counts=seen)
 
 
 def outcome_path(path: str, outcome: str) -> str:
@@ -111,9 +121,9 @@ def outcome_path(path: str, outcome: str) -> str:
 
 
 def read_outcome(spark: SparkSession, path: str, outcome: str, schema: T.StructType | None = None) -> DataFrame:
-    """Valid rows without their (empty) `failed_rules`, or rejected rows with it. Only that side is read."""
+    """Valid rows without their (empty) `failed_rules`, or rejected or late rows with it. Only that side is read."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    rows = reader.parquet(path).where(F.col("outcome") == outcome).drop("outcome")
+    rows = reader.parquet(path).where(F.col("outcome") == outcome).drop("outcome", "stream")
     return rows.drop("failed_rules") if outcome == VALID else rows
 
 
@@ -125,47 +135,40 @@ def _is_one_of(column: str, values: list) -> Column:
     return hit | F.col(column).isNull() if len(known) < len(values) else hit
 
 
-def _partition_folder(path: str, column: str, value) -> str:
+def _partition_folder(column: str, value) -> str:
     text = "__HIVE_DEFAULT_PARTITION__" if value is None else quote(str(value), safe=" -_.,+")
-    return f"{path.rstrip('/')}/{column}={text}"
+    return f"{column}={text}"
 
 
 def upsert_table(spark: SparkSession, path: str, changes: DataFrame, keys: list[str], newest: str | list[str],
                  tie_break: list[str], partition_col: str | None = None, as_of=None,
-                 stamp: str | None = "processed_at") -> None:
+                 stamp: str | None = "processed_at", most_partitions: int = 100_000) -> None:
     """Merge changes into a Parquet table, rewriting only the partitions they touch.
 
     Touched are the partitions the new rows go to and those their earlier versions lie in, so a row whose
-    partition value changed leaves no copy behind. The new content is written to a fresh folder before any
-    partition is replaced; running the merge again after a failure gives the same table.
+    partition value changed leaves no copy behind. The new content is written once, beside the table, and comes in by
+    renames; a merge that failed at any step is finished or undone when it runs again, which gives the same table.
+    A merge that touches more than `most_partitions` is refused: choose a coarser partition column.
     """
+    recover(spark, path)
     target = spark.read.parquet(path)
     winners = staged(latest_per_key(changes, keys, newest, tie_break))
-    stage = scratch_path(spark, "upsert")
     if partition_col is None:
-        merge_winners(target, winners, keys, as_of, stamp).write.parquet(stage)
-        spark.read.schema(target.schema).parquet(stage).write.mode("overwrite").parquet(path)
-        drop_scratch(spark, stage)
+        replace_folder(merge_winners(target, winners, keys, as_of, stamp), path, lambda rows, folder: rows.write.mode("overwrite").parquet(folder))
         return
     places = winners.select(partition_col)
     if partition_col not in keys:
         held = target.select(*keys, partition_col).join(winners.select(*keys), keys, "left_semi")
         places = places.unionByName(held.select(partition_col))
-    # Partition values only: as many as the table has folders.
-    touched = [r[0] for r in places.distinct().collect()]
+    touched = [r[0] for r in places.distinct().limit(most_partitions + 1).collect()]
     if not touched:
         return
+    if len(touched) > most_partitions:
+        raise ValueError(f"the changes touch more than {most_partitions} partitions of {path}")
     affected = target.where(_is_one_of(partition_col, touched))
     merged = merge_winners(affected, winners, keys, as_of, stamp)
-    _write(merged, stage, "append", [partition_col])
-    staged = spark.read.schema(target.schema).parquet(stage)
-    filled = {r[0] for r in staged.select(partition_col).distinct().collect()}
-    _write(staged, path, "overwrite", [partition_col], arrange=False)
-    for value in touched:
-        if value not in filled:
-            staged.drop(partition_col).where(F.lit(False)).write.mode("overwrite").parquet(
-                _partition_folder(path, partition_col, value))
-    drop_scratch(spark, stage)
+    _write(merged, next_folder(path), "overwrite", [partition_col], dynamic=False)
+    swap_in_partitions(spark, path, [_partition_folder(partition_col, v) for v in touched])
 
 
 # ---- publish only what passes ------------------------------------------------------------------------------
@@ -177,16 +180,21 @@ def publish_if_valid(df: DataFrame, rules: list[Rule], target: str, stage_path:
 
     The rules run on what was staged. If a rule fails, or the
     count differs from `expected_rows`, the target stays as it was and `SuiteFailed` is raised. Otherwise the
-    staged rows replace the target: by copying into the folder `target`, or, with `as_table`, by pointing the
-    catalog table `target` at the staged folder, which moves no data. A stage of a failed check is kept.
+    staged rows become the target: by renames, if they were staged beside it (without `stage_path`), by a copy that is
+    then swapped in from a `stage_path` of the caller's, or, with `as_table`, by pointing the catalog table
+    `target` at that durable `stage_path`, which moves no data. A stage of a failed check is kept until the next call.
     """
     spark = df.sparkSession
-    own_stage = None if stage_path else scratch_path(spark, "publish")
-    stage_path = stage_path or own_stage
-    replace_table(df, stage_path, partition_col)
-    staged = spark.read.schema(df.schema).parquet(stage_path)
-    rows = staged.count()  # from the file footers
-    result = run_suite(staged, rules) if rules else None
+    if as_table and not stage_path:
+        raise ValueError("as_table needs a stage_path that lasts: the table will lie there")
+    if stage_path:
+        replace_table(df, stage_path, partition_col)
+    else:
+        recover(spark, target)
+        _write(df, next_folder(target), "overwrite", [partition_col] if partition_col else [], dynamic=False)
+    held = spark.read.schema(df.schema).parquet(stage_path or next_folder(target))
+    rows = held.count()  # from the file footers
+    result = run_suite(held, rules) if rules else None
     if result is not None:
         result = spark.createDataFrame(result.collect(), result.schema)  # one row per rule
         raise_on_failure(result)
@@ -197,8 +205,8 @@ def publish_if_valid(df: DataFrame, rules: list[Rule], target: str, stage_path:
         if partition_col and spark.conf.get("spark.sql.catalogImplementation") == "hive":
             spark.sql(f"MSCK REPAIR TABLE {target}")
         spark.catalog.refreshTable(target)
+    elif stage_path:
+        replace_table(held, target, partition_col, arrange=False)
     else:
-        replace_table(staged, target, partition_col, arrange=False)
-        if own_stage:
-            drop_scratch(spark, own_stage)
+        swap_in(spark, target)
     return result, rows

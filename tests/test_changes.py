@@ -111,3 +111,12 @@ def test_merge_leaves_other_partitions_alone(spark, tmp_path):
     upsert_table(spark, path, changes, ["k"], "ts", ["ts"], partition_col="day")
     assert before and other() == before
     assert sorted((r["k"], str(r["day"])) for r in spark.read.parquet(path).collect()) == [(1, "2024-01-03"), (2, "2024-01-02")]
+
+
+def test_null_keys_merge_once(spark, rows):
+    target = spark.createDataFrame([(None, 1), ("a", 1)], "k string, v int")
+    changes = spark.createDataFrame([(None, 2, 1), ("b", 3, 1)], "k string, v int, t int")
+    once = upsert(target, changes, ["k"], "t", ["v"])
+    assert rows(once) == rows(upsert(once, changes, ["k"], "t", ["v"])) == sorted([(None, 2), ("a", 1), ("b", 3)], key=repr)
+    deletes = changes.selectExpr("k", "v", "t", "'d' AS op")
+    assert rows(apply_changes(once, deletes, ["k"], "t", ["v"])) == [("a", 1)]

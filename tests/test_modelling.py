@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from etlkit.operators import (as_of_join, assign_keys, build_dim_date, build_dim_provider, fixed_span, load_fact, number_new_rows,
+from etlkit.operators import (as_of_join, assign_keys, build_dim_date, build_dim_provider, fixed_span, load_fact, number_new_rows, rows_without_key,
                               refresh_patients, scd2_merge)
 from etlkit.sources import DIM_DATE_SCHEMA, FACT_CLAIMS_SCHEMA
 
@@ -128,3 +128,17 @@ def test_as_of_join_is_half_open(spark, rows):
     dim = spark.createDataFrame([("a", 1, D(2019, 1, 1), D(2020, 1, 1)), ("a", 2, D(2020, 1, 1), None)],
                                 "id string, k int, effective_date date, expiration_date date")
     assert rows(as_of_join(facts, dim, "id", "at", ["k"]), "at", "k") == [(D(2018, 1, 1), None), (D(2019, 12, 31), 1), (D(2020, 1, 1), 2)]
+
+
+def test_snapshot_with_repeated_and_missing_keys(spark):
+    dim = spark.createDataFrame([("a", "x", AS_OF[0], None)], "k string, city string, effective_date date, expiration_date date")
+    snap = spark.createDataFrame([("a", "y"), ("a", "z"), ("b", "q"), ("b", "q"), (None, "w")], "k string, city string")
+    once = scd2_merge(dim, snap, "k", AS_OF[1])
+    again = scd2_merge(once, snap, "k", AS_OF[1])
+    for out in (once, again):
+        assert sorted((r["k"], r["city"], r["expiration_date"]) for r in out.collect() if r["expiration_date"] is None) == [("a", "z", None), ("b", "q", None)]
+        assert out.count() == 3
+    assert rows_without_key(snap, "k").count() == 1
+
+
+AS_OF = [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]

@@ -114,3 +114,10 @@ def test_quantiles_of_many_rows_are_close(spark):
 def test_lag_percentiles(spark):
     df = spark.range(1, 101).selectExpr("timestamp_seconds(1704067200 - id) AS t")
     assert tuple(lag_percentiles(df, "t", "2024-01-01").first()) == (50.0, 95.0)
+
+
+def test_literal_report_with_null_and_repeated_keys(spark, rows):
+    s = spark.createDataFrame([(None, 1.0), (1, 1.0), (1, 2.0), (2, None)], "k int, v double")
+    t = spark.createDataFrame([(None, 1.0), (1, 1.0), (2, 4.0), (3, 1.0)], "k int, v double")
+    want = [(None, 1.0, None, None), (None, None, 1.0, None), (1, 2.0, 1.0, 1.0), (None, None, 1.0, None)]
+    assert rows(reconcile_literal(s, t, "k", "v")) == sorted(want, key=repr)

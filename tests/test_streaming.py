@@ -1,14 +1,15 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from etlkit import streaming as st
-from etlkit.operators.rules import expr_rule, not_null
-from etlkit.plans import run_stream_etl, served_events
-from etlkit.sinks import REJECTED, VALID, read_outcome
+from etlkit.operators.rules import expr_rule, not_null, row_count
+from etlkit.plans import RollupTo, Topic, run_stream_etl, served_events
+from etlkit.sinks import LATE, REJECTED, VALID, read_outcome
 
 ROW = T.StructType([T.StructField("id", T.LongType()), T.StructField("value", T.DoubleType())])
 AT = dt.datetime(2024, 1, 1)
@@ -112,9 +113,14 @@ def test_split_stream_and_repeated_batch(spark, place):
     counts = lambda: (read_outcome(spark, place("out"), VALID).count(), read_outcome(spark, place("out"), REJECTED).count())
     first = counts()
     assert sum(first) == 20 and first[1] == len([i for i in range(20) if i % 4 == 0 or i < 5])
-    # A lost checkpoint replays the same batch number with the same rows.
-    st.write_split_stream(stream(spark, place("in"), schema), rules, place("out"), place("other-check"), as_of=AT, every=None).awaitTermination()
-    assert counts() == first
+    # Another checkpoint on the same path is another stream: its batch 0 is not this one's.
+    feed(spark, place("more"), [(100, 9.0)], schema)
+    st.write_split_stream(stream(spark, place("more"), schema), rules, place("out"), place("other-check"), as_of=AT, every=None).awaitTermination()
+    assert counts() == (first[0] + 1, first[1])
+    # Under a given name, a lost checkpoint replays batches in place.
+    for check in ("lost", "new"):
+        st.write_split_stream(stream(spark, place("in"), schema), rules, place("named"), place(check), as_of=AT, every=None, stream="s").awaitTermination()
+        assert read_outcome(spark, place("named"), VALID).count() == first[0]
 
 
 def test_rollup_stream_equals_batch(spark, place, rows):
@@ -181,10 +187,10 @@ def test_whole_flow(spark, place, rows):
     def run():
         source = st.read_events(spark, {"path": place("in")}, fmt="parquet")
         rules = [not_null("patient_id"), not_null("event_time")]
-        return run_stream_etl(spark, source, rules, place("out"), place("check"), as_of=AT, run_log_path=place("log"))
+        return run_stream_etl(spark, source, rules, place("out"), place("check"), as_of=AT, run_log_path=place("log"), keys=["value"])
 
     result = run()
-    assert (result.read, result.repeats_dropped, result.late_dropped) == (7, 1, 0)
+    assert (result.read, result.repeats, result.late, result.valid, result.rejected) == (7, 1, 0, 2, 4)
     assert rows(served_events(spark, place("out")), "patient_id") == [("P1",), ("P2",)]
     dead = read_outcome(spark, place("out"), REJECTED)
     assert dead.count() == 4 and dead.where("message_value IS NULL").count() == 0
@@ -193,3 +199,61 @@ def test_whole_flow(spark, place, rows):
     assert run().read == 0
     assert read_outcome(spark, place("out"), VALID).count() == 2
     assert spark.read.parquet(place("log")).where("metric = 'read'").agg(F.sum("value")).first()[0] == 7.0
+
+
+def message_rows(*rows):
+    return [(k, v, "t", t) for k, v, t in rows]
+
+
+def test_no_message_vanishes(spark, place):
+    """Tombstones, repeats, late messages and more batches than the query's progress list keeps."""
+    sound = lambda i: '{"op": "c", "ts_ms": 1, "after": {"event_time": "2024-01-01T00:00:00Z", "patient_id": "P%d", "event_type": "v", "provider_id": "D"}}' % i
+    late, hour = AT - dt.timedelta(hours=3), dt.timedelta(minutes=20)
+    batches = [[(f"k{i}", None, AT) for i in range(6)] + [("a", sound(1), AT), ("a", sound(1), AT)], [("b", sound(2), late), ("a", sound(1), AT + hour)],
+               [("c", sound(3), AT + hour)], [("c", sound(3), AT + 2 * hour), ("d", sound(4), None)], [("a", sound(1), AT + 6 * hour)], [("a", sound(1), AT + 12 * hour)]]
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        for part in batches:
+            feed(spark, place("in"), message_rows(*part), MESSAGE)
+            time.sleep(1.1)  # files of one second would have no order
+        source = st.read_events(spark, {"path": place("in"), "maxFilesPerTrigger": "1"}, fmt="parquet")
+        run = run_stream_etl(spark, source, [], place("out"), place("check"), as_of=AT)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+    assert (run.batches, run.read, run.late) == (6, 15, 1)
+    assert run.rejected == 6 and run.valid + run.rejected + run.late + run.repeats == run.read
+    dead = read_outcome(spark, place("out"), REJECTED)
+    assert sorted(r["message_key"] for r in dead.collect()) == [f"k{i}" for i in range(6)]
+    assert [r["message_key"] for r in read_outcome(spark, place("out"), LATE).collect()] == ["b"]
+
+
+def test_flow_rolls_up_publishes_and_checks(spark, place, rows):
+    event = lambda i: {"op": "c", "ts_ms": 1, "after": {"event_time": f"2024-01-01T0{i % 3}:10:00Z", "patient_id": f"P{i}", "event_type": "visit", "provider_id": "D"}}
+    source = lambda: st.read_events(spark, {"path": place("in")}, fmt="parquet")
+    keep = dict(rollup=RollupTo(place("rollup"), ["event_type"]), topic=Topic("json", {"path": place("topic")}, "patient_id"))
+    feed(spark, place("in"), messages(*[event(i) for i in range(4)]), MESSAGE)
+    run_stream_etl(spark, source(), [], place("out"), place("check"), as_of=AT, suite=[row_count(1, 100)], **keep)
+    feed(spark, place("in"), messages(*[event(i) for i in range(4, 9)]), MESSAGE)
+    with pytest.raises(Exception, match="row_count"):
+        run_stream_etl(spark, source(), [], place("out"), place("check"), as_of=AT, suite=[row_count(100, 200)], **keep)
+    run_stream_etl(spark, source(), [], place("out"), place("check"), as_of=AT, suite=[row_count(1, 100)], **keep)
+    assert rows(st.read_rollup_parts(spark, place("rollup"), ["event_type"]), "events") == [(3,), (3,), (3,)]
+    assert sorted(r["key"] for r in spark.read.schema("key string, value string").json(place("topic") + "/*/*").collect()) == [f"P{i}" for i in range(9)]
+
+
+def test_rollups_and_changes_fold_in_place(spark, place, rows):
+    schema = "event_time timestamp, kind string"
+    for k in range(3):
+        feed(spark, place("in"), [(AT, "a")] * (k + 1), schema)
+        st.write_rollup_stream(st.event_rollup(stream(spark, place("in"), schema), ["kind"], "1 hour"), place("r"), place("rc"), every=None).awaitTermination()
+        if k < 2:
+            st.fold_rollup(spark, place("r"), ["kind"])
+            assert spark.read.parquet(place("r")).count() == 1
+    assert rows(st.read_rollup(spark, place("r"), ["kind"]), "events") == [(6,)]
+    for k in range(3):
+        feed(spark, place("cin"), [(1, float(k), "u", 10 + k, k), (k + 2, 0.0, "c", 5, 9)], CHANGE)
+        st.write_changes_stream(stream(spark, place("cin"), CHANGE), *MERGE, place("log"), place("cc"), every=None).awaitTermination()
+        st.fold_new_changes(spark, place("log"), *MERGE, place("base"))
+        st.fold_new_changes(spark, place("log"), *MERGE, place("base"))
+    assert rows(spark.read.parquet(place("base")), "id", "value") == [(1, 2.0), (2, 0.0), (3, 0.0), (4, 0.0)]

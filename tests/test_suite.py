@@ -4,8 +4,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from etlkit.operators import SuiteFailed, claims_suite, order_violations, raise_on_failure, run_suite
+from etlkit.operators import SuiteFailed, claims_suite, load_suite, order_violations, raise_on_failure, run_suite
 from etlkit.operators import rules as r
+from etlkit.operators.quantiles import exact_quantiles
 
 
 def results(df, rules):
@@ -161,3 +162,32 @@ def test_equal_neighbours(spark):
     df = spark.createDataFrame([(1, 1), (2, 1), (3, 2)], "k int, v int")
     assert results(df, [r.increasing("v", order_by="k")])["increasing:v"]["success"]
     assert not results(df, [r.increasing("v", order_by="k", strictly=True)])["increasing:v"]["success"]
+
+
+def test_a_share_is_compared_as_a_ratio(spark):
+    df = spark.range(100).selectExpr("if(id < 55, 1, null) AS v")
+    assert run_suite(df, [r.not_null("v", mostly=0.55)]).first()["success"]
+    assert not run_suite(df, [r.not_null("v", mostly=0.551)]).first()["success"]
+
+
+def test_suite_from_text(spark):
+    text = """{"expectations": [
+      {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "v", "mostly": 0.5}, "meta": {"category": "own"}},
+      {"expectation_type": "expect_table_row_count_to_be_between", "kwargs": {"min_value": 1, "max_value": 5}},
+      {"expectation_type": "expect_column_values_to_be_in_set", "kwargs": {"column": "v", "value_set": [1, 2]}}]}"""
+    found = {r["rule_type"]: (r["success"], r["category"]) for r in run_suite(spark.createDataFrame([(1,), (3,), (None,)], "v int"), load_suite(text)).collect()}
+    assert found["not_null"] == (True, "own") and found["row_count"][0] and not found["in_set"][0]
+    for bad in ('{"expectation_type": "expect_magic", "kwargs": {}}', '{"expectation_type": "expect_column_to_exist", "kwargs": {"column": "v", "x": 1}}'):
+        with pytest.raises(ValueError):
+            load_suite('{"expectations": [' + bad + ']}')
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 1000])
+def test_exact_quantiles(spark, n):
+    values = [None if i % 11 == 5 else float((i * 37) % 101 if i % 3 else 4) for i in range(n)]
+    df = spark.createDataFrame([(v, float(i)) for i, v in enumerate(values)], "a double, b double").repartition(5)
+    qs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    found = {r["name"]: (r["n"], r["values"]) for r in exact_quantiles(df, {"a": df["a"], "b": df["b"]}, qs).collect()}
+    for name, column in (("a", [v for v in values if v is not None]), ("b", [float(i) for i in range(n)])):
+        column.sort()
+        assert found[name] == (len(column), [column[max(1, -(-round(q * len(column), 6) // 1).__int__()) - 1] if column else None for q in qs])

@@ -7,7 +7,8 @@ from etlkit.operators import SuiteFailed, clinical_rules, with_outcome
 from etlkit.operators.rules import not_null, row_count, unique
 from etlkit.plans import GateFailed, enforce_gate, post_load_gate, run_batch_etl, run_migration
 from etlkit.session import drop_scratch, scratch_path, shared_folder, shuffle_partitions_for
-from etlkit.sinks import (REJECTED, VALID, append_rejected, append_table, create_table, publish_if_valid, read_outcome, replace_table,
+from etlkit.sinks import files
+from etlkit.sinks import (REJECTED, VALID, append_rejected, append_table, create_table, publish_if_valid, read_outcome, replace_table, upsert_table,
                           write_clustered, write_outcomes)
 from etlkit.sources import CLAIMS_SCHEMA, CLINICAL_SCHEMA, extract_table, jdbc_reader, loaded_on, range_predicates, read_table, split_corrupt
 
@@ -203,7 +204,7 @@ def test_publish_by_pointing_a_table(spark, tmp_path):
 def test_migration(spark, tmp_path, rows):
     source = spark.createDataFrame([(1, "A@x", "d"), (2, "B@x", "d"), (3, None, "d")], "Customer_Id int, email string, created_at string")
     target, log = str(tmp_path / "t"), str(tmp_path / "log")
-    run = run_migration(spark, lambda _: source, target, transform=lambda d: d.dropna(subset=["email"]), rules=[not_null("email")], run_log_path=log)
+    run = run_migration(spark, lambda _: source, target, transform=lambda d: d.dropna(subset=["email"]), rules=[not_null("email")], run_log_path=log, keeps_rows=False)
     assert (run.extracted, run.published, run.counts_match) == (3, 2, False)
     with pytest.raises(SuiteFailed):
         run_migration(spark, lambda _: source, target, transform=lambda d: d.limit(1), keeps_rows=True)
@@ -261,7 +262,92 @@ def test_batch_etl_reads_its_input_once(spark, clinical, tmp_path):
 
 
 def test_session_helpers(spark):
-    assert shuffle_partitions_for(100 << 40, 8) == 409_600 and shuffle_partitions_for(1, 8) == 8
+    assert shuffle_partitions_for(100 << 40, 8) == 50_000 and shuffle_partitions_for(100 << 30, 8) == 100 and shuffle_partitions_for(1, 8) == 8
     folder = shared_folder(spark)
     assert folder == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(f"{folder}/x-") and scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+# ---- interrupted changes -----------------------------------------------------------------------------------
+
+class Stopped(Exception):
+    pass
+
+
+def stop_at(monkeypatch, step):
+    """Make the `step`-th change of a folder fail."""
+    left = [step]
+    for name in ("rename", "delete"):
+        def counted(self, *paths, f=getattr(files.Folders, name)):
+            left[0] -= 1
+            if left[0] < 0:
+                raise Stopped
+            return f(self, *paths)
+        monkeypatch.setattr(files.Folders, name, counted)
+
+
+@pytest.mark.parametrize("partition", [None, "p"])
+def test_interrupted_merge_is_finished_by_the_next(spark, tmp_path, monkeypatch, rows, partition):
+    want = [("a", 2, "y"), ("b", 1, "x"), ("c", 1, "z")]
+    stops = 0
+    for step in range(40):
+        path = str(tmp_path / f"t{step}")
+        replace_table(spark.createDataFrame([("a", 1, "x"), ("b", 1, "x")], "k string, v int, p string"), path, partition)
+        changes = spark.createDataFrame([("a", 2, "y"), ("c", 1, "z")], "k string, v int, p string")
+        merge = lambda: upsert_table(spark, path, changes, ["k"], "v", ["p"], partition)
+        with monkeypatch.context() as m:
+            stop_at(m, step)
+            try:
+                merge()
+                done = True
+            except Stopped:
+                done, stops = False, stops + 1
+        merge()
+        assert rows(spark.read.parquet(path), "k", "v", "p") == want
+        if done:
+            break
+    assert done and stops >= 3
+
+
+def test_interrupted_refresh_keeps_old_or_new(spark, tmp_path, monkeypatch):
+    for step in range(20):
+        path = str(tmp_path / f"t{step}")
+        replace_table(spark.range(3).toDF("i"), path)
+        with monkeypatch.context() as m:
+            stop_at(m, step)
+            try:
+                replace_table(spark.range(5).toDF("i"), path)
+                done = True
+            except Stopped:
+                done = False
+        files.recover(spark, path)
+        assert spark.read.parquet(path).count() in (3, 5)
+        replace_table(spark.read.parquet(path).limit(2), path)
+        assert spark.read.parquet(path).count() == 2
+        if done:
+            return
+    raise AssertionError
+
+
+def test_a_corrected_batch_leaves_nothing_of_the_first(spark, tmp_path):
+    rows = [("P1", "n", None, "A01", "m", dt.date(2024, 1, 1), "D"), ("P2", "n", None, None, "m", dt.date(2024, 1, 2), "D")]
+    load = lambda data, **kw: (spark.createDataFrame(data, CLINICAL_SCHEMA).write.mode("overwrite").parquet(str(tmp_path / "in")),
+                               run_batch_etl(spark, str(tmp_path / "in"), str(tmp_path / "out"), **kw))[1]
+    first = load(rows, batch_id=1)
+    assert (first.valid, first.rejected) == (1, 1)
+    second = load([rows[0], (*rows[1][:3], "B02", *rows[1][4:])], batch_id=1)
+    assert (second.valid, second.rejected) == (2, 0)
+    load(rows[:1], batch_id=2)
+    kept = spark.read.parquet(str(tmp_path / "out"))
+    assert kept.where("outcome = 'valid'").count() == 3 and kept.where("outcome = 'rejected'").count() == 0
+
+
+def test_header_line_is_no_record(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("patient_id,name,dob,diagnosis_code,medication,visit_date,provider_id\nP1,n,2000-01-01,A01,m,2024-01-01,D\n")
+    run = run_batch_etl(spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), fmt="csv", options={"header": "true"})
+    assert (run.loaded, run.valid, run.rejected) == (1, 1, 0)
+
+
+def test_publishing_a_table_from_scratch_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="stage_path"):
+        publish_if_valid(spark.range(1).toDF("i"), [], "some_table", as_table=True)

@@ -10,7 +10,7 @@ from etlkit import sources as src
 from etlkit.operators.rules import in_set, matches, not_null
 from etlkit.session import scratch_path
 from etlkit.sinks import (REJECTED, VALID, append_rejected, append_table, read_outcome, replace_table, upsert_table,
-                          write_clustered)
+                          write_clustered, write_outcomes)
 
 from workload.inputs import CLAIMS_SQL, RECONCILE_SQL, claims, line_totals, load, open_claims
 
@@ -191,8 +191,8 @@ def reconcile_sample(spark, folder):
     return _reported(op.reconcile(open_claims(spark, folder), line_totals(spark, folder), ["claim_id"], ["claim_amount"], sample=16))
 
 
-@query("""WITH s AS (SELECT l_orderkey, count(*) AS n, max(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
-t AS (SELECT l_orderkey, count(*) AS n, max(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1)
+@query("""WITH s AS (SELECT l_orderkey, count(*) AS n, max(l_quantity) AS q FROM lineitem GROUP BY 1),
+t AS (SELECT l_orderkey + 33 AS l_orderkey, count(*) AS n, max(l_quantity) AS q FROM lineitem GROUP BY 1)
 SELECT status, count(*) AS keys, CAST(sum(sn) AS BIGINT) AS source_rows, CAST(sum(tn) AS BIGINT) AS target_rows FROM (
  SELECT coalesce(s.n, 0) AS sn, coalesce(t.n, 0) AS tn,
   CASE WHEN s.n > 1 OR t.n > 1 THEN 'duplicate_key' WHEN s.n IS NULL THEN 'missing_in_source' WHEN t.n IS NULL THEN 'missing_in_target'
@@ -200,9 +200,9 @@ SELECT status, count(*) AS keys, CAST(sum(sn) AS BIGINT) AS source_rows, CAST(su
  FROM s FULL OUTER JOIN t ON s.l_orderkey = t.l_orderkey) GROUP BY 1""")
 def reconcile_statuses(spark, folder):
     """Tables whose key repeats, and a tolerance on the compared value."""
-    lines = load(spark, folder, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
-    report = op.reconcile(lines.where("l_returnflag = 'R'"), lines.where("l_returnflag = 'A'"), ["l_orderkey"],
-                          ["l_quantity"], tolerance=5, keep_matches=True)
+    lines = load(spark, folder, "lineitem").select("l_orderkey", "l_quantity")
+    report = op.reconcile(lines, lines.withColumn("l_orderkey", F.col("l_orderkey") + 33), ["l_orderkey"], ["l_quantity"],
+                          tolerance=5, keep_matches=True)
     return report.groupBy("status").agg(F.count(F.lit(1)).alias("keys"), F.sum("source_rows").alias("source_rows"),
                                         F.sum("target_rows").alias("target_rows"))
 
@@ -217,14 +217,35 @@ def accuracy_rate(spark, folder):
     return rate.withColumn("accuracy", F.round("accuracy", 6))
 
 
-@query("""WITH s AS (SELECT l_linenumber, l_quantity, l_tax FROM lineitem WHERE l_returnflag = 'R'),
-t AS (SELECT l_linenumber, l_quantity, l_tax FROM lineitem WHERE l_returnflag = 'A')
-SELECT l_linenumber, l_quantity, l_tax, 'source' AS only_in, count(*) AS copies FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM t) GROUP BY ALL
-UNION ALL
-SELECT l_linenumber, l_quantity, l_tax, 'target', count(*) FROM (SELECT * FROM t EXCEPT ALL SELECT * FROM s) GROUP BY ALL""")
+@query("""WITH t AS (SELECT * REPLACE (CASE WHEN l_linenumber = 2 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity) FROM lineitem WHERE l_linenumber <> 5)
+SELECT *, 'source' AS only_in, count(*) AS copies FROM (SELECT * FROM lineitem EXCEPT ALL SELECT * FROM t) GROUP BY ALL
+UNION ALL SELECT *, 'target', count(*) FROM (SELECT * FROM t EXCEPT ALL SELECT * FROM lineitem) GROUP BY ALL""")
 def row_diff(spark, folder):
-    lines = load(spark, folder, "lineitem").select("l_linenumber", "l_quantity", "l_tax", "l_returnflag")
-    return op.row_diff(lines.where("l_returnflag = 'R'").drop("l_returnflag"), lines.where("l_returnflag = 'A'").drop("l_returnflag"))
+    """All columns of a table against a copy that was altered and lost rows."""
+    lines = load(spark, folder, "lineitem")
+    altered = lines.where("l_linenumber <> 5").withColumn("l_quantity", F.when(F.col("l_linenumber") == 2, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    return op.row_diff(lines, altered)
+
+
+@query("""SELECT s.k AS l_partkey, s.v AS source_l_quantity, t.v AS target_l_quantity, abs(s.v - t.v) AS difference
+FROM (SELECT nullif(l_partkey, 1) AS k, l_quantity AS v FROM lineitem) s
+FULL OUTER JOIN (SELECT nullif(p_partkey, 2) AS k, CAST(p_size AS DOUBLE) AS v FROM part) t ON s.k = t.k
+WHERE s.k IS NULL OR t.k IS NULL OR s.v <> t.v""")
+def reconcile_repeated_keys(spark, folder):
+    """The published report on a source whose keys repeat, with NULL keys on both sides."""
+    source = load(spark, folder, "lineitem").select(F.nullif("l_partkey", F.lit(1)).alias("l_partkey"), "l_quantity")
+    target = load(spark, folder, "part").select(F.nullif("p_partkey", F.lit(2)).alias("l_partkey"), F.col("p_size").cast("double").alias("l_quantity"))
+    return op.reconcile_literal(source, target, "l_partkey", "l_quantity")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus IN ('P', 'O') THEN 'rejected' ELSE 'valid' END AS outcome FROM orders""")
+def corrected_batch(spark, folder):
+    """A batch written again after its input was corrected: the second attempt is all that is left."""
+    orders, path = load(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), scratch_path(spark, "batch")
+    for wrong in (["P"], ["P", "O"]):
+        tagged = orders.withColumn("outcome", F.when(F.col("o_orderstatus").isin(wrong), "rejected").otherwise("valid"))
+        write_outcomes(tagged, path, ["o_orderpriority"], batch_id=7)
+    return spark.read.parquet(path).select("o_orderkey", "outcome")
 
 
 # ---- incremental loads and merges --------------------------------------------------------------------------

@@ -193,8 +193,37 @@ def stream_etl(spark, folder):
     messages = clinical_messages(_stream(spark, folder)).unionByName(clinical_messages(_stream(spark, folder)))
     path = scratch_path(spark, "flow")
     plans.run_stream_etl(spark, messages, [not_null("patient_id"), not_null("provider_id")], path, scratch_path(spark, "checkpoint"),
-                         keys=["key"], delay="60 days", as_of="2024-01-31")
+                         keys=["key"], as_of="2024-01-31")
     columns = ["event_time", "patient_id", "event_type", "provider_id"]
     served = plans.served_events(spark, path).withColumn("outcome", F.lit(VALID))
     dead = read_outcome(spark, path, REJECTED).select(*columns).withColumn("outcome", F.lit(REJECTED))
     return served.unionByName(dead).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+@query("""SELECT count(*) AS read, count(*) FILTER (side = 'late') AS late, count(*) FILTER (side = 'rejected') AS rejected,
+  count(*) FILTER (side = 'valid') AS valid, 0::BIGINT AS repeats
+FROM (SELECT CASE WHEN ts < TIMESTAMP '2024-01-15' AND ts < (SELECT max(ts) FROM events) - INTERVAL 1 HOUR THEN 'late'
+   WHEN event_type IN ('signup', 'error') THEN 'rejected' ELSE 'valid' END AS side FROM events)""")
+def late_messages(spark, folder):
+    """Messages of later days arrive in a first run, those of earlier days in a second: every one has its side."""
+    messages = clinical_messages(load(spark, folder, "events"))
+    source, path, check = (scratch_path(spark, n) for n in ("topic", "flow", "checkpoint"))
+    runs = []
+    for part in (F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp"), F.col("timestamp") < F.lit("2024-01-15").cast("timestamp")):
+        messages.where(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(messages.schema).parquet(source)
+        runs.append(plans.run_stream_etl(spark, stream, [not_null("patient_id"), not_null("provider_id")], path, check, keys=["key"], as_of="2024-01-31"))
+    total = {c: sum(getattr(r, c) for r in runs) for c in ("read", "repeats")}
+    sides = spark.read.parquet(path).groupBy().agg(*[F.count_if(F.col("outcome") == s).alias(s) for s in ("valid", "rejected", "late")])
+    return sides.select(F.lit(total["read"]).cast("long").alias("read"), "late", "rejected", "valid", F.lit(total["repeats"]).cast("long").alias("repeats"))
+
+
+@query("""SELECT event_id, 'valid' AS outcome FROM events WHERE value >= 5 UNION ALL SELECT event_id, 'rejected' FROM events WHERE value < 5""")
+def two_checkpoints(spark, folder):
+    """Two streams, each with a checkpoint of its own, write to one path; both begin with batch 0."""
+    path, rules = scratch_path(spark, "shared"), [expr_rule("value_floor", "value >= 5")]
+    for half in (0, 1):
+        events = _stream(spark, folder).where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
+        _finish(st.write_split_stream(events, rules, path, scratch_path(spark, "checkpoint"), as_of="2024-01-31", every=None))
+    return read_outcome(spark, path, VALID).select("event_id", F.lit("valid").alias("outcome")).unionByName(
+        read_outcome(spark, path, REJECTED).select("event_id", F.lit("rejected").alias("outcome")))

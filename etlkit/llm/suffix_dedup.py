@@ -66,6 +66,12 @@ def earliest(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return unique, low, where
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is in the sorted array `known`."""
+    at = np.searchsorted(known, values)
+    return known[np.minimum(at, len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)
+
+
 def dealt(keys: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
     part = (keys % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
@@ -107,7 +113,7 @@ def _same_seeds(blobs):
     keys = [lo.astype(np.uint64) | hi.astype(np.uint64) << np.uint64(32) for lo, hi, _ in rows]
     unique, n = np.unique(np.concatenate(keys), return_counts=True)
     repeated = np.union1d(unique[n > 1], np.concatenate([k[r[2] > 0] for k, r in zip(keys, rows)]))
-    return [_raw(k[np.isin(k, repeated, assume_unique=False)]) for k in keys]
+    return [_raw(k[among(k, repeated)]) for k in keys]
 
 
 def _short(seeds: np.ndarray) -> np.ndarray:
@@ -119,7 +125,7 @@ def _short(seeds: np.ndarray) -> np.ndarray:
 def _candidates(w: Windows, answers: list[bytes]):
     """Blocks whose seed is repeated: numbers, and the first of equal blocks in the chunk with its document."""
     (repeated,) = _listed(answers, np.uint64)
-    blocks = np.flatnonzero(np.isin(_short(w.seed), repeated))
+    blocks = np.flatnonzero(among(_short(w.seed), np.sort(repeated)))
     unique, low, where = earliest(w.block[blocks], w.ids[w.block_of[blocks]])
     return blocks, unique, low, where
 
@@ -161,7 +167,7 @@ def _opened(w: Windows, block: np.ndarray, code: np.ndarray):
     """Numbers of the windows to ask for: those of the first occurrence, in the chunk, of each open block."""
     wanted = block[code == OPEN]
     unique, low, where = earliest(w.block, w.ids[w.block_of])
-    first = np.flatnonzero(np.isin(w.block, wanted) & (w.ids[w.block_of] == low[where]))
+    first = np.flatnonzero(among(w.block, np.sort(wanted)) & (w.ids[w.block_of] == low[where]))
     return w.of_blocks(first)
 
 
@@ -195,17 +201,17 @@ def removed_bytes(w: Windows, tagged: list[bytes]) -> np.ndarray:
     repeated = _listed([a[1:] for a in tagged if a[:1] == b"1"], np.uint64)
     blocks, code = _listed([a[1:] for a in tagged if a[:1] == b"2"], np.uint64, np.uint8)
     strings, _ = _listed([a[1:] for a in tagged if a[:1] == b"3"], np.uint64, np.int64)
-    found = np.flatnonzero(np.isin(_short(w.seed), repeated[0]))
+    found = np.flatnonzero(among(_short(w.seed), np.sort(repeated[0])))
     unique, low, where = earliest(w.block[found], w.ids[w.block_of[found]])
     later = w.ids[w.block_of[found]] > low[where]
-    covered = found[later | np.isin(w.block[found], blocks[code == COVERED])]
+    covered = found[later | among(w.block[found], np.sort(blocks[code == COVERED]))]
     windows = [w.of_blocks(covered)]
     opened = _opened(w, blocks, code)
     # The same strings in the chunk itself, and in other chunks.
     keys = w.hashes(opened)
     if len(keys):
         _, first, at = earliest(keys, w.ids[w.of[opened]])
-        windows.append(opened[(w.ids[w.of[opened]] > first[at]) | np.isin(keys, strings)])
+        windows.append(opened[(w.ids[w.of[opened]] > first[at]) | among(keys, np.sort(strings))])
     marks = np.zeros(len(w.data) + 1, np.int64)
     starts = w.start[np.concatenate(windows).astype(np.int64)]
     np.add.at(marks, starts, 1)

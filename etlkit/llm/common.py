@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Iterator
 
@@ -12,7 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etlkit.session import configure, scratch_path
+from etlkit.session import configure, drop_scratch, scratch_path
 
 # Tasks get the code of this package with their functions, so it need not be installed on the executors.
 cloudpickle.register_pickle_by_value(sys.modules["etlkit.llm"])
@@ -32,7 +33,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of staged tables that nothing will read again."""
+    for df in tables:
+        drop_scratch(df.sparkSession, df.staged_at)
 
 
 def columns_of(df: DataFrame, *names: str) -> DataFrame:
@@ -202,6 +211,15 @@ def linked_groups(links: DataFrame, name: str, most: int = 60) -> DataFrame:
     return nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def released(spark: SparkSession) -> None:
+    """Let the driver collect what no variable holds any more, so that executors delete the shuffle files behind it.
+
+    Without this they stay until the driver's memory fills, which in a long run of joins can be after the disks have.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 SMALL_KEYS = 500_000  # ids that may be sent to every task
 
 

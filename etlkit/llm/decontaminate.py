@@ -120,7 +120,7 @@ class Items:
         starts = [(k, s) for k, w in enumerate(self.words) for s in range(0, max(1, len(w) - 2 * STEP + STEP // 2), STEP // 2) if w]
         self.of = np.array([k for k, _ in starts], np.int64)
         self.at = np.array([s for _, s in starts], np.int64)
-        vectors = np.array([axes[term[bounds[k] + s:min(bounds[k] + s + 2 * STEP, bounds[k + 1])]].sum(0) for k, s in starts]).reshape(-1, RANK)
+        vectors = np.array([axes[term[bounds[k] + s:min(bounds[k] + s + 2 * STEP, bounds[k + 1])]].sum(0) for k, s in starts]).reshape(-1, axes.shape[1])
         self.vectors = (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-30)).astype(np.float32)
 
 

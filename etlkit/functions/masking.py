@@ -60,16 +60,18 @@ def masking_check(masked: DataFrame, columns: list[str], original: DataFrame | N
         return report.withColumn("leaked_values", F.lit(None).cast("bigint")).withColumn(
             "passed", F.col("original_removed") & (F.col("not_digest") == 0))
     checked = [c for c, _, has in out if has]
-    before = original.select(*keys, *[F.col(c).cast("string").alias(f"{c}_masked") for c in checked])
-    after = masked.select(*keys, *[f"{c}_masked" for c in checked])
-    leaks = None
-    for c in checked:
-        pair = [*keys, f"{c}_masked"]
-        hit = (after.select(*pair).distinct().join(before.select(*pair).distinct(), pair, "left_semi")
-               .agg(F.count(F.lit(1)).alias("leaked_values")).select(F.lit(c).alias("column_name"), "leaked_values"))
-        leaks = hit if leaks is None else leaks.unionByName(hit)
-    if leaks is None:
+    if not checked:
         return report.withColumn("leaked_values", F.lit(None).cast("bigint")).withColumn("passed", F.lit(False))
-    return report.join(leaks, "column_name", "left").withColumn(
+
+    def cells(df: DataFrame, name: str, is_masked: bool) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(name.format(c)).cast("string").alias("_value")) for c in checked])
+        return df.select(*keys, F.inline(pairs)).withColumn("_masked", F.lit(is_masked)).dropna(subset=[*keys, "_value"])
+
+    # All columns in one grouping; rows of one pair collapse before the shuffle.
+    both = cells(masked, "{}_masked", True).unionByName(cells(original, "{}", False))
+    met = both.groupBy("column_name", *keys, "_value").agg(F.bool_or("_masked").alias("after"), F.bool_and("_masked").alias("only"))
+    leaks = met.where("after AND NOT only").groupBy("column_name").agg(F.count(F.lit(1)).alias("_n"))
+    counted = F.when(F.col("column_name").isin(checked), F.coalesce("_n", F.lit(0).cast("bigint")))
+    return report.join(leaks, "column_name", "left").withColumn("leaked_values", counted).drop("_n").withColumn(
         "passed", F.col("original_removed") & (F.col("not_digest") == 0)
         & (F.coalesce(F.col("leaked_values"), F.lit(1)) == 0))

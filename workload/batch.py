@@ -81,9 +81,8 @@ BRAND = "^Brand#[0-9]{2}$"
 FROM (SELECT p_partkey, concat_ws(',', CASE WHEN nullif(p_type, 'ECONOMY') IS NULL THEN 'not_null:patient_id' END,
    CASE WHEN NOT regexp_matches(p_brand, '^Brand#[0-9]{2}$') THEN 'matches:diagnosis_code' END) AS rules FROM part)""")
 def split_total(spark, folder):
-    valid, rejected = op.split_valid(_coded_parts(spark, folder), op.clinical_rules(pattern=BRAND), as_of="2024-01-31")
-    return valid.select("p_partkey", F.lit("valid").alias("outcome"), F.lit("").alias("failed_rules")).unionByName(
-        rejected.select("p_partkey", F.lit("rejected").alias("outcome"), F.array_join("failed_rules", ",").alias("failed_rules")))
+    tagged = op.with_outcome(_coded_parts(spark, folder), op.clinical_rules(pattern=BRAND), as_of="2024-01-31")
+    return tagged.select("p_partkey", "outcome", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
 @query("""SELECT p_partkey, 'valid' AS outcome FROM part

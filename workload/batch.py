@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from etlkit import functions as fn
 from etlkit import operators as op
 from etlkit import sources as src
 from etlkit.operators.rules import in_set, matches, not_null
 from etlkit.session import scratch_path
-from etlkit.sinks import (REJECTED, VALID, append_rejected, append_table, read_outcome, replace_table, upsert_table,
+from etlkit.sinks import (REJECTED, VALID, append_rejected, append_table, create_table, read_outcome, replace_table, upsert_table,
                           write_clustered, write_outcomes)
 
 from workload.inputs import CLAIMS_SQL, RECONCILE_SQL, claims, line_totals, load, open_claims
@@ -360,3 +363,17 @@ def append_both_sides(spark, folder):
         spark.read.parquet(f"{path}_rejected").select(F.lit("rejected").alias("side"), "claim_amount"))
     return sides.groupBy("side").agg(F.count(F.lit(1)).alias("n"),
                                      F.sum(F.col("claim_amount").cast("decimal(18,2)")).cast("double").alias("amount"))
+
+
+@query("""SELECT o_orderkey AS claim_id, o_totalprice AS claim_amount, 'new' AS state FROM orders""")
+def created_table(spark, folder):
+    """A table with a default, filled by an insert that does not name the defaulted column."""
+    path, name = scratch_path(spark, "created"), f"created_{uuid.uuid4().hex}"
+    schema = T.StructType([T.StructField("claim_id", T.LongType(), False), T.StructField("claim_amount", T.DoubleType()), T.StructField("state", T.StringType())])
+    create_table(spark, name, schema, path, defaults={"state": "'new'"})
+    rows = claims(spark, folder).select("claim_id", "claim_amount")
+    rows.createOrReplaceTempView(f"{name}_rows")
+    spark.sql(f"INSERT INTO {name} (claim_id, claim_amount) SELECT * FROM {name}_rows")
+    spark.catalog.dropTempView(f"{name}_rows")
+    spark.sql(f"DROP TABLE {name}")  # the files stay: the table lay outside the warehouse
+    return spark.read.schema(schema).parquet(path)

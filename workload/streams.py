@@ -227,3 +227,14 @@ def two_checkpoints(spark, folder):
         _finish(st.write_split_stream(events, rules, path, scratch_path(spark, "checkpoint"), as_of="2024-01-31", every=None))
     return read_outcome(spark, path, VALID).select("event_id", F.lit("valid").alias("outcome")).unionByName(
         read_outcome(spark, path, REJECTED).select("event_id", F.lit("rejected").alias("outcome")))
+
+
+@query("""SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1""")
+def restarted_stream(spark, folder):
+    """A stream that stops after half of its files and goes on from its checkpoint: every row once."""
+    events = load(spark, folder, "events").select("event_id", "event_type")
+    source, path, check = (scratch_path(spark, n) for n in ("source", "events", "checkpoint"))
+    for half in (0, 1):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half).write.mode("append").parquet(source)
+        _finish(st.write_table_stream(spark.readStream.schema(events.schema).parquet(source), path, check, every=None))
+    return spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))

@@ -138,10 +138,10 @@ def runs_of(hashes: np.ndarray, k: int) -> np.ndarray:
 
 
 def array_rows(arrays: dict[int, np.ndarray], width: int = 1 << 13) -> pa.RecordBatch:
-    """Rows (part, values) of fixed-size arrays, cut into parts that several tasks can add up."""
+    """Rows (part, values) of fixed-size arrays, cut into parts that several tasks can add up; float32 arrays travel so."""
     parts, values = [], []
     for k, array in arrays.items():
-        flat = array.astype(np.float64).ravel()
+        flat = array.ravel() if array.dtype == np.float32 else array.astype(np.float64).ravel()
         for i in range(0, len(flat), width):
             if flat[i:i + width].any():
                 parts.append(k * (1 << 20) + i // width)
@@ -149,7 +149,7 @@ def array_rows(arrays: dict[int, np.ndarray], width: int = 1 << 13) -> pa.Record
     return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(values, pa.binary())], ["part", "data"])
 
 
-def added_up(rows: DataFrame, shapes: list[tuple[int, ...]], name: str, width: int = 1 << 13) -> list[np.ndarray]:
+def added_up(rows: DataFrame, shapes: list[tuple[int, ...]], name: str, width: int = 1 << 13, single: bool = False) -> list[np.ndarray]:
     """Sum the arrays that tasks have put out with `array_rows`. Their size is fixed, whatever the input.
 
     Parts meet by their number, a few rows of each at a time, so no task holds more than its own parts.
@@ -157,11 +157,14 @@ def added_up(rows: DataFrame, shapes: list[tuple[int, ...]], name: str, width: i
     spark = rows.sparkSession
     partial = staged(rows, name)
 
+    narrow = range(1 << 31) if single else range(0)  # with `single`, tasks have put out float32
+
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                more = np.frombuffer(data.as_buffer(), np.float64)
+                raw = data.as_buffer()
+                more = np.frombuffer(raw, np.float32 if part in narrow else np.float64).astype(np.float64)
                 sums[part] = sums[part] + more if part in sums else more.copy()
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["part", "data"])
@@ -172,6 +175,7 @@ def added_up(rows: DataFrame, shapes: list[tuple[int, ...]], name: str, width: i
         found = partial.repartition("part").mapInArrow(add, "part int, data binary").collect()
     finally:
         spark.conf.set(key, before)
+    discard(partial)
     out = []
     for k, shape in enumerate(shapes):
         flat = np.zeros(int(np.prod(shape)))
@@ -199,8 +203,9 @@ def linked_groups(links: DataFrame, name: str, most: int = 60) -> DataFrame:
         large = both.where("o > n").join(least, "n").select(F.col("o").alias("u"), F.col("m").alias("v")).union(
             least.select(F.col("n").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        edges = staged(large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+        last, edges = edges, staged(large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), f"{name}-round")
+        discard(last)
         now = edges.agg(F.count(F.lit(1)), F.count_distinct("u"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
         if now == mark:
             break

@@ -70,9 +70,9 @@ def latent_axes(docs: DataFrame, idf: np.ndarray, seed: int = 5) -> np.ndarray:
             step = np.searchsorted(heads, order, "right") - 1
             starts = np.flatnonzero(np.diff(term[order], prepend=-1))
             total[term[order][starts]] += np.add.reduceat(projected[step], starts)
-        yield array_rows({0: total * idf[:, None]})
+        yield array_rows({0: (total * idf[:, None]).astype(np.float32)})
 
-    (product,) = added_up(docs.mapInArrow(each, "part int, data binary"), [(TERMS, RANK)], "axes")
+    (product,) = added_up(docs.mapInArrow(each, "part int, data binary"), [(TERMS, RANK)], "axes", single=True)
     core = random.T @ product
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     good = values > max(values.max(), 0) * 1e-9

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from etlkit.llm.common import columns_of, only_with, staged
+from etlkit.llm.common import columns_of, discard, only_with, released, staged
 
 LEAST = 16  # characters; shorter lines are only compared for equality
 SHORT = 40  # up to here a line emits its whole deletion neighbourhood
@@ -95,7 +95,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     text = staged(_text_of(docs, near.select(F.col("line").alias("order")).union(near.select("earlier")).distinct()), "line-texts")
     checked = near.join(text.select(F.col("order").alias("line"), F.col("line").alias("x")), "line").join(
         text.select(F.col("order").alias("earlier"), F.col("line").alias("y")), "earlier").where(F.levenshtein("x", "y", 1).between(0, 1))
-    gone = checked.select(F.col("line").alias("order")).distinct()
+    gone = staged(checked.select(F.col("line").alias("order")).distinct(), "line-near")
+    discard(met, near, text)
+    released(docs.sparkSession)
     first = seen.join(gone, "order", "left_anti").select("name", "order")
     # What stays is the first of its name and not near an earlier one.
     kept = first.select("order")

@@ -7,12 +7,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from etlkit.llm.common import added_up, array_rows, columns_of, linked_groups, mixed, only_with, runs_of, slices, staged, words_of
+from etlkit.llm.common import added_up, array_rows, columns_of, discard, linked_groups, mixed, only_with, released, runs_of, slices, staged, words_of
 
 WORDS = 5
 SHARE = (80, 100)  # least intersection / union
 SKETCH_BITS = 20  # counters of how common n-grams are: 8 MB, whatever the input
 SUBSET = 2  # elements of the subsets that small sets are looked up by
+STAR_ROUNDS = 2
+MARKS = 4  # 64-bit words of parity bits
 SIZES = 4096  # set sizes the cost model tells apart
 
 
@@ -48,6 +50,15 @@ def fingerprints(values: np.ndarray, starts: np.ndarray, salt: int) -> np.ndarra
     return mixed(sums[starts[1:]] - sums[starts[:-1]] + np.diff(starts).astype(np.uint64)).view(np.int64)
 
 
+def parities(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Per set MARKS * 64 bits: whether an odd number of its elements falls on each. Two sets that differ in d elements
+    differ in at most d bits."""
+    bits, n = MARKS * 64, len(starts) - 1
+    of = np.repeat(np.arange(n), np.diff(starts))
+    odd = np.bincount(of * bits + (values & np.uint64(bits - 1)).astype(np.int64), minlength=n * bits).reshape(n, bits) % 2
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64).reshape(n, MARKS)
+
+
 def _prefix(n, extra: int = 1):
     """How many of the rarest of n elements hold at least `extra` of those shared with any set that is similar enough."""
     return np.minimum(n, n - -(-SHARE[0] * n // SHARE[1]) + extra)
@@ -79,17 +90,18 @@ def _sets_pass(docs: DataFrame, salt: int) -> DataFrame:
             values, starts = text_sets(data, ends)
             counts += np.bincount((values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
             n, nothing = np.diff(starts), rows.num_rows
+            marks = pa.FixedSizeListArray.from_arrays(pa.array(parities(values, starts).ravel()), MARKS).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([
                 rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(fingerprints(values, starts, salt), mask=n == 0),
-                pa.array(fingerprints(values, starts, salt + 1)), pa.nulls(nothing, pa.int32()), pa.nulls(nothing, pa.binary())],
-                ["doc_id", "n", "node", "check", "part", "data"])
+                pa.array(fingerprints(values, starts, salt + 1)), marks, pa.nulls(nothing, pa.int32()), pa.nulls(nothing, pa.binary())],
+                ["doc_id", "n", "node", "check", "marks", "part", "data"])
         sums = array_rows({0: counts})
         if doc_type is not None and sums.num_rows:
             no = sums.num_rows
-            yield pa.RecordBatch.from_arrays([pa.nulls(no, doc_type), *[pa.nulls(no, pa.int64())] * 3, sums.column(0), sums.column(1)],
-                                             ["doc_id", "n", "node", "check", "part", "data"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(no, doc_type), *[pa.nulls(no, pa.int64())] * 3, pa.nulls(no, pa.list_(pa.int64())), sums.column(0), sums.column(1)],
+                                             ["doc_id", "n", "node", "check", "marks", "part", "data"])
 
-    return docs.mapInArrow(each, f"doc_id {kind}, n long, node long, check long, part int, data binary")
+    return docs.mapInArrow(each, f"doc_id {kind}, n long, node long, check long, marks array<long>, part int, data binary")
 
 
 def ranked(values: np.ndarray, starts: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,14 +154,41 @@ def _tokens(docs: DataFrame, salt: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, salt: int, name: str) -> DataFrame:
     """The pairs (a, b) that are similar enough; sets are computed again for the documents that occur in a pair."""
+    spark = docs.sparkSession
     pairs = staged(pairs, f"{name}-pairs")
+    released(spark)
     needed = staged(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(owners, "node").select("doc_id").distinct(), f"{name}-needed")
-    sets = staged(_tokens(only_with(docs, needed, "doc_id"), salt).dropDuplicates(["node"]), f"{name}-sets")
+    sets = staged(_tokens(only_with(docs, needed, "doc_id"), salt), f"{name}-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     whole = F.size("x") + F.size("y") - shared
-    return staged(both.where(shared * SHARE[1] >= whole * SHARE[0]).select("a", "b"), f"{name}-links")
+    links = staged(both.where(shared * SHARE[1] >= whole * SHARE[0]).select("a", "b").distinct(), f"{name}-links")
+    del both
+    discard(pairs, needed, sets)
+    released(spark)
+    return links
+
+
+def _alike(a: str, b: str):
+    return (F.col(a) * SHARE[1] >= F.col(b) * SHARE[0]) & (F.col(b) * SHARE[1] >= F.col(a) * SHARE[0])
+
+
+def _may_be_close(a: str, b: str, n: str, n2: str):
+    """False only for pairs whose parity bits differ in more places than the elements of similar sets could."""
+    apart = sum([F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in range(1, MARKS)], F.bit_count(F.col(f"{a}0").bitwiseXOR(F.col(f"{b}0"))))
+    return apart * (SHARE[0] + SHARE[1]) <= (F.col(n) + F.col(n2)) * (SHARE[1] - SHARE[0])
+
+
+def _enough(small: int):
+    """Whether a pair met under enough keys (n, n2 elements, `met` common prefix elements): elements outside the shorter
+    prefix are at most n - prefix, and the rest of the needed intersection must be in both prefixes."""
+    def prefix(n):
+        return n - F.ceil(n * SHARE[0] / F.lit(SHARE[1])) + 1
+
+    needed = F.ceil((F.col("n") + F.col("n2")) * SHARE[0] / F.lit(SHARE[0] + SHARE[1]))
+    outside = F.greatest(F.col("n") - prefix(F.col("n")), F.col("n2") - prefix(F.col("n2")))
+    return (F.greatest("n", "n2") <= small) | (F.col("met") >= needed - outside)
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -157,9 +196,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     Sets of WORDS-word shingles, A-Z lower-cased, are linked when intersection / union >= 0.8; equal sets form one
     node, so copies are never paired. A node is looked up by keys that any partner must share (see `lookup_keys`).
-    First each node is compared with the smallest node of every key it shares; then, over the whole key table, the
-    nodes that are still in different components, so a group of mutual near copies is not expanded into pairs but no
-    link between components is missed. Sets are compared by 64-bit hashes of their elements; nodes by 64-bit
+    First each node is compared with one node of every key it shares, in STAR_ROUNDS; then, over the whole key table,
+    the nodes that are still in different components, if they share keys enough. So a group of mutual near copies is
+    not expanded into pairs but no link between components is missed. Sets are compared by 64-bit hashes of their elements; nodes by 64-bit
     fingerprints, tested with a second one and salted anew on a collision. NULL, empty and blank texts have size 0 and
     no links; rows that share a doc_id are all kept; an empty table gives no rows; other columns are ignored.
     """
@@ -168,7 +207,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     for salt in range(0, 20, 2):
         found = staged(_sets_pass(docs, salt), "sets")
         known = found.where("part IS NULL").select("doc_id", "n", "node", "check")
-        nodes = known.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("check").alias("low"), F.max("check").alias("high"))
+        nodes = staged(found.where("node IS NOT NULL").groupBy("node").agg(
+            F.min("doc_id").alias("doc_id"), F.min("check").alias("low"), F.max("check").alias("high"), F.any_value("n").alias("n"),
+            *[F.any_value(F.get("marks", F.lit(i))).alias(f"m{i}") for i in range(MARKS)]), "nodes")
         if nodes.where("low <> high").isEmpty():
             break
     (counts,) = added_up(found.where("part IS NOT NULL").select("part", "data"), [(1 << SKETCH_BITS,)], "common")
@@ -177,25 +218,33 @@ def near_groups(docs: DataFrame) -> DataFrame:
     small = boundary(sizes, float((counts ** 2).sum() / total / max(1.0, total / (1 << SKETCH_BITS))) - 1)
     common = spark.sparkContext.broadcast(np.minimum(counts, 1e9).astype(np.int32))
     bucket = Window.partitionBy("key")
-    keyed = _keys_pass(docs, salt, common, small).withColumn("lead", F.min(F.struct("node", "n")).over(bucket)).withColumn("last", F.max("node").over(bucket))
-    shared = staged(keyed.where("lead.node <> last"), "keys")
+    keyed = _keys_pass(docs, salt, common, small).withColumn("_low", F.min("node").over(bucket)).withColumn("_high", F.max("node").over(bucket))
+    shared = staged(keyed.where("_low <> _high").drop("_low", "_high").distinct().withColumn("component", F.col("node")), "keys")
     owners = nodes.select("node", "doc_id")
-
-    def alike(a: str, b: str):
-        return (F.col(a) * SHARE[1] >= F.col(b) * SHARE[0]) & (F.col(b) * SHARE[1] >= F.col(a) * SHARE[0])
-
-    stars = shared.where("node <> lead.node").where(alike("n", "lead.n")).select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-    links = _verified(stars, docs, owners, salt, "stars")
-    groups = staged(linked_groups(links, "stars"), "groups")
-    rest = shared.select("key", "node", "n").distinct().join(groups, "node", "left").select(
-        "key", "node", "n", F.coalesce("component", "node").alias("component"))
-    apart = staged(rest.withColumn("_low", F.min("component").over(bucket)).withColumn("_high", F.max("component").over(bucket)).where(
-        "_low <> _high").select("key", "node", "n", "component"), "apart")
-    other = apart.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "component")])
-    pairs = apart.join(other, "key").where((F.col("component") < F.col("component2")) & alike("n", "n2")).select(
-        F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct().join(stars.select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    groups = linked_groups(links.union(_verified(pairs, docs, owners, salt, "rest")), "all")
+    links = None
+    for r in range(STAR_ROUNDS):
+        lead = F.min(F.struct(F.xxhash64("node", F.pmod("key", F.lit(2)), F.lit(r)).alias("h"), "node", "n", "component")).over(bucket)
+        stars = shared.withColumn("lead", lead).where((F.col("component") != F.col("lead.component")) & _alike("n", "lead.n")).select(
+            F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+        named = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"{x}n"), *[F.col(f"m{i}").alias(f"{x}{i}") for i in range(MARKS)])
+        stars = stars.join(named("a"), "a").join(named("b"), "b").where(_may_be_close("a", "b", "an", "bn")).select("a", "b")
+        new = _verified(stars, docs, owners, salt, f"stars-{r}")
+        links = new if links is None else links.union(new)
+        groups = staged(linked_groups(links, f"stars-{r}"), "groups")
+        now = shared.drop("component").join(groups, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+        used, shared = shared, staged(now.withColumn("_low", F.min("component").over(bucket)).withColumn("_high", F.max("component").over(bucket)).where(
+            "_low <> _high").drop("_low", "_high"), "apart")
+        discard(used, groups)
+        released(spark)
+    marks = [f"m{i}" for i in range(MARKS)]
+    apart, shared = shared, shared.join(nodes.select("node", *marks), "node")
+    other = shared.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "component")], *[F.col(m).alias(f"o{m[1:]}") for m in marks])
+    met = shared.join(other, "key").where((F.col("component") < F.col("component2")) & _alike("n", "n2") & _may_be_close("m", "o", "n", "n2"))
+    pairs = met.groupBy(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).agg(
+        F.count(F.lit(1)).alias("met"), F.max("n").alias("n"), F.max("n2").alias("n2")).where(_enough(small)).select("a", "b")
+    groups = staged(linked_groups(links.union(_verified(pairs, docs, owners, salt, "rest")), "all"), "groups")
+    discard(apart)
+    released(spark)
     placed = known.join(groups, "node", "left").withColumn("_group", F.coalesce("component", "node"))
     least = placed.where("node IS NOT NULL").groupBy("_group").agg(F.min("doc_id").alias("component_id"))
     return placed.join(least, "_group", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -19,12 +19,27 @@ END_ID = 1
 ISLAND_TOKENS = 2_000_000  # a problem of one group of islands: about 500 sequences
 ISLANDS = 2  # populations that work on one problem and exchange their best
 ROUNDS = 2
-CACHE = 800_000  # chunks of text whose ids a task remembers
+CACHE = 1_600_000  # chunks of text whose ids a task remembers
 KEPT_FILL = 0.995  # sequences filled less than this are dissolved and packed again across problems
 
 
 # ---- tokens ------------------------------------------------------------------------------------------------
 
+_TAIL = ".,;:!?*$&#%|"
+
+
+def _parts(chunk: str) -> tuple[str, ...]:
+    """Parts whose ids, one after the other, are those of the chunk, and which many chunks share: punctuation after a
+    letter begins a token of its own, and the vocabulary has lower case only."""
+    stem = chunk.rstrip(_TAIL)
+    if not stem or not stem[-1].isalpha() or len(stem[-1].lower()) > 1:  # a letter whose lower case ends in a mark
+        return (chunk,)
+    tail = chunk[len(stem):]
+    if stem.isascii() and "<" not in stem:  # else lower case may differ, or a special token be meant
+        stem = stem.lower()
+    return (stem, tail) if tail else (stem,)
+
+
 class Encoder:
     """Token ids of whole texts. White space ends every token of the vocabulary and is dropped, so a text is encoded
     as its chunks between ASCII white space, and the ids of chunks seen before are looked up. New chunks are encoded
@@ -38,9 +53,15 @@ class Encoder:
         self.mark = self._ids(self.MARK)
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _learn(self, chunks: list[str]) -> None:
+        parts = [_parts(c) for c in chunks]
+        self._encode(list({x for p in parts for x in p} - self.known.keys()))
+        for c, p in zip(chunks, parts):
+            self.known[c] = b"".join(self.known[x] for x in p)
+
+    def _encode(self, chunks: list[str]) -> None:
         plain = [c for c in chunks if self.MARK not in c]
         for c in set(chunks) - set(plain):
             self.known[c] = self._ids(c).tobytes()

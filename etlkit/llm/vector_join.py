@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from etlkit.llm.common import columns_of, linked_groups, staged
 
 COSINE = 0.9
-SAMPLE = 4096  # most pivots; they are the only thing fitted, on a sample of this many vectors
-PER_PIVOT = 64
-NEAREST = 4  # cells that a vector is put into
-BLOCK = 1024  # vectors of one side of a comparison
+SAMPLE = 4096  # most pivots, and most vectors that they are chosen from
+BLOCK = 16384  # most vectors of one side of a comparison
+SPREAD = 8  # blocks that also few vectors are cut into
+TILE = 2048  # vectors of one side that are multiplied at once
+SLACK = 1e-6  # for rounding, in angles
 
 
 def rotation(dimension: int, seed: int = 11) -> np.ndarray:
@@ -28,8 +29,8 @@ def encode(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rotated, code, (rotated * code).sum(1)
 
 
-def compare(x: np.ndarray, y: np.ndarray, cosine: float = COSINE) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) with cosine(x_i, y_j) >= cosine, for unit vectors.
+def compared(x: np.ndarray, y: np.ndarray, cosine: float = COSINE):
+    """Pairs (i, j) with cosine(x_i, y_j) >= cosine, for unit vectors, as arrays of the pairs of one tile after the other.
 
     With f = <code, x>, <code, y> / f estimates <x, y> without bias over rotations, since code = f x + sqrt(1 - f^2) e
     with e orthogonal to x. As |<e, y>| <= sqrt(1 - <x, y>^2), two bounds hold for certain: below
@@ -37,17 +38,29 @@ def compare(x: np.ndarray, y: np.ndarray, cosine: float = COSINE) -> tuple[np.nd
     computed exactly, in double precision.
     """
     if not len(x) or not len(y):
-        return np.zeros(0, int), np.zeros(0, int)
+        return
     (rx, cx, fx), (ry, cy, fy) = encode(x), encode(y)
     tail = np.sqrt(1 - cosine ** 2)
-    least_x = fx * cosine - np.sqrt(np.maximum(1 - fx ** 2, 0)) * tail - 1e-5
+    least_x = (fx * cosine - np.sqrt(np.maximum(1 - fx ** 2, 0)) * tail - 1e-5).astype(np.float32)
     least_y = fy * cosine - np.sqrt(np.maximum(1 - fy ** 2, 0)) * tail - 1e-5
-    open_ = (cx.astype(np.float32) @ ry.T.astype(np.float32)) >= least_x[:, None]
-    i, j = np.nonzero(open_)
-    keep = np.einsum("ij,ij->i", rx[i], cy[j]) >= least_y[j]
-    i, j = i[keep], j[keep]
-    exact = np.concatenate([np.einsum("ij,ij->i", x[i[k:k + 200_000]], y[j[k:k + 200_000]]) for k in range(0, len(i), 200_000)] or [np.zeros(0)])
-    return i[exact >= cosine], j[exact >= cosine]
+    codes, rotated = cx.astype(np.float32), np.ascontiguousarray(ry.T, np.float32)
+    for a in range(0, len(x), TILE):
+        for b in range(0, len(y), TILE):
+            i, j = np.nonzero(codes[a:a + TILE] @ rotated[:, b:b + TILE] >= least_x[a:a + TILE, None])
+            i, j = i + a, j + b
+            for k in range(0, len(i), 200_000):
+                p, q = i[k:k + 200_000], j[k:k + 200_000]
+                keep = np.einsum("ij,ij->i", rx[p], cy[q]) >= least_y[q]
+                p, q = p[keep], q[keep]
+                keep = np.einsum("ij,ij->i", x[p], y[q]) >= cosine
+                if keep.any():
+                    yield p[keep], q[keep]
+
+
+def compare(x: np.ndarray, y: np.ndarray, cosine: float = COSINE) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of `compared`."""
+    pairs = [(np.zeros(0, int), np.zeros(0, int)), *compared(x, y, cosine)]
+    return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
 
 
 def unit_rows(column: pd.Series) -> np.ndarray:
@@ -71,29 +84,39 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return moved, label[moved]
 
 
-def _in_cell(rows: pd.DataFrame) -> pd.DataFrame:
-    """One pair of blocks: how many vectors each links with, and links that keep their components together.
-    A pair that meets in several cells counts in the first of them."""
+def far_apart(unit: np.ndarray, most: int, cosine: float = COSINE) -> np.ndarray:
+    """Up to `most` of the given vectors, in their order, none of which links with another."""
+    chosen = np.zeros((0, unit.shape[1]))
+    for x in unit:
+        if len(chosen) == most:
+            break
+        if not len(chosen) or (chosen @ x).max() < cosine:
+            chosen = np.vstack([chosen, x])
+    return chosen
+
+
+def angles(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(unit @ pivots.T, -1, 1))
+
+
+def _in_blocks(rows: pd.DataFrame) -> pd.DataFrame:
+    """One pair of blocks: how many vectors each links with, and links that keep their components together."""
     rows = rows.sort_values("id", ignore_index=True)
-    unit, cells, copies = unit_rows(rows["vector"]), np.array(rows["cells"].tolist()), rows["copies"].to_numpy()
+    unit, copies = unit_rows(rows["vector"]), rows["copies"].to_numpy()
     first, second = int(rows["first"].iloc[0]), int(rows["second"].iloc[0])
     block = rows["block"].to_numpy()
     a, b = np.flatnonzero(block == first), np.flatnonzero(block == second)
-    i, j = compare(unit[a], unit[b])
-    i, j = a[i], b[j]
-    keep = i < j if first == second else np.ones(len(i), bool)
-    i, j = i[keep], j[keep]
-    here = int(rows["cell"].iloc[0])
-    earlier = np.zeros(len(i), bool)
-    for k in range(0, len(i), 200_000):
-        p, q = cells[i[k:k + 200_000]], cells[j[k:k + 200_000]]
-        earlier[k:k + 200_000] = ((p[:, :, None] == q[:, None, :]) & (p[:, :, None] < here) & (p[:, :, None] >= 0)).any((1, 2))
-    i, j = i[~earlier], j[~earlier]
-    n = np.bincount(i, copies[j], len(rows)) + np.bincount(j, copies[i], len(rows))
-    moved, to = forest(len(rows), i, j)
+    n = np.zeros(len(rows), np.int64)
+    moved = to = np.zeros(0, np.int64)
+    for i, j in compared(unit[a], unit[b]):
+        i, j = a[i], b[j]
+        if first == second:
+            i, j = i[i < j], j[i < j]
+        n += (np.bincount(i, copies[j], len(rows)) + np.bincount(j, copies[i], len(rows))).astype(np.int64)
+        moved, to = forest(len(rows), np.concatenate([i, moved]), np.concatenate([j, to]))
     ids = rows["id"].to_numpy()
     some = np.flatnonzero(n)
-    return pd.DataFrame({"id": np.concatenate([ids[some], ids[moved]]), "n": np.concatenate([n[some].astype(np.int64), np.zeros(len(moved), np.int64)]),
+    return pd.DataFrame({"id": np.concatenate([ids[some], ids[moved]]), "n": np.concatenate([n[some], np.zeros(len(moved), np.int64)]),
                          "other": pd.array(np.concatenate([np.full(len(some), -1), ids[to]]), "Int64").astype("Int64")}).assign(
                              link=np.concatenate([np.zeros(len(some), bool), np.ones(len(moved), bool)]))
 
@@ -101,43 +124,69 @@ def _in_cell(rows: pd.DataFrame) -> pd.DataFrame:
 def link_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept, for cosine >= 0.9.
 
-    Equal vectors are compared once and counted with their copies. Pivots are a sample of at most SAMPLE vectors; each
-    vector goes into the cells of its NEAREST pivots, and a cell is cut into blocks, so a comparison holds two
-    blocks of at most about BLOCK vectors whatever the size of the cell; links are counted, not emitted. Vectors
-    that are NULL, empty, zero or hold NULL or non-finite numbers link with nothing; vectors of different lengths
+    Equal vectors are compared once and counted with their copies. Every vector is at home in the cell of its nearest
+    pivot, and visits each cell of a smaller number that its angle to the pivot does not rule out: with a member of the
+    cell it can only link if that angle is at most the cell's radius and the link angle together (triangle inequality).
+    So each pair that links meets in one cell, and in one only. Home vectors and visitors are cut into blocks, and a
+    comparison holds two of them, of at most about BLOCK vectors whatever the size of the cell; links are counted, not
+    emitted. Vectors that lie in all directions alike rule out little, and then nearly all pairs are compared.
+    Vectors that are NULL, empty, zero or hold NULL or non-finite numbers link with nothing; vectors of different lengths
     never link; rows that share an id are compared as copies or links of one another but reported once per row.
-    Finding a partner outside all shared cells is not certain: tests measure the recall.
     """
     spark = vectors.sparkSession
+    kind = "array<float>" if vectors.schema[column].dataType.simpleString() == "array<float>" else "array<double>"
     rows = columns_of(vectors, key, column).select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<double>").alias("vector"))
     norm = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     sound = F.coalesce((norm > 0) & (norm < float("inf")) & ~F.isnan(norm), F.lit(False))
     classes = staged(rows.where(sound).groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")).where("id IS NOT NULL").withColumn(
         "dimension", F.size("vector")), "vectors")
     counts = {r[0]: r[1] for r in classes.groupBy("dimension").count().collect()}
-    pivots = {}
+    pivots, sizes = {}, {}
     for d, n in counts.items():
-        k = int(min(SAMPLE, max(1, n // PER_PIVOT)))
-        chosen = classes.where(F.col("dimension") == d).orderBy(F.xxhash64("id", F.lit("pivot"))).limit(k)
-        pivots[d] = unit_rows(chosen.select("vector").toPandas()["vector"])
-    shared = spark.sparkContext.broadcast(pivots)
+        sizes[d] = min(BLOCK, max(256, -(-n // SPREAD)))
+        most = min(SAMPLE, max(1, n // sizes[d]))
+        chosen = classes.where(F.col("dimension") == d).orderBy(F.xxhash64("id", F.lit("pivot"))).limit(min(SAMPLE, 4 * most))
+        pivots[d] = far_apart(unit_rows(chosen.select("vector").toPandas()["vector"]), most)
+    shared = spark.sparkContext.broadcast((pivots, sizes))
+
+    def homes(batches):
+        for pdf in batches:
+            for d, part in pdf.groupby("dimension"):
+                for at in range(0, len(part), 4096):
+                    piece = part.iloc[at:at + 4096]
+                    away = angles(unit_rows(piece["vector"]), shared.value[0][d])
+                    home = away.argmin(1)
+                    yield piece.assign(home=home.astype(np.int32), away=away[np.arange(len(piece)), home])
+
+    homed = staged(classes.withColumn("vector", F.col("vector").cast(kind)).mapInPandas(
+        homes, f"vector {kind}, id long, copies long, dimension int, home int, away double"), "homes")
+    radii = {d: np.full(len(p), -np.inf) for d, p in pivots.items()}
+    for d, home, away in homed.groupBy("dimension", "home").agg(F.max("away")).collect():
+        radii[d][home] = away + np.arccos(COSINE) + SLACK
+    bounds = spark.sparkContext.broadcast(radii)
 
     def cells(batches):
         for pdf in batches:
             for d, part in pdf.groupby("dimension"):
-                p = shared.value[d]
+                p = shared.value[0][d]
                 for at in range(0, len(part), 4096):
                     piece = part.iloc[at:at + 4096]
-                    near = np.argpartition(-(unit_rows(piece["vector"]) @ p.T), min(NEAREST, len(p)) - 1, axis=1)[:, :NEAREST]
-                    yield piece.assign(cells=list(np.sort(near, 1).astype(np.int32)))
-
-    celled = staged(classes.mapInPandas(cells, "vector array<double>, id long, copies long, dimension int, cells array<int>"), "cells")
-    inside = celled.withColumn("cell", F.explode("cells"))
-    blocks = F.broadcast(inside.groupBy("dimension", "cell").count().select("dimension", "cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
-    cut = inside.join(blocks, ["dimension", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "vector", "id", "copies", "cells", "dimension", "cell", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
-    found = staged(paired.groupBy("dimension", "cell", "first", "second").applyInPandas(_in_cell, "id long, n long, other long, link boolean"), "found")
+                    home = piece["home"].to_numpy()
+                    visited = (angles(unit_rows(piece["vector"]), p) <= bounds.value[d]) & (np.arange(len(p)) < home[:, None])
+                    visited[np.arange(len(piece)), home] = True
+                    yield piece.drop(columns="away").assign(limit=shared.value[1][d], cells=[np.flatnonzero(v).astype(np.int32) for v in visited])
+
+    inside = staged(homed.mapInPandas(cells, f"vector {kind}, id long, copies long, dimension int, home int, limit int, cells array<int>"), "cells").withColumn(
+        "cell", F.explode("cells")).withColumn("at_home", F.col("cell") == F.col("home"))
+    share = lambda at_home: F.ceil(F.count_if(F.col("at_home") == at_home) / F.max("limit")).cast("int")
+    blocks = F.broadcast(inside.groupBy("dimension", "cell").agg(share(True).alias("own"), share(False).alias("visiting")))
+    # Blocks of visitors are numbered after those at home, and only meet the latter.
+    cut = inside.join(blocks, ["dimension", "cell"]).withColumn("block", F.when(F.col("at_home"), F.pmod(F.xxhash64("id"), F.col("own"))).otherwise(
+        F.col("own") + F.pmod(F.xxhash64("id"), F.greatest("visiting", F.lit(1)))).cast("int"))
+    partners = F.when(F.col("at_home"), F.col("own") + F.col("visiting")).otherwise(F.col("own"))
+    paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0), partners - 1))).select(
+        "vector", "id", "copies", "dimension", "cell", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
+    found = staged(paired.groupBy("dimension", "cell", "first", "second").applyInPandas(_in_blocks, "id long, n long, other long, link boolean"), "found")
     groups = linked_groups(found.where("link").select(F.col("id").alias("a"), F.col("other").alias("b")), "vectors")
     links = found.where("NOT link").groupBy("id").agg(F.sum("n").alias("n"))
     result = classes.join(links, "id", "left").join(groups, classes["id"] == groups["node"], "left").select(

@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 
+from etlkit.llm import vector_join
 from etlkit.llm.common import linked_groups
 from etlkit.llm.ngram_join import boundary, near_groups
 from etlkit.llm.queries import QUERIES
@@ -107,6 +108,22 @@ def test_recall_over_many_cells(spark):
     assert sum(got[i].component_id == got[i + 6000].component_id for i in range(6000)) >= 0.9 * 6000
 
 
+@pytest.mark.parametrize("block", [16384, 300])
+def test_no_link_of_a_hot_group_is_lost(spark, monkeypatch, block):
+    """A third of the rows are mutually near but different; the others are small groups and lone vectors."""
+    monkeypatch.setattr(vector_join, "BLOCK", block)
+    rng = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = lambda centre, n, c: c * centre + np.sqrt(1 - c * c) * unit(rng.normal(size=(n, 64)))
+    data = np.vstack([near(unit(rng.normal(size=(1, 64))), 2500, 0.955), *[near(unit(rng.normal(size=(1, 64))), 20, 0.95) for _ in range(100)], unit(rng.normal(size=(3000, 64)))])
+    data = unit(data.astype(np.float32).astype(float))
+    want = (data @ data.T >= 0.9).sum(1) - 1
+    assert want[:2500].mean() > 1000
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in link_vectors(df).collect()}
+    assert [got[i] for i in range(len(data))] == want.tolist()
+
+
 def test_odd_vectors(spark):
     data = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1.0, 0.0]), (8, [2.0, 0.0]),
             (9, [1.0, 0.0]), (10, [1.0, 0.45]), (11, [0.0, 1.0]), (12, [1.0, 0.0, 0.0]), (13, [1.0, 0.0, 0.01])]

@@ -13,8 +13,10 @@ from etlkit.llm.decontaminate import longest_common
 from etlkit.llm.suffix_dedup import _listed, _raw, _read, dealt
 
 SEED_WORDS = 5
-REACH = 12  # successive seeds of which the one with the least hash is kept: 16 equal words share a kept seed
+REACH = 1  # successive seeds of which the one with the least hash is kept; 1 keeps all, as edits leave few of a passage
 GAP_COST = 0.05  # per word between two seeds of a chain, on either side
+WIDEN = 24  # words beyond an end of a chain that are aligned at once
+BAND = 8  # words by which the sides may shift there
 PIECE = 20  # least words of a chain that is aligned
 PASSAGE = 50  # least words of a removed passage
 JOIN = 3  # words between aligned pieces that are taken along
@@ -154,11 +156,11 @@ def chains_of(w: Words, answers: list[bytes]):
         qs, rs = q[a:b].tolist(), place[match[a:b]].tolist()
         for found in chain(qs, rs):
             q0, q1, r0, r1 = qs[found[0]], qs[found[-1]] + SEED_WORDS, rs[found[0]], rs[found[-1]] + SEED_WORDS
-            if len(found) > 1 and q1 - q0 + 2 * REACH >= PIECE:
+            if len(found) > 1:
                 yield int(text[a]), int(doc[match[a]]), int(chunk[match[a]]), q0, q1, r0, r1
 
 
-PAD = REACH + SEED_WORDS
+PAD = 2 * WIDEN
 
 
 def _requests(chunks: Chunks, answers: DataFrame) -> DataFrame:
@@ -198,19 +200,52 @@ def _texts(answers: list[bytes]) -> dict[tuple[int, int], np.ndarray]:
     return out
 
 
+def widened(q: list[int], r: list[int]) -> tuple[int, int]:
+    """How many first words of q and r go together: an alignment scores 1 for a word in common and -1 for an edit; it
+    ends where the score is highest, as far out as that is, but with a word in common."""
+    best, end = 0, (0, 0)
+    above = {j: -j for j in range(min(len(r), BAND) + 1)}
+    for i, word in enumerate(q, 1):
+        row = {}
+        for j in range(max(0, i - BAND), min(len(r), i + BAND) + 1):
+            score = max(above.get(j, -99), row.get(j - 1, -99)) - 1
+            if j:
+                same = word == r[j - 1]
+                score = max(score, above.get(j - 1, -99) + (1 if same else -1))
+                if same and score >= best:
+                    best, end = score, (i, j)
+            row[j] = score
+        if not row or max(row.values()) < best - 2 * BAND:
+            break
+        above = row
+    return end
+
+
 def aligned(q: np.ndarray, q0: int, q1: int, r: np.ndarray, r0: int, r1: int) -> tuple[int, int] | None:
-    """The span of q, widened while words agree, if it has ALIKE of its words in common order with r's span."""
-    while q0 and r0 and q[q0 - 1] == r[r0 - 1]:
-        q0, r0 = q0 - 1, r0 - 1
-    while q1 < len(q) and r1 < len(r) and q[q1] == r[r1]:
-        q1, r1 = q1 + 1, r1 + 1
-    if q1 - q0 < PIECE:
-        return None
-    a, b = q[q0:q1], r[r0:r1]
-    if len(a) == len(b) and (a == b).all():
-        return q0, q1
-    common = longest_common(a.tolist(), b.tolist())
-    return (q0, q1) if common >= ALIKE * max(len(a), len(b)) else None
+    """The span of q, widened over equal words and edits among them, if it has ALIKE of its words in common order with
+    r's span; otherwise the span widened over equal words only, if that has."""
+    def over_equal(q0, q1, r0, r1):
+        while q0 and r0 and q[q0 - 1] == r[r0 - 1]:
+            q0, r0 = q0 - 1, r0 - 1
+        while q1 < len(q) and r1 < len(r) and q[q1] == r[r1]:
+            q1, r1 = q1 + 1, r1 + 1
+        return q0, q1, r0, r1
+
+    narrow = wide = over_equal(q0, q1, r0, r1)
+    while True:
+        q0, q1, r0, r1 = wide
+        i, j = widened(q[max(0, q0 - WIDEN):q0][::-1].tolist(), r[max(0, r0 - WIDEN):r0][::-1].tolist())
+        k, m = widened(q[q1:q1 + WIDEN].tolist(), r[r1:r1 + WIDEN].tolist())
+        if not (i or k):
+            break
+        wide = over_equal(q0 - i, q1 + k, r0 - j, r1 + m)
+    for q0, q1, r0, r1 in dict.fromkeys((wide, narrow)):
+        if q1 - q0 < PIECE:
+            continue
+        a, b = q[q0:q1], r[r0:r1]
+        if len(a) == len(b) and (a == b).all() or longest_common(a.tolist(), b.tolist()) >= ALIKE * max(len(a), len(b)):
+            return q0, q1
+    return None
 
 
 SCHEMA = "doc_id long, n_words long, n_removed long, spans array<struct<first:long,last:long,other:long>>, text binary"

@@ -50,3 +50,23 @@ def test_hot_passage(spark):
     df = spark.createDataFrame([(i, f"{word()} {passage} {word()}") for i in range(400)], "doc_id long, text string").repartition(9)
     got = remove_repeated_passages(df).collect()
     assert sorted(r.n_removed for r in got) == [0] + [55] * 399
+
+
+def test_random_edits(spark):
+    """Passages just above the least length, with words replaced anywhere but at the first and last place."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    fresh = lambda n: [word() for _ in range(n)]
+    kinds = [(50, 0.05), (60, 0.1), (60, 0.15), (80, 0.15)]
+    rows = []
+    for kind, (n, share) in enumerate(kinds):
+        for k in range(50):
+            passage = fresh(n)
+            changed = set(rng.sample(range(1, n - 1), int(share * n)))
+            rows.append((1000 * kind + k, " ".join(fresh(40) + passage + fresh(40))))
+            rows.append((10_000 + 1000 * kind + k, " ".join(fresh(40) + [word() if i in changed else w for i, w in enumerate(passage)] + fresh(40))))
+    got = remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert all(r.n_removed == 0 for r in got if r.doc_id < 10_000)
+    found = [sum(r.n_removed >= 50 for r in got if r.doc_id // 1000 == 10 + kind) for kind in range(len(kinds))]
+    print("found", found)
+    assert min(found) >= 45, found

@@ -132,7 +132,7 @@ def verdict(item: list[int], region: list[int]) -> tuple[float, float, bool]:
     answer = item[-ANSWER:]
     told = longest_common(answer, region) / len(answer)
     if len(item) < ANSWER:
-        return share, told, share == 1
+        return share, told, share == 1 and any(region[i:i + len(item)] == item for i in range(len(region) - len(item) + 1))
     return share, told, share >= LCS_ALONE or told >= ANSWER_SHARE
 
 
@@ -142,7 +142,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Words are runs of letters and digits, A-Z in lower case. Passages of 2 * STEP words, every STEP words, of all texts
     are compared in the latent space with all passages of the items; from COSINE on the item's longest common
     subsequence with the words around the passage decides, alone or together with the answer. Items of fewer words
-    than an answer must occur whole. Benchmark items go to the tasks in blocks of at most ITEMS, as many passes as it
+    than an answer must occur whole, word after word. Benchmark items go to the tasks in blocks of at most ITEMS, as many passes as it
     takes. NULL and empty texts and items give nothing; rows that share an id are searched like others; without
     documents or items there are no rows; other columns are ignored.
     """

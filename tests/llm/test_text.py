@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline
 from etlkit.llm.common import table
-from etlkit.llm.decontaminate import find_leaks, longest_common
+from etlkit.llm.decontaminate import find_leaks, longest_common, verdict
 from etlkit.llm.language import identify_documents, identify_pages, train
 from etlkit.llm.line_dedup import drop_repeated_lines
 from etlkit.llm.queries import QUERIES, SQL
@@ -102,6 +102,11 @@ def test_common_subsequence():
         assert longest_common(a, b) == row[-1]
 
 
+def test_short_items_stand_in_one_piece():
+    assert verdict([1, 2, 3], [9, 1, 2, 3, 9])[2] and verdict([1, 2, 3], [1, 2, 3])[2]
+    assert not verdict([1, 2, 3], [1, 9, 2, 8, 3])[2] and not verdict([1, 2, 3], [1, 2])[2]
+
+
 def test_leaks(spark):
     rng = random.Random(3)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 8))) for _ in range(3000)]

@@ -15,6 +15,8 @@ from etlkit.llm.quality import score_quality
 from etlkit.llm.sharding import shard_by_bytes
 from etlkit.llm.suffix_dedup import remove_repeated_strings
 from etlkit.llm.vector_join import link_vectors
+from etlkit.llm.warc import round_trip
+from etlkit.session import drop_scratch, scratch_path
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -95,3 +97,14 @@ def op8_suffix_array_dedup(spark, folder):
 @query()
 def op7_substring_dedup(spark, folder):
     return remove_repeated_passages(table(spark, folder, "documents")).drop("text")
+
+
+@query("""SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest, CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN revisit THEN last END AS refers_to
+FROM (SELECT *, strlen(h) >= 1000 AND page_id < last AS revisit
+      FROM (SELECT page_id, h, max(page_id) OVER (PARTITION BY h) AS last FROM (SELECT page_id, coalesce(html, '') AS h FROM pages)))""")
+def op11_warc_round_trip(spark, folder):
+    archives = scratch_path(spark, "warc")
+    records = round_trip(table(spark, folder, "pages"), archives)
+    drop_scratch(spark, archives)  # the records are written down
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

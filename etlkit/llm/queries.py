@@ -12,6 +12,7 @@ from etlkit.llm.ngram_join import near_groups
 from etlkit.llm.packing import pack
 from etlkit.llm.passages import remove_repeated_passages
 from etlkit.llm.quality import score_quality
+from etlkit.llm.runs import collapse_runs
 from etlkit.llm.sharding import shard_by_bytes
 from etlkit.llm.suffix_dedup import remove_repeated_strings
 from etlkit.llm.vector_join import link_vectors
@@ -108,3 +109,24 @@ def op11_warc_round_trip(spark, folder):
     records = round_trip(table(spark, folder, "pages"), archives)
     drop_scratch(spark, archives)  # the records are written down
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def planted_repeats(docs):
+    """doc_id and text; a tenth of the documents, told by the CRC of the id, repeat their words from some place on. NULL ids do not."""
+    h = docs.select("doc_id", "text", F.expr("crc32(CAST(CAST(doc_id AS STRING) AS BINARY))").alias("h"))
+    chosen = h.where("h % 10 = 0").withColumn("w", F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"))
+    sized = chosen.withColumns({"n": F.expr("CAST(greatest(coalesce(size(w), 0), 0) AS BIGINT)"), "g": F.expr("h div 10")})
+    placed = sized.withColumn("a", F.expr("g % greatest(n, 1L)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = F.expr("array_join(slice(concat(slice(w, 1, int(a)), flatten(array_repeat(slice(w, int(a) + 1, int(p)), int((n - a) div p + 1)))), 1, int(n)), ' ')")
+    return h.where("h % 10 <> 0 OR h IS NULL").select("doc_id", "text").unionByName(placed.select("doc_id", F.when(F.col("n") > 0, repeated).alias("text")))
+
+
+@query()
+def op12_periodic_runs(spark, folder):
+    found = collapse_runs(planted_repeats(table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("early"), (-r["period"]).alias("short"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    told = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("m"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"))
+    return told.selectExpr("doc_id", "n_runs", "-m.early AS start", "m.length AS length", "-m.short AS period", "1000 * m.length div -m.short AS exponent_milli",
+                           "runs_sha256", "collapsed_sha256")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from etlkit.llm.common import table
 from etlkit.llm.decontaminate import find_leaks
+from etlkit.llm.divergence import audit_divergence
 from etlkit.llm.language import identify_documents, identify_pages, train
 from etlkit.llm.line_dedup import drop_repeated_lines
 from etlkit.llm.ngram_join import near_groups
@@ -130,3 +131,22 @@ def op12_periodic_runs(spark, folder):
                         F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"))
     return told.selectExpr("doc_id", "n_runs", "-m.early AS start", "m.length AS length", "-m.short AS period", "1000 * m.length div -m.short AS exponent_milli",
                            "runs_sha256", "collapsed_sha256")
+
+
+@query(r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+  w AS (SELECT doc_id, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM d),
+  k AS (SELECT lang, t FROM w GROUP BY lang, t HAVING count(DISTINCT doc_id) >= 3),
+  c AS (SELECT lang, source, t, count(*) AS n FROM w GROUP BY lang, source, t),
+  g AS (SELECT DISTINCT lang, source FROM d),
+  x AS (SELECT g.lang, g.source, k.t, coalesce(c.n, 0) AS n FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t),
+  s AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, count(*) OVER (PARTITION BY lang, source) AS v,
+          sum(n) OVER (PARTITION BY lang, t) AS lang_n, sum(n) OVER (PARTITION BY lang) AS lang_total FROM x),
+  p AS (SELECT lang, source, t, n, (1 + 1000000000 * (n + 1) // (total + v))::BIGINT AS p, (1 + 1000000000 * (lang_n + 1) // (lang_total + v))::BIGINT AS q FROM s),
+  f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+  r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+        UNION ALL SELECT lang, source, 'term', t, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+  o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r)
+SELECT * FROM o WHERE part = 'pair' OR rank <= 200""")
+def op13_source_divergence_audit(spark, folder):
+    return audit_divergence(table(spark, folder, "documents"))

@@ -12,6 +12,7 @@ from etlkit.functions.arrays import array_of
 from etlkit.functions.audit import add_audit
 from etlkit.operators.rules import RowRule, matches, not_null
 
+# Fixed value: the pattern of the published load.
 ETL_CODE_PATTERN = "^[A-Z][0-9]{2}$"
 
 

@@ -199,7 +199,7 @@ def migration(spark, folder):
     target = scratch_path(spark, "customers")
     run = plans.run_migration(spark, lambda _: source, target,
                               transform=lambda df: df.where("c_acctbal > 0").withColumn("email", F.lower("email")),
-                              rules=[not_null("customer_id"), unique("customer_id"), row_count(low=1)])
+                              rules=[not_null("customer_id"), unique("customer_id"), row_count(low=1)], keeps_rows=False)
     return spark.read.parquet(target).select("customer_id", "email", F.lit(run.extracted).alias("extracted"), "created_at")
 
 

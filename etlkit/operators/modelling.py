@@ -92,7 +92,8 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, as_of, surrogate:
     A snapshot with several rows per key is reduced by `newest` and `tie_break`, or else to the row with the
     greatest values, the same on every run. Rows without a key are left out; `rows_without_key` gives them.
     A snapshot of the day a row was opened overwrites that row's values
-    rather than leaving a row that is valid for no time.
+    rather than leaving a row that is valid for no time. An open row of a later day stays as it is, since the snapshot says nothing
+    about that day: `splice_versions` takes snapshots in any order.
     """
     snapshot = snapshot.where(F.col(key).isNotNull())
     if newest:
@@ -110,8 +111,10 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, as_of, surrogate:
 
     known, seen = F.col("d").isNotNull(), F.col("s").isNotNull()
     changed = known & seen & reduce(operator.or_, [~F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}")) for c in tracked])
-    same_day = F.col("d.effective_date") >= at
-    gone = known & ~seen & F.lit(close_missing)
+    ahead = known & F.coalesce(F.col("d.effective_date") > at, F.lit(False))
+    same_day = F.col("d.effective_date") == at
+    changed = changed & ~ahead
+    gone = known & ~seen & ~ahead & F.lit(close_missing)
 
     def row(attribute_of: str, surrogate_value: Column, effective: Column, expiration: Column) -> Column:
         out = []
@@ -130,6 +133,43 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, as_of, surrogate:
     return closed.unionByName(merged)
 
 
+OBSERVED = "observed"
+
+
+def splice_versions(dim: DataFrame, changes: DataFrame, key: str, at: str, surrogate: str | None = None) -> DataFrame:
+    """The dimension after `changes` (key, the date `at`, attributes) of any dates, in whatever order they arrive.
+
+    A change dated inside history cuts the version that covers it. What was seen of a key later on stays: `observed` holds the dates
+    at which a version's values were seen, and the next of them ends the new version. Validity is half-open and gapless from
+    a key's first date, the last version is open, and neighbours differ. The same changes in any order, at once or one after the
+    other, also repeated, give the same versions: of several values for one day the greatest counts.
+
+    `dim` needs the columns of the result, but for `observed`, without which a version was seen on its first day. Rows keep their
+    `surrogate` with their key and first day; new versions have none until `number_new_rows`. Keys without changes are passed
+    through. Rows without key or date are left out. A key's versions meet in one task, one row per day.
+    """
+    attributes = [c for c in dim.columns if c not in (surrogate, key, "effective_date", "expiration_date", OBSERVED)]
+    changes = changes.where(F.col(key).isNotNull() & F.col(at).isNotNull())
+    touched = changes.select(key).distinct()
+    held = dim if OBSERVED in dim.columns else dim.withColumn(OBSERVED, F.array("effective_date"))
+    passed = held.join(touched, key, "left_anti").select(*held.columns)
+    old = held.join(touched, key, "left_semi")
+    values = F.struct(*[F.col(c).cast(dim.schema[c].dataType).alias(c) for c in attributes])
+    number = F.col(surrogate) if surrogate else F.lit(None)
+    seen = old.select(key, F.explode(OBSERVED).alias("_day"), values.alias("_values")).unionByName(
+        changes.select(F.col(key).cast(dim.schema[key].dataType).alias(key), F.to_date(F.col(at)).alias("_day"), values.alias("_values")))
+    days = seen.groupBy(key, "_day").agg(F.max("_values").alias("_values"))
+    along = Window.partitionBy(key).orderBy("_day")
+    opens = days.withColumn("_opens", (F.row_number().over(along) == 1) | ~F.col("_values").eqNullSafe(F.lag("_values").over(along)))
+    parts = opens.withColumn("_part", F.sum(F.col("_opens").cast("int")).over(along)).groupBy(key, "_part").agg(
+        F.min("_day").alias("effective_date"), F.array_sort(F.collect_list("_day")).alias(OBSERVED), F.first("_values").alias("_values"))
+    spliced = parts.withColumn("expiration_date", F.lead("effective_date").over(Window.partitionBy(key).orderBy("_part")))
+    if surrogate:
+        numbers = old.select(key, "effective_date", number.alias(surrogate))
+        spliced = spliced.join(numbers, [key, "effective_date"], "left")
+    return passed.unionByName(spliced.select(key, "_values.*", "effective_date", "expiration_date", OBSERVED, *([surrogate] if surrogate else [])).select(*held.columns))
+
+
 def rows_without_key(snapshot: DataFrame, key: str) -> DataFrame:
     """What `scd2_merge` leaves out."""
     return snapshot.where(F.col(key).isNull())
@@ -165,6 +205,39 @@ def as_of_join(facts: DataFrame, dim: DataFrame, key: str, at: str, columns: lis
     return facts.join(versions, (F.col(key) == F.col("_key")) & valid, "left").drop("_key", "_from", "_to")
 
 
+def merged_as_of(facts: DataFrame, dim: DataFrame, key: str, at: str, columns: list[str], dim_key: str | None = None) -> DataFrame:
+    """`as_of_join` by one merged order, for keys with many versions: no fact meets any version but its own.
+
+    Facts and versions are put in one order of (key, time), cut into slices wherever rows call for it, also inside a key and a
+    day. Each fact takes the last version before it in its slice; one row per slice passes on the last version to the slices
+    behind. So a key with any number of facts and versions costs its rows, not their pairs. Facts without key or time, and versions
+    without key or start, match nothing. Versions of a key do not overlap.
+    """
+    when = F.to_date(F.col(at))
+    payload = F.struct(F.col("expiration_date").alias("_to"), *[F.col(c) for c in columns])
+    name = dim_key or key
+    versions = dim.where(F.col(name).isNotNull() & F.col("effective_date").isNotNull()).select(
+        F.col(name).alias("_key"), F.col("effective_date").cast("date").alias("_at"), F.lit(0).alias("_kind"), F.lit(0).cast("bigint").alias("_tie"), payload.alias("_version"))
+    asking = (F.col(key).isNotNull() & when.isNotNull())
+    rows = facts.where(asking).select(F.col(key).alias("_key"), when.alias("_at"), F.lit(1).alias("_kind"),
+                                      F.xxhash64(*facts.columns).alias("_tie"), F.struct(*facts.columns).alias("_fact"))
+    order = ["_key", "_at", "_kind", "_tie"]
+    both = versions.unionByName(rows, allowMissingColumns=True)
+    sliced = staged(both.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()), "merged-order")
+    # One row per slice: the last version in it, and from there the last one of all slices before.
+    last = sliced.groupBy("_slice").agg(F.max(F.when(F.col("_kind") == 0, F.struct("_key", "_at", "_version"))).alias("_last"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    passed = last.select("_slice", F.max("_last").over(earlier).alias("_passed"))
+    along = Window.partitionBy("_slice", "_key").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = sliced.withColumn("_inside", F.last("_version", ignorenulls=True).over(along)).where("_kind = 1")
+    met = inside.join(F.broadcast(passed), "_slice", "left")
+    found = met.withColumn("_found", F.coalesce("_inside", F.when(F.col("_passed._key") == F.col("_key"), F.col("_passed._version"))))
+    valid = F.col("_found._to").isNull() | (F.col("_at") < F.col("_found._to"))
+    matched = found.select("_fact.*", *[F.when(valid, F.col(f"_found.{c}")).alias(c) for c in columns])
+    alone = facts.where(~F.coalesce(asking, F.lit(False))).select("*", *[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in columns])
+    return matched.unionByName(alone)
+
+
 def key_lookup(facts: DataFrame, dim: DataFrame, key: str, surrogate: str) -> DataFrame:
     """Left join that adds `surrogate`; a fact whose key the dimension lacks gets -1.
 

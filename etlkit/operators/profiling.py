@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from etlkit.functions.audit import moment
-from etlkit.operators.quantiles import exact_quantiles
+from etlkit.operators.quantiles import exact_quantiles, quantiles_and_totals
 
 
 def null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -48,7 +48,7 @@ def lag_percentiles(df: DataFrame, column: str, as_of, quantiles: list[float] =
 def profile_numeric(df: DataFrame, columns: list[str], quantiles: list[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """One row per column: filled rows, min, max, mean, stddev and exact quantiles named `p25`, `p50`, ...
 
-    Two scans of the listed columns, one for the moments and one that counts values.
+    Three scans of the listed columns: sketches; moments with the counts around each quantile; the values near them.
     """
     wanted = [float(q) for q in quantiles]
     totals = []
@@ -56,13 +56,13 @@ def profile_numeric(df: DataFrame, columns: list[str], quantiles: list[float] =
         x = F.col(c).cast("double")
         totals += [F.count(c).alias(f"n{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
                    F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}")]
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("filled"), F.col(f"min{i}").alias("min"),
-                     F.col(f"max{i}").alias("max"), F.col(f"mean{i}").alias("mean"), F.col(f"sd{i}").alias("stddev"),
-) for i, c in enumerate(columns)]
-    found = exact_quantiles(df, {c: F.col(c) for c in columns}, wanted).select(
-        F.col("name").alias("column_name"), *[F.get("values", F.lit(i)).alias(f"p{q * 100:g}") for i, q in enumerate(wanted)])
+    found, row = quantiles_and_totals(df, {c: F.col(c) for c in columns}, wanted, totals)
+    moments = df.sparkSession.createDataFrame(
+        [(c, *(row[f"{m}{i}"] for m in ("n", "min", "max", "mean", "sd"))) for i, c in enumerate(columns)],
+        "column_name string, filled bigint, min double, max double, mean double, stddev double")
+    at = found.select(F.col("name").alias("column_name"), *[F.get("values", F.lit(i)).alias(f"p{q * 100:g}") for i, q in enumerate(wanted)])
     # One row per column on either side.
-    return df.agg(*totals).select(F.inline(F.array(*rows))).join(F.broadcast(found), "column_name")
+    return moments.join(F.broadcast(at), "column_name")
 
 
 def volume_anomalies(df: DataFrame, column: str, trailing: int = 7, z: float = 3.0,

@@ -95,7 +95,7 @@ def row_diff(source: DataFrame, target: DataFrame) -> DataFrame:
 
     A bag difference in both directions from one grouping; copies are counted, not repeated.
     """
-    columns = source.columns
+    columns = [f"`{c}`" for c in source.columns]
     both = source.withColumn("_sign", F.lit(1)).unionByName(target.select(*columns).withColumn("_sign", F.lit(-1)))
     net = both.groupBy(*columns).agg(F.sum("_sign").alias("_net")).where("_net <> 0")
     return net.select(*columns, F.when(F.col("_net") > 0, "source").otherwise("target").alias("only_in"),

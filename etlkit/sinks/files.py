@@ -16,7 +16,8 @@ class Folders:
 
     def __init__(self, spark: SparkSession, path: str):
         self.jvm = spark.sparkContext._jvm
-        self.fs = self._at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.gateway, self.conf = spark.sparkContext._gateway, spark.sparkContext._jsc.hadoopConfiguration()
+        self.fs = self._at(path).getFileSystem(self.conf)
 
     def _at(self, path: str):
         return self.jvm.org.apache.hadoop.fs.Path(path)
@@ -51,6 +52,25 @@ class Folders:
         self.delete(path)
         self.rename(part, path)
 
+    def create_if_absent(self, path: str, text: str) -> bool:
+        """Complete under its name, unless that is taken: written beside it and renamed without replacing. Whether it was."""
+        part = f"{path}.{uuid.uuid4().hex}.part"
+        stream = self.fs.create(self._at(part), True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        rename = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
+        modes = self.gateway.new_array(rename, 1)
+        modes[0] = rename.NONE
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.conf)
+        try:
+            context.rename(self._at(part), self._at(path), modes)
+            return True
+        except Exception:
+            self.delete(part)
+            if self.exists(path):
+                return False
+            raise
+
 
 def _beside(path: str) -> tuple[str, str]:
     head, _, name = path.rstrip("/").rpartition("/")
@@ -91,6 +111,9 @@ def swap_in_partitions(spark: SparkSession, path: str, folders: list[str]) -> No
 
 def _apply(files: Folders, path: str, new: str) -> None:
     plan = json.loads(files.read(f"{new}/{PLAN}"))
+    for name in plan.get("add", []):
+        if files.exists(f"{new}/{name}"):
+            files.rename(f"{new}/{name}", f"{path}/{name}")
     for folder in plan["replace"]:
         if files.exists(f"{new}/{folder}"):  # else this partition has been moved already
             files.delete(f"{path}/{folder}")
@@ -100,6 +123,16 @@ def _apply(files: Folders, path: str, new: str) -> None:
     files.delete(new)
 
 
+def replace_files(df: DataFrame, path: str, old: list[str]) -> None:
+    """Write `df` beside `path`, move its files in and delete the `old` ones, all by a plan that `recover` finishes."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    files, new = Folders(spark, path), next_folder(path)
+    df.write.mode("overwrite").parquet(new)
+    added = [name for name in files.children(new) if not name.startswith(("_", "."))]
+    files.write(f"{new}/{PLAN}", json.dumps({"add": added, "replace": [], "empty": [name.rpartition("/")[2] for name in old]}))
+    _apply(files, path, new)
+
+
 def recover(spark: SparkSession, path: str) -> None:
     """Finish or undo an interrupted change of `path`. Called before each change; readers may call it too."""
     files, path = Folders(spark, path), path.rstrip("/")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from etlkit.operators.digests import row_digest
 from etlkit.sources.schemas import CLINICAL_SCHEMA
 
 CORRUPT = "_corrupt_record"
@@ -51,7 +52,11 @@ def range_predicates(column: str, lower: int, upper: int, parts: int) -> list[st
     if parts < 2 or upper <= lower:
         return ["1 = 1"]
     step = max(1, (upper - lower) // parts)
-    cuts = [lower + step * i for i in range(1, parts) if lower + step * i < upper]
+    return predicates_of_cuts(column, [lower + step * i for i in range(1, parts) if lower + step * i < upper])
+
+
+def predicates_of_cuts(column: str, cuts: list[int]) -> list[str]:
+    """The conditions of the ranges that rising cuts leave; rows without a value are in the first one."""
     if not cuts:
         return ["1 = 1"]
     middle = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
@@ -105,6 +110,94 @@ def incremental_slice(source: DataFrame, source_ts: str, target: DataFrame | Non
     return source.where(F.col(source_ts) > newest)
 
 
+# ---- rows that are committed late --------------------------------------------------------------------------
+
+def _versions(df: DataFrame, ts: str, keys: list[str]) -> DataFrame:
+    """(keys..., ts, _d, _e): one row per version of a key."""
+    one, two = row_digest(df, df.columns)
+    return df.select(*keys, ts, one.alias("_d"), two.alias("_e"))
+
+
+def _since(df: DataFrame, ts: str, mark: str | None, look_back: str) -> Column:
+    """Is the row above the mark less the look-back window?"""
+    if mark is None:
+        return F.col(ts).isNotNull()
+    return F.col(ts) > F.lit(mark).cast(df.schema[ts].dataType) - F.expr(f"INTERVAL {look_back}")
+
+
+def late_slice(source: DataFrame, ts: str, keys: list[str], ledger: DataFrame | None, mark: str | None, look_back: str) -> DataFrame:
+    """Source rows above `mark` less `look_back` that the `ledger` does not hold, each version of a key once.
+
+    A row that became visible late, below the mark, comes with the next slice, if it is not more than `look_back` late.
+    Without a mark every row with a `ts` comes. Only the window is read: the condition on `ts` reaches the scan.
+    """
+    rows = source.where(_since(source, ts, mark, look_back))
+    one, two = row_digest(rows, source.columns)
+    marked = rows.withColumns({"_d": one, "_e": two}).dropDuplicates(["_d", "_e"])
+    if ledger is not None:
+        known = ledger.where(_since(ledger, ts, mark, look_back)).select("_d", "_e")
+        marked = marked.join(known, ["_d", "_e"], "left_anti")
+    return marked.select(*source.columns)
+
+
+def next_ledger(fresh: DataFrame, ts: str, keys: list[str], ledger: DataFrame | None, mark: str | None, look_back: str) -> DataFrame:
+    """The versions a later slice must not bring again: those inside the window of the new `mark`, as (keys..., ts, digest)."""
+    held = _versions(fresh, ts, keys)
+    if ledger is not None:
+        held = held.unionByName(ledger)
+    return held.where(_since(held, ts, mark, look_back))
+
+
+# ---- balanced parts ----------------------------------------------------------------------------------------
+
+CELLS = 1024  # counted parts of an interval that a cut may lie in
+
+
+def balanced_cuts(df: DataFrame, column: str, parts: int, tolerance: float = 0.02) -> list[int]:
+    """Values of a whole-number column that cut its rows into `parts` ranges of nearly equal counts: a range ends before its cut.
+
+    Every open cut has an interval its value lies in. A round counts the rows of CELLS equal cells of all these intervals in one
+    aggregation, and each cut goes on in the cell its target falls into, until a cell border is within `tolerance` of a
+    part's share, or the cell is a single value, which cannot be cut: a key with more rows than a part makes a part of its own.
+    At most 7 rounds for 64 bits; the driver sees the counts of cells. Rows without a value count in the first range.
+    """
+    low, high, rows, filled = df.agg(F.min(column), F.max(column), F.count(F.lit(1)), F.count(column)).first()
+    if parts < 2 or not filled or low == high:
+        return []
+    absent, value = rows - filled, F.col(column).cast("bigint")
+    slack = tolerance * rows / parts / 2
+    opened = {k: (low, high + 1, absent) for k in range(1, parts)}  # interval, rows before it
+    cuts: dict[int, int] = {}
+    while opened:
+        intervals = sorted({i for i in opened.values()})
+        place = F.lit(None).cast("bigint")
+        for n, (a, b, _) in enumerate(intervals):
+            step = -(-(b - a) // CELLS)
+            place = F.when((value >= a) & (value < b), F.lit(n * (CELLS + 1)) + F.floor((value.cast("decimal(20,0)") - F.lit(a)) / F.lit(step)).cast("bigint")).otherwise(place)
+        counts = dict(df.where(F.col(column).isNotNull()).select(place.alias("p")).where("p IS NOT NULL").groupBy("p").agg(F.count(F.lit(1))).collect())
+        for k, (a, b, before) in list(opened.items()):
+            n, step, target = intervals.index((a, b, before)), -(-(b - a) // CELLS), rows * k / parts
+            at, upto = a, before
+            while at < b:
+                more = counts.get(n * (CELLS + 1) + (at - a) // step, 0)
+                if upto + more > target:
+                    break
+                at, upto = at + step, upto + more
+            end = min(at + step, b)
+            best = min(((at, upto), (end, upto + counts.get(n * (CELLS + 1) + (at - a) // step, 0))), key=lambda c: abs(c[1] - target))
+            if abs(best[1] - target) <= slack or end - at <= 1 or at >= b:
+                cuts[k] = best[0]
+                del opened[k]
+            else:
+                opened[k] = (at, end, upto)
+    return sorted({c for c in cuts.values() if low < c <= high})
+
+
+def balanced_predicates(df: DataFrame, column: str, parts: int, tolerance: float = 0.02) -> list[str]:
+    """One condition per part of a parallel extract, as `range_predicates` gives, but of nearly equal row counts for any keys."""
+    return predicates_of_cuts(column, balanced_cuts(df, column, parts, tolerance))
+
+
 def loaded_on(df: DataFrame, load_ts: str, as_of: str) -> DataFrame:
     """Rows loaded on the day `as_of`. The optimizer turns this into a pushed-down time range."""
     return df.where(F.to_date(load_ts) == F.lit(as_of).cast("date"))

@@ -4,23 +4,37 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from etlkit.llm.common import added_up, array_rows, columns_of, discard, linked_groups, mixed, only_with, released, runs_of, slices, staged, words_of
+from etlkit.llm.common import (LOWER, SPACES, added_up, array_rows, columns_of, discard, linked_groups, mixed, only_with, released, runs_of,
+                               slices, staged)
+from etlkit.llm.spans import packed, spans
 
 WORDS = 5
 SHARE = (80, 100)  # least intersection / union
 SKETCH_BITS = 20  # counters of how common n-grams are: 8 MB, whatever the input
 SUBSET = 2  # elements of the subsets that small sets are looked up by
-STAR_ROUNDS = 2
+ROW_PAIRS = 2  # pairs per row of a key table that are compared directly
+STAR_ROUNDS = 10  # at most
 MARKS = 4  # 64-bit words of parity bits
 SIZES = 4096  # set sizes the cost model tells apart
 
 
+def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text index) of each word between white space, A-Z in lower case. Words that are equal byte by byte are one, and
+    each different one of a slice is hashed as a whole."""
+    data, inside = LOWER[data], ~SPACES
+    start, end, where = spans(data, ends, inside)
+    words = packed(data, start, end, inside).dictionary_encode()
+    known = np.fromiter((xxhash.xxh3_64_intdigest(w, 0x5EED) for w in words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+    return known[words.indices.to_numpy(zero_copy_only=False)], where
+
+
 def text_sets(data: np.ndarray, ends: np.ndarray, words: int = WORDS):
     """Sorted distinct n-gram hashes of each text: (values, starts). Shorter texts have one element, all their words."""
-    hashes, where, _, _ = words_of(data, ends)
+    hashes, where = word_hashes(data, ends)
     n = len(ends) - 1
     counts = np.bincount(where, minlength=n)
     grams = runs_of(hashes, words)
@@ -158,7 +172,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, salt: int, n
     pairs = staged(pairs, f"{name}-pairs")
     released(spark)
     needed = staged(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(owners, "node").select("doc_id").distinct(), f"{name}-needed")
-    sets = staged(_tokens(only_with(docs, needed, "doc_id"), salt), f"{name}-sets")
+    asked = only_with(docs, needed.where("doc_id IS NOT NULL"), "doc_id")
+    if not needed.where("doc_id IS NULL").isEmpty():  # sets that only rows without an id hold
+        asked = asked.union(docs.where("doc_id IS NULL"))
+    sets = staged(_tokens(asked, salt), f"{name}-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
@@ -196,8 +213,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     Sets of WORDS-word shingles, A-Z lower-cased, are linked when intersection / union >= 0.8; equal sets form one
     node, so copies are never paired. A node is looked up by keys that any partner must share (see `lookup_keys`).
-    First each node is compared with one node of every key it shares, in STAR_ROUNDS; then, over the whole key table,
-    the nodes that are still in different components, if they share keys enough. So a group of mutual near copies is
+    First each node is compared with one node of every key it shares, round after round, until the nodes of one key that are still
+    in different components make few pairs (ROW_PAIRS per row); these are then compared, if they share keys enough. So a group of mutual near copies is
     not expanded into pairs but no link between components is missed. Sets are compared by 64-bit hashes of their elements; nodes by 64-bit
     fingerprints, tested with a second one and salted anew on a collision. NULL, empty and blank texts have size 0 and
     no links; rows that share a doc_id are all kept; an empty table gives no rows; other columns are ignored.
@@ -236,6 +253,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
             "_low <> _high").drop("_low", "_high"), "apart")
         discard(used, groups)
         released(spark)
+        # Pairs of nodes of different components under one key, were they all met, against the rows they come from.
+        parts = shared.groupBy("key", "component").count().groupBy("key").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("own"))
+        pairs, rows = parts.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n")).first()
+        if not rows or pairs <= rows * ROW_PAIRS:
+            break
     marks = [f"m{i}" for i in range(MARKS)]
     apart, shared = shared, shared.join(nodes.select("node", *marks), "node")
     other = shared.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "component")], *[F.col(m).alias(f"o{m[1:]}") for m in marks])

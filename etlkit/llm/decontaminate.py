@@ -13,6 +13,8 @@ TERMS = 1 << 14  # hashed words
 RANK = 64
 STEP = 12  # words; a passage is two successive steps
 COSINE = 0.45
+# Steps of passages and their least cosine: items that would be a small part of a passage are compared with shorter ones.
+KINDS = {"long": (STEP, COSINE), "short": (6, 0.35), "tiny": (3, 0.35)}
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER_SHARE = 0.7, 0.5, 0.75
 ANSWER = 8  # last words of an item
 ITEMS = 5000  # benchmark items that are sent to all tasks at once
@@ -25,11 +27,11 @@ def _terms(data, ends):
     return hashes, (hashes >> np.uint64(50)).astype(np.int64), where
 
 
-def _steps(where: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """First word of each step of STEP words, and the text of each step. The last step of a text may be shorter."""
+def _steps(where: np.ndarray, n: int, words: int = STEP) -> tuple[np.ndarray, np.ndarray]:
+    """First word of each step of `words` words, and the text of each step. The last step of a text may be shorter."""
     first = np.searchsorted(where, np.arange(n))
     place = np.arange(len(where)) - first[where]
-    heads = np.flatnonzero(place % STEP == 0)
+    heads = np.flatnonzero(place % words == 0)
     return heads, where[heads]
 
 
@@ -107,40 +109,70 @@ def _passages(vectors: np.ndarray, of: np.ndarray):
     return two[at] / np.maximum(norm, 1e-30), at
 
 
-class Items:
-    """A block of benchmark items: their words, and the vectors of their passages."""
-
-    def __init__(self, ids: list, texts: list[str], axes: np.ndarray):
-        raw = [(t or "").encode() for t in texts]
-        ends = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
-        hashes, term, where = _terms(np.frombuffer(b"".join(raw), np.uint8), ends)
-        bounds = np.searchsorted(where, np.arange(len(ids) + 1))
-        self.ids, self.words = ids, [hashes[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
-        # Passages begin at each half step, so that one of them fits the steps of any text.
-        starts = [(k, s) for k, w in enumerate(self.words) for s in range(0, max(1, len(w) - 2 * STEP + STEP // 2), STEP // 2) if w]
-        self.of = np.array([k for k, _ in starts], np.int64)
-        self.at = np.array([s for _, s in starts], np.int64)
-        vectors = np.array([axes[term[bounds[k] + s:min(bounds[k] + s + 2 * STEP, bounds[k + 1])]].sum(0) for k, s in starts]).reshape(-1, axes.shape[1])
-        self.vectors = (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-30)).astype(np.float32)
-
-
-def verdict(item: list[int], region: list[int]) -> tuple[float, float, bool]:
-    """Share of the item's words in common order, share of its answer (last words), and whether that is a leak."""
-    share = longest_common(item, region) / len(item)
-    if share < LCS_WITH_ANSWER:
-        return share, 0.0, False
+def item_block(ids: list, texts: list[str], axes: np.ndarray) -> dict:
+    """A block of benchmark items as plain arrays: their words, and the vectors of their passages.
+
+    Passages begin at each half step, so that one of them fits the steps of any text. Items that do not fill a long passage are
+    `short`, those with fewer words than an answer `tiny`.
+    """
+    raw = [(t or "").encode() for t in texts]
+    ends = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
+    hashes, term, where = _terms(np.frombuffer(b"".join(raw), np.uint8), ends)
+    bounds = np.searchsorted(where, np.arange(len(ids) + 1))
+    words = [hashes[a:b] for a, b in zip(bounds, bounds[1:])]
+    out = {"ids": ids, "words": words, "vocabulary": np.unique(hashes)}
+    kinds = ["long" if len(w) >= 2 * STEP else "short" if len(w) >= ANSWER else "tiny" if len(w) else None for w in words]
+    for name, (step, _) in KINDS.items():
+        starts = [(k, s) for k, w in enumerate(words) if kinds[k] == name for s in range(0, max(1, len(w) - 2 * step + step // 2), step // 2)]
+        vectors = np.array([axes[term[bounds[k] + s:min(bounds[k] + s + 2 * step, bounds[k + 1])]].sum(0) for k, s in starts]).reshape(-1, axes.shape[1])
+        out[name] = ((vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-30)).astype(np.float32),
+                     np.array([k for k, _ in starts], np.int64), np.array([s for _, s in starts], np.int64))
+    return out
+
+
+def common_lengths(item: np.ndarray, regions: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """`longest_common` of one item with many regions at once: rows of word numbers, the last number for no word of the item.
+
+    Item and regions hold numbers below len(masks); `masks` is all zero and is left so. Items of more than 64 words are
+    taken one region at a time.
+    """
+    if len(item) > 64:
+        words = item.tolist()
+        return np.array([longest_common(words, r) for r in regions.tolist()], np.int64)
+    np.bitwise_or.at(masks, item, np.uint64(1) << np.arange(len(item), dtype=np.uint64))
+    bits = masks[regions]
+    masks[item] = 0
+    whole = np.uint64((1 << len(item)) - 1)
+    state = np.full(len(regions), whole)
+    for column in bits.T:
+        u = state & column
+        state = ((state + u) | (state - u)) & whole
+    return len(item) - np.bitwise_count(state).astype(np.int64)
+
+
+def verdicts(item: np.ndarray, regions: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each region: share of the item's words in common order, share of its answer (last words), and whether that is a leak."""
+    share = common_lengths(item, regions, masks) / len(item)
+    told, leak = np.zeros(len(regions)), np.zeros(len(regions), bool)
+    some = np.flatnonzero(share >= LCS_WITH_ANSWER)
     answer = item[-ANSWER:]
-    told = longest_common(answer, region) / len(answer)
+    told[some] = common_lengths(answer, regions[some], masks) / len(answer)
     if len(item) < ANSWER:
-        return share, told, share == 1 and any(region[i:i + len(item)] == item for i in range(len(region) - len(item) + 1))
-    return share, told, share >= LCS_ALONE or told >= ANSWER_SHARE
+        whole = np.flatnonzero(share == 1)
+        if len(whole) and regions.shape[1] >= len(item):
+            runs = np.lib.stride_tricks.sliding_window_view(regions[whole], len(item), axis=1)
+            leak[whole] = (runs == item).all(2).any(1)
+    else:
+        leak[some] = (share[some] >= LCS_ALONE) | (told[some] >= ANSWER_SHARE)
+    return share, told, leak
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, cosine, lcs_share, answer_share: documents that hold a benchmark item, also in other words.
 
     Words are runs of letters and digits, A-Z in lower case. Passages of 2 * STEP words, every STEP words, of all texts
-    are compared in the latent space with all passages of the items; from COSINE on the item's longest common
+    are compared in the latent space with all passages of the items; items of fewer words than that, which would be a small
+    part of a passage, with shorter passages (KINDS). From a least cosine on the item's longest common
     subsequence with the words around the passage decides, alone or together with the answer. Items of fewer words
     than an answer must occur whole, word after word. Benchmark items go to the tasks in blocks of at most ITEMS, as many passes as it
     takes. NULL and empty texts and items give nothing; rows that share an id are searched like others; without
@@ -156,7 +188,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     blocks = -(-benchmark.count() // ITEMS)
     for block in range(blocks):
         rows = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        shared = spark.sparkContext.broadcast((axes.astype(np.float32), Items([r[0] for r in rows], [r[1] for r in rows], axes)))
+        shared = spark.sparkContext.broadcast((axes.astype(np.float32), item_block([r[0] for r in rows], [r[1] for r in rows], axes)))
         found = found.unionByName(staged(docs.mapInArrow(_search(shared), schema), "leaks"))
     return found
 
@@ -164,30 +196,55 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _search(shared):
     def each(batches):
         axes, items = shared.value
+        vocabulary = items["vocabulary"]
+        masks = np.zeros(len(vocabulary) + 1, np.uint64)
+        numbers = [np.searchsorted(vocabulary, w) for w in items["words"]]
         for rows, data, ends in slices(batches):
             hashes, term, where = _terms(data, ends)
-            if not len(term) or not len(items.of):
+            if not len(term) or not len(vocabulary):
                 continue
-            heads, of = _steps(where, rows.num_rows)
-            vectors, at = _passages(np.add.reduceat(axes[term], heads), of)
+            word = np.searchsorted(vocabulary, hashes)
+            word[vocabulary[np.minimum(word, len(vocabulary) - 1)] != hashes] = len(vocabulary)
+            word = np.append(word, len(vocabulary))  # a place outside every text
             bounds = np.searchsorted(where, np.arange(rows.num_rows + 1))
             best: dict = {}
-            for lo in range(0, len(vectors), 4096):
-                near = vectors[lo:lo + 4096] @ items.vectors.T
-                p, q = np.nonzero(near >= COSINE)
-                for i, j in zip((p + lo).tolist(), q.tolist()):
-                    k, text = int(items.of[j]), int(of[at[i]])
-                    word = int(heads[at[i]])
-                    item = items.words[k]
-                    from_ = max(int(bounds[text]), word - int(items.at[j]) - STEP)
-                    to = min(int(bounds[text + 1]), word - int(items.at[j]) + len(item) + STEP)
-                    share, told, leak = verdict(item, hashes[from_:max(to, from_)].tolist())
-                    if leak and share > best.get((text, k), (0, 0))[1]:
-                        best[text, k] = (float(near[i - lo, j]), share, told)
+            for kind, (step, least) in KINDS.items():
+                known, of_item, at_item = items[kind]
+                if not len(known):
+                    continue
+                heads, of = _steps(where, rows.num_rows, step)
+                vectors, at = _passages(np.add.reduceat(axes[term], heads), of)
+                for lo in range(0, len(vectors), 4096):
+                    near = vectors[lo:lo + 4096] @ known.T
+                    p, q = np.nonzero(near >= least)
+                    _compare(best, near[p, q], of_item[q], of[at[p + lo]], heads[at[p + lo]] - at_item[q], bounds, word, numbers, masks)
             if best:
                 pairs = list(best)
-                numbers = np.array([best[x] for x in pairs])
-                ids = pa.array([items.ids[k] for _, k in pairs])
+                found = np.array([best[x] for x in pairs])
+                ids = pa.array([items["ids"][k] for _, k in pairs])
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id").take(pa.array([t for t, _ in pairs])), ids,
-                                                  *[pa.array(numbers[:, c]) for c in range(3)]], ["doc_id", "item_id", "cosine", "lcs_share", "answer_share"])
+                                                  *[pa.array(found[:, c]) for c in range(3)]], ["doc_id", "item_id", "cosine", "lcs_share", "answer_share"])
     return each
+
+
+def _compare(best: dict, cosine: np.ndarray, item: np.ndarray, text: np.ndarray, place: np.ndarray, bounds: np.ndarray, word: np.ndarray, numbers: list, masks: np.ndarray) -> None:
+    """Judge candidates (item, text, word where the item would begin), all of an item at once; `best` keeps the best leak of each pair."""
+    order = np.lexsort((-cosine, place, text, item))
+    cosine, item, text, place = cosine[order], item[order], text[order], place[order]
+    fresh = np.ones(len(item), bool)  # one candidate per region, with its best cosine
+    fresh[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (place[1:] != place[:-1])
+    cosine, item, text, place = cosine[fresh], item[fresh], text[fresh], place[fresh]
+    cuts = np.flatnonzero(np.diff(item, prepend=-1))
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(item)]):
+        k = int(item[a])
+        width = len(numbers[k]) + 2 * STEP
+        for lo in range(a, b, 20_000):
+            hi = min(b, lo + 20_000)
+            at = place[lo:hi, None] - STEP + np.arange(width)
+            outside = (at < bounds[text[lo:hi]][:, None]) | (at >= bounds[text[lo:hi] + 1][:, None])
+            at[outside] = len(word) - 1
+            share, told, leak = verdicts(numbers[k], word[at], masks)
+            for i in np.flatnonzero(leak).tolist():
+                pair = int(text[lo + i]), k
+                if share[i] > best.get(pair, (0, 0))[1]:
+                    best[pair] = float(cosine[lo + i]), share[i], told[i]

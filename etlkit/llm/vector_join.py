@@ -65,6 +65,7 @@ def compare(x: np.ndarray, y: np.ndarray, cosine: float = COSINE) -> tuple[np.nd
 
 def unit_rows(column: pd.Series) -> np.ndarray:
     x = np.array(column.tolist(), np.float64)
+    x = x / np.abs(x).max(1)[:, None]  # squares of very large or small numbers would overflow or vanish
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
@@ -136,8 +137,9 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
     spark = vectors.sparkSession
     kind = "array<float>" if vectors.schema[column].dataType.simpleString() == "array<float>" else "array<double>"
     rows = columns_of(vectors, key, column).select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<double>").alias("vector"))
-    norm = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    sound = F.coalesce((norm > 0) & (norm < float("inf")) & ~F.isnan(norm), F.lit(False))
+    # The largest component, NULL or NaN if there is one: NaN counts as larger than all numbers.
+    largest = F.aggregate("vector", F.lit(0.0), lambda s, x: F.when(s.isNull() | x.isNull(), F.lit(None)).otherwise(F.greatest(s, F.abs(x))))
+    sound = F.coalesce((largest > 0) & (largest < float("inf")), F.lit(False))
     classes = staged(rows.where(sound).groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")).where("id IS NOT NULL").withColumn(
         "dimension", F.size("vector")), "vectors")
     counts = {r[0]: r[1] for r in classes.groupBy("dimension").count().collect()}

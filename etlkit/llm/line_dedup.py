@@ -12,10 +12,21 @@ SHORT = 40  # up to here a line emits its whole deletion neighbourhood
 CROWDED = 32  # distinct lines with one equal half from which the other half's neighbourhood is emitted as well
 
 
+ROW = "_row"
+LAST = (1 << 63) - 1  # where NULL ids stand
+
+
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """`docs` with ROW: 0, or, if ids are NULL or repeat, a number of each row's own, written down with it."""
+    if docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
+        return docs.withColumn(ROW, F.lit(0).cast("long"))
+    return staged(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered-documents")
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """order (doc_id, line number), line; NULL ids stand after all others."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("at", "line")).select(
-        F.struct("doc_id", "at").alias("order"), "line").where(F.trim("line") != "")
+    """order (doc_id, row, line number), line; NULL ids stand after all others."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.col(ROW).alias("row"), F.posexplode(F.split("text", "\n")).alias("at", "line")).select(
+        F.struct("doc_id", "row", "at").alias("order"), "line").where(F.trim("line") != "")
 
 
 def _named(df: DataFrame) -> DataFrame:
@@ -64,13 +75,13 @@ def _with_earlier(rows: DataFrame) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, at): lines that equal an earlier line, or, from LEAST characters on, are one edit away from one.
+    """(doc_id, row, at): lines that equal an earlier line, or, from LEAST characters on, are one edit away from one.
 
-    Order is (doc_id, line number); the earlier line counts whether or not it stays itself. Short lines emit their
+    `docs` has a ROW. Order is (doc_id, row, line number); the earlier line counts whether or not it stays itself. Short lines emit their
     deletion neighbourhood; long ones their halves, and where more than CROWDED lines share a half, the neighbourhood
     of the other half, so no group of lines is paired with itself. Pairs found are verified by edit distance.
     """
-    docs = columns_of(docs, "doc_id", "text")
+    docs = columns_of(docs, "doc_id", ROW, "text")
     named = _named(_lines(docs))
     seen = staged(named.groupBy("name").agg(F.min("order").alias("order"), F.max("length").alias("length")), "line-names")
     short = named.where(F.col("length").between(LEAST, SHORT)).select("name", "order", F.inline(_variants(F.col("line"), F.lit(0), F.lit(LEAST))))
@@ -101,28 +112,29 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     first = seen.join(gone, "order", "left_anti").select("name", "order")
     # What stays is the first of its name and not near an earlier one.
     kept = first.select("order")
-    return named.select("order").distinct().join(kept, "order", "left_anti").select("order.doc_id", "order.at")
+    return named.select("order").distinct().join(kept, "order", "left_anti").select("order.doc_id", "order.row", "order.at")
 
 
 def _text_of(docs: DataFrame, orders: DataFrame) -> DataFrame:
     """(order, line) of the given lines, read again from their documents."""
     ids = staged(orders.select("order.doc_id").distinct(), "line-docs")
-    some = only_with(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), "text"), ids, "doc_id")
+    some = only_with(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), ROW, "text"), ids, "doc_id")
     return _lines(some).join(orders, "order", "left_semi")
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """`docs` with the repeated lines taken out of `text`, and n_lines, n_removed.
 
-    NULL texts stay NULL; blank lines stay, the texts' line breaks too; a document may end up empty. Rows that share
-    a doc_id count as one document. An empty table gives no rows. Columns of other names are carried along; n_lines
+    NULL texts stay NULL; blank lines stay, the texts' line breaks too; a document may end up empty. Each row is a document of its
+    own: those that share a doc_id, or have none, follow one another in any one order. An empty table gives no rows. Columns of other names are carried along; n_lines
     and n_removed replace columns of those names.
     """
-    gone = repeated_lines(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("at").alias("_gone"))
+    names, docs = docs.columns, _told_apart(docs)
+    gone = repeated_lines(docs).groupBy(F.col("doc_id").alias("_id"), F.col("row").alias(ROW)).agg(F.collect_list("at").alias("_gone"))
     # The lines pass the join as an array: split once, then picked by position.
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn("_lines", F.split("text", "\n")).drop("text")
-    out = keyed.join(gone, "_id", "left").withColumn("_gone", F.coalesce("_gone", F.array().cast("array<int>")))
+    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn("_lines", F.split("text", "\n")).drop("text")
+    out = keyed.join(gone, ["_id", ROW], "left").withColumn("_gone", F.coalesce("_gone", F.array().cast("array<int>")))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     out = out.withColumn("text", F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n"))
     out = out.withColumn("n_lines", F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines"))).withColumn("n_removed", F.size("_gone"))
-    return out.select(*docs.columns, *[c for c in ("n_lines", "n_removed") if c not in docs.columns])
+    return out.select(*names, *[c for c in ("n_lines", "n_removed") if c not in names])

@@ -67,6 +67,24 @@ def test_odd_texts(spark, rows):
     assert near_groups(df.limit(0)).collect() == []
 
 
+def test_words_that_one_hash_confuses_are_different(spark, rows):
+    """A Thue-Morse word of 1,024 letters and its complement agree in every polynomial hash modulo 2**64."""
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    df = spark.createDataFrame([(1, one), (2, other), (3, f"{one} x y z w v u"), (4, f"{other} x y z w v u")], "doc_id long, text string")
+    assert rows(near_groups(df), "doc_id", "component_id") == [(1, 1), (2, 2), (3, 3), (4, 4)]
+
+
+def test_links_through_rows_without_id(spark, rows):
+    base = [f"w{i}" for i in range(100)]
+    middle = base + ["q1", "q2"]
+    df = spark.createDataFrame([(1, " ".join(base[7:] + ["q1", "q2"])), (2, " ".join(base[:-6])), (None, " ".join(middle[:-1])), (None, " ".join(middle)), (5, "alone")], "doc_id long, text string")
+    want = brute_groups([(i, t) for i, t in [(1, " ".join(base[7:] + ["q1", "q2"])), (2, " ".join(base[:-6])), (98, " ".join(middle[:-1])), (99, " ".join(middle)), (5, "alone")]])
+    got = rows(near_groups(df), "doc_id", "component_id")
+    assert {w[2] for w in want if w[0] in (1, 2)} == {1}
+    assert got == sorted([(1, 1), (2, 1), (None, 1), (None, 1), (5, 5)], key=repr)
+
+
 def test_boundary_follows_cost():
     assert boundary({10: 1000, 500: 1000}, 0.0) < 10
     assert boundary({10: 1000, 500: 1000}, 1e6) >= 10
@@ -79,16 +97,24 @@ def test_long_chain_is_one_component(spark, rows):
 
 
 def brute_vectors(found):
-    ok = [(i, np.array(v, float)) for i, v in found if v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    ok = [(i, np.array(v, float) / max(map(abs, v))) for i, v in found if v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     links = [(a, b) for n, (a, x) in enumerate(ok) for b, y in ok[:n] if len(x) == len(y) and x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.9]
     groups = components([i for i, _ in found], links)
     return {i: (sum(i in l for l in links), groups[i]) for i, _ in found}
 
 
-def test_vectors_against_brute_force(spark):
-    df = spark.read.parquet(f"{FOLDER}/embeddings.parquet").select("vec_id", "embedding")
-    want = brute_vectors([tuple(r) for r in df.collect()])
-    got = {r.vec_id: (r.n_links, r.component_id) for r in QUERIES["op1_embedding_near_dedup"](spark, FOLDER).collect()}
+def test_vectors_against_brute_force(spark, tmp_path):
+    """The given vectors, with copies and turned copies of every third one added."""
+    df = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
+    rng, found = np.random.default_rng(2), [tuple(r) for r in df.select("vec_id", "embedding").collect()]
+    for n, (_, v) in enumerate(found[:300:3]):
+        v = np.array(v)
+        for k in range(n % 3 + 1):
+            turned = v if k == 2 else v + rng.normal(size=len(v)) * np.linalg.norm(v) * 0.4 / np.sqrt(len(v))
+            found.append((100_000 + 10 * n + k, np.float32(turned).tolist()))
+    spark.createDataFrame(found, df.select("vec_id", "embedding").schema).write.parquet(str(tmp_path / "embeddings.parquet"))
+    want = brute_vectors(found)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in QUERIES["op1_embedding_near_dedup"](spark, str(tmp_path)).collect()}
     assert any(n for n, _ in want.values())
     assert got == want
 
@@ -126,7 +152,8 @@ def test_no_link_of_a_hot_group_is_lost(spark, monkeypatch, block):
 
 def test_odd_vectors(spark):
     data = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1.0, 0.0]), (8, [2.0, 0.0]),
-            (9, [1.0, 0.0]), (10, [1.0, 0.45]), (11, [0.0, 1.0]), (12, [1.0, 0.0, 0.0]), (13, [1.0, 0.0, 0.01])]
+            (9, [1.0, 0.0]), (10, [1.0, 0.45]), (11, [0.0, 1.0]), (12, [1.0, 0.0, 0.0]), (13, [1.0, 0.0, 0.01]),
+            (14, [1e200, 1e200]), (15, [2e200, 2e200]), (16, [3e-200, 3e-200]), (17, [1e-320, 0.0]), (18, [float("nan"), None]), (19, [None, float("nan")])]
     df = spark.createDataFrame([(i, v, "x") for i, v in data], "vec_id long, embedding array<double>, cells string")
     got = {r.vec_id: (r.n_links, r.component_id) for r in link_vectors(df).collect()}
     assert got == brute_vectors(data)

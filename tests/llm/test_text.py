@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
 from etlkit.llm.common import table
-from etlkit.llm.decontaminate import find_leaks, longest_common, verdict
+from etlkit.llm.decontaminate import common_lengths, find_leaks, longest_common, verdicts
 from etlkit.llm.language import identify_documents, identify_pages, train
 from etlkit.llm.line_dedup import drop_repeated_lines
 from etlkit.llm.queries import QUERIES, SQL
@@ -64,6 +65,15 @@ def test_lines_against_brute_force(spark):
     assert drop_repeated_lines(df.limit(0)).collect() == []
 
 
+def test_rows_of_one_id_are_told_apart(spark):
+    """A unique line stays, whatever another row of its id, or another row without one, holds at its place."""
+    known, near = "the line that all of them may know", "the line that all of them may knov"
+    data = [(1, known), (7, near), (7, "a line that nobody else has anywhere"), (None, known), (None, "another line that nobody has but this"), (None, "x\n" + known), (None, "x")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id if r.doc_id is not None else 99, r.text) for r in drop_repeated_lines(df).collect())
+    assert got == [(1, known), (7, ""), (7, data[2][1]), (99, ""), (99, ""), (99, data[4][1]), (99, "x")]
+
+
 def test_languages(spark):
     docs = table(spark, FOLDER, "documents")
     languages, model = train(docs)
@@ -100,11 +110,44 @@ def test_common_subsequence():
                 new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
             row = new
         assert longest_common(a, b) == row[-1]
+        masks = np.zeros(5, np.uint64)
+        many = np.array([b, b[::-1], [4] * len(b)])
+        for item in (a, (a * 70)[:70]):
+            assert common_lengths(np.array(item), many, masks).tolist() == [longest_common(item, r) for r in many.tolist()]
+        assert not masks.any()
 
 
 def test_short_items_stand_in_one_piece():
-    assert verdict([1, 2, 3], [9, 1, 2, 3, 9])[2] and verdict([1, 2, 3], [1, 2, 3])[2]
-    assert not verdict([1, 2, 3], [1, 9, 2, 8, 3])[2] and not verdict([1, 2, 3], [1, 2])[2]
+    leaks = lambda *regions: verdicts(np.array([1, 2, 3]), np.array(regions), np.zeros(10, np.uint64))[2].tolist()
+    assert leaks([9, 1, 2, 3, 9], [1, 2, 3, 9, 9], [1, 9, 2, 8, 3], [1, 2, 9, 9, 9]) == [True, True, False, False]
+    assert leaks([1, 2]) == [False]
+
+
+@pytest.mark.parametrize("replaced", [0.0, 0.3])
+def test_items_of_each_length_are_found_in_other_texts(spark, replaced):
+    """Items of words of the corpus, put into documents that have nothing to do with them; 0.9 of each length at least.
+
+    With replaced words items of fewer words than an answer are no leak, since those have to stand whole."""
+    rng = random.Random(11)
+    docs = [(r.doc_id, r.text.split()) for r in table(spark, FOLDER, "documents").where("length(text) > 600").collect()]
+    vocabulary = sorted({"".join(c for c in w if c.isalnum()) for _, t in docs for w in t} - {""})
+    lengths = [n for n in (4, 6, 8, 10, 12, 16, 20, 24, 40) if n >= 8 or not replaced]
+    items, planted = [], {}
+    for n in lengths:
+        for _ in range(40):
+            words = rng.sample(vocabulary, n)
+            keep = rng.sample(range(n), int(n * replaced))
+            shown = [rng.choice(vocabulary) if i in keep else w for i, w in enumerate(words)]
+            doc, text = docs[len(items) % len(docs)]
+            at = rng.randrange(len(text))
+            text[at:at] = shown
+            planted[len(items)] = (doc, n)
+            items.append((len(items), " ".join(words)))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string").repartition(8)
+    got = {(r.doc_id, r.item_id) for r in find_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    shares = {n: sum((d, k) in got for k, (d, m) in planted.items() if m == n) / 40 for n in lengths}
+    assert min(shares.values()) >= 0.9, shares
+    assert len(got - {(d, k) for k, (d, _) in planted.items()}) <= 0.01 * len(planted)
 
 
 def test_leaks(spark):

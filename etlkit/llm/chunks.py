@@ -75,12 +75,12 @@ class Chunks:
                     yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([chunk], pa.int64()), pa.array([value], pa.binary())], ["part", "chunk", "data"])
         return self._with(answers).mapInArrow(each, "part int, chunk long, data binary")
 
-    def route(self, questions, answers: DataFrame, number: bool = True) -> DataFrame:
+    def route(self, questions, answers: DataFrame, number: bool = True, every: bool = False) -> DataFrame:
         """(chunk, data): what `questions(ids, ends, data, answers)` returns by the chunk it is for. Chunks without
-        answers are not asked; with `number` the first of the answers is the chunk's own number."""
+        answers are asked only with `every`; with `number` the first of the answers is the chunk's own number."""
         def each(batches):
             for chunk, texts, got in _rows(batches):
-                if got:
+                if got or every:
                     for to, value in questions(*texts, [chunk.to_bytes(8, "little")] * number + got).items():
                         yield pa.RecordBatch.from_arrays([pa.array([to], pa.int64()), pa.array([value], pa.binary())], ["chunk", "data"])
         return self._with(answers).mapInArrow(each, "chunk long, data binary")

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from etlkit.llm.chunks import LAST, Chunks, answered, parts_for
-from etlkit.llm.common import runs_of, staged, words_of
+from etlkit.llm.common import BASE, SPACES, discard, mixed, released, runs_of, staged, words_of
 from etlkit.llm.decontaminate import longest_common
-from etlkit.llm.suffix_dedup import _listed, _raw, _read, dealt
+from etlkit.llm.suffix_dedup import _listed, _raw, _read
 
 SEED_WORDS = 5
-REACH = 1  # successive seeds of which the one with the least hash is kept; 1 keeps all, as edits leave few of a passage
+LENGTHS = (5, 10, 20)  # words of the runs that are joined; each twice the one before, the first SEED_WORDS, the last PIECE
 GAP_COST = 0.05  # per word between two seeds of a chain, on either side
 WIDEN = 24  # words beyond an end of a chain that are aligned at once
 BAND = 8  # words by which the sides may shift there
@@ -24,67 +24,126 @@ ALIKE = 0.8  # least share of words in common order
 
 
 class Words:
-    """Words of a chunk's texts and the kept seeds among their runs of SEED_WORDS."""
+    """Words of a chunk's texts, and where runs of SEED_WORDS begin and what they hash to."""
 
     def __init__(self, ids, ends, data):
-        self.ids, self.ends, self.data = ids, ends, data
+        self.ids, self.ends = ids, ends
         self.hashes, self.where, self.start, self.end = words_of(data, ends)
         self.first = np.searchsorted(self.where, np.arange(len(ids) + 1))
         seeds = runs_of(self.hashes, SEED_WORDS)
         inside = self.where[:len(seeds)] == self.where[SEED_WORDS - 1:] if len(seeds) else np.zeros(0, bool)
-        at = np.flatnonzero(inside)
-        seeds, of = seeds[at], self.where[at] if len(at) else np.zeros(0, np.int64)
-        keep = np.zeros(len(at), bool)
-        n = len(at)
-        if n:
-            # Places of the least seeds of all windows of REACH runs, and of texts with fewer.
-            padded = np.concatenate([seeds, np.full(REACH - 1, np.uint64(0xFFFFFFFFFFFFFFFF))])
-            owner = np.concatenate([of, np.full(REACH - 1, -1)])
-            best = np.arange(n)
-            for step in range(1, REACH):
-                other = np.arange(n) + step
-                closer = (owner[other] == of) & (padded[other] < padded[best])
-                best = np.where(closer, other, best)
-            left = np.bincount(of, minlength=len(ids))
-            place = np.arange(n) - np.searchsorted(of, of)
-            whole = (place + REACH <= left[of]) | (place == 0)
-            keep[best[whole]] = True
-        self.seeds, self.at, self.of = seeds[keep], at[keep], of[keep]
-
-    def earliest(self):
-        """First (document, place) of each distinct seed: seeds, text numbers, word places in the text."""
-        place = self.at - self.first[self.of]
-        order = np.lexsort((place, self.ids[self.of], self.seeds))
+        self.at = np.flatnonzero(inside)
+        self.seeds = seeds[self.at]
+        self.runs = seeds
+
+    def distinct(self):
+        """The distinct seeds, sorted, and which of them occur more than once here."""
+        order = np.sort(self.seeds)
+        head = np.ones(len(order), bool)
+        head[1:] = order[1:] != order[:-1]
+        at = np.flatnonzero(head)
+        return order[at], np.diff(at, append=len(order)) > 1
+
+    def repeated(self, flags: list[bytes], parts: int):
+        """Runs of 5, 10 and 20 words (LENGTHS) all of whose seeds occur elsewhere too: hash, first word, length."""
+        seeds, often = self.distinct()
+        cuts = _cuts(seeds, parts)
+        for f in flags:
+            p = int.from_bytes(f[:4], "little")
+            n = cuts[p + 1] - cuts[p]
+            often[cuts[p]:cuts[p + 1]] |= np.unpackbits(np.frombuffer(f, np.uint8, offset=4), count=n).astype(bool)
+        known = seeds[often]
+        hit = np.zeros(len(self.hashes) + 1, np.int64)
+        if len(known):
+            found = np.minimum(np.searchsorted(known, self.seeds), len(known) - 1)
+            hit[self.at[known[found] == self.seeds] + 1] = 1
+        before = np.cumsum(hit)
+        out, runs, length = [], self.runs, SEED_WORDS
+        for k in LENGTHS:
+            if k > length:  # two runs of half the length, one after the other
+                half = max(0, len(runs) - length)
+                runs, length = mixed(runs[:half] * BASE + runs[length:length + half] + np.uint64(k)), k
+            need = k - SEED_WORDS + 1
+            at = np.flatnonzero(before[need:len(runs) + need] - before[:len(runs)] == need)
+            out.append((runs[at], at, np.full(len(at), k)))
+        return [np.concatenate(x) for x in zip(*out)]
+
+    def spot(self, at: np.ndarray) -> np.ndarray:
+        """Text number and place in the text of words, in one number."""
+        text = self.where[at].astype(np.int64) if len(at) else np.zeros(0, np.int64)
+        return text << 32 | (at - self.first[text])
+
+    def earliest(self, runs: np.ndarray, at: np.ndarray):
+        """First document and place of each distinct run: runs, documents, spots."""
+        spot = self.spot(at)
+        doc = self.ids[spot >> 32]
+        order = np.lexsort((spot, doc, runs))
         head = np.ones(len(order), bool)
-        head[1:] = self.seeds[order][1:] != self.seeds[order][:-1]
+        head[1:] = runs[order][1:] != runs[order][:-1]
         order = order[head]
-        return self.seeds[order], self.of[order], place[order]
+        return runs[order], doc[order], spot[order]
 
 
-def _seeds(parts):
+def _cuts(runs: np.ndarray, parts: int) -> np.ndarray:
+    """Where sorted hashes fall into `parts` equal ranges."""
+    bounds = np.array([(p << 64) // parts for p in range(parts)], np.uint64)
+    return np.append(np.searchsorted(runs, bounds), len(runs))
+
+
+def _prints(parts):
+    """To each range of hashes: the low halves of a chunk's distinct seeds."""
     def ask(ids, ends, data, _):
+        seeds, _ = Words(ids, ends, data).distinct()
+        cuts, low = _cuts(seeds, parts), seeds.astype(np.uint32)
+        return {p: p.to_bytes(4, "little") + low[a:b].tobytes() for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a}
+    return ask
+
+
+def _met(blobs):
+    """To each chunk: which of its seeds another chunk has too, as bits. Equal halves of unequal seeds only add a few."""
+    prints = [np.frombuffer(b, np.uint32, offset=4) for b in blobs]
+    together = np.concatenate(prints)
+    order = np.sort(together)
+    often = np.unique(order[1:][order[1:] == order[:-1]])
+    out = []
+    for b, mine in zip(blobs, prints):
+        hit = often[np.minimum(np.searchsorted(often, mine), len(often) - 1)] == mine if len(often) else np.zeros(len(mine), bool)
+        out.append(b[:4] + np.packbits(hit).tobytes() if hit.any() else None)
+    return out
+
+
+def _seeds(parts):
+    def ask(ids, ends, data, flags):
         w = Words(ids, ends, data)
-        seeds, of, place = w.earliest()
-        return {p: _raw(seeds[i], ids[of[i]], place[i].astype(np.uint32)) for p, i in dealt(seeds, parts)}
+        runs, at, _ = w.repeated(flags, parts)
+        runs, doc, spot = w.earliest(runs, at)
+        cuts = _cuts(runs, parts)
+        return {p: _raw(runs[a:b], doc[a:b], spot[a:b]) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a}
     return ask
 
 
-def _first_places(blobs, numbers):
-    """To each chunk, for its seeds that an earlier document of another chunk has: seed, that document, place, chunk."""
-    rows = [_read(b, np.uint64, np.int64, np.uint32) for b in blobs]
-    seed, doc, place = (np.concatenate([r[i] for r in rows]) for i in range(3))
+def _places(blobs, numbers):
+    """To each chunk, for its runs that an earlier document of another chunk has: run, document, spot and chunk of the
+    first such place, and of the last one before the chunk's own."""
+    rows = [_read(b, np.uint64, np.int64, np.int64) for b in blobs]
+    run, doc, spot = (np.concatenate([r[i] for r in rows]) for i in range(3))
     chunk = np.repeat(numbers, [len(r[0]) for r in rows])
-    order = np.lexsort((chunk, place, doc, seed))
-    head = np.ones(len(order), bool)
-    head[1:] = seed[order][1:] != seed[order][:-1]
-    lead = np.empty(len(order), np.int64)
-    lead[order] = order[np.flatnonzero(head)][np.cumsum(head) - 1]
+    order = np.lexsort((spot, chunk, doc, run))
+    new = np.ones(len(order), bool)
+    new[1:] = run[order][1:] != run[order][:-1]
+    lead, last = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    lead[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    step = new.copy()
+    step[1:] |= doc[order][1:] != doc[order][:-1]
+    at = np.flatnonzero(step)[np.cumsum(step) - 1] - 1  # in order, the row before the first one of this document
+    last[order] = order[np.maximum(at, 0)]
     out, at = [], 0
     for r in rows:
         mine = np.arange(at, at + len(r[0]))
         mine = mine[doc[lead[mine]] < doc[mine]]
-        i = lead[mine]
-        out.append(_raw(seed[mine], doc[i], place[i], chunk[i]) if len(mine) else None)
+        other = mine[last[mine] != lead[mine]]
+        of, i = np.concatenate([mine, other]), np.concatenate([lead[mine], last[other]])
+        out.append(_raw(run[of], doc[i], spot[i], chunk[i]) if len(of) else None)
         at += len(r[0])
     return out
 
@@ -131,72 +190,116 @@ def chain(q: list[int], r: list[int]) -> list[list[int]]:
     return out
 
 
-def chains_of(w: Words, answers: list[bytes]):
-    """(text, document referred to, its chunk or -1 if in this chunk, q from, q to, r from, r to) of chains long enough.
+def chains_of(w: Words, kept, answers: list[bytes]):
+    """(text, chunk referred to or -1 if this one, text there, document there, q from, q to, r from, r to) of chains of two
+    matches or more, and of equal pieces.
 
-    Every seed is matched with its first place in the corpus, so a seed that many documents share gives one match per
-    occurrence and no pairs among them.
+    Every run is matched with its first place in the corpus, its first place in this chunk and the last place before that,
+    so a run that many documents share gives at most three matches per occurrence and no pairs among them. A passage can
+    hide behind other places of its seeds, but not behind those of its runs of 20 words: their first place shares a whole
+    piece. A longer run stands for the seeds at its ends.
     """
-    seeds, of, place = w.earliest()
-    doc, chunk = w.ids[of].copy(), np.full(len(seeds), -1, np.int64)
-    place = place.copy()
-    far = _listed(answers, np.uint64, np.int64, np.uint32, np.int64)
-    at = np.searchsorted(seeds, far[0])
-    doc[at], place[at], chunk[at] = far[1], far[2], far[3]
-    match = np.searchsorted(seeds, w.seeds)
-    later = doc[match] < w.ids[w.of] if len(match) else np.zeros(0, bool)
-    q = (w.at - w.first[w.of])[later]
-    text, match = w.of[later], match[later]
-    order = np.lexsort((place[match], q, doc[match], text))
-    text, q, match = text[order], q[order], match[order]
-    cut = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(doc[match], prepend=-2) != 0)) if len(text) else np.zeros(0, int)
-    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(text)]):
-        if b - a < 2:
-            continue
-        qs, rs = q[a:b].tolist(), place[match[a:b]].tolist()
-        for found in chain(qs, rs):
-            q0, q1, r0, r1 = qs[found[0]], qs[found[-1]] + SEED_WORDS, rs[found[0]], rs[found[-1]] + SEED_WORDS
-            if len(found) > 1:
-                yield int(text[a]), int(doc[match[a]]), int(chunk[match[a]]), q0, q1, r0, r1
+    runs, at, length = kept
+    known, doc, spot = w.earliest(runs, at)
+    far = _listed(answers, np.uint64, np.int64, np.int64, np.int64)
+    which = np.concatenate([np.arange(len(known)), np.searchsorted(known, far[0])])
+    doc, spot = np.concatenate([doc, far[1]]), np.concatenate([spot, far[2]])
+    chunk = np.concatenate([np.full(len(known), -1, np.int64), far[3]])
+    order = np.argsort(which, kind="stable")
+    begin = np.searchsorted(which[order], np.arange(len(known) + 1))
+    match = np.searchsorted(known, runs)
+    n = np.diff(begin)[match] if len(match) else np.zeros(0, np.int64)
+    mine = np.repeat(np.arange(len(runs)), n)
+    other = order[begin[match[mine]] + np.arange(len(mine)) - np.repeat(np.cumsum(n) - n, n)] if len(mine) else np.zeros(0, np.int64)
+    here = w.spot(at)
+    later = doc[other] < w.ids[here[mine] >> 32]
+    mine, other = mine[later], other[later]
+    low = (1 << 32) - 1
+    text, q, r, k = here[mine] >> 32, here[mine] & low, spot[other] & low, spot[other] >> 32
+    chunk, doc, shift = chunk[other], doc[other], length[mine] - SEED_WORDS
+    whole = np.flatnonzero(length[mine] == PIECE)  # equal pieces stand by themselves too, whatever the chains make of them
+    whole = whole[np.lexsort((*(x[whole] for x in (q, q - r, k, chunk, text)),))]
+    if len(whole):
+        apart = np.ones(len(whole), bool)
+        apart[1:] = False
+        for x, step in ((text, 0), (chunk, 0), (k, 0), (q, 1), (r, 1)):
+            apart[1:] |= np.diff(x[whole]) != step
+        cut = np.flatnonzero(apart)
+        for a, b in zip(whole[cut].tolist(), whole[np.append(cut[1:], len(whole)) - 1].tolist()):
+            yield int(text[a]), int(chunk[a]), int(k[a]), int(doc[a]), int(q[a]), int(q[b]) + PIECE, int(r[a]), int(r[b]) + PIECE
+    text, q, r, k, chunk, doc = (np.concatenate(x) for x in ((text, text), (q, q + shift), (r, r + shift), (k, k), (chunk, chunk), (doc, doc)))
+    order = np.lexsort((r, q, k, chunk, text))
+    text, q, r, k, chunk, doc = (x[order] for x in (text, q, r, k, chunk, doc))
+    group, same = np.ones(len(text), bool), np.zeros(len(text), bool)
+    group[1:] = (text[1:] != text[:-1]) | (chunk[1:] != chunk[:-1]) | (k[1:] != k[:-1])
+    same[1:] = ~group[1:] & (q[1:] == q[:-1]) & (r[1:] == r[:-1])
+    text, q, r, k, chunk, doc, group = (x[~same] for x in (text, q, r, k, chunk, doc, group))
+    cut = np.flatnonzero(group)
+    to = np.append(cut[1:], len(text))
+    several = to - cut > 1
+    for a, b in zip(cut[several].tolist(), to[several].tolist()):
+        qs, rs = q[a:b], r[a:b]
+        steps = np.diff(qs)
+        if (rs - qs == rs[0] - qs[0]).all() and steps.max() * 2 * GAP_COST < SEED_WORDS:  # one chain, whatever the costs
+            found = [(int(qs[0]), int(qs[-1]), int(rs[0]), int(rs[-1]))]
+        else:
+            qs, rs = qs.tolist(), rs.tolist()
+            found = [(qs[c[0]], qs[c[-1]], rs[c[0]], rs[c[-1]]) for c in chain(qs, rs) if len(c) > 1]
+        for q0, q1, r0, r1 in found:
+            yield int(text[a]), int(chunk[a]), int(k[a]), int(doc[a]), q0, q1 + SEED_WORDS, r0, r1 + SEED_WORDS
 
 
 PAD = 2 * WIDEN
 
 
-def _requests(chunks: Chunks, answers: DataFrame) -> DataFrame:
-    """(chunk, data): to the chunks of the documents referred to, which words are wanted by whom."""
+def _requests(chunks: Chunks, answers: DataFrame, parts: int) -> DataFrame:
+    """(chunk, data): to each chunk its own chains (tag 3), and to those referred to which words are wanted by whom (tag 4)."""
     def ask(ids, ends, data, got):
         number = int.from_bytes(got[0], "little")
+        w = Words(ids, ends, data)
+        chains = sorted(set(chains_of(w, w.repeated(_tagged(got[1:], b"1"), parts), _tagged(got[1:], b"2"))))
         wanted: dict[int, set] = {}
-        for _, doc, chunk, _, _, r0, r1 in chains_of(Words(ids, ends, data), got[1:]):
+        for _, chunk, k, _, _, _, r0, r1 in chains:
             if chunk >= 0:
-                wanted.setdefault(chunk, set()).add((doc, max(0, r0 - PAD), r1 + PAD))
-        return {c: _raw(*[np.array(x, np.int64) for x in zip(*((number, *s) for s in sorted(spans)))]) for c, spans in wanted.items()}
-    return chunks.route(ask, answers)
+                wanted.setdefault(chunk, set()).add((k, max(0, r0 - PAD), r1 + PAD))
+        out = {c: b"4" + _raw(*[np.array(x, np.int64) for x in zip(*((number, *s) for s in sorted(spans)))]) for c, spans in wanted.items()}
+        return out | ({number: b"3" + _raw(*[np.array(x, np.int64) for x in zip(*chains)])} if chains else {})
+    return chunks.route(ask, answers, every=True)
+
+
+def _some(numbers, ids, ends, data) -> Words:
+    """Words of the texts with these numbers."""
+    numbers = np.asarray(numbers, np.int64)
+    sub = np.concatenate([[0], np.cumsum(ends[numbers + 1] - ends[numbers])]).astype(np.int64)
+    return Words(ids[numbers], sub, np.concatenate([data[ends[k]:ends[k + 1]] for k in numbers.tolist()]))
 
 
 def _responses(chunks: Chunks, requests: DataFrame) -> DataFrame:
     def ask(ids, ends, data, got):
-        w = Words(ids, ends, data)
-        asker, doc, r0, r1 = _listed(got, *[np.int64] * 4)
-        number = {d: k for k, d in reversed(list(enumerate(ids.tolist())))}
+        asker, k, r0, r1 = _listed([g[1:] for g in got[1:]], *[np.int64] * 4)
+        numbers, row = np.unique(k, return_inverse=True)
+        w = _some(numbers, ids, ends, data)
         out: dict[int, list[bytes]] = {}
-        for a, d, x, y in zip(asker.tolist(), doc.tolist(), r0.tolist(), r1.tolist()):
-            k = number[d]
-            words = w.hashes[w.first[k] + x:min(w.first[k] + y, w.first[k + 1])]
-            out.setdefault(a, []).append(np.array([d, x, len(words)], np.int64).tobytes() + words.tobytes())
-        return {a: b"".join(x) for a, x in out.items()}
-    return chunks.route(ask, requests, number=False)
+        for a, i, t, x, y in zip(asker.tolist(), row.tolist(), k.tolist(), r0.tolist(), r1.tolist()):
+            words = w.hashes[w.first[i] + x:min(w.first[i] + y, w.first[i + 1])]
+            out.setdefault(a, []).append(got[0] + np.array([t, x, len(words)], np.int64).tobytes() + words.tobytes())
+        return {a: b"5" + b"".join(x) for a, x in out.items()}
+    return chunks.route(ask, requests.where(F.substring("data", 1, 1) == F.lit(b"4")))
 
 
-def _texts(answers: list[bytes]) -> dict[tuple[int, int], np.ndarray]:
+def _tagged(answers: list[bytes], tag: bytes) -> list[bytes]:
+    return [a[1:] for a in answers if a[:1] == tag]
+
+
+def _texts(answers: list[bytes]) -> dict[tuple[int, int, int], np.ndarray]:
+    """Words by the chunk they came from, the text there and the place of the first one."""
     out = {}
     for data in answers:
         at = 0
         while at < len(data):
-            d, x, n = np.frombuffer(data, np.int64, 3, at).tolist()
-            out[d, x] = np.frombuffer(data, np.uint64, n, at + 24)
-            at += 24 + 8 * n
+            c, k, x, n = np.frombuffer(data, np.int64, 4, at).tolist()
+            out[c, k, x] = np.frombuffer(data, np.uint64, n, at + 32)
+            at += 32 + 8 * n
     return out
 
 
@@ -248,21 +351,30 @@ def aligned(q: np.ndarray, q0: int, q1: int, r: np.ndarray, r0: int, r1: int) ->
     return None
 
 
+def _word_counts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    begins = np.zeros(len(data) + 1, bool)  # whether a text begins here
+    begins[ends[:-1]] = True
+    space = SPACES[data]
+    first = ~space
+    first[1:] &= space[:-1] | begins[1:-1]
+    return np.diff(np.concatenate([[0], np.cumsum(first)])[ends])
+
+
 SCHEMA = "doc_id long, n_words long, n_removed long, spans array<struct<first:long,last:long,other:long>>, text binary"
 
 
 def _result(ids, ends, data, tagged):
-    w = Words(ids, ends, data)
-    texts = _texts([a[1:] for a in tagged if a[:1] == b"2"])
-    number = {d: k for k, d in reversed(list(enumerate(ids.tolist())))}
+    chains = list(zip(*[x.tolist() for x in _listed(_tagged(tagged, b"3"), *[np.int64] * 8)]))
+    texts = _texts(_tagged(tagged, b"5"))
+    numbers = sorted({c[0] for c in chains} | {c[2] for c in chains if c[1] < 0})
+    w = _some(numbers, ids, ends, data) if numbers else None
+    row = {k: i for i, k in enumerate(numbers)}
+    words = lambda k: w.hashes[w.first[row[k]]:w.first[row[k] + 1]]
     pieces: dict[int, list] = {}
-    for k, doc, chunk, q0, q1, r0, r1 in chains_of(w, [a[1:] for a in tagged if a[:1] == b"1"]):
-        if chunk < 0:
-            r, shift = w.hashes[w.first[number[doc]]:w.first[number[doc] + 1]], 0
-        else:
-            shift = max(0, r0 - PAD)
-            r = texts[doc, shift]
-        span = aligned(w.hashes[w.first[k]:w.first[k + 1]], q0, q1, r, r0 - shift, r1 - shift)
+    for k, chunk, other, doc, q0, q1, r0, r1 in chains:
+        shift = 0 if chunk < 0 else max(0, r0 - PAD)
+        r = words(other) if chunk < 0 else texts[chunk, other, shift]
+        span = aligned(words(k), q0, q1, r, r0 - shift, r1 - shift)
         if span:
             pieces.setdefault(k, []).append((*span, doc))
     spans, removed, kept = [], [], []
@@ -276,12 +388,12 @@ def _result(ids, ends, data, tagged):
         out = [s for s in out if s[1] - s[0] >= PASSAGE]
         gone = np.zeros(ends[k + 1] - ends[k], bool)
         for a, b, _ in out:
-            gone[w.start[w.first[k] + a] - ends[k]:w.end[w.first[k] + b - 1] - ends[k]] = True
+            gone[w.start[w.first[row[k]] + a] - w.ends[row[k]]:w.end[w.first[row[k]] + b - 1] - w.ends[row[k]]] = True
         spans.append([{"first": a, "last": b - 1, "other": doc} for a, b, doc in out])
         removed.append(sum(b - a for a, b, _ in out))
         kept.append(data[ends[k]:ends[k + 1]][~gone].tobytes())
     return pa.RecordBatch.from_arrays([
-        pa.array(ids, mask=ids == LAST), pa.array(np.diff(w.first)), pa.array(removed, pa.int64()),
+        pa.array(ids, mask=ids == LAST), pa.array(_word_counts(data, ends)), pa.array(removed, pa.int64()),
         pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("other", pa.int64())]))), pa.array(kept, pa.binary())],
         ["doc_id", "n_words", "n_removed", "spans", "text"])
 
@@ -289,8 +401,9 @@ def _result(ids, ends, data, tagged):
 def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, spans (first and last word, document it repeats), text (what stays, UTF-8 bytes).
 
-    A passage of PASSAGE words or more goes if documents with smaller ids hold it, up to a fifth of its words. Seeds are
-    joined with their first place in the corpus, chained per document and document referred to, and chains are
+    A passage of PASSAGE words or more goes if documents with smaller ids hold it, up to a fifth of its words. Seeds, and runs
+    of 10 and 20 words, that occur more than once are joined with places of theirs in earlier documents (see `chains_of`),
+    chained per document and document referred to, and chains are
     aligned with that document's words; pieces that follow one another count together. Words stand between white
     space, A-Z in lower case. NULL texts count as empty, NULL ids stand after all others; rows that share an id do not
     repeat each other; an empty table gives no rows; other columns are ignored.
@@ -298,7 +411,13 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     chunks = Chunks(docs, "passages")
     parts = parts_for(chunks.count, 1 << 20)
     tag = lambda df, k: df.select("chunk", F.concat(F.lit(k).cast("binary"), F.col("data")).alias("data"))
-    places = staged(answered(chunks.ask(_seeds(parts), None, parts), _first_places, numbered=True), "places")
-    requests = staged(_requests(chunks, places), "requests")
+    spark = docs.sparkSession
+    flags = staged(answered(chunks.ask(_prints(parts), None, parts), _met), "flags")
+    released(spark)
+    places = staged(answered(chunks.ask(_seeds(parts), flags, parts), _places, numbered=True), "places")
+    released(spark)
+    requests = staged(_requests(chunks, tag(flags, "1").union(tag(places, "2")), parts), "requests")
+    discard(flags, places)
     responses = staged(_responses(chunks, requests), "responses")
-    return chunks.finish(_result, SCHEMA, tag(places, "1").union(tag(responses, "2")))
+    released(spark)
+    return chunks.finish(_result, SCHEMA, requests.union(responses))

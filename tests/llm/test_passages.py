@@ -70,3 +70,56 @@ def test_random_edits(spark):
     found = [sum(r.n_removed >= 50 for r in got if r.doc_id // 1000 == 10 + kind) for kind in range(len(kinds))]
     print("found", found)
     assert min(found) >= 45, found
+
+
+def test_passages_hidden_behind_other_places(spark):
+    """Three documents share a passage whose runs of five words each stand in some other, earlier document too."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    fresh = lambda n: [word() for _ in range(n)]
+    rows, passage = [], fresh(80)
+    edited = [word() if i % 16 == 8 else w for i, w in enumerate(passage)]
+    for i in range(76):
+        rows.append((i, " ".join(fresh(15) + passage[i:i + 5] + fresh(15))))
+    for i, p in ((1000, passage), (2000, passage), (3000, passage), (4000, edited)):
+        rows.append((i, " ".join(fresh(30) + p + fresh(30))))
+    for n in (1, 6):  # in one chunk and in several
+        got = remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(n)).collect()
+        assert {r.doc_id: r.n_removed for r in got if r.n_removed} == {2000: 80, 3000: 80, 4000: 80}
+
+
+def test_exact_passages_against_brute_force(spark):
+    """Small vocabularies, so that seeds recur by chance: every run of 50 words that an earlier document holds goes."""
+    rng = random.Random(7)
+    docs = {}
+    for i in range(60):
+        words = [rng.choice("abc") for _ in range(rng.randrange(20, 200))]
+        if i > 5 and i % 2:
+            other = docs[rng.randrange(i)]
+            at = rng.randrange(len(other))
+            words[10:10] = other[at:at + rng.randrange(50, 90)]
+        docs[i] = words
+    got = {r.doc_id: r for r in remove_repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string").repartition(5)).collect()}
+    seen: set[tuple] = set()
+    planted = 0
+    for i, words in docs.items():
+        gone = {j for s in got[i].spans for j in range(s.first, s.last + 1)}
+        for j in range(len(words) - 49):
+            if tuple(words[j:j + 50]) in seen:
+                planted += 1
+                assert set(range(j, j + 50)) <= gone, (i, j)
+        seen.update(tuple(words[j:j + 50]) for j in range(len(words) - 49))
+        assert bytes(got[i].text).decode().split() == [w for j, w in enumerate(words) if j not in gone]
+    assert planted > 100
+
+
+def test_rows_that_share_an_id(spark):
+    """They do not repeat one another, whichever of them a later document repeats."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    fresh = lambda n: " ".join(word() for _ in range(n))
+    passage = fresh(60)
+    rows = [(1, "short one"), (1, f"{fresh(70)} {passage}"), (1, passage), (2, f"{fresh(5)} {passage}"), (None, passage), (None, passage)]
+    for n in (1, 4):
+        got = remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(n)).collect()
+        assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 60), (0, 60), (1, 0), (1, 0), (1, 0), (2, 60)]

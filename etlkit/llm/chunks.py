@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from etlkit.llm.common import columns_of, text_arrays
+from etlkit.llm.common import columns_of, text_arrays, tidy
 from etlkit.session import drop_scratch, scratch_path
 
 CHUNK_BYTES = 2 << 20
@@ -62,8 +62,9 @@ class Chunks:
         self.count = stored.count()
         self.tasks = max(1, -(-self.count // CHUNKS_PER_TASK))
         table = f"{name}_{uuid.uuid4().hex}"
-        stored.repartition(self.tasks, "chunk").write.bucketBy(self.tasks, "chunk").option("path", scratch_path(spark, f"{name}-bucketed")).option(
-            "compression", "none").saveAsTable(table)
+        with tidy(spark):
+            stored.repartition(self.tasks, "chunk").write.bucketBy(self.tasks, "chunk").option("path", scratch_path(spark, f"{name}-bucketed")).option(
+                "compression", "none").saveAsTable(table)
         self.rows = spark.table(table)
         drop_scratch(spark, path)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from etlkit.llm.chunks import LAST, Chunks, answered, parts_for
-from etlkit.llm.common import BASE, SPACES, discard, mixed, released, runs_of, staged, words_of
+from etlkit.llm.common import BASE, SPACES, discard, mixed, runs_of, staged, words_of
 from etlkit.llm.decontaminate import longest_common
 from etlkit.llm.suffix_dedup import _listed, _raw, _read
 
@@ -411,13 +411,9 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     chunks = Chunks(docs, "passages")
     parts = parts_for(chunks.count, 1 << 20)
     tag = lambda df, k: df.select("chunk", F.concat(F.lit(k).cast("binary"), F.col("data")).alias("data"))
-    spark = docs.sparkSession
     flags = staged(answered(chunks.ask(_prints(parts), None, parts), _met), "flags")
-    released(spark)
     places = staged(answered(chunks.ask(_seeds(parts), flags, parts), _places, numbered=True), "places")
-    released(spark)
     requests = staged(_requests(chunks, tag(flags, "1").union(tag(places, "2")), parts), "requests")
     discard(flags, places)
     responses = staged(_responses(chunks, requests), "responses")
-    released(spark)
     return chunks.finish(_result, SCHEMA, requests.union(responses))

@@ -13,7 +13,7 @@ from etlkit.llm.decontaminate import longest_common
 from etlkit.llm.suffix_dedup import _listed, _raw, _read
 
 SEED_WORDS = 5
-LENGTHS = (5, 10, 20)  # words of the runs that are joined; each twice the one before, the first SEED_WORDS, the last PIECE
+LENGTHS = (10, 20)  # words of longer runs that are joined; each twice the one before, beginning with SEED_WORDS; the last is PIECE
 GAP_COST = 0.05  # per word between two seeds of a chain, on either side
 WIDEN = 24  # words beyond an end of a chain that are aligned at once
 BAND = 8  # words by which the sides may shift there
@@ -45,7 +45,7 @@ class Words:
         return order[at], np.diff(at, append=len(order)) > 1
 
     def repeated(self, flags: list[bytes], parts: int):
-        """Runs of 5, 10 and 20 words (LENGTHS) all of whose seeds occur elsewhere too: hash, first word, length."""
+        """Seeds that occur elsewhere too (hash, first word), and for each word whether such a seed begins there."""
         seeds, often = self.distinct()
         cuts = _cuts(seeds, parts)
         for f in flags:
@@ -53,18 +53,32 @@ class Words:
             n = cuts[p + 1] - cuts[p]
             often[cuts[p]:cuts[p + 1]] |= np.unpackbits(np.frombuffer(f, np.uint8, offset=4), count=n).astype(bool)
         known = seeds[often]
-        hit = np.zeros(len(self.hashes) + 1, np.int64)
+        begins = np.zeros(len(self.hashes), bool)
         if len(known):
             found = np.minimum(np.searchsorted(known, self.seeds), len(known) - 1)
-            hit[self.at[known[found] == self.seeds] + 1] = 1
-        before = np.cumsum(hit)
+            begins[self.at[known[found] == self.seeds]] = True
+        at = np.flatnonzero(begins)
+        return self.runs[at], at, begins
+
+    def open_runs(self, begins: np.ndarray, found):
+        """Runs of 10 and 20 words (LENGTHS) all of whose seeds occur elsewhere too, but not known to stand whole in an earlier
+        document, as the seeds' matches would on one diagonal: hash, first word, length.
+
+        The first document that holds such a run cannot know it from an earlier one, so it always puts the run out."""
+        before = np.concatenate([[0], np.cumsum(begins)])
+        order, head, tail = _diagonals(found, 1)
+        text, q = found[0][order], found[1][order]
+        place = self.first[text] + q
         out, runs, length = [], self.runs, SEED_WORDS
         for k in LENGTHS:
-            if k > length:  # two runs of half the length, one after the other
-                half = max(0, len(runs) - length)
-                runs, length = mixed(runs[:half] * BASE + runs[length:length + half] + np.uint64(k)), k
+            half = max(0, len(runs) - length)  # two runs of half the length, one after the other
+            runs, length = mixed(runs[:half] * BASE + runs[length:length + half] + np.uint64(k)), k
             need = k - SEED_WORDS + 1
-            at = np.flatnonzero(before[need:len(runs) + need] - before[:len(runs)] == need)
+            wide = tail - head + 1 >= need
+            known = np.zeros(len(self.hashes) + 1, np.int64)
+            np.add.at(known, place[head[wide]], 1)
+            np.add.at(known, place[tail[wide]] - need + 2, -1)
+            at = np.flatnonzero((before[need:len(runs) + need] - before[:len(runs)] == need) & (np.cumsum(known)[:len(runs)] == 0))
             out.append((runs[at], at, np.full(len(at), k)))
         return [np.concatenate(x) for x in zip(*out)]
 
@@ -112,13 +126,24 @@ def _met(blobs):
     return out
 
 
+def _dealt(w: Words, runs, at, parts):
+    runs, doc, spot = w.earliest(runs, at)
+    cuts = _cuts(runs, parts)
+    return {p: _raw(runs[a:b], doc[a:b], spot[a:b]) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a}
+
+
 def _seeds(parts):
     def ask(ids, ends, data, flags):
         w = Words(ids, ends, data)
-        runs, at, _ = w.repeated(flags, parts)
-        runs, doc, spot = w.earliest(runs, at)
-        cuts = _cuts(runs, parts)
-        return {p: _raw(runs[a:b], doc[a:b], spot[a:b]) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a}
+        return _dealt(w, *w.repeated(flags, parts)[:2], parts)
+    return ask
+
+
+def _longer(parts):
+    def ask(ids, ends, data, got):
+        w = Words(ids, ends, data)
+        runs, at, begins = w.repeated(_tagged(got, b"1"), parts)
+        return _dealt(w, *w.open_runs(begins, _matches(w, runs, at, _tagged(got, b"2"))[0])[:2], parts)
     return ask
 
 
@@ -190,16 +215,12 @@ def chain(q: list[int], r: list[int]) -> list[list[int]]:
     return out
 
 
-def chains_of(w: Words, kept, answers: list[bytes]):
-    """(text, chunk referred to or -1 if this one, text there, document there, q from, q to, r from, r to) of chains of two
-    matches or more, and of equal pieces.
+def _matches(w: Words, runs, at, answers: list[bytes]):
+    """text, q, r, document there, text there and its chunk (-1: this one) for each run and place of it in an earlier document.
 
-    Every run is matched with its first place in the corpus, its first place in this chunk and the last place before that,
-    so a run that many documents share gives at most three matches per occurrence and no pairs among them. A passage can
-    hide behind other places of its seeds, but not behind those of its runs of 20 words: their first place shares a whole
-    piece. A longer run stands for the seeds at its ends.
+    A run is matched with its first place in the corpus, its first place in this chunk and the last place before that, so one
+    that many documents share gives at most three matches per occurrence and no pairs among them.
     """
-    runs, at, length = kept
     known, doc, spot = w.earliest(runs, at)
     far = _listed(answers, np.uint64, np.int64, np.int64, np.int64)
     which = np.concatenate([np.arange(len(known)), np.searchsorted(known, far[0])])
@@ -213,21 +234,43 @@ def chains_of(w: Words, kept, answers: list[bytes]):
     other = order[begin[match[mine]] + np.arange(len(mine)) - np.repeat(np.cumsum(n) - n, n)] if len(mine) else np.zeros(0, np.int64)
     here = w.spot(at)
     later = doc[other] < w.ids[here[mine] >> 32]
-    mine, other = mine[later], other[later]
-    low = (1 << 32) - 1
-    text, q, r, k = here[mine] >> 32, here[mine] & low, spot[other] & low, spot[other] >> 32
-    chunk, doc, shift = chunk[other], doc[other], length[mine] - SEED_WORDS
-    whole = np.flatnonzero(length[mine] == PIECE)  # equal pieces stand by themselves too, whatever the chains make of them
-    whole = whole[np.lexsort((*(x[whole] for x in (q, q - r, k, chunk, text)),))]
-    if len(whole):
-        apart = np.ones(len(whole), bool)
-        apart[1:] = False
-        for x, step in ((text, 0), (chunk, 0), (k, 0), (q, 1), (r, 1)):
-            apart[1:] |= np.diff(x[whole]) != step
-        cut = np.flatnonzero(apart)
-        for a, b in zip(whole[cut].tolist(), whole[np.append(cut[1:], len(whole)) - 1].tolist()):
-            yield int(text[a]), int(chunk[a]), int(k[a]), int(doc[a]), int(q[a]), int(q[b]) + PIECE, int(r[a]), int(r[b]) + PIECE
-    text, q, r, k, chunk, doc = (np.concatenate(x) for x in ((text, text), (q, q + shift), (r, r + shift), (k, k), (chunk, chunk), (doc, doc)))
+    mine, other, low = mine[later], other[later], (1 << 32) - 1
+    return [here[mine] >> 32, here[mine] & low, spot[other] & low, doc[other], spot[other] >> 32, chunk[other]], mine
+
+
+def _diagonals(found, step: int):
+    """Order of matches by diagonal, and there the first and last of each stretch that goes on by `step` words at most."""
+    text, q, r, _, k, chunk = found
+    order = np.lexsort((q, q - r, k, chunk, text))
+    apart = np.ones(len(order), bool)
+    if len(order):
+        apart[1:] = np.diff(q[order]) > step
+        for x in (text, q - r, k, chunk):
+            apart[1:] |= np.diff(x[order]) != 0
+    head = np.flatnonzero(apart)
+    return order, head, np.append(head[1:], len(order))[:len(head)] - 1
+
+
+def chains_of(w: Words, flags: list[bytes], places: list[bytes], longer: list[bytes], parts: int):
+    """(text, chunk referred to or -1 if this one, text there, document there, q from, q to, r from, r to) of chains of two
+    matches or more, and of equal pieces.
+
+    A passage can hide behind other places of its seeds, but not behind those of its runs of 20 words: their first place
+    shares a whole piece. In chains a longer run stands for the seeds at its ends.
+    """
+    runs, at, begins = w.repeated(flags, parts)
+    found, _ = _matches(w, runs, at, places)
+    runs, at, length = w.open_runs(begins, found)
+    far, mine = _matches(w, runs, at, longer)
+    whole = [x[length[mine] == PIECE] for x in far]
+    for some, words in ((found, SEED_WORDS), (whole, PIECE)):
+        order, head, tail = _diagonals(some, 1)
+        text, q, r, doc, k, chunk = (x[order] for x in some)
+        long = q[tail] + words - q[head] >= PIECE
+        for a, b in zip(head[long].tolist(), tail[long].tolist()):
+            yield int(text[a]), int(chunk[a]), int(k[a]), int(doc[a]), int(q[a]), int(q[b]) + words, int(r[a]), int(r[b]) + words
+    ends = [x + (length[mine] - SEED_WORDS) if i in (1, 2) else x for i, x in enumerate(far)]
+    text, q, r, doc, k, chunk = (np.concatenate(x) for x in zip(found, far, ends))
     order = np.lexsort((r, q, k, chunk, text))
     text, q, r, k, chunk, doc = (x[order] for x in (text, q, r, k, chunk, doc))
     group, same = np.ones(len(text), bool), np.zeros(len(text), bool)
@@ -235,17 +278,16 @@ def chains_of(w: Words, kept, answers: list[bytes]):
     same[1:] = ~group[1:] & (q[1:] == q[:-1]) & (r[1:] == r[:-1])
     text, q, r, k, chunk, doc, group = (x[~same] for x in (text, q, r, k, chunk, doc, group))
     cut = np.flatnonzero(group)
-    to = np.append(cut[1:], len(text))
+    to = np.append(cut[1:], len(text))[:len(cut)]
     several = to - cut > 1
     for a, b in zip(cut[several].tolist(), to[several].tolist()):
         qs, rs = q[a:b], r[a:b]
-        steps = np.diff(qs)
-        if (rs - qs == rs[0] - qs[0]).all() and steps.max() * 2 * GAP_COST < SEED_WORDS:  # one chain, whatever the costs
-            found = [(int(qs[0]), int(qs[-1]), int(rs[0]), int(rs[-1]))]
+        if (rs - qs == rs[0] - qs[0]).all() and np.diff(qs).max() * 2 * GAP_COST < SEED_WORDS:  # one chain, whatever the costs
+            spans = [(int(qs[0]), int(qs[-1]), int(rs[0]), int(rs[-1]))]
         else:
             qs, rs = qs.tolist(), rs.tolist()
-            found = [(qs[c[0]], qs[c[-1]], rs[c[0]], rs[c[-1]]) for c in chain(qs, rs) if len(c) > 1]
-        for q0, q1, r0, r1 in found:
+            spans = [(qs[c[0]], qs[c[-1]], rs[c[0]], rs[c[-1]]) for c in chain(qs, rs) if len(c) > 1]
+        for q0, q1, r0, r1 in spans:
             yield int(text[a]), int(chunk[a]), int(k[a]), int(doc[a]), q0, q1 + SEED_WORDS, r0, r1 + SEED_WORDS
 
 
@@ -257,7 +299,7 @@ def _requests(chunks: Chunks, answers: DataFrame, parts: int) -> DataFrame:
     def ask(ids, ends, data, got):
         number = int.from_bytes(got[0], "little")
         w = Words(ids, ends, data)
-        chains = sorted(set(chains_of(w, w.repeated(_tagged(got[1:], b"1"), parts), _tagged(got[1:], b"2"))))
+        chains = sorted(set(chains_of(w, *(_tagged(got[1:], tag) for tag in (b"1", b"2", b"6")), parts)))
         wanted: dict[int, set] = {}
         for _, chunk, k, _, _, _, r0, r1 in chains:
             if chunk >= 0:
@@ -413,7 +455,9 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     tag = lambda df, k: df.select("chunk", F.concat(F.lit(k).cast("binary"), F.col("data")).alias("data"))
     flags = staged(answered(chunks.ask(_prints(parts), None, parts), _met), "flags")
     places = staged(answered(chunks.ask(_seeds(parts), flags, parts), _places, numbered=True), "places")
-    requests = staged(_requests(chunks, tag(flags, "1").union(tag(places, "2")), parts), "requests")
-    discard(flags, places)
+    told = tag(flags, "1").union(tag(places, "2"))
+    longer = staged(answered(chunks.ask(_longer(parts), told, parts), _places, numbered=True), "longer")
+    requests = staged(_requests(chunks, told.union(tag(longer, "6")), parts), "requests")
+    discard(flags, places, longer)
     responses = staged(_responses(chunks, requests), "responses")
     return chunks.finish(_result, SCHEMA, requests.union(responses))

@@ -148,27 +148,21 @@ def _longer(parts):
 
 
 def _places(blobs, numbers):
-    """To each chunk, for its runs that an earlier document of another chunk has: run, document, spot and chunk of the
-    first such place, and of the last one before the chunk's own."""
+    """To each chunk, for its runs that an earlier document of another chunk has: run, document, spot and chunk of the first place."""
     rows = [_read(b, np.uint64, np.int64, np.int64) for b in blobs]
     run, doc, spot = (np.concatenate([r[i] for r in rows]) for i in range(3))
     chunk = np.repeat(numbers, [len(r[0]) for r in rows])
     order = np.lexsort((spot, chunk, doc, run))
     new = np.ones(len(order), bool)
     new[1:] = run[order][1:] != run[order][:-1]
-    lead, last = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    lead = np.empty(len(order), np.int64)
     lead[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-    step = new.copy()
-    step[1:] |= doc[order][1:] != doc[order][:-1]
-    at = np.flatnonzero(step)[np.cumsum(step) - 1] - 1  # in order, the row before the first one of this document
-    last[order] = order[np.maximum(at, 0)]
     out, at = [], 0
     for r in rows:
         mine = np.arange(at, at + len(r[0]))
         mine = mine[doc[lead[mine]] < doc[mine]]
-        other = mine[last[mine] != lead[mine]]
-        of, i = np.concatenate([mine, other]), np.concatenate([lead[mine], last[other]])
-        out.append(_raw(run[of], doc[i], spot[i], chunk[i]) if len(of) else None)
+        i = lead[mine]
+        out.append(_raw(run[mine], doc[i], spot[i], chunk[i]) if len(mine) else None)
         at += len(r[0])
     return out
 
@@ -216,26 +210,18 @@ def chain(q: list[int], r: list[int]) -> list[list[int]]:
 
 
 def _matches(w: Words, runs, at, answers: list[bytes]):
-    """text, q, r, document there, text there and its chunk (-1: this one) for each run and place of it in an earlier document.
-
-    A run is matched with its first place in the corpus, its first place in this chunk and the last place before that, so one
-    that many documents share gives at most three matches per occurrence and no pairs among them.
-    """
+    """text, q, r, document there, text there and its chunk (-1: this one) of the runs whose first place is in an earlier
+    document. One that many documents share gives one match per occurrence and no pairs among them."""
     known, doc, spot = w.earliest(runs, at)
+    chunk = np.full(len(known), -1, np.int64)
     far = _listed(answers, np.uint64, np.int64, np.int64, np.int64)
-    which = np.concatenate([np.arange(len(known)), np.searchsorted(known, far[0])])
-    doc, spot = np.concatenate([doc, far[1]]), np.concatenate([spot, far[2]])
-    chunk = np.concatenate([np.full(len(known), -1, np.int64), far[3]])
-    order = np.argsort(which, kind="stable")
-    begin = np.searchsorted(which[order], np.arange(len(known) + 1))
+    to = np.searchsorted(known, far[0])
+    doc[to], spot[to], chunk[to] = far[1:]
     match = np.searchsorted(known, runs)
-    n = np.diff(begin)[match] if len(match) else np.zeros(0, np.int64)
-    mine = np.repeat(np.arange(len(runs)), n)
-    other = order[begin[match[mine]] + np.arange(len(mine)) - np.repeat(np.cumsum(n) - n, n)] if len(mine) else np.zeros(0, np.int64)
     here = w.spot(at)
-    later = doc[other] < w.ids[here[mine] >> 32]
-    mine, other, low = mine[later], other[later], (1 << 32) - 1
-    return [here[mine] >> 32, here[mine] & low, spot[other] & low, doc[other], spot[other] >> 32, chunk[other]], mine
+    mine = np.flatnonzero(doc[match] < w.ids[here >> 32])
+    match, here, low = match[mine], here[mine], (1 << 32) - 1
+    return [here >> 32, here & low, spot[match] & low, doc[match], spot[match] >> 32, chunk[match]], mine
 
 
 def _diagonals(found, step: int):
@@ -413,11 +399,16 @@ def _result(ids, ends, data, tagged):
     row = {k: i for i, k in enumerate(numbers)}
     words = lambda k: w.hashes[w.first[row[k]]:w.first[row[k] + 1]]
     pieces: dict[int, list] = {}
-    for k, chunk, other, doc, q0, q1, r0, r1 in chains:
+    found: dict[tuple, list] = {}
+    for k, chunk, other, doc, q0, q1, r0, r1 in sorted(chains, key=lambda c: (c[4] - c[5], c)):
+        spans = found.setdefault((k, chunk, other), [])
+        if any(a <= q0 and q1 <= b for a, b in spans):  # a longer chain over these words has been aligned with this document
+            continue
         shift = 0 if chunk < 0 else max(0, r0 - PAD)
         r = words(other) if chunk < 0 else texts[chunk, other, shift]
         span = aligned(words(k), q0, q1, r, r0 - shift, r1 - shift)
         if span:
+            spans.append(span)
             pieces.setdefault(k, []).append((*span, doc))
     spans, removed, kept = [], [], []
     for k in range(len(ids)):

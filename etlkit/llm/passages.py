@@ -334,19 +334,25 @@ def _texts(answers: list[bytes]) -> dict[tuple[int, int, int], np.ndarray]:
 def widened(q: list[int], r: list[int]) -> tuple[int, int]:
     """How many first words of q and r go together: an alignment scores 1 for a word in common and -1 for an edit; it
     ends where the score is highest, as far out as that is, but with a word in common."""
-    best, end = 0, (0, 0)
-    above = {j: -j for j in range(min(len(r), BAND) + 1)}
+    best, end, n = 0, (0, 0), len(r)
+    if set(q).isdisjoint(r):
+        return end
+    above = [-j if j <= BAND else -99 for j in range(n + 1)]
     for i, word in enumerate(q, 1):
-        row = {}
-        for j in range(max(0, i - BAND), min(len(r), i + BAND) + 1):
-            score = max(above.get(j, -99), row.get(j - 1, -99)) - 1
+        row, left, top = [-99] * (n + 1), -99, -99
+        for j in range(max(0, i - BAND), min(n, i + BAND) + 1):
+            score = (above[j] if above[j] > left else left) - 1
             if j:
                 same = word == r[j - 1]
-                score = max(score, above.get(j - 1, -99) + (1 if same else -1))
+                both = above[j - 1] + (1 if same else -1)
+                if both > score:
+                    score = both
                 if same and score >= best:
                     best, end = score, (i, j)
-            row[j] = score
-        if not row or max(row.values()) < best - 2 * BAND:
+            row[j] = left = score
+            if score > top:
+                top = score
+        if top < best - 2 * BAND:
             break
         above = row
     return end

@@ -113,13 +113,13 @@ def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, ends - ends[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Cut record batches into pieces of about SLICE_BYTES of text: (rows, bytes, starts)."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Cut record batches into pieces of about `size` bytes of text: (rows, bytes, starts)."""
     for batch in batches:
         data, ends = text_arrays(batch.column(text))
         at = 0
         while at < batch.num_rows:
-            to = int(np.searchsorted(ends, ends[at] + SLICE_BYTES, "right")) - 1
+            to = int(np.searchsorted(ends, ends[at] + size, "right")) - 1
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at), data[ends[at]:ends[to]], ends[at:to + 1] - ends[at]
             at = to

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -12,20 +13,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from etlkit.llm.common import columns_of, staged
+from etlkit.llm.common import SPACES, columns_of, slices, staged, text_arrays
+from etlkit.llm.spans import packed, spans
 
 CAPACITY = 4096
 END_ID = 1
 ISLAND_TOKENS = 2_000_000  # a problem of one group of islands: about 500 sequences
 ISLANDS = 2  # populations that work on one problem and exchange their best
 ROUNDS = 2
-CACHE = 1_600_000  # chunks of text whose ids a task remembers
+CACHE = 1_200_000  # pieces of text whose ids a worker remembers, each of at most LONGEST characters
+LONGEST = 64
+TEXT_BYTES = 4 << 20  # text encoded at once, or one document if it is longer
 KEPT_FILL = 0.995  # sequences filled less than this are dissolved and packed again across problems
 
 
 # ---- tokens ------------------------------------------------------------------------------------------------
 
 _TAIL = ".,;:!?*$&#%|"
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")  # single letters in every form: composed, and their lower case is one letter
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write a byte that has no visible Latin-1 character as the next free one from 256 on."""
+    hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 def _parts(chunk: str) -> tuple[str, ...]:
@@ -35,36 +46,38 @@ def _parts(chunk: str) -> tuple[str, ...]:
     if not stem or not stem[-1].isalpha() or len(stem[-1].lower()) > 1:  # a letter whose lower case ends in a mark
         return (chunk,)
     tail = chunk[len(stem):]
-    if stem.isascii() and "<" not in stem:  # else lower case may differ, or a special token be meant
+    if _LETTERS.fullmatch(stem) or stem.isascii() and "<" not in stem:  # else lower case may differ, or a special token be meant
         stem = stem.lower()
     return (stem, tail) if tail else (stem,)
 
 
 class Encoder:
     """Token ids of whole texts. White space ends every token of the vocabulary and is dropped, so a text is encoded
-    as its chunks between ASCII white space, and the ids of chunks seen before are looked up. New chunks are encoded
-    many at a time, with a mark between them."""
+    as its chunks between ASCII white space, each different one of a call once. Ids of chunks and parts are remembered: those
+    not asked for while CACHE / 2 others came are forgotten. Words of Latin letters alone need no splitting and go to the
+    tokenizer's model as they are; other new chunks are encoded many at a time, with a mark between them."""
 
     MARK = "\u2603"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer, self.known, self.before = Tokenizer.from_file(path), {}, {}
+        self.model, self.visible = self.tokenizer.model, _byte_letters()
         self.mark = self._ids(self.MARK)
+        self.raw = [np.uint32(i).tobytes() for i in range(self.tokenizer.get_vocab_size())]
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _learn(self, chunks: list[str]) -> None:
-        parts = [_parts(c) for c in chunks]
-        self._encode(list({x for p in parts for x in p} - self.known.keys()))
-        for c, p in zip(chunks, parts):
-            self.known[c] = b"".join(self.known[x] for x in p)
+    def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.visible)
+        return b"".join([self.raw[t.id] for t in self.model.tokenize(word)])
 
-    def _encode(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if self.MARK not in c]
-        for c in set(chunks) - set(plain):
-            self.known[c] = self._ids(c).tobytes()
+    def _encode(self, chunks: list[str]) -> dict[str, bytes]:
+        found = {c: self._word(c) for c in chunks if _LETTERS.fullmatch(c) and c.islower()}
+        plain = [c for c in chunks if c not in found and self.MARK not in c]
+        found.update((c, self._ids(c).tobytes()) for c in chunks if self.MARK in c)
         for i in range(0, len(plain), 5_000):
             part = plain[i:i + 5_000]
             ids = self._ids(f" {self.MARK} ".join(part))
@@ -72,25 +85,63 @@ class Encoder:
             for j in range(1, len(self.mark)):
                 at = at[ids[np.minimum(at + j, len(ids) - 1)] == self.mark[j]]
             if len(at) != len(part) - 1:  # a chunk gave the ids of the mark
-                self.known.update((c, self._ids(c).tobytes()) for c in part)
+                found.update((c, self._ids(c).tobytes()) for c in part)
                 continue
             raw, width = ids.tobytes(), len(self.mark)
             starts, ends = [0, *((at + width) * 4).tolist()], [*(at * 4).tolist(), len(raw)]
-            self.known.update((c, raw[x:y]) for c, x, y in zip(part, starts, ends))
+            found.update((c, raw[x:y]) for c, x, y in zip(part, starts, ends))
+        return found
+
+    def _recall(self, pieces) -> tuple[dict[str, bytes], list[str]]:
+        """Ids of the pieces that are remembered, and the other pieces."""
+        known, found, older, new = self.known.get, {}, {}, []
+        for p in pieces:
+            ids = known(p)
+            if ids is not None:
+                found[p] = ids
+            elif p in self.before:
+                older[p] = self.before[p]
+            else:
+                new.append(p)
+        found.update(older)
+        self._remember(older)
+        return found, new
+
+    def _remember(self, more: dict[str, bytes]) -> None:
+        self.known.update((p, ids) for p, ids in more.items() if len(p) <= LONGEST)
+        if len(self.known) > CACHE // 2:
+            self.known, self.before = {}, self.known
+
+    def chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk, as the bytes of 32-bit numbers."""
+        found, new = self._recall(chunks)
+        if new:
+            parts = [_parts(c) for c in new]
+            of_part, missing = self._recall({x for p in parts for x in p})
+            learnt = self._encode(missing)
+            self._remember(learnt)
+            of_part.update(learnt)
+            whole = {c: b"".join([of_part[x] for x in p]) for c, p in zip(new, parts)}
+            self._remember(whole)
+            found.update(whole)
+        return [found[c] for c in chunks]
+
+    def texts(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each closed by END_ID, one after the other, and where each begins."""
+        start, end, where = spans(data, ends, ~SPACES)
+        words = packed(data, start, end, ~SPACES).dictionary_encode()
+        raw = self.chunks(words.dictionary.cast(pa.large_string()).to_pylist())
+        size = np.array([len(x) // 4 for x in raw], np.int64)
+        ids, index = np.frombuffer(b"".join(raw), np.uint32), words.indices.to_numpy(zero_copy_only=False)
+        first, n = (np.cumsum(size) - size)[index], size[index]
+        before = np.cumsum(n) - n
+        ids = ids[np.repeat(first - before, n) + np.arange(int(n.sum()))] if len(ids) else ids
+        closes = np.cumsum(np.bincount(where, n, len(ends) - 1).astype(np.int64))
+        return np.insert(ids, closes, END_ID), np.concatenate([[0], closes + np.arange(1, len(ends))])
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split = []
-        for t in texts:
-            for space in "\n\t\r\x0b\x0c":
-                t = t.replace(space, " ")
-            split.append(t.split(" "))
-        new = set().union(*split) - self.known.keys()
-        if len(self.known) + len(new) > CACHE:
-            self.known = {"": b""}
-            new = set().union(*split) - {""}
-        self._learn(list(new))
-        get, end = self.known.__getitem__, np.uint32(END_ID).tobytes()
-        return [np.frombuffer(b"".join(map(get, chunks)) + end, np.uint32) for chunks in split]
+        ids, starts = self.texts(*text_arrays(pa.array(texts, pa.large_string())))
+        return [ids[a:b] for a, b in zip(starts, starts[1:])]
 
 
 def encoder(path: str) -> Encoder:
@@ -111,15 +162,17 @@ def pieces_of(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         encode = encoder(tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                ids = encode([t or "" for t in rows.column("text").to_pylist()])
-                out = [(k, p, p * CAPACITY, len(x[p * CAPACITY:(p + 1) * CAPACITY]), zlib.crc32(x[p * CAPACITY:(p + 1) * CAPACITY].astype("<u4").tobytes()))
-                       for k, x in enumerate(ids) for p in range(-(-len(x) // CAPACITY))]
-                k, p, s, n, c = map(list, zip(*out))
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id").take(pa.array(k)), pa.array(p, pa.int32()), pa.array(s, pa.int64()),
-                                                  pa.array(n, pa.int64()), pa.array(c, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        for rows, data, ends in slices(batches, size=TEXT_BYTES):
+            ids, starts = encode.texts(data, ends)
+            n = np.diff(starts)
+            pieces = -(-n // CAPACITY)
+            of = np.repeat(np.arange(len(n)), pieces)
+            piece = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            length = np.minimum(n[of] - piece * CAPACITY, CAPACITY)
+            raw, at = memoryview(ids.astype("<u4").tobytes()), (starts[of] + piece * CAPACITY) * 4
+            crc = [zlib.crc32(raw[a:b]) for a, b in zip(at.tolist(), (at + length * 4).tolist())]
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id").take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(piece * CAPACITY),
+                                              pa.array(length), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return columns_of(docs, "doc_id", "text").mapInArrow(each, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 

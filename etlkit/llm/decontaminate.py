@@ -17,6 +17,8 @@ COSINE = 0.45
 KINDS = {"long": (STEP, COSINE), "short": (6, 0.35), "tiny": (3, 0.35)}
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER_SHARE = 0.7, 0.5, 0.75
 ANSWER = 8  # last words of an item
+SIGNS, BLOCK = 8, 8  # 64-bit words of a bit set, words of a block that has one
+PRODUCTS = 1 << 21  # cosines held at once
 ITEMS = 5000  # benchmark items that are sent to all tasks at once
 
 _BETWEEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -35,6 +37,17 @@ def _steps(where: np.ndarray, n: int, words: int = STEP) -> tuple[np.ndarray, np
     return heads, where[heads]
 
 
+def _sums(table: np.ndarray, term: np.ndarray, heads: np.ndarray, words: int) -> np.ndarray:
+    """Sums of the rows of `table` over each step: `heads` are the first words of steps of at most `words` words."""
+    end = np.append(heads[1:], len(term))
+    table, term = np.concatenate([table, np.zeros((1, table.shape[1]), table.dtype)]), term.astype(np.int32)
+    out = table[term[heads]]
+    for j in range(1, words):
+        at = heads + j
+        out += table[np.where(at < end, term[np.minimum(at, len(term) - 1)], len(table) - 1)]
+    return out
+
+
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     """log((1 + steps) / (1 + steps with the term)), counted over all texts."""
     def each(batches):
@@ -42,8 +55,11 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
         for rows, data, ends in slices(batches):
             _, term, where = _terms(data, ends)
             heads, _ = _steps(where, rows.num_rows)
-            step = np.searchsorted(heads, np.arange(len(term)), "right")
-            counts += np.bincount(np.unique(step * TERMS + term) % TERMS, minlength=TERMS)
+            place = np.arange(len(term)) - np.repeat(heads, np.diff(heads, append=len(term)))  # within its step
+            term, fresh = term.astype(np.int32), np.ones(len(term), bool)
+            for j in range(1, STEP):
+                fresh[j:] &= (term[j:] != term[:-j]) | (place[j:] < j)
+            counts += np.bincount(term[fresh], minlength=TERMS)
             steps += len(heads)
         yield array_rows({0: counts, 1: np.array([steps])})
 
@@ -61,18 +77,17 @@ def latent_axes(docs: DataFrame, idf: np.ndarray, seed: int = 5) -> np.ndarray:
     shared = docs.sparkSession.sparkContext.broadcast((idf[:, None] * random).astype(np.float32))
 
     def each(batches):
-        weighted, total = shared.value, np.zeros((TERMS, RANK))
+        weighted, total = shared.value, np.zeros((RANK, TERMS))
         for rows, data, ends in slices(batches):
             _, term, where = _terms(data, ends)
             if not len(term):
                 continue
             heads, _ = _steps(where, rows.num_rows)
-            projected = np.add.reduceat(weighted[term], heads)
-            order = np.argsort(term, kind="stable")
-            step = np.searchsorted(heads, order, "right") - 1
-            starts = np.flatnonzero(np.diff(term[order], prepend=-1))
-            total[term[order][starts]] += np.add.reduceat(projected[step], starts)
-        yield array_rows({0: (total * idf[:, None]).astype(np.float32)})
+            projected = np.ascontiguousarray(_sums(weighted, term, heads, STEP).T)
+            step = np.repeat(np.arange(len(heads)), np.diff(heads, append=len(term)))
+            for k in range(RANK):
+                total[k] += np.bincount(term, projected[k][step], TERMS)
+        yield array_rows({0: (total.T * idf[:, None]).astype(np.float32)})
 
     (product,) = added_up(docs.mapInArrow(each, "part int, data binary"), [(TERMS, RANK)], "axes", single=True)
     core = random.T @ product
@@ -109,6 +124,48 @@ def _passages(vectors: np.ndarray, of: np.ndarray):
     return two[at] / np.maximum(norm, 1e-30), at
 
 
+def word_bits(known: int) -> np.ndarray:
+    """Sets of word numbers below `known` are bit sets, in which words may share a bit. A row for each word, the last for none."""
+    bits = np.zeros((known + 1, SIGNS), np.uint64)
+    at = np.arange(known) % (64 * SIGNS)
+    bits[np.arange(known), at // 64] = np.uint64(1) << (at % 64).astype(np.uint64)
+    return bits
+
+
+def item_signs(numbers: list[np.ndarray], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the whole items and for their answers: a bit set, and the words that have no bit of their own in it."""
+    signs, slack = np.zeros((2, len(numbers), SIGNS), np.uint64), np.zeros((2, len(numbers)), np.int64)
+    for k, item in enumerate(numbers):
+        for part, words in enumerate((item, item[-ANSWER:])):
+            signs[part, k] = np.bitwise_or.reduce(bits[words], axis=0)
+            slack[part, k] = len(words) - np.bitwise_count(signs[part, k]).sum()
+    return signs, slack
+
+
+class Regions:
+    """Bit sets of the words of any stretch of the texts: those of blocks of BLOCK words, and of 2, 4, 8, ... such blocks."""
+
+    def __init__(self, word: np.ndarray, bits: np.ndarray, widest: int):
+        rows = np.append(word, np.full(-len(word) % BLOCK, len(bits) - 1)).reshape(-1, BLOCK)
+        level = bits[rows[:, 0]]
+        for j in range(1, BLOCK):
+            level |= bits[rows[:, j]]
+        self.levels = [level]
+        while 1 << len(self.levels) <= widest // BLOCK + 2:
+            last, half = self.levels[-1], 1 << (len(self.levels) - 1)
+            level = last.copy()
+            level[:-half] |= last[half:]
+            self.levels.append(level)
+        self.n = len(level)
+        self.flat = np.concatenate(self.levels)
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Bit sets of the words from `start` up to `end`, and of some around them."""
+        a, b = start // BLOCK, np.maximum(end - 1, start) // BLOCK + 1
+        level = np.frexp((b - a).astype(np.float64))[1] - 1
+        return self.flat[level * self.n + a] | self.flat[level * self.n + b - (1 << level)]
+
+
 def item_block(ids: list, texts: list[str], axes: np.ndarray) -> dict:
     """A block of benchmark items as plain arrays: their words, and the vectors of their passages.
 
@@ -199,6 +256,8 @@ def _search(shared):
         vocabulary = items["vocabulary"]
         masks = np.zeros(len(vocabulary) + 1, np.uint64)
         numbers = [np.searchsorted(vocabulary, w) for w in items["words"]]
+        bits, size = word_bits(len(vocabulary)), np.array([len(x) for x in numbers])
+        signs = item_signs(numbers, bits)
         for rows, data, ends in slices(batches):
             hashes, term, where = _terms(data, ends)
             if not len(term) or not len(vocabulary):
@@ -207,17 +266,31 @@ def _search(shared):
             word[vocabulary[np.minimum(word, len(vocabulary) - 1)] != hashes] = len(vocabulary)
             word = np.append(word, len(vocabulary))  # a place outside every text
             bounds = np.searchsorted(where, np.arange(rows.num_rows + 1))
+            regions = Regions(word, bits, int(size.max()) + 2 * STEP)
             best: dict = {}
-            for kind, (step, least) in KINDS.items():
+            sums: dict = {}
+            for kind, (step, least) in sorted(KINDS.items(), key=lambda x: x[1]):
                 known, of_item, at_item = items[kind]
                 if not len(known):
                     continue
                 heads, of = _steps(where, rows.num_rows, step)
-                vectors, at = _passages(np.add.reduceat(axes[term], heads), of)
-                for lo in range(0, len(vectors), 4096):
-                    near = vectors[lo:lo + 4096] @ known.T
-                    p, q = np.nonzero(near >= least)
-                    _compare(best, near[p, q], of_item[q], of[at[p + lo]], heads[at[p + lo]] - at_item[q], bounds, word, numbers, masks)
+                if step // 2 in sums:  # two steps of half the length, or one where the text ends
+                    half, half_heads = sums[step // 2]
+                    at = np.searchsorted(half_heads, heads)
+                    sums[step] = half[at], heads
+                    two = np.diff(at, append=len(half)) > 1
+                    sums[step][0][two] += half[at[two] + 1]
+                else:
+                    sums[step] = _sums(axes, term, heads, step), heads
+                vectors, at = _passages(sums[step][0], of)
+                at_once = max(1, PRODUCTS // len(known))
+                for lo in range(0, len(vectors), at_once):
+                    near = vectors[lo:lo + at_once] @ known.T
+                    hit = np.flatnonzero(near.ravel() >= least)
+                    p, q = np.divmod(hit, len(known))
+                    place, item, text = heads[at[p + lo]] - at_item[q], of_item[q], of[at[p + lo]]
+                    kept = _may_leak(regions, np.maximum(place - STEP, bounds[text]), np.minimum(place + size[item] + STEP, bounds[text + 1]), item, size, *signs)
+                    _compare(best, near.ravel()[hit[kept]], item[kept], text[kept], place[kept], bounds, word, numbers, masks)
             if best:
                 pairs = list(best)
                 found = np.array([best[x] for x in pairs])
@@ -227,6 +300,15 @@ def _search(shared):
     return each
 
 
+def _may_leak(regions: Regions, start: np.ndarray, end: np.ndarray, item: np.ndarray, size: np.ndarray, signs: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    """The candidates whose region holds words enough of their item and its answer, in any order: no other can be a leak."""
+    held = regions(start, end)
+    most = [np.bitwise_count(held & signs[part][item]).sum(1, dtype=np.int64) + slack[part][item] for part in (0, 1)]
+    n = size[item]
+    told = most[1] >= ANSWER_SHARE * np.minimum(n, ANSWER)
+    return np.flatnonzero(np.where(n < ANSWER, most[0] >= n, (most[0] >= LCS_ALONE * n) | (most[0] >= LCS_WITH_ANSWER * n) & told))
+
+
 def _compare(best: dict, cosine: np.ndarray, item: np.ndarray, text: np.ndarray, place: np.ndarray, bounds: np.ndarray, word: np.ndarray, numbers: list, masks: np.ndarray) -> None:
     """Judge candidates (item, text, word where the item would begin), all of an item at once; `best` keeps the best leak of each pair."""
     order = np.lexsort((-cosine, place, text, item))

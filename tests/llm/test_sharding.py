@@ -1,5 +1,6 @@
 """Sharding, quality and packing: laws, odd inputs, held-out accuracy."""
 
+import random
 import zlib
 
 import numpy as np
@@ -127,3 +128,23 @@ def test_cache_can_be_cleared(monkeypatch):
     texts = ["one two three", "four five six seven", "one eight"]
     for t in texts:
         assert encode([t])[0].tolist() == encode.tokenizer.encode(t, add_special_tokens=False).ids + [1]
+
+
+def test_odd_texts_encode_as_the_tokenizer_does():
+    rng = random.Random(3)
+    odd = [*"aAéÉößẞİıÿÝ×÷µªº'’s<|>☃ \t\n\x0b\x85.,!?*$&#%1½٣́ńŃж日🙂\x00\xad", "<|endoftext|>", "'s", "'T", "K", "ﬁ", "Straße", "x" * 80]
+    texts = ["", " ", *("".join(rng.choices(odd, k=rng.randrange(14))) for _ in range(3000))]
+    encode = Encoder(path())
+    for part in (texts[:1000], texts[1000:], texts):  # the last time from memory
+        expected = encode.tokenizer.encode_batch(part, add_special_tokens=False)
+        assert [x.tolist() for x in encode(part)] == [e.ids + [1] for e in expected]
+    assert not any(len(p) > 64 for p in encode.known | encode.before)
+
+
+def test_pieces_asked_for_are_not_forgotten(monkeypatch):
+    monkeypatch.setattr("etlkit.llm.packing.CACHE", 40)
+    encode = Encoder(path())
+    for i in range(30):
+        encode([f"common word{i} other{i}x"])
+        assert "common" in encode.known or "common" in encode.before
+        assert len(encode.known) + len(encode.before) <= 50

@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from etlkit.llm.common import table
-from etlkit.llm.decontaminate import common_lengths, find_leaks, longest_common, verdicts
+from etlkit.llm.decontaminate import Regions, _may_leak, _sums, common_lengths, find_leaks, item_signs, longest_common, verdicts, word_bits
 from etlkit.llm.language import identify_documents, identify_pages, train
 from etlkit.llm.line_dedup import drop_repeated_lines
 from etlkit.llm.queries import QUERIES, SQL
@@ -117,6 +117,33 @@ def test_common_subsequence():
         assert not masks.any()
 
 
+def test_bit_sets_rule_out_no_leak():
+    rng, known = np.random.default_rng(11), 1500  # more words than bits, so some share one
+    numbers = [rng.integers(0, known, n) for n in (1, 4, 7, 8, 9, 30, 64, 700)]
+    texts = []
+    for item in numbers * 40:
+        edited = np.where(rng.random(len(item)) < rng.random() * 0.8, rng.integers(0, known + 1, len(item)), item)
+        texts.append(np.concatenate([rng.integers(0, known + 1, rng.integers(0, 40)), edited, rng.integers(0, known + 1, rng.integers(0, 40))]))
+    word, bits, size = np.concatenate(texts), word_bits(known), np.array([len(x) for x in numbers])
+    regions, signs, masks = Regions(word, bits, int(size.max()) + 24), item_signs(numbers, bits), np.zeros(known + 1, np.uint64)
+    leaks = kept = 0
+    for k, item in enumerate(numbers):
+        start = rng.integers(0, len(word) - len(item) - 24, 400) if len(item) > 64 else np.arange(len(word) - len(item) - 24)
+        rows = word[start[:, None] + np.arange(len(item) + 24)]
+        _, _, leak = verdicts(item, rows, masks)
+        left = _may_leak(regions, start, start + rows.shape[1], np.full(len(start), k), size, *signs)
+        assert np.isin(np.flatnonzero(leak), left).all()
+        leaks, kept = leaks + leak.sum(), kept + len(left) / len(start)
+    assert leaks > 100 and kept < len(numbers) / 2
+
+
+def test_sums_of_steps():
+    rng = np.random.default_rng(2)
+    table, term = rng.normal(size=(50, 3)), rng.integers(0, 50, 200)
+    heads = np.array([0, 5, 6, 18, 30, 41, 53, 64, 76, 88, 100, 112, 124, 136, 148, 160, 172, 184, 196])
+    assert np.allclose(_sums(table, term, heads, 12), np.add.reduceat(table[term], heads))
+
+
 def test_short_items_stand_in_one_piece():
     leaks = lambda *regions: verdicts(np.array([1, 2, 3]), np.array(regions), np.zeros(10, np.uint64))[2].tolist()
     assert leaks([9, 1, 2, 3, 9], [1, 2, 3, 9, 9], [1, 9, 2, 8, 3], [1, 2, 9, 9, 9]) == [True, True, False, False]

@@ -11,6 +11,7 @@ from etlkit.operators import (as_of_join, digest_diff, find_leaked_values, leaks
 from etlkit.session import staged
 from etlkit.sinks import clustering, file_intervals, overlaps, recluster
 from etlkit.sources import balanced_cuts, balanced_predicates
+from workload import QUERIES
 
 D = dt.date
 DIM = "n int, id string, city string, plan int, effective_date date, expiration_date date"
@@ -143,6 +144,20 @@ def test_a_key_larger_than_a_part_is_a_part(spark):
     assert balanced_cuts(source.limit(0), "k", 4) == [] and balanced_predicates(source.where("k = 500"), "k", 4) == ["1 = 1"]
 
 
+def test_keys_beyond_64_bits_are_cut_too(spark, tmp_path):
+    path = str(tmp_path / "source")
+    spark.range(8000).selectExpr("id * 1125 - 4500000 AS id").selectExpr("cast(id as decimal(19,0)) * cast(id as decimal(19,0)) * cast(id as decimal(19,0)) * 1000000000 AS k").write.parquet(path)
+    source = spark.read.parquet(path)
+    assert source.where("abs(k) > 9223372036854775807").count() > 7000
+    counts = [source.where(c).count() for c in balanced_predicates(source, "k", 12)]
+    assert sum(counts) == 8000 and len(counts) == 12 and all(abs(n * 12 / 8000 - 1) <= 0.05 for n in counts)
+
+
+def test_the_ranges_query_takes_orders_whose_cube_overflows(spark, tmp_path):
+    spark.range(21_000).selectExpr("3000000 + id div 7 * 2000 AS l_orderkey", "int(id % 7) + 1 AS l_linenumber").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert [tuple(r) for r in QUERIES["balanced_ranges"](spark, str(tmp_path)).collect()] == [(16, 21_000, True)]
+
+
 # ---- layout ------------------------------------------------------------------------------------------------
 
 def holders(spark, path, key, value):

@@ -13,6 +13,8 @@ from etlkit.session import drop_scratch, scratch_path
 
 BITS = 12  # a range is cut into 2**BITS
 LEAF_ROWS = 64  # ranges of no more rows are not cut further
+SLICE_BITS = 10  # a slice of about 2**SLICE_BITS digests tells how much differs
+DENSE = 1 / 16  # share of differing rows from which whole rows are compared at once
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
 
 
@@ -25,13 +27,15 @@ def row_digest(df: DataFrame, columns: list[str]) -> list[Column]:
 
 @dataclass
 class DigestDiff:
-    """What a comparison found, and what it took: `moved` counts the digests that were shuffled one by one, `fetched` the whole rows."""
+    """What a comparison found, and what it took: `moved` counts the digests that were shuffled one by one, `fetched` the whole rows; `dense`
+    says that so much differs that all rows were compared whole."""
 
     rows: DataFrame
     rounds: int
     compared: int
     moved: int
     fetched: int
+    dense: bool = False
 
 
 def _address(df: DataFrame, key: str | None, columns: list[str]) -> Column:
@@ -44,6 +48,15 @@ def _address(df: DataFrame, key: str | None, columns: list[str]) -> Column:
     return F.xxhash64(F.col(key), F.col(key).isNull())
 
 
+def _differing_share(digests: DataFrame, rows: int) -> tuple[int, float]:
+    """The digests in a slice of hash values, and the share of them that one side has more often."""
+    bits = max(0, rows.bit_length() - SLICE_BITS)
+    part = digests.where(F.col("_e").bitwiseAND(F.lit((1 << bits) - 1)) == 0)
+    per_row = part.groupBy("_d", "_e").agg(F.sum("_s").alias("net"), F.count(F.lit(1)).alias("n"))
+    looked, differing = per_row.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.abs("net")), F.lit(0))).first()
+    return looked, differing / max(1, looked)
+
+
 def digest_diff(source: DataFrame, target: DataFrame, key: str | None = None, leaf_rows: int = LEAF_ROWS) -> DigestDiff:
     """`row_diff` by digests: the whole rows one table has more often than the other, with `only_in` and `copies`.
 
@@ -52,7 +65,9 @@ def digest_diff(source: DataFrame, target: DataFrame, key: str | None = None, le
     up to `leaf_rows` rows are looked into row by row. Ranges are the leading bits of the address and, when those are used
     up, of the digest, so a key with a third of all rows is cut as well. After at most 128 / BITS rounds the digests
     that one side has more often are known, and only the rows with these are read again and compared as they are.
-    Equal tables cost one round. A NULL key is a key; `target` needs the columns of `source`, in any order.
+    Equal tables cost one round. Where they are not, the digests of one slice of hash values, in which equal rows of both sides meet, are
+    compared first: if more than DENSE of them differ, narrowing down would cost more than it spares, and all rows are compared as they
+    are. The slice decides about the way only; both ways are exact. A NULL key is a key; `target` needs the columns of `source`, in any order.
 
     Two different rows pass for equal if both of their 64-bit hashes agree.
     """
@@ -86,6 +101,13 @@ def digest_diff(source: DataFrame, target: DataFrame, key: str | None = None, le
         scratch.append(path)
         differ = spark.read.parquet(path)
         kinds = differ.agg(F.count_if(F.col("n") <= leaf_rows), F.count_if(F.col("n") > leaf_rows), F.sum(F.when(F.col("n") <= leaf_rows, F.col("n")))).first()
+        if not k and kinds[1]:
+            looked, share = _differing_share(digests, rows)
+            moved += looked
+            if share > DENSE:
+                for done in scratch:
+                    drop_scratch(spark, done)
+                return DigestDiff(row_diff(source, target), rounds, rows, moved, rows, True)
         with_range = open_rows.withColumns({"_r": ranges(level)[0], "_q": ranges(level)[1]})
         if kinds[0]:
             moved += kinds[2]

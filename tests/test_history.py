@@ -117,6 +117,16 @@ def test_equal_tables_cost_one_round(spark):
     assert digest_diff(source.where("n < 3"), source.limit(0)).rows.count() == 3
 
 
+def test_tables_that_differ_much_are_compared_whole(spark, rows):
+    source = spark.range(30_000).selectExpr("id div 4 AS k", "id % 4 AS n", "concat('v', id % 91) AS a", "if(id % 13 = 0, null, id) AS b")
+    target = source.where("n <> 3").selectExpr("k", "n", "if(n = 1, concat(a, '!'), a) AS a", "b")
+    found = digest_diff(source, target.unionByName(target.where("k % 50 = 0")), "k")
+    assert found.dense and found.moved <= 0.05 * found.compared and found.rounds == 1
+    assert rows(found.rows) == rows(row_diff(source, target.unionByName(target.where("k % 50 = 0"))))
+    few = digest_diff(source, source.selectExpr("k", "n", "if(k % 100 = 7 and n = 1, 'w', a) AS a", "b"), "k")
+    assert not few.dense and few.fetched == 150 and few.rows.count() == 150
+
+
 def test_digests_count_copies_and_tell_nulls_apart(spark, rows):
     a = spark.createDataFrame([(1, None, "x")] * 5 + [(2, "x", None), (3, None, None)], "k int, p string, q string")
     b = spark.createDataFrame([(1, None, "x")] * 3 + [(2, None, "x"), (3, None, None)], "k int, p string, q string")

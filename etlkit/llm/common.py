@@ -6,6 +6,7 @@ import gc
 import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -79,16 +80,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
 BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64) * BASE)
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 SPACES = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
-_powers = {BASE: np.ones(1, np.uint64), BASE_INVERSE: np.ones(1, np.uint64)}
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1), modulo 2**64."""
-    if len(_powers[base]) < n:
+    """base**0 .. base**(n-1), modulo 2**64. The tables, 16 MB each, are kept once per process, where no function that is sent to tasks
+    takes them along and no finished task leaves its own behind."""
+    kept = vars(sys.modules.setdefault("_etlkit_powers", ModuleType("_etlkit_powers"))).setdefault("tables", {})
+    if len(kept.get(base, ())) < n:
         full = np.full(max(n, SLICE_BYTES * 2), base)
         full[0] = 1
-        _powers[base] = np.multiply.accumulate(full)
-    return _powers[base][:n]
+        kept[base] = np.multiply.accumulate(full)
+    return kept[base][:n]
 
 
 def prefix_hashes(data: np.ndarray, codes: np.ndarray = BYTE_CODES) -> np.ndarray:

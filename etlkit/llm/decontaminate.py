@@ -302,11 +302,19 @@ def _search(shared):
 
 def _may_leak(regions: Regions, start: np.ndarray, end: np.ndarray, item: np.ndarray, size: np.ndarray, signs: np.ndarray, slack: np.ndarray) -> np.ndarray:
     """The candidates whose region holds words enough of their item and its answer, in any order: no other can be a leak."""
-    held = regions(start, end)
-    most = [np.bitwise_count(held & signs[part][item]).sum(1, dtype=np.int64) + slack[part][item] for part in (0, 1)]
-    n = size[item]
-    told = most[1] >= ANSWER_SHARE * np.minimum(n, ANSWER)
-    return np.flatnonzero(np.where(n < ANSWER, most[0] >= n, (most[0] >= LCS_ALONE * n) | (most[0] >= LCS_WITH_ANSWER * n) & told))
+    held, n = regions(start, end), size[item]
+    most = _bits(held & signs[0][item]) + slack[0][item]
+    some = np.flatnonzero(most >= np.where(n < ANSWER, n, LCS_WITH_ANSWER * n))
+    held, item, n, most = held[some], item[some], n[some], most[some]
+    told = _bits(held & signs[1][item]) + slack[1][item] >= ANSWER_SHARE * np.minimum(n, ANSWER)
+    return some[(n < ANSWER) | (most >= LCS_ALONE * n) | told]
+
+
+def _bits(sets: np.ndarray) -> np.ndarray:
+    """How many bits are set in each row of SIGNS numbers: eight counts of a byte each, added up in four lanes of 16 bits."""
+    counts, lanes = np.ascontiguousarray(np.bitwise_count(sets)).view(np.uint64), np.uint64(0x00FF00FF00FF00FF)
+    counts = (counts & lanes) + (counts >> np.uint64(8) & lanes)
+    return (counts * np.uint64(0x0001000100010001) >> np.uint64(48)).astype(np.int64).sum(1)
 
 
 def _compare(best: dict, cosine: np.ndarray, item: np.ndarray, text: np.ndarray, place: np.ndarray, bounds: np.ndarray, word: np.ndarray, numbers: list, masks: np.ndarray) -> None:

@@ -4,10 +4,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 import corpus_pipeline
-from etlkit.llm.common import table
-from etlkit.llm.decontaminate import Regions, _may_leak, _sums, common_lengths, find_leaks, item_signs, longest_common, verdicts, word_bits
+from etlkit.llm.common import BASE, BASE_INVERSE, powers, table, words_of
+from etlkit.llm.decontaminate import Regions, _bits, _may_leak, _sums, common_lengths, find_leaks, item_signs, longest_common, verdicts, word_bits
 from etlkit.llm.language import identify_documents, identify_pages, train
 from etlkit.llm.line_dedup import drop_repeated_lines
 from etlkit.llm.queries import QUERIES, SQL
@@ -215,3 +216,21 @@ def test_pipeline(spark):
     for name, stage in corpus_pipeline.STAGES:
         odd = stage(spark, odd, SMALL).cache()
         odd.count()
+
+
+def test_functions_sent_to_tasks_take_no_tables_of_powers_along():
+    for base in (BASE, BASE_INVERSE):
+        assert powers(base, 4).tolist() == [pow(int(base), k, 1 << 64) for k in range(4)]
+    sent = cloudpickle.dumps(words_of)  # 34 MB when the tables were globals
+    assert len(sent) < 100_000
+    data, ends = np.frombuffer(b"one two three", np.uint8), np.array([0, 13])
+    assert all((a == b).all() for a, b in zip(words_of(data, ends), cloudpickle.loads(sent)(data, ends)))
+    known = powers(BASE, 4)
+    assert np.shares_memory(known, cloudpickle.loads(cloudpickle.dumps(powers))(BASE, 4))  # one table per process
+
+
+def test_bits_are_counted_up_to_full_rows():
+    sets = np.random.default_rng(3).integers(0, 1 << 63, (50, 8)).astype(np.uint64)
+    sets[0], sets[1] = np.uint64((1 << 64) - 1), 0
+    assert _bits(sets).tolist() == [sum(int(x).bit_count() for x in row) for row in sets]
+    assert _bits(sets[:0]).tolist() == []

@@ -19,6 +19,7 @@ LCS_ALONE, LCS_WITH_ANSWER, ANSWER_SHARE = 0.7, 0.5, 0.75
 ANSWER = 8  # last words of an item
 SIGNS, BLOCK = 8, 8  # 64-bit words of a bit set, words of a block that has one
 PRODUCTS = 1 << 21  # cosines held at once
+TURNS = 4  # tasks a core in the pass that puts out a matrix per task
 ITEMS = 5000  # benchmark items that are sent to all tasks at once
 
 _BETWEEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -71,7 +72,8 @@ def latent_axes(docs: DataFrame, idf: np.ndarray, seed: int = 5) -> np.ndarray:
     """TERMS x RANK matrix that takes TF-IDF vectors to whitened coordinates on the main right singular vectors.
 
     Randomised SVD in one pass: with A the passages' TF-IDF rows and random R, tasks add up their part of A'(A R), a
-    matrix of fixed size; the driver completes the Nystrom factorisation of A'A from it.
+    matrix of fixed size; the driver completes the Nystrom factorisation of A'A from it. Texts in many small files are read by no
+    more than TURNS tasks a core, so the matrices do not outgrow the texts.
     """
     random = np.random.default_rng(seed).normal(size=(TERMS, RANK))
     shared = docs.sparkSession.sparkContext.broadcast((idf[:, None] * random).astype(np.float32))
@@ -89,7 +91,7 @@ def latent_axes(docs: DataFrame, idf: np.ndarray, seed: int = 5) -> np.ndarray:
                 total[k] += np.bincount(term, projected[k][step], TERMS)
         yield array_rows({0: (total.T * idf[:, None]).astype(np.float32)})
 
-    (product,) = added_up(docs.mapInArrow(each, "part int, data binary"), [(TERMS, RANK)], "axes", single=True)
+    (product,) = added_up(docs.coalesce(TURNS * docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(each, "part int, data binary"), [(TERMS, RANK)], "axes", single=True)
     core = random.T @ product
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     good = values > max(values.max(), 0) * 1e-9

@@ -7,6 +7,7 @@ import pytest
 from pyspark import cloudpickle
 
 import corpus_pipeline
+from etlkit.llm import decontaminate
 from etlkit.llm.common import BASE, BASE_INVERSE, powers, table, words_of
 from etlkit.llm.decontaminate import Regions, _bits, _may_leak, _sums, common_lengths, find_leaks, item_signs, longest_common, verdicts, word_bits
 from etlkit.llm.language import identify_documents, identify_pages, train
@@ -234,3 +235,12 @@ def test_bits_are_counted_up_to_full_rows():
     sets[0], sets[1] = np.uint64((1 << 64) - 1), 0
     assert _bits(sets).tolist() == [sum(int(x).bit_count() for x in row) for row in sets]
     assert _bits(sets[:0]).tolist() == []
+
+
+def test_texts_in_many_parts_give_few_matrices(spark, monkeypatch):
+    parts, whole = {}, decontaminate.added_up
+    monkeypatch.setattr(decontaminate, "added_up", lambda rows, shapes, name, **more: parts.update({name: rows.rdd.getNumPartitions()}) or whole(rows, shapes, name, **more))
+    docs = spark.createDataFrame(spark.sparkContext.parallelize([(k, f"some words of text {k} and {k % 7}") for k in range(300)], 100), "doc_id long, text string")
+    axes = decontaminate.latent_axes(docs, np.ones(decontaminate.TERMS))
+    assert parts["axes"] <= decontaminate.TURNS * spark.sparkContext.defaultParallelism < 100
+    assert np.allclose(np.abs(axes), np.abs(decontaminate.latent_axes(docs.coalesce(1), np.ones(decontaminate.TERMS))), atol=1e-3)

@@ -21,6 +21,7 @@ from etlkit.session import configure, drop_scratch, scratch_path
 cloudpickle.register_pickle_by_value(sys.modules["etlkit.llm"])
 
 SLICE_BYTES = 1 << 20  # text handled at once by the array code of one task, or one document if it is longer
+CACHED = 1 << 14  # numbers handled at once by chains of array operations, so that what lies between them stays in a core's cache
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -72,9 +73,20 @@ def columns_of(df: DataFrame, *names: str) -> DataFrame:
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    out = np.array(x, np.uint64)
+    flat = out.reshape(-1)
+    for i in range(0, len(flat), CACHED):
+        _mix(flat[i:i + CACHED])
+    return out
+
+
+def _mix(x: np.ndarray) -> None:
+    """`mixed` in place."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
 
 
 BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64) * BASE)
@@ -86,7 +98,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1), modulo 2**64. The tables, 16 MB each, are kept once per process, where no function that is sent to tasks
     takes them along and no finished task leaves its own behind."""
     kept = vars(sys.modules.setdefault("_etlkit_powers", ModuleType("_etlkit_powers"))).setdefault("tables", {})
-    if len(kept.get(base, ())) < n:
+    if base not in kept or len(kept[base]) < n:
         full = np.full(max(n, SLICE_BYTES * 2), base)
         full[0] = 1
         kept[base] = np.multiply.accumulate(full)
@@ -95,15 +107,36 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 def prefix_hashes(data: np.ndarray, codes: np.ndarray = BYTE_CODES) -> np.ndarray:
     """Polynomial hashes of all prefixes of `data`, modulo 2**64: entry i covers the first i items."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    values = codes[data] if data.dtype == np.uint8 else data
-    np.cumsum(values * powers(BASE, len(data)), out=out[1:])
+    out, factors = np.zeros(len(data) + 1, np.uint64), powers(BASE, len(data))
+    for i in range(0, len(data), CACHED):
+        part = data[i:i + CACHED]
+        values = codes[part] if part.dtype == np.uint8 else part.astype(np.uint64)
+        values *= factors[i:i + CACHED]
+        values[:1] += out[i:i + 1]
+        np.cumsum(values, out=out[i + 1:i + 1 + len(part)])
     return out
 
 
 def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the spans [start, end), equal for equal contents wherever they stand."""
-    return mixed((prefix[end] - prefix[start]) * powers(BASE_INVERSE, len(prefix))[start])
+    out, factors = np.empty(len(start), np.uint64), powers(BASE_INVERSE, len(prefix))
+    for i in range(0, len(start), CACHED):
+        a, part = start[i:i + CACHED], out[i:i + CACHED]
+        np.subtract(prefix[end[i:i + CACHED]], prefix[a], out=part)
+        part *= factors[a]
+        _mix(part)
+    return out
+
+
+def window_hashes(prefix: np.ndarray, width: int) -> np.ndarray:
+    """`span_hashes` of all spans of `width` items, in their order."""
+    out, factors = np.empty(max(0, len(prefix) - width), np.uint64), powers(BASE_INVERSE, len(prefix))
+    for i in range(0, len(out), CACHED):
+        part = out[i:i + CACHED]
+        np.subtract(prefix[i + width:i + width + len(part)], prefix[i:i + len(part)], out=part)
+        part *= factors[i:i + len(part)]
+        _mix(part)
+    return out
 
 
 def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -151,8 +184,12 @@ def runs_of(hashes: np.ndarray, k: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.full(n, np.uint64(k))
-    for j in range(k):
-        out = mixed(out * BASE + hashes[j:j + n])
+    for i in range(0, n, CACHED):
+        part = out[i:i + CACHED]
+        for j in range(k):
+            part *= BASE
+            part += hashes[i + j:i + j + len(part)]
+            _mix(part)
     return out
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from etlkit.llm.chunks import LAST, Chunks, answered, parts_for
-from etlkit.llm.common import prefix_hashes, span_hashes, staged
+from etlkit.llm.common import CACHED, prefix_hashes, span_hashes, staged, window_hashes
 
 LENGTH = 50  # bytes
 SEED = 24  # a window of LENGTH bytes is looked up by the seed of SEED bytes with the least hash in it
@@ -23,22 +23,11 @@ class Windows:
     def __init__(self, ids: np.ndarray, ends: np.ndarray, data: np.ndarray):
         self.ids, self.ends, self.data = ids, ends, data
         self.prefix = prefix_hashes(data)
-        n = max(0, len(data) - SEED + 1)
-        at = np.arange(n)
-        seeds = span_hashes(self.prefix, at, at + SEED)
-        least = at.astype(np.int32)
-        width = 1
-        while width < REACH:  # place of the least seed among `width`, then twice as many; the first one on ties
-            step = min(width, REACH - width)
-            a, b = least[:max(0, len(least) - step)], least[step:]
-            least = np.where(seeds[a] <= seeds[b], a, b)
-            width += step
-        size = np.diff(ends)
-        of = np.repeat(np.arange(len(ids)), size)
-        start = np.arange(len(least))
-        inside = start + LENGTH <= ends[1:][of[start]] if len(start) else np.zeros(0, bool)
-        self.start = start[inside]
-        self.of = of[self.start]
+        seeds = window_hashes(self.prefix, SEED)
+        least = least_places(seeds)
+        size = np.maximum(np.diff(ends) - LENGTH + 1, 0)
+        self.of = np.repeat(np.arange(len(ids)), size)
+        self.start = np.arange(len(self.of)) + np.repeat(ends[:-1] - np.cumsum(size) + size, size)
         place = least[self.start]
         # Successive windows of one text with one seed form a block: they cover one string around the seed.
         head = np.ones(len(place), bool)
@@ -58,6 +47,25 @@ class Windows:
         return np.repeat(self.first[blocks] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(blocks) else np.zeros(0, np.int64)
 
 
+def least_places(seeds: np.ndarray) -> np.ndarray:
+    """Place of the least seed among each REACH successive ones. Seeds are compared by their upper 48 bits; the first counts on ties,
+    so equal strings have it at the same place in them."""
+    n, low = max(0, len(seeds) - REACH + 1), np.uint64(0xFFFF)
+    out, place = np.empty(n, np.int64), np.arange(CACHED + REACH - 1, dtype=np.uint64)
+    for i in range(0, n, CACHED):
+        least = seeds[i:i + CACHED + REACH - 1] & ~low
+        least |= place[:len(least)]
+        width = 1
+        while width < REACH:  # the least of `width` seeds, then of twice as many
+            step = min(width, REACH - width)
+            least = np.minimum(least[:-step], least[step:])
+            width += step
+        least &= low
+        out[i:i + CACHED] = least
+        out[i:i + CACHED] += i
+    return out
+
+
 def earliest(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, the least document of each, and the position of every row's key among them."""
     unique, where = np.unique(keys, return_inverse=True)

@@ -2,9 +2,14 @@
 
 import hashlib
 import random
+import sys
 
+import numpy as np
+import pytest
+
+from etlkit.llm.common import BASE, BYTE_CODES, CACHED, powers, prefix_hashes, span_hashes, window_hashes
 from etlkit.llm.queries import QUERIES
-from etlkit.llm.suffix_dedup import remove_repeated_strings
+from etlkit.llm.suffix_dedup import REACH, SEED, least_places, remove_repeated_strings
 
 COLUMNS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -45,3 +50,22 @@ def test_odd_texts(spark, rows):
     df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, chunk int").repartition(6)
     assert rows(remove_repeated_strings(df), *COLUMNS) == brute(docs)
     assert remove_repeated_strings(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("n", [0, 23, 24, 50, 51, 3 * CACHED + 60])
+def test_pieces_of_a_chunk_give_what_the_whole_gives(n):
+    data = np.random.default_rng(n).integers(97, 99, n).astype(np.uint8)
+    prefix = prefix_hashes(data)
+    want = [0]
+    for b, p in zip(BYTE_CODES[data].tolist(), powers(BASE, n).tolist()):
+        want.append((want[-1] + b * p) % 2 ** 64)
+    assert prefix.tolist() == want
+    seeds, at = window_hashes(prefix, SEED), np.arange(max(0, n - SEED + 1))
+    assert seeds.tolist() == span_hashes(prefix, at, at + SEED).tolist()
+    high = (seeds >> np.uint64(16)).tolist()
+    assert least_places(seeds).tolist() == [min(range(i, i + REACH), key=lambda j: (high[j], j)) for i in range(len(high) - REACH + 1)]
+
+
+def test_powers_of_nothing_in_a_new_worker(monkeypatch):
+    monkeypatch.delitem(sys.modules, "_etlkit_powers", raising=False)
+    assert len(powers(BASE, 0)) == 0

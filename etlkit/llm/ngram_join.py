@@ -17,7 +17,8 @@ SHARE = (80, 100)  # least intersection / union
 SKETCH_BITS = 20  # counters of how common n-grams are: 8 MB, whatever the input
 SUBSET = 2  # elements of the subsets that small sets are looked up by
 STAR_ROUNDS = 2
-MARKS = 4  # 64-bit words of parity bits
+MARKS = 16  # 64-bit words of parity bits: fewer exclude little between sets of over 500 elements that share a half
+SETS = 256  # sets whose parity bits are counted at once
 SIZES = 4096  # set sizes the cost model tells apart
 
 
@@ -67,9 +68,13 @@ def parities(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Per set MARKS * 64 bits: whether an odd number of its elements falls on each. Two sets that differ in d elements
     differ in at most d bits."""
     bits, n = MARKS * 64, len(starts) - 1
-    of = np.repeat(np.arange(n), np.diff(starts))
-    odd = np.bincount(of * bits + (values & np.uint64(bits - 1)).astype(np.int64), minlength=n * bits).reshape(n, bits) % 2
-    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64).reshape(n, MARKS)
+    out = np.zeros((n, MARKS), np.int64)
+    for lo in range(0, n, SETS):
+        cuts = starts[lo:lo + SETS + 1]
+        of = np.repeat(np.arange(len(cuts) - 1) * bits, np.diff(cuts))
+        odd = np.bincount(of + (values[cuts[0]:cuts[-1]] & np.uint64(bits - 1)).astype(np.int64), minlength=(len(cuts) - 1) * bits).reshape(-1, bits)
+        out[lo:lo + SETS] = np.packbits((odd & 1).astype(np.uint8), axis=1).view(np.int64)
+    return out
 
 
 def _prefix(n, extra: int = 1):

@@ -7,7 +7,7 @@ import pytest
 
 from etlkit.llm import vector_join
 from etlkit.llm.common import linked_groups
-from etlkit.llm.ngram_join import boundary, near_groups
+from etlkit.llm.ngram_join import boundary, near_groups, parities
 from etlkit.llm.queries import QUERIES
 from etlkit.llm.vector_join import compare, link_vectors
 
@@ -85,6 +85,21 @@ def test_links_through_rows_without_id(spark, rows):
     assert got == sorted([(1, 1), (2, 1), (None, 1), (None, 1), (5, 5)], key=repr)
 
 
+def test_bits_tell_sets_apart_that_share_a_half():
+    """Sets of 600 elements: with 540 in common (Jaccard 0.82) they may be similar, with 450 or 400 (0.6 and 0.5) they are not."""
+    rng = np.random.default_rng(4)
+    apart = {}
+    for shared in (540, 450, 400):
+        sets = [rng.integers(0, 1 << 63, 1200 - shared, dtype=np.uint64) for _ in range(50)]
+        values = np.concatenate([np.concatenate([x[:600], x[-600:]]) for x in sets])
+        bits = parities(values, np.arange(0, 60_001, 600))
+        apart[shared] = [np.bitwise_count((a ^ b).view(np.uint64)).sum() for a, b in zip(bits[::2], bits[1::2])]
+    most = (600 + 600) * 20 // 180  # elements that may differ
+    assert max(apart[540]) <= most
+    assert min(apart[450]) > most and min(apart[400]) > most
+    assert parities(values[:0], np.zeros(1, np.int64)).shape == (0, bits.shape[1])
+
+
 def test_boundary_follows_cost():
     assert boundary({10: 1000, 500: 1000}, 0.0) < 10
     assert boundary({10: 1000, 500: 1000}, 1e6) >= 10

@@ -18,7 +18,9 @@ KINDS = {"long": (STEP, COSINE), "short": (6, 0.35), "tiny": (3, 0.35)}
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER_SHARE = 0.7, 0.5, 0.75
 ANSWER = 8  # last words of an item
 SIGNS, BLOCK = 8, 8  # 64-bit words of a bit set, words of a block that has one
-PRODUCTS = 1 << 21  # cosines held at once
+PRODUCTS = 1 << 21  # cosines whose hits are judged at once
+CLOSE = 1 << 18  # cosines held at once
+ROWS = 256  # steps summed at once
 TURNS = 4  # tasks a core in the pass that puts out a matrix per task
 ITEMS = 5000  # benchmark items that are sent to all tasks at once
 
@@ -38,14 +40,26 @@ def _steps(where: np.ndarray, n: int, words: int = STEP) -> tuple[np.ndarray, np
     return heads, where[heads]
 
 
+def _closed(table: np.ndarray) -> np.ndarray:
+    """The table with a row of zeros behind it."""
+    return np.concatenate([table, np.zeros((1, table.shape[1]), table.dtype)])
+
+
 def _sums(table: np.ndarray, term: np.ndarray, heads: np.ndarray, words: int) -> np.ndarray:
     """Sums of the rows of `table` over each step: `heads` are the first words of steps of at most `words` words."""
+    return _closed_sums(_closed(table), term, heads, words)
+
+
+def _closed_sums(table: np.ndarray, term: np.ndarray, heads: np.ndarray, words: int) -> np.ndarray:
+    """`_sums` of a closed table, which is closed once for many texts. ROWS steps at a time stay in a core's cache."""
     end = np.append(heads[1:], len(term))
-    table, term = np.concatenate([table, np.zeros((1, table.shape[1]), table.dtype)]), term.astype(np.int32)
-    out = table[term[heads]]
-    for j in range(1, words):
-        at = heads + j
-        out += table[np.where(at < end, term[np.minimum(at, len(term) - 1)], len(table) - 1)]
+    out, rows = np.empty((len(heads), table.shape[1]), table.dtype), np.empty((min(ROWS, len(heads)), table.shape[1]), table.dtype)
+    for lo in range(0, len(heads), ROWS):
+        part, at, to = out[lo:lo + ROWS], heads[lo:lo + ROWS], end[lo:lo + ROWS]
+        np.take(table, term[at], axis=0, out=part, mode="clip")
+        for j in range(1, words):
+            places = np.where(at + j < to, term[np.minimum(at + j, len(term) - 1)], len(table) - 1)
+            part += np.take(table, places, axis=0, out=rows[:len(part)], mode="clip")
     return out
 
 
@@ -79,13 +93,13 @@ def latent_axes(docs: DataFrame, idf: np.ndarray, seed: int = 5) -> np.ndarray:
     shared = docs.sparkSession.sparkContext.broadcast((idf[:, None] * random).astype(np.float32))
 
     def each(batches):
-        weighted, total = shared.value, np.zeros((RANK, TERMS))
+        weighted, total = _closed(shared.value), np.zeros((RANK, TERMS))
         for rows, data, ends in slices(batches):
             _, term, where = _terms(data, ends)
             if not len(term):
                 continue
             heads, _ = _steps(where, rows.num_rows)
-            projected = np.ascontiguousarray(_sums(weighted, term, heads, STEP).T)
+            projected = _closed_sums(weighted, term, heads, STEP).T.astype(np.float64, order="C")
             step = np.repeat(np.arange(len(heads)), np.diff(heads, append=len(term)))
             for k in range(RANK):
                 total[k] += np.bincount(term, projected[k][step], TERMS)
@@ -119,11 +133,15 @@ def _passages(vectors: np.ndarray, of: np.ndarray):
     last[:-1] = of[1:] != of[:-1]
     first = np.ones(len(of), bool)
     first[1:] = of[1:] != of[:-1]
-    two = vectors.copy()
-    two[:-1][~last[:-1]] += vectors[1:][~last[:-1]]
     at = np.flatnonzero(~last | first)
-    norm = np.sqrt((two[at] ** 2).sum(1, keepdims=True))
-    return two[at] / np.maximum(norm, 1e-30), at
+    out = np.empty((len(at), vectors.shape[1]), vectors.dtype)
+    for lo in range(0, len(at), ROWS):
+        here = at[lo:lo + ROWS]
+        two = vectors[here]
+        two += np.where(last[here][:, None], 0, vectors[np.minimum(here + 1, len(vectors) - 1)])
+        norm = np.sqrt((two ** 2).sum(1, keepdims=True))
+        np.divide(two, np.maximum(norm, 1e-30), out=out[lo:lo + ROWS])
+    return out, at
 
 
 def word_bits(known: int) -> np.ndarray:
@@ -255,6 +273,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _search(shared):
     def each(batches):
         axes, items = shared.value
+        axes = _closed(axes)
         vocabulary = items["vocabulary"]
         masks = np.zeros(len(vocabulary) + 1, np.uint64)
         numbers = [np.searchsorted(vocabulary, w) for w in items["words"]]
@@ -283,16 +302,14 @@ def _search(shared):
                     two = np.diff(at, append=len(half)) > 1
                     sums[step][0][two] += half[at[two] + 1]
                 else:
-                    sums[step] = _sums(axes, term, heads, step), heads
+                    sums[step] = _closed_sums(axes, term, heads, step), heads
                 vectors, at = _passages(sums[step][0], of)
                 at_once = max(1, PRODUCTS // len(known))
                 for lo in range(0, len(vectors), at_once):
-                    near = vectors[lo:lo + at_once] @ known.T
-                    hit = np.flatnonzero(near.ravel() >= least)
-                    p, q = np.divmod(hit, len(known))
+                    cosine, p, q = _near(vectors[lo:lo + at_once], known, least)
                     place, item, text = heads[at[p + lo]] - at_item[q], of_item[q], of[at[p + lo]]
                     kept = _may_leak(regions, np.maximum(place - STEP, bounds[text]), np.minimum(place + size[item] + STEP, bounds[text + 1]), item, size, *signs)
-                    _compare(best, near.ravel()[hit[kept]], item[kept], text[kept], place[kept], bounds, word, numbers, masks)
+                    _compare(best, cosine[kept], item[kept], text[kept], place[kept], bounds, word, numbers, masks)
             if best:
                 pairs = list(best)
                 found = np.array([best[x] for x in pairs])
@@ -302,6 +319,17 @@ def _search(shared):
     return each
 
 
+def _near(vectors: np.ndarray, known: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a vector and a known one from a least cosine on: cosines, and the numbers of both."""
+    found, at_once = [], max(1, CLOSE // len(known))
+    for lo in range(0, len(vectors), at_once):
+        near = (vectors[lo:lo + at_once] @ known.T).ravel()
+        hit = np.flatnonzero(near >= least)
+        found.append((near[hit], hit + lo * len(known)))
+    cosine, hit = (np.concatenate(x) for x in zip(*found))
+    return cosine, *np.divmod(hit, len(known))
+
+
 def _may_leak(regions: Regions, start: np.ndarray, end: np.ndarray, item: np.ndarray, size: np.ndarray, signs: np.ndarray, slack: np.ndarray) -> np.ndarray:
     """The candidates whose region holds words enough of their item and its answer, in any order: no other can be a leak."""
     held, n = regions(start, end), size[item]

@@ -9,6 +9,7 @@ from pyspark import cloudpickle
 import corpus_pipeline
 from etlkit.llm import decontaminate
 from etlkit.llm.common import BASE, BASE_INVERSE, powers, table, words_of
+from etlkit.llm import decontaminate
 from etlkit.llm.decontaminate import Regions, _bits, _may_leak, _sums, common_lengths, find_leaks, item_signs, longest_common, verdicts, word_bits
 from etlkit.llm.language import identify_documents, identify_pages, train
 from etlkit.llm.line_dedup import drop_repeated_lines
@@ -244,3 +245,13 @@ def test_texts_in_many_parts_give_few_matrices(spark, monkeypatch):
     axes = decontaminate.latent_axes(docs, np.ones(decontaminate.TERMS))
     assert parts["axes"] <= decontaminate.TURNS * spark.sparkContext.defaultParallelism < 100
     assert np.allclose(np.abs(axes), np.abs(decontaminate.latent_axes(docs.coalesce(1), np.ones(decontaminate.TERMS))), atol=1e-3)
+
+
+def test_near_vectors_in_pieces(monkeypatch):
+    rng = np.random.default_rng(6)
+    vectors, known = rng.normal(size=(103, 8)).astype(np.float32), rng.normal(size=(7, 8)).astype(np.float32)
+    monkeypatch.setattr(decontaminate, "CLOSE", 70)
+    cosine, p, q = decontaminate._near(vectors, known, 1.0)
+    want = np.argwhere(vectors @ known.T >= 1.0)
+    assert [p.tolist(), q.tolist()] == want.T.tolist()
+    assert np.allclose(cosine, (vectors @ known.T)[p, q])

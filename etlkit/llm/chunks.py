@@ -20,11 +20,13 @@ LAST = (1 << 63) - 1  # stands for a NULL id: after all others
 
 
 def packed(value) -> bytes:
-    return pa.compress(pickle.dumps(value, 5), "zstd", asbytes=True) + len(pickle.dumps(value, 5)).to_bytes(8, "little")
+    raw = pickle.dumps(value, 5)
+    return pa.compress(raw, "zstd", asbytes=True) + len(raw).to_bytes(8, "little")
 
 
 def unpacked(data):
-    return pickle.loads(pa.decompress(data[:-8], int.from_bytes(data[-8:], "little"), "zstd", asbytes=True))
+    data = memoryview(data)
+    return pickle.loads(pa.decompress(data[:-8], int.from_bytes(data[-8:], "little"), "zstd"))
 
 
 class Chunks:
@@ -70,41 +72,37 @@ class Chunks:
 
     def ask(self, questions, answers: DataFrame | None, keys: int) -> DataFrame:
         """(part, chunk, data): what `questions(chunk, ids, ends, data, answers)` returns by part, 0 <= part < keys."""
-        def each(batches):
-            for chunk, texts, got in _rows(batches):
-                for part, value in questions(*texts, got).items():
-                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([chunk], pa.int64()), pa.array([value], pa.binary())], ["part", "chunk", "data"])
-        return self._with(answers).mapInArrow(each, "part int, chunk long, data binary")
+        def each(chunk, texts, got):
+            found = questions(*texts, got)
+            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([chunk] * len(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["part", "chunk", "data"])
+        return self._with(answers, each, "part int, chunk long, data binary")
 
     def route(self, questions, answers: DataFrame, number: bool = True, every: bool = False) -> DataFrame:
         """(chunk, data): what `questions(ids, ends, data, answers)` returns by the chunk it is for. Chunks without
         answers are asked only with `every`; with `number` the first of the answers is the chunk's own number."""
-        def each(batches):
-            for chunk, texts, got in _rows(batches):
-                if got or every:
-                    for to, value in questions(*texts, [chunk.to_bytes(8, "little")] * number + got).items():
-                        yield pa.RecordBatch.from_arrays([pa.array([to], pa.int64()), pa.array([value], pa.binary())], ["chunk", "data"])
-        return self._with(answers).mapInArrow(each, "chunk long, data binary")
+        def each(chunk, texts, got):
+            found = questions(*texts, [chunk.to_bytes(8, "little")] * number + got) if got or every else {}
+            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["chunk", "data"])
+        return self._with(answers, each, "chunk long, data binary")
 
     def finish(self, result, schema: str, answers: DataFrame | None) -> DataFrame:
         """Rows that `result(ids, ends, data, answers)` gives as a record batch per chunk."""
-        def each(batches):
-            for _, texts, got in _rows(batches):
-                yield result(*texts, got)
-        return self._with(answers).mapInArrow(each, schema)
+        return self._with(answers, lambda _, texts, got: result(*texts, got), schema)
 
-    def _with(self, answers: DataFrame | None) -> DataFrame:
+    def _with(self, answers: DataFrame | None, each, schema: str) -> DataFrame:
+        """The record batches that `each(chunk, (ids, ends, data), answers)` gives. Only the answers move, once, to where their chunks are, and
+        a task holds those of one chunk at a time."""
         if answers is None:
-            return self.rows.select("chunk", "data", F.array().cast("array<binary>").alias("answers"))
-        together = answers.groupBy("chunk").agg(F.collect_list("data").alias("answers"))
-        return self.rows.hint("merge").join(together, "chunk", "left").select("chunk", "data", F.coalesce("answers", F.array().cast("array<binary>")).alias("answers"))
+            return self.rows.mapInArrow(lambda batches: (each(c.as_py(), _texts(d), []) for batch in batches for c, d in zip(*batch.columns)), schema)
+
+        def together(rows, got):
+            return pa.Table.from_batches([each(rows.column("chunk")[0].as_py(), _texts(rows.column("data")[0]), [x.as_py() for x in got.column("data")])])
+        return self.rows.groupBy("chunk").cogroup(answers.select("chunk", "data").groupBy("chunk")).applyInArrow(together, schema)
 
 
-def _rows(batches):
-    for batch in batches:
-        for i in range(batch.num_rows):
-            ids, ends, raw = unpacked(batch.column(1)[i].as_py())
-            yield batch.column(0)[i].as_py(), (ids, ends, np.frombuffer(raw, np.uint8)), [x.as_py() for x in batch.column(2)[i].values] if batch.column(2)[i].is_valid else []
+def _texts(data: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids, ends, raw = unpacked(data.as_buffer())
+    return ids, ends, np.frombuffer(raw, np.uint8)
 
 
 def answered(questions: DataFrame, answer, numbered: bool = False) -> DataFrame:

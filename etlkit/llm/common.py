@@ -162,20 +162,32 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SL
 
 def words_of(data: np.ndarray, ends: np.ndarray, lower: bool = True, between: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words, by default between white space: (hash, text index, start, end), A-Z in lower case."""
-    if lower:
-        data = LOWER[data]
     inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~between[data]
+    inside[:-1] = np.frombuffer(data.tobytes().translate((~between).tobytes()), bool)
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     cut = ends[1:-1][ends[1:-1] < len(data)]
     first[cut] |= inside[cut]
     start = np.flatnonzero(first)
-    last = inside.copy()  # true at the last byte of a word
-    last[:-1] &= ~(inside[1:] & ~first[1:])
+    last = inside  # true at the last byte of a word
+    last[:-1] &= ~inside[1:] | first[1:]
     end = np.flatnonzero(last) + 1
-    where = np.searchsorted(ends, start, "right") - 1
-    return span_hashes(prefix_hashes(data), start, end), where, start, end
+    where = np.repeat(np.arange(len(ends) - 1), np.diff(np.searchsorted(start, ends)))
+    return word_hashes(data, start, end, np.where(between, np.uint64(0), BYTE_CODES[LOWER] if lower else BYTE_CODES)), where, start, end
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """`span_hashes` of the words [start, end), one after the other, if `codes` is zero for the bytes between them."""
+    out = np.empty(len(start), np.uint64)
+    cuts = np.unique(np.append(np.searchsorted(start, np.arange(0, len(data), CACHED)), len(start)))
+    for lo, hi in zip(cuts.tolist(), cuts[1:].tolist()):
+        at, part = start[lo:hi] - start[lo], out[lo:hi]
+        values = np.take(codes, data[start[lo]:end[hi - 1]])
+        values *= powers(BASE, len(values))
+        np.add.reduceat(values, at, out=part)
+        part *= powers(BASE_INVERSE, len(values))[at]
+        _mix(part)
+    return out
 
 
 def runs_of(hashes: np.ndarray, k: int) -> np.ndarray:

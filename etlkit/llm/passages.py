@@ -17,9 +17,11 @@ LENGTHS = (10, 20)  # words of longer runs that are joined; each twice the one b
 GAP_COST = 0.05  # per word between two seeds of a chain, on either side
 WIDEN = 24  # words beyond an end of a chain that are aligned at once
 BAND = 8  # words by which the sides may shift there
+PAIRS, FEW = 1 << 11, 100  # pairs aligned at once; so few are aligned one by one
 PIECE = 20  # least words of a chain that is aligned
 PASSAGE = 50  # least words of a removed passage
 JOIN = 3  # words between aligned pieces that are taken along
+MARKS = 20  # upper bits of a seed that are looked at first
 ALIKE = 0.8  # least share of words in common order
 
 
@@ -55,8 +57,11 @@ class Words:
         known = seeds[often]
         begins = np.zeros(len(self.hashes), bool)
         if len(known):
-            found = np.minimum(np.searchsorted(known, self.seeds), len(known) - 1)
-            begins[self.at[known[found] == self.seeds]] = True
+            short = np.zeros(1 << MARKS, bool)  # by the upper bits of a seed: whether a known one has them
+            short[known >> np.uint64(64 - MARKS)] = True
+            maybe = np.flatnonzero(short[self.seeds >> np.uint64(64 - MARKS)])
+            found = np.minimum(np.searchsorted(known, self.seeds[maybe]), len(known) - 1)
+            begins[self.at[maybe[known[found] == self.seeds[maybe]]]] = True
         at = np.flatnonzero(begins)
         return self.runs[at], at, begins
 
@@ -376,6 +381,85 @@ def aligned(q: np.ndarray, q0: int, q1: int, r: np.ndarray, r0: int, r1: int) ->
         if not (i or k):
             break
         wide = over_equal(q0 - i, q1 + k, r0 - j, r1 + m)
+    return _alike(q, r, wide, narrow)
+
+
+def widened_all(q: np.ndarray, r: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`widened` of many pairs at once: rows of WIDEN words, of which `room` are there in r; those that are not are not equal to any."""
+    n = len(room)
+    best, active = np.zeros(n, np.int16), np.ones(n, bool)
+    end_q, end_r = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    above = np.full((WIDEN + 1, n), -99, np.int16)
+    above[:BAND + 1] = -np.arange(BAND + 1)[:, None]
+    q, r = np.ascontiguousarray(q.T), np.ascontiguousarray(r.T)
+    for i in range(1, WIDEN + 1):
+        row = np.full((WIDEN + 1, n), -99, np.int16)
+        left = top = np.full(n, -99, np.int16)
+        for j in range(max(0, i - BAND), min(WIDEN, i + BAND) + 1):
+            score = np.maximum(above[j], left, out=row[j])
+            score -= 1
+            if j:
+                same = q[i - 1] == r[j - 1]
+                np.maximum(score, above[j - 1] + (2 * same.view(np.int8) - 1), out=score)
+                same &= score >= best
+                same &= active
+                hit = np.flatnonzero(same)
+                best[hit], end_q[hit], end_r[hit] = score[hit], i, j
+            left, top = score, np.maximum(top, np.where(j <= room, score, -99))
+        active &= top >= best - 2 * BAND
+        if not active.any():
+            break
+        above = row
+    return end_q, end_r
+
+
+def _beside(words: np.ndarray, at: np.ndarray, room: np.ndarray, step: int, none: int) -> np.ndarray:
+    """Rows of the WIDEN words from `at` on (step 1) or before `at` backwards (step -1), `none` where there is no room for them."""
+    by = np.arange(WIDEN)
+    place = at[:, None] + (by if step > 0 else -1 - by)
+    there = by < room[:, None]
+    return np.where(there, words[np.where(there, place, 0)], np.uint64(none))
+
+
+def aligned_all(words: np.ndarray, q: np.ndarray, r: np.ndarray) -> list[tuple[int, int] | None]:
+    """`aligned` of many pairs at once. Rows of q and r: where in `words` the text begins, its span begins, its span ends and it ends."""
+    def run(a, b, room, step):
+        """How many words from a and b on (step 1) or before them (step -1) are equal, at most `room`."""
+        out, left = np.zeros(len(a), np.int64), np.arange(len(a))
+        while len(left):
+            done = out[left]
+            x, y = (_beside(words, p[left] + step * done, room[left] - done, step, none) for none, p in enumerate((a, b)))
+            n = np.argmin(np.append(x == y, np.zeros((len(left), 1), bool), axis=1), axis=1)
+            n = np.minimum(n, room[left] - done)
+            out[left] += n
+            left = left[n == WIDEN]
+        return out
+
+    def over_equal(q0, q1, r0, r1, of):
+        before = run(q0, r0, np.minimum(q0 - q[of, 0], r0 - r[of, 0]), -1)
+        after = run(q1, r1, np.minimum(q[of, 3] - q1, r[of, 3] - r1), 1)
+        return np.stack([q0 - before, q1 + after, r0 - before, r1 + after])
+
+    narrow = over_equal(q[:, 1], q[:, 2], r[:, 1], r[:, 2], np.arange(len(q)))
+    wide, left = narrow.copy(), np.arange(len(q))
+    while len(left):
+        q0, q1, r0, r1 = wide[:, left]
+        sides = ((q0, r0, q0 - q[left, 0], r0 - r[left, 0], -1), (q1, r1, q[left, 3] - q1, r[left, 3] - r1, 1))
+        x, y = (np.concatenate([_beside(words, side[of], side[of + 2], side[4], of) for side in sides]) for of in (0, 1))
+        n = len(left)
+        if n > FEW:
+            (i, k), (j, m) = (np.split(x, 2) for x in widened_all(x, y, np.concatenate([side[3] for side in sides])))
+        else:
+            ends = np.array([widened(a, b[:room]) for a, b, room in zip(x.tolist(), y.tolist(), np.concatenate([side[3] for side in sides]).tolist())])
+            (i, j), (k, m) = ends[:n].T, ends[n:].T
+        more = np.flatnonzero((i > 0) | (k > 0))
+        left = left[more]
+        wide[:, left] = over_equal(*(x[more] for x in (q0 - i, q1 + k, r0 - j, r1 + m)), left)
+    return [_alike(words, words, *spans) for spans in zip(zip(*wide.tolist()), zip(*narrow.tolist()))]
+
+
+def _alike(q: np.ndarray, r: np.ndarray, wide: tuple, narrow: tuple) -> tuple[int, int] | None:
+    """The first of the two pairs of spans that has ALIKE of its words in common order: the one in q."""
     for q0, q1, r0, r1 in dict.fromkeys((wide, narrow)):
         if q1 - q0 < PIECE:
             continue
@@ -386,36 +470,69 @@ def aligned(q: np.ndarray, q0: int, q1: int, r: np.ndarray, r0: int, r1: int) ->
 
 
 def _word_counts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    begins = np.zeros(len(data) + 1, bool)  # whether a text begins here
-    begins[ends[:-1]] = True
-    space = SPACES[data]
-    first = ~space
-    first[1:] &= space[:-1] | begins[1:-1]
-    return np.diff(np.concatenate([[0], np.cumsum(first)])[ends])
+    inside = np.frombuffer(data.tobytes().translate((~SPACES).tobytes()), bool)
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    cut = ends[1:-1][ends[1:-1] < len(data)]  # a word that goes on over the border of two texts
+    first[cut] |= inside[cut]
+    return np.diff(np.searchsorted(np.flatnonzero(first), ends))
 
 
 SCHEMA = "doc_id long, n_words long, n_removed long, spans array<struct<first:long,last:long,other:long>>, text binary"
 
 
+def _pieces(w: Words, row: dict[int, int], chains: list[tuple], texts: dict) -> dict[int, list]:
+    """The aligned spans of each text and the document that each refers to. `row`: which text of w has a number."""
+    words = np.concatenate([w.hashes, *texts.values()])
+    bounds = w.first.tolist()
+    inside = {k: (bounds[i], bounds[i + 1]) for k, i in row.items()}  # where a text's words are
+    far = dict(zip(texts, zip(*(np.cumsum([len(w.hashes), *map(len, texts.values())])[i:len(texts) + i].tolist() for i in (0, 1)))))
+    waiting: dict[tuple, list] = {}
+    for c in sorted(chains, key=lambda c: (c[4] - c[5], c), reverse=True):
+        waiting.setdefault(c[:3], []).append(c)
+    found: dict[tuple, list] = {x: [] for x in waiting}
+    pieces: dict[int, list] = {}
+    while waiting:  # of each text and document referred to, the longest chain that is left
+        turn, q, r = [], [], []
+        for x, left in list(waiting.items()):
+            spans = found[x]
+            while left:
+                c = left.pop()
+                if not any(a <= c[4] and c[5] <= b for a, b in spans):  # else a longer chain over these words has been aligned with this document
+                    (q_first, q_end), shift = inside[x[0]], 0 if x[1] < 0 else max(0, c[6] - PAD)
+                    r_first, r_end = inside[x[2]] if x[1] < 0 else far[x[1], x[2], shift]
+                    turn.append(c)
+                    q.append((q_first, q_first + c[4], q_first + c[5], q_end))
+                    r.append((r_first, r_first + c[6] - shift, r_first + c[7] - shift, r_end))
+                    break
+            else:
+                del waiting[x]
+        for i in range(0, len(turn), PAIRS):
+            for c, (q_first, *_), span in zip(turn[i:i + PAIRS], q[i:i + PAIRS], _aligned(words, q[i:i + PAIRS], r[i:i + PAIRS])):
+                if span:
+                    found[c[:3]].append((span[0] - q_first, span[1] - q_first))
+                    pieces.setdefault(c[0], []).append((span[0] - q_first, span[1] - q_first, c[3]))
+    return pieces
+
+
+def _aligned(words: np.ndarray, q: list[tuple], r: list[tuple]) -> list[tuple[int, int] | None]:
+    """`aligned_all`, or one after the other if they are few."""
+    if len(q) > FEW:
+        return aligned_all(words, np.array(q), np.array(r))
+    out = []
+    for (a, q0, q1, b), (c, r0, r1, d) in zip(q, r):
+        span = aligned(words[a:b], q0 - a, q1 - a, words[c:d], r0 - c, r1 - c)
+        out.append(span and (span[0] + a, span[1] + a))
+    return out
+
+
 def _result(ids, ends, data, tagged):
     chains = list(zip(*[x.tolist() for x in _listed(_tagged(tagged, b"3"), *[np.int64] * 8)]))
     texts = _texts(_tagged(tagged, b"5"))
     numbers = sorted({c[0] for c in chains} | {c[2] for c in chains if c[1] < 0})
     w = _some(numbers, ids, ends, data) if numbers else None
     row = {k: i for i, k in enumerate(numbers)}
-    words = lambda k: w.hashes[w.first[row[k]]:w.first[row[k] + 1]]
-    pieces: dict[int, list] = {}
-    found: dict[tuple, list] = {}
-    for k, chunk, other, doc, q0, q1, r0, r1 in sorted(chains, key=lambda c: (c[4] - c[5], c)):
-        spans = found.setdefault((k, chunk, other), [])
-        if any(a <= q0 and q1 <= b for a, b in spans):  # a longer chain over these words has been aligned with this document
-            continue
-        shift = 0 if chunk < 0 else max(0, r0 - PAD)
-        r = words(other) if chunk < 0 else texts[chunk, other, shift]
-        span = aligned(words(k), q0, q1, r, r0 - shift, r1 - shift)
-        if span:
-            spans.append(span)
-            pieces.setdefault(k, []).append((*span, doc))
+    pieces = _pieces(w, row, chains, texts) if numbers else {}
     spans, removed, kept = [], [], []
     for k in range(len(ids)):
         out: list[list[int]] = []

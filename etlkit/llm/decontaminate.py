@@ -21,6 +21,7 @@ SIGNS, BLOCK = 8, 8  # 64-bit words of a bit set, words of a block that has one
 PRODUCTS = 1 << 21  # cosines whose hits are judged at once
 CLOSE = 1 << 18  # cosines held at once
 ROWS = 256  # steps summed at once
+UPPER = 18  # bits of a hash by which its word is looked up
 TURNS = 4  # tasks a core in the pass that puts out a matrix per task
 ITEMS = 5000  # benchmark items that are sent to all tasks at once
 
@@ -101,8 +102,9 @@ def latent_axes(docs: DataFrame, idf: np.ndarray, seed: int = 5) -> np.ndarray:
             heads, _ = _steps(where, rows.num_rows)
             projected = _closed_sums(weighted, term, heads, STEP).T.astype(np.float64, order="C")
             step = np.repeat(np.arange(len(heads)), np.diff(heads, append=len(term)))
+            weights = np.empty(len(step))
             for k in range(RANK):
-                total[k] += np.bincount(term, projected[k][step], TERMS)
+                total[k] += np.bincount(term, np.take(projected[k], step, out=weights, mode="clip"), TERMS)
         yield array_rows({0: (total.T * idf[:, None]).astype(np.float32)})
 
     (product,) = added_up(docs.coalesce(TURNS * docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(each, "part int, data binary"), [(TERMS, RANK)], "axes", single=True)
@@ -137,8 +139,10 @@ def _passages(vectors: np.ndarray, of: np.ndarray):
     out = np.empty((len(at), vectors.shape[1]), vectors.dtype)
     for lo in range(0, len(at), ROWS):
         here = at[lo:lo + ROWS]
-        two = vectors[here]
-        two += np.where(last[here][:, None], 0, vectors[np.minimum(here + 1, len(vectors) - 1)])
+        two = np.take(vectors, here, axis=0)
+        more = np.take(vectors, here + 1, axis=0, mode="clip")
+        more[last[here]] = 0
+        two += more
         norm = np.sqrt((two ** 2).sum(1, keepdims=True))
         np.divide(two, np.maximum(norm, 1e-30), out=out[lo:lo + ROWS])
     return out, at
@@ -162,6 +166,26 @@ def item_signs(numbers: list[np.ndarray], bits: np.ndarray) -> tuple[np.ndarray,
     return signs, slack
 
 
+class Vocabulary:
+    """Numbers of words by their hashes: places in the sorted array `known`, or its length for others."""
+
+    def __init__(self, known: np.ndarray):
+        self.known = np.append(known, np.uint64(0))
+        self.n, self.shift = len(known), np.uint64(64 - UPPER)
+        self.first = np.searchsorted(known >> self.shift, np.arange((1 << UPPER) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        upper = (hashes >> self.shift).astype(np.int64)
+        out = np.take(self.first, upper).astype(np.int64)
+        other = np.flatnonzero(np.take(self.known, out) != hashes)
+        several = np.take(self.first, upper[other] + 1) - out[other] > 1  # known words with the same upper bits
+        out[other] = self.n
+        other = other[several]
+        at = np.searchsorted(self.known[:-1], hashes[other])
+        out[other] = np.where(self.known[at] == hashes[other], at, self.n)
+        return out
+
+
 class Regions:
     """Bit sets of the words of any stretch of the texts: those of blocks of BLOCK words, and of 2, 4, 8, ... such blocks."""
 
@@ -178,11 +202,12 @@ class Regions:
             self.levels.append(level)
         self.n = len(level)
         self.flat = np.concatenate(self.levels)
+        self.level_of = np.frexp(np.arange(1 << len(self.levels)).astype(np.float64))[1] - 1  # by the number of blocks
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Bit sets of the words from `start` up to `end`, and of some around them."""
         a, b = start // BLOCK, np.maximum(end - 1, start) // BLOCK + 1
-        level = np.frexp((b - a).astype(np.float64))[1] - 1
+        level = self.level_of[b - a]
         return self.flat[level * self.n + a] | self.flat[level * self.n + b - (1 << level)]
 
 
@@ -275,6 +300,7 @@ def _search(shared):
         axes, items = shared.value
         axes = _closed(axes)
         vocabulary = items["vocabulary"]
+        known_words = Vocabulary(vocabulary)
         masks = np.zeros(len(vocabulary) + 1, np.uint64)
         numbers = [np.searchsorted(vocabulary, w) for w in items["words"]]
         bits, size = word_bits(len(vocabulary)), np.array([len(x) for x in numbers])
@@ -283,9 +309,7 @@ def _search(shared):
             hashes, term, where = _terms(data, ends)
             if not len(term) or not len(vocabulary):
                 continue
-            word = np.searchsorted(vocabulary, hashes)
-            word[vocabulary[np.minimum(word, len(vocabulary) - 1)] != hashes] = len(vocabulary)
-            word = np.append(word, len(vocabulary))  # a place outside every text
+            word = np.append(known_words(hashes), len(vocabulary))  # a place outside every text
             bounds = np.searchsorted(where, np.arange(rows.num_rows + 1))
             regions = Regions(word, bits, int(size.max()) + 2 * STEP)
             best: dict = {}
@@ -322,9 +346,17 @@ def _search(shared):
 def _near(vectors: np.ndarray, known: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of a vector and a known one from a least cosine on: cosines, and the numbers of both."""
     found, at_once = [], max(1, CLOSE // len(known))
+    products = np.empty((min(at_once, len(vectors)), len(known)), np.result_type(vectors, known))  # the same place again and again
+    high = np.empty(-(-products.size // 8) * 8, bool)
     for lo in range(0, len(vectors), at_once):
-        near = (vectors[lo:lo + at_once] @ known.T).ravel()
-        hit = np.flatnonzero(near >= least)
+        some = vectors[lo:lo + at_once]
+        near = np.matmul(some, known.T, out=products[:len(some)]).ravel()
+        np.greater_equal(near, least, out=high[:len(near)])
+        high[len(near):] = False
+        eights = high.view(np.uint64)  # few are high: eight at a time are passed over
+        some = np.flatnonzero(eights)
+        at = np.flatnonzero(eights[some].view(bool))
+        hit = some[at >> 3] * 8 + (at & 7)
         found.append((near[hit], hit + lo * len(known)))
     cosine, hit = (np.concatenate(x) for x in zip(*found))
     return cosine, *np.divmod(hit, len(known))

@@ -565,7 +565,7 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     repeat each other; an empty table gives no rows; other columns are ignored.
     """
     chunks = Chunks(docs, "passages")
-    parts = parts_for(chunks.count, 1 << 20)
+    parts = parts_for(chunks.count, 2 << 20)
     tag = lambda df, k: df.select("chunk", F.concat(F.lit(k).cast("binary"), F.col("data")).alias("data"))
     flags = staged(answered(chunks.ask(_prints(parts), None, parts), _met), "flags")
     places = staged(answered(chunks.ask(_seeds(parts), flags, parts), _places, numbered=True), "places")

@@ -11,6 +11,7 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JJavaError
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,11 +96,11 @@ SPACES = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1), modulo 2**64. The tables, 16 MB each, are kept once per process, where no function that is sent to tasks
-    takes them along and no finished task leaves its own behind."""
+    """base**0 .. base**(n-1), modulo 2**64. The tables, as long as the longest asked for, or up to twice that, are kept once per process,
+    where no function that is sent to tasks takes them along and no finished task leaves its own behind."""
     kept = vars(sys.modules.setdefault("_etlkit_powers", ModuleType("_etlkit_powers"))).setdefault("tables", {})
     if base not in kept or len(kept[base]) < n:
-        full = np.full(max(n, SLICE_BYTES * 2), base)
+        full = np.full(max(n, CACHED, min(2 * len(kept.get(base, ())), SLICE_BYTES * 2)), base)
         full[0] = 1
         kept[base] = np.multiply.accumulate(full)
     return kept[base][:n]
@@ -255,29 +256,74 @@ def added_up(rows: DataFrame, shapes: list[tuple[int, ...]], name: str, width: i
     return out
 
 
+LINKS_AT_ONCE = 1 << 20  # links that a task turns into stars at once
+
+
+def stars(u: pa.Array, v: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Links that group the nodes as the links (u, v) do: each node but the smallest of its group with that smallest."""
+    coded = pa.concat_arrays([u, v]).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    a, b = rank[coded.indices.to_numpy()].reshape(2, -1)
+    low = np.arange(len(order))
+    while len(a):
+        np.minimum.at(low, np.maximum(low[a], low[b]), np.minimum(low[a], low[b]))
+        while not np.array_equal(low, low[low]):
+            low = low[low]
+        apart = low[a] != low[b]
+        a, b = a[apart], b[apart]
+    kept = np.flatnonzero(low != np.arange(len(low)))
+    return coded.dictionary.take(pa.array(order[kept])), coded.dictionary.take(pa.array(order[low[kept]]))
+
+
+def _starred(links: DataFrame) -> DataFrame:
+    """Each task turns the links (u, v) it holds into stars, LINKS_AT_ONCE at a time, whatever their number."""
+    def each(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= LINKS_AT_ONCE:
+                yield turned(held)
+                held, n = [], 0
+        if n:
+            yield turned(held)
+
+    def turned(held):
+        return pa.RecordBatch.from_arrays(list(stars(*[pa.concat_arrays([x.column(k) for x in held]) for k in range(2)])), ["u", "v"])
+
+    return links.mapInArrow(each, links.schema)
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each u has one v only, and no v is a u."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("low")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("low").alias("low")).where("up + low > 1 AND up > 0").isEmpty()
+
+
 def linked_groups(links: DataFrame, name: str, most: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over the undirected links (a, b), for nodes with a link.
 
-    Links are turned in rounds: each node's larger neighbours, then its smaller ones, are joined to its smallest
-    neighbour, until nothing changes; a chain of n links takes about log n rounds. The minimum of a node is
-    aggregated before the shuffle, and it is one row, so a node with many links makes no large group.
+    Tasks first turn the links they hold into stars, which settles links that fit one task. Others are turned in rounds: each
+    node's larger neighbours, then its smaller ones, are joined to its smallest neighbour, until all are stars; a chain of n
+    links takes about log n rounds. The minimum of a node is aggregated before the shuffle, and it is one row, so a node with
+    many links makes no large group. Half a round is written down at a time, since the driver's memory grows with the plans.
     """
-    edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-links")
-    mark = None
+    edges = staged(_starred(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()), f"{name}-links")
     for _ in range(most):
+        released(edges.sparkSession)
+        if _are_stars(edges):
+            break
         # Both directions; m: smallest of a node and its neighbours.
         both = edges.union(edges.select("v", "u")).toDF("n", "o")
         least = both.groupBy("n").agg(F.min("o").alias("m")).select("n", F.least("n", "m").alias("m"))
-        large = both.where("o > n").join(least, "n").select(F.col("o").alias("u"), F.col("m").alias("v")).union(
-            least.select(F.col("n").alias("u"), F.col("m").alias("v"))).where("u <> v")
+        large = staged(both.where("o > n").join(least, "n").select(F.col("o").alias("u"), F.col("m").alias("v")).union(
+            least.select(F.col("n").alias("u"), F.col("m").alias("v"))).where("u <> v"), f"{name}-large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        last, edges = edges, staged(large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), f"{name}-round")
-        discard(last)
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == mark:
-            break
-        mark = now
+        last, edges = edges, staged(_starred(large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+            low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()), f"{name}-round")
+        discard(last, large)
     else:
         raise RuntimeError("links did not settle")
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -285,12 +331,23 @@ def linked_groups(links: DataFrame, name: str, most: int = 60) -> DataFrame:
 
 
 def released(spark: SparkSession) -> None:
-    """Let the driver collect what no variable holds any more, so that executors delete the shuffle files behind it.
+    """Let the driver collect what no variable holds any more, so that executors delete the shuffle files behind it, and give
+    the memory that it has freed back to the system.
 
-    Without this they stay until the driver's memory fills, which in a long run of joins can be after the disks have.
+    Without this files stay until the driver's memory fills, which in a long run of joins can be after the disks have; and
+    what its threads have freed stays with them, some 200 MB after two pipelines.
     """
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    jvm = spark.sparkContext._jvm
+    jvm.System.gc()
+    beans, name = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    call = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+    asked = spark.sparkContext._gateway.new_array(jvm.Object, 4)  # what `jcmd` calls System.trim_native_heap, without arguments
+    asked[0], asked[1] = name, "systemTrimNativeHeap"
+    try:
+        call.invoke(beans, asked)
+    except Py4JJavaError:  # JVMs before 17.0.9 or without glibc have no such command
+        pass
 
 
 SMALL_KEYS = 500_000  # ids that may be sent to every task

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from etlkit.llm.common import added_up, array_rows, columns_of, slices, staged, words_of
+from etlkit.llm.common import added_up, array_rows, columns_of, released, slices, staged, words_of
 
 TERMS = 1 << 14  # hashed words
 RANK = 64
@@ -285,6 +285,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs, benchmark = columns_of(docs, "doc_id", "text"), columns_of(benchmark, "item_id", "text")
     idf = inverse_frequencies(docs)
     axes = idf[:, None] * latent_axes(docs, idf)
+    released(spark)
     schema = f"doc_id {kind}, item_id {item_kind}, cosine double, lcs_share double, answer_share double"
     found = spark.createDataFrame([], schema)
     blocks = -(-benchmark.count() // ITEMS)

@@ -241,6 +241,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     bucket = Window.partitionBy("key")
     keyed = _keys_pass(docs, salt, common, small).withColumn("_low", F.min("node").over(bucket)).withColumn("_high", F.max("node").over(bucket))
     shared = staged(keyed.where("_low <> _high").drop("_low", "_high").distinct().withColumn("component", F.col("node")), "keys")
+    released(spark)
     owners = nodes.select("node", "doc_id")
     links = None
     for r in range(STAR_ROUNDS):

@@ -3,10 +3,11 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from etlkit.llm import vector_join
-from etlkit.llm.common import linked_groups
+from etlkit.llm import common, vector_join
+from etlkit.llm.common import linked_groups, released, staged, stars
 from etlkit.llm.ngram_join import boundary, near_groups, parities
 from etlkit.llm.queries import QUERIES
 from etlkit.llm.vector_join import compare, link_vectors
@@ -111,6 +112,70 @@ def test_long_chain_is_one_component(spark, rows):
     assert linked_groups(links.limit(0), "none").collect() == []
 
 
+def test_links_that_fit_one_task_take_no_rounds(spark, rows, monkeypatch):
+    pairs = np.random.default_rng(3).integers(0, 3000, (2000, 2))
+    links = spark.createDataFrame([*map(tuple, pairs.tolist()), *((i, i + 1) for i in range(5000, 9000))], "a long, b long")
+    written = []
+    monkeypatch.setattr(common, "staged", lambda df, name: written.append(name) or staged(df, name))
+    groups = linked_groups(links, "few")
+    assert written == ["few-links"]
+    found = components({n for p in pairs.tolist() for n in p if p[0] != p[1]} | set(range(5000, 9001)), pairs.tolist() + [(i, i + 1) for i in range(5000, 9000)])
+    assert rows(groups) == sorted(found.items(), key=repr)
+
+
+def test_links_over_many_tasks(spark, rows):
+    """Chains, a star, and names as nodes, in tasks that hold a few links each."""
+    rng = np.random.default_rng(4)
+    order = rng.permutation(400).tolist()
+    links = list(zip(order[:250], order[1:251])) + [(order[260], x) for x in order[261:]] + [(7000, 7001)]
+    keys = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name in (lambda n: n, lambda n: f"n{n}é"):
+        given = [(name(a), name(b)) for a, b in links]
+        ids = sorted({x for p in given for x in p})
+        df = spark.createDataFrame(given, ["a", "b"])
+        before = {k: spark.conf.get(k) for k in keys}
+        try:
+            for k, v in keys.items():
+                spark.conf.set(k, v)
+            assert rows(linked_groups(df, "many")) == sorted(components(ids, given).items(), key=repr)
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+
+
+def test_stars_of_a_task():
+    rng = np.random.default_rng(5)
+    for n, many in ((0, 5), (1, 5), (40, 60), (5000, 4000)):
+        u, v = np.sort(rng.integers(-many, many, (n, 2)))[:, ::-1].T
+        a, b = stars(pa.array(u), pa.array(v))
+        want = components(set(u.tolist()) | set(v.tolist()), zip(u.tolist(), v.tolist()))
+        assert sorted(zip(a.to_pylist(), b.to_pylist())) == sorted((x, y) for x, y in want.items() if x != y)
+
+
+def test_freed_memory_goes_back(spark):
+    """What the driver's threads have freed does not stay in its allocator."""
+    jvm = spark.sparkContext._jvm
+    pid = int(jvm.java.lang.ProcessHandle.current().pid())
+
+    def resident():
+        with open(f"/proc/{pid}/smaps_rollup") as f:
+            return int(re.search(r"Rss:\s+(\d+)", f.read())[1]) >> 10
+    field = jvm.java.lang.Class.forName("sun.misc.Unsafe").getDeclaredField("theUnsafe")
+    field.setAccessible(True)
+    unsafe = field.get(None)
+    released(spark)
+    places = [unsafe.allocateMemory(60_000) for _ in range(3000)]
+    for at in places:
+        unsafe.setMemory(at, 60_000, 1)
+    full = resident()
+    for at in places[:-1]:  # the last one keeps the allocator from shrinking by itself
+        unsafe.freeMemory(at)
+    released(spark)
+    left = resident()
+    unsafe.freeMemory(places[-1])
+    assert full - left > 100
+
+
 def brute_vectors(found):
     ok = [(i, np.array(v, float) / max(map(abs, v))) for i, v in found if v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     links = [(a, b) for n, (a, x) in enumerate(ok) for b, y in ok[:n] if len(x) == len(y) and x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.9]

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import pickle
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from etlkit.llm.common import columns_of, text_arrays, tidy
+from etlkit.llm.common import SMALL_KEYS, columns_of, staged, text_arrays, tidy
 from etlkit.session import drop_scratch, scratch_path
 
 CHUNK_BYTES = 2 << 20
 CHUNKS_PER_TASK = 8
 LAST = (1 << 63) - 1  # stands for a NULL id: after all others
+BATCH_BYTES = 4 << 20  # answers put out at once
 
 
 def packed(value) -> bytes:
@@ -80,24 +81,44 @@ class Chunks:
     def route(self, questions, answers: DataFrame, number: bool = True, every: bool = False) -> DataFrame:
         """(chunk, data): what `questions(ids, ends, data, answers)` returns by the chunk it is for. Chunks without
         answers are asked only with `every`; with `number` the first of the answers is the chunk's own number."""
+        return self._with(answers, self._routed(questions, number, every), "chunk long, data binary")
+
+    def spread(self, questions, answers: DataFrame, size: Column, most: int, number: bool = True) -> DataFrame:
+        """`route`, but where the answers to a chunk come to more than `most` by the column `size`, they are dealt out to several
+        tasks, each with the chunk's texts. Many chunks may refer to one, and what they ask of it then grows with the corpus."""
+        many = answers.groupBy("chunk").agg(F.ceil(F.sum(size) / most).cast("int").alias("n")).where("n > 1")
+        many = staged(many, "many")
+        count = many.count()
+        each = self._routed(questions, number, False)
+        if not count:
+            return self._with(answers, each, "chunk long, data binary")
+        many = F.broadcast(many) if count <= SMALL_KEYS else many
+        rows = self.rows.join(many, "chunk").select("chunk", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("turn"), "data")
+        dealt = answers.join(many, "chunk").select("chunk", F.pmod(F.xxhash64("data"), "n").cast("int").alias("turn"), "data")
+        return self._with(answers.join(many, "chunk", "left_anti"), each, "chunk long, data binary").union(
+            self._with(dealt, each, "chunk long, data binary", rows))
+
+    def _routed(self, questions, number: bool, every: bool):
         def each(chunk, texts, got):
             found = questions(*texts, [chunk.to_bytes(8, "little")] * number + got) if got or every else {}
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["chunk", "data"])
-        return self._with(answers, each, "chunk long, data binary")
+            return _rows(list(found), list(found.values()))
+        return each
 
     def finish(self, result, schema: str, answers: DataFrame | None) -> DataFrame:
         """Rows that `result(ids, ends, data, answers)` gives as a record batch per chunk."""
         return self._with(answers, lambda _, texts, got: result(*texts, got), schema)
 
-    def _with(self, answers: DataFrame | None, each, schema: str) -> DataFrame:
+    def _with(self, answers: DataFrame | None, each, schema: str, rows: DataFrame | None = None) -> DataFrame:
         """The record batches that `each(chunk, (ids, ends, data), answers)` gives. Only the answers move, once, to where their chunks are, and
-        a task holds those of one chunk at a time."""
+        a task holds those of one chunk at a time. With `rows`, copies of chunks, they meet by chunk and turn."""
         if answers is None:
             return self.rows.mapInArrow(lambda batches: (each(c.as_py(), _texts(d), []) for batch in batches for c, d in zip(*batch.columns)), schema)
 
+        rows, keys = (self.rows, ["chunk"]) if rows is None else (rows, ["chunk", "turn"])
+
         def together(rows, got):
             return pa.Table.from_batches([each(rows.column("chunk")[0].as_py(), _texts(rows.column("data")[0]), [x.as_py() for x in got.column("data")])])
-        return self.rows.groupBy("chunk").cogroup(answers.select("chunk", "data").groupBy("chunk")).applyInArrow(together, schema)
+        return rows.groupBy(*keys).cogroup(answers.select(*keys, "data").groupBy(*keys)).applyInArrow(together, schema)
 
 
 def _texts(data: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,13 +127,25 @@ def _texts(data: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def answered(questions: DataFrame, answer, numbered: bool = False) -> DataFrame:
-    """(chunk, data): per part, `answer([data of each chunk])` returns one value, or None, for each of them. With
-    `numbered` it also gets the chunks' numbers."""
-    def each(rows: pd.DataFrame) -> pd.DataFrame:
-        found = answer(list(rows["data"]), rows["chunk"].to_numpy()) if numbered else answer(list(rows["data"]))
-        out = [(c, d) for c, d in zip(rows["chunk"], found) if d is not None]
-        return pd.DataFrame(out, columns=["chunk", "data"])
-    return questions.groupBy("part").applyInPandas(each, "chunk long, data binary")
+    """(chunk, data): per part, `answer([data of each chunk])` gives pairs of a place in that list and a value, in any order and number. With
+    `numbered` it also gets the chunks' numbers. Data are views of what has arrived, and values go on as they come."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(batch.column("chunk").to_numpy(), [memoryview(x.as_buffer()) for x in batch.column("data")]) for batch in batches]
+        numbers, blobs = np.concatenate([n for n, _ in held]), [b for _, more in held for b in more]
+        chunks, data, size = [], [], 0
+        for i, value in answer(blobs, numbers) if numbered else answer(blobs):
+            chunks.append(numbers[i])
+            data.append(value)
+            size += len(value)
+            if size >= BATCH_BYTES:
+                yield _rows(chunks, data)
+                chunks, data, size = [], [], 0
+        yield _rows(chunks, data)
+    return questions.groupBy("part").applyInArrow(each, "chunk long, data binary")
+
+
+def _rows(chunks: list[int], data: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(data, pa.binary())], ["chunk", "data"])
 
 
 def parts_for(chunks: int, bytes_per_chunk: int, target: int = 24 << 20) -> int:

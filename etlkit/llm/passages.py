@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from operator import itemgetter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +25,8 @@ PIECE = 20  # least words of a chain that is aligned
 PASSAGE = 50  # least words of a removed passage
 JOIN = 3  # words between aligned pieces that are taken along
 MARKS = 20  # upper bits of a seed that are looked at first
+AT_ONCE = 1 << 19  # runs of a range of hashes that are settled at once
+WORDS = 2 << 20  # words that a task looks up in a chunk for others
 ALIKE = 0.8  # least share of words in common order
 
 
@@ -121,14 +126,14 @@ def _prints(parts):
 def _met(blobs):
     """To each chunk: which of its seeds another chunk has too, as bits. Equal halves of unequal seeds only add a few."""
     prints = [np.frombuffer(b, np.uint32, offset=4) for b in blobs]
-    together = np.concatenate(prints)
-    order = np.sort(together)
+    order = np.concatenate(prints)
+    order.sort()
     often = np.unique(order[1:][order[1:] == order[:-1]])
-    out = []
-    for b, mine in zip(blobs, prints):
-        hit = often[np.minimum(np.searchsorted(often, mine), len(often) - 1)] == mine if len(often) else np.zeros(len(mine), bool)
-        out.append(b[:4] + np.packbits(hit).tobytes() if hit.any() else None)
-    return out
+    del order
+    for i, mine in enumerate(prints if len(often) else []):
+        hit = often[np.minimum(np.searchsorted(often, mine), len(often) - 1)] == mine
+        if hit.any():
+            yield i, bytes(blobs[i][:4]) + np.packbits(hit).tobytes()
 
 
 def _dealt(w: Words, runs, at, parts):
@@ -153,8 +158,20 @@ def _longer(parts):
 
 
 def _places(blobs, numbers):
-    """To each chunk, for its runs that an earlier document of another chunk has: run, document, spot and chunk of the first place."""
+    """To each chunk, for its runs that an earlier document of another chunk has: run, document, spot and chunk of the first place.
+
+    Each blob is sorted by run, so the group is settled AT_ONCE rows at a time, range after range of runs: how many runs recur
+    in a chunk grows with the corpus, up to all of them."""
     rows = [_read(b, np.uint64, np.int64, np.int64) for b in blobs]
+    turns = max(1, -(-sum(len(r[0]) for r in rows) // AT_ONCE))
+    low, high = min((int(r[0][0]) for r in rows if len(r[0])), default=0), max((int(r[0][-1]) for r in rows if len(r[0])), default=0)
+    bounds = [low + (high - low + 1) * t // turns for t in range(1, turns)]
+    cuts = [[0, *np.searchsorted(r[0], np.array(bounds, np.uint64)).tolist(), len(r[0])] for r in rows]
+    for t in range(turns):
+        yield from _first([[x[c[t]:c[t + 1]] for x in r] for r, c in zip(rows, cuts)], numbers)
+
+
+def _first(rows, numbers):
     run, doc, spot = (np.concatenate([r[i] for r in rows]) for i in range(3))
     chunk = np.repeat(numbers, [len(r[0]) for r in rows])
     order = np.lexsort((spot, chunk, doc, run))
@@ -162,14 +179,15 @@ def _places(blobs, numbers):
     new[1:] = run[order][1:] != run[order][:-1]
     lead = np.empty(len(order), np.int64)
     lead[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-    out, at = [], 0
-    for r in rows:
+    del order, new
+    at = 0
+    for k, r in enumerate(rows):
         mine = np.arange(at, at + len(r[0]))
         mine = mine[doc[lead[mine]] < doc[mine]]
         i = lead[mine]
-        out.append(_raw(run[mine], doc[i], spot[i], chunk[i]) if len(mine) else None)
+        if len(mine):
+            yield k, _raw(run[mine], doc[i], spot[i], chunk[i])
         at += len(r[0])
-    return out
 
 
 def chain(q: list[int], r: list[int]) -> list[list[int]]:
@@ -285,17 +303,31 @@ def chains_of(w: Words, flags: list[bytes], places: list[bytes], longer: list[by
 PAD = 2 * WIDEN
 
 
+def _around(chains) -> dict[tuple[int, int, int], int]:
+    """Where the words begin that are needed for chains that refer to other chunks (chunk, text there, first word), and where they end."""
+    out: dict[tuple[int, int, int], int] = {}
+    for _, chunk, k, _, _, _, r0, r1 in chains:
+        if chunk >= 0:
+            x = chunk, k, max(0, r0 - PAD)
+            out[x] = max(out.get(x, 0), r1 + PAD)
+    return out
+
+
 def _requests(chunks: Chunks, answers: DataFrame, parts: int) -> DataFrame:
-    """(chunk, data): to each chunk its own chains (tag 3), and to those referred to which words are wanted by whom (tag 4)."""
+    """(chunk, data): to each chunk its own chains (tag 3), and to those referred to which words are wanted by whom (tag 4, how many). Words
+    that several chains need are asked for once, so two chunks exchange no more than the words of one."""
     def ask(ids, ends, data, got):
         number = int.from_bytes(got[0], "little")
         w = Words(ids, ends, data)
         chains = sorted(set(chains_of(w, *(_tagged(got[1:], tag) for tag in (b"1", b"2", b"6")), parts)))
-        wanted: dict[int, set] = {}
-        for _, chunk, k, _, _, _, r0, r1 in chains:
-            if chunk >= 0:
-                wanted.setdefault(chunk, set()).add((k, max(0, r0 - PAD), r1 + PAD))
-        out = {c: b"4" + _raw(*[np.array(x, np.int64) for x in zip(*((number, *s) for s in sorted(spans)))]) for c, spans in wanted.items()}
+        wanted: dict[int, list] = {}
+        for (chunk, k, x), y in sorted(_around(chains).items()):
+            spans = wanted.setdefault(chunk, [])
+            if spans and spans[-1][1] == k and x <= spans[-1][3]:
+                spans[-1][3] = max(spans[-1][3], y)
+            else:
+                spans.append([number, k, x, y])
+        out = {c: b"4" + sum(s[3] - s[2] for s in spans).to_bytes(8, "big") + _raw(*np.array(spans, np.int64).T) for c, spans in wanted.items()}
         return out | ({number: b"3" + _raw(*[np.array(x, np.int64) for x in zip(*chains)])} if chains else {})
     return chunks.route(ask, answers, every=True)
 
@@ -309,7 +341,7 @@ def _some(numbers, ids, ends, data) -> Words:
 
 def _responses(chunks: Chunks, requests: DataFrame) -> DataFrame:
     def ask(ids, ends, data, got):
-        asker, k, r0, r1 = _listed([g[1:] for g in got[1:]], *[np.int64] * 4)
+        asker, k, r0, r1 = _listed([g[9:] for g in got[1:]], *[np.int64] * 4)
         numbers, row = np.unique(k, return_inverse=True)
         w = _some(numbers, ids, ends, data)
         out: dict[int, list[bytes]] = {}
@@ -317,7 +349,8 @@ def _responses(chunks: Chunks, requests: DataFrame) -> DataFrame:
             words = w.hashes[w.first[i] + x:min(w.first[i] + y, w.first[i + 1])]
             out.setdefault(a, []).append(got[0] + np.array([t, x, len(words)], np.int64).tobytes() + words.tobytes())
         return {a: b"5" + b"".join(x) for a, x in out.items()}
-    return chunks.route(ask, requests.where(F.substring("data", 1, 1) == F.lit(b"4")))
+    words = F.conv(F.hex(F.substring("data", 2, 8)), 16, 10).cast("long")
+    return chunks.spread(ask, requests.where(F.substring("data", 1, 1) == F.lit(b"4")), words, WORDS)
 
 
 def _tagged(answers: list[bytes], tag: bytes) -> list[bytes]:
@@ -486,7 +519,12 @@ def _pieces(w: Words, row: dict[int, int], chains: list[tuple], texts: dict) ->
     words = np.concatenate([w.hashes, *texts.values()])
     bounds = w.first.tolist()
     inside = {k: (bounds[i], bounds[i + 1]) for k, i in row.items()}  # where a text's words are
-    far = dict(zip(texts, zip(*(np.cumsum([len(w.hashes), *map(len, texts.values())])[i:len(texts) + i].tolist() for i in (0, 1)))))
+    far: dict[tuple[int, int], list] = {}  # what is known of a text of another chunk: from which word on, and where that is
+    for (c, k, x), a, b in zip(texts, *(np.cumsum([len(w.hashes), *map(len, texts.values())])[i:len(texts) + i].tolist() for i in (0, 1))):
+        far.setdefault((c, k), []).append((x, a, b))
+    for known in far.values():
+        known.sort()
+    around = _around(chains)
     waiting: dict[tuple, list] = {}
     for c in sorted(chains, key=lambda c: (c[4] - c[5], c), reverse=True):
         waiting.setdefault(c[:3], []).append(c)
@@ -500,7 +538,12 @@ def _pieces(w: Words, row: dict[int, int], chains: list[tuple], texts: dict) ->
                 c = left.pop()
                 if not any(a <= c[4] and c[5] <= b for a, b in spans):  # else a longer chain over these words has been aligned with this document
                     (q_first, q_end), shift = inside[x[0]], 0 if x[1] < 0 else max(0, c[6] - PAD)
-                    r_first, r_end = inside[x[2]] if x[1] < 0 else far[x[1], x[2], shift]
+                    if x[1] < 0:
+                        r_first, r_end = inside[x[2]]
+                    else:
+                        known = far[x[1], x[2]]
+                        start, a, b = known[bisect_right(known, shift, key=itemgetter(0)) - 1]
+                        r_first, r_end = a + shift - start, min(a + around[x[1], x[2], shift] - start, b)
                     turn.append(c)
                     q.append((q_first, q_first + c[4], q_first + c[5], q_end))
                     r.append((r_first, r_first + c[6] - shift, r_first + c[7] - shift, r_end))
@@ -573,5 +616,4 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     longer = staged(answered(chunks.ask(_longer(parts), told, parts), _places, numbered=True), "longer")
     requests = staged(_requests(chunks, told.union(tag(longer, "6")), parts), "requests")
     discard(flags, places, longer)
-    responses = staged(_responses(chunks, requests), "responses")
-    return chunks.finish(_result, SCHEMA, requests.union(responses))
+    return chunks.finish(_result, SCHEMA, requests.union(_responses(chunks, requests)))

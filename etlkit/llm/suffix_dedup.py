@@ -121,7 +121,7 @@ def _same_seeds(blobs):
     keys = [lo.astype(np.uint64) | hi.astype(np.uint64) << np.uint64(32) for lo, hi, _ in rows]
     unique, n = np.unique(np.concatenate(keys), return_counts=True)
     repeated = np.union1d(unique[n > 1], np.concatenate([k[r[2] > 0] for k, r in zip(keys, rows)]))
-    return [_raw(k[among(k, repeated)]) for k in keys]
+    return ((i, _raw(k[among(k, repeated)])) for i, k in enumerate(keys))
 
 
 def _short(seeds: np.ndarray) -> np.ndarray:
@@ -161,12 +161,12 @@ def _same_blocks(blobs):
     seeds, kinds = np.unique(of_seed, return_counts=True)
     various = kinds[np.searchsorted(seeds, seed)] > 1
     code = np.where(doc > low[where], COVERED, np.where(various, OPEN, 0)).astype(np.uint8)
-    out, at = [], 0
-    for r in rows:
+    at = 0
+    for i, r in enumerate(rows):
         mine = code[at:at + len(r[0])]
-        out.append(_raw(r[1][mine > 0], mine[mine > 0]) if mine.any() else None)
+        if mine.any():
+            yield i, _raw(r[1][mine > 0], mine[mine > 0])
         at += len(r[0])
-    return out
 
 
 # ---- round 3: windows of blocks that differ ----------------------------------------------------------------
@@ -191,12 +191,12 @@ def _strings(parts):
 def _same_strings(blobs):
     rows = [_read(b, np.uint64, np.int64) for b in blobs]
     unique, low, where = earliest(np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]))
-    out, at = [], 0
-    for key, doc in rows:
+    at = 0
+    for i, (key, doc) in enumerate(rows):
         first = low[where[at:at + len(key)]]
-        out.append(_raw(key[doc > first], first[doc > first]) if (doc > first).any() else None)
+        if (doc > first).any():
+            yield i, _raw(key[doc > first], first[doc > first])
         at += len(key)
-    return out
 
 
 # ---- result ------------------------------------------------------------------------------------------------

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from etlkit.llm import passages
 from etlkit.llm.chunks import Chunks
@@ -24,6 +25,19 @@ def test_answers_move_once(spark):
     assert route() == [numbers[0]] and route(every=True) == sorted(numbers)
 
 
+def test_answers_to_one_chunk_go_to_several_tasks(spark):
+    """What a task held for a chunk that many others refer to grew with their number."""
+    chunks = Chunks(spark.createDataFrame([(i, f"text {i}") for i in range(12)], "doc_id long, text string").repartition(4), "spread")
+    numbers = sorted(r.chunk for r in chunks.rows.collect())
+    answers = spark.createDataFrame([(c, f"{c}-{i}".encode()) for k, c in enumerate(numbers) for i in range(200 if k == 1 else 2)], "chunk long, data binary")
+    for most in (1000, 25):
+        sent = chunks.spread(lambda ids, ends, data, got: {int.from_bytes(got[0], "little"): b"|".join(got[1:])}, answers, F.lit(1), most).collect()
+        groups = {c: [bytes(r.data).split(b"|") for r in sent if r.chunk == c] for c in numbers}
+        assert {c: sorted(x for g in gs for x in g) for c, gs in groups.items()} == {c: sorted(bytes(r.data) for r in answers.where(f"chunk = {c}").collect()) for c in numbers}
+        assert [len(groups[c]) for c in numbers] == [1, 1 if most > 200 else 8, *[1] * (len(numbers) - 2)]
+        assert max(len(g) for gs in groups.values() for g in gs) <= (200 if most > 200 else 2 * most)
+
+
 @pytest.mark.parametrize("texts", [["a", "b"], ["", "ab", "", "cd e", " x ", ""], [" "], ["Ab" * CACHED, "c " * CACHED, "d"], [""]])
 def test_word_hashes_in_pieces(texts):
     raw = [t.encode() for t in texts]

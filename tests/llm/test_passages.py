@@ -2,7 +2,11 @@
 
 import random
 
+import numpy as np
+
+from etlkit.llm import passages
 from etlkit.llm.passages import GAP_COST, SEED_WORDS, chain, remove_repeated_passages
+from etlkit.llm.suffix_dedup import _raw, _read
 
 
 def test_best_chain_against_brute_force():
@@ -123,3 +127,44 @@ def test_rows_that_share_an_id(spark):
     for n in (1, 4):
         got = remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(n)).collect()
         assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 60), (0, 60), (1, 0), (1, 0), (1, 0), (2, 60)]
+
+
+def test_words_of_a_popular_text_are_sent_once(spark, monkeypatch):
+    """Each chain had the words around it sent by themselves, so what a chunk of many first places sent grew with the corpus in one task."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    fresh = lambda n: [word() for _ in range(n)]
+    first, sent, real = fresh(400), [], passages._responses
+    monkeypatch.setattr(passages, "_responses", lambda *args: sent.append(real(*args)) or sent[-1])
+    later = [(i, " ".join(fresh(5) + first[5 * i:5 * i + 60] + fresh(5))) for i in range(1, 61)]
+    chunked = lambda *parts: spark.createDataFrame(spark.sparkContext.union([spark.sparkContext.parallelize(p, 1) for p in parts]), "doc_id long, text string")
+    got = remove_repeated_passages(chunked([(0, " ".join(first))], later)).collect()
+    assert sorted(r.n_removed for r in got) == [0] + [60] * 60
+    assert 8 * 300 < sum(len(r.data) for r in sent[0].collect()) <= 8 * len(first) + 100
+
+    monkeypatch.setattr(passages, "WORDS", 1000)  # and chunks that ask for more than that are dealt out to several tasks
+    got = remove_repeated_passages(chunked([(0, " ".join(first))], *[[row] for row in later[:30]])).collect()
+    assert sorted(r.n_removed for r in got) == [0] + [60] * 30
+    assert len(sent[1].collect()) == 30 and "turn" in sent[1]._jdf.queryExecution().toString()
+
+
+def test_first_places_range_after_range(monkeypatch):
+    """A group of hashes is settled in ranges, so that what lies between does not grow with the share of runs that recur."""
+    rng = np.random.default_rng(3)
+    numbers = np.array([5, 2, 9, 7])
+    rows = []
+    for n in (900, 0, 1500, 300):
+        run = np.unique(rng.integers(1 << 40, (1 << 40) + 2000, n).astype(np.uint64) << np.uint64(20))
+        rows.append((run, rng.integers(0, 50, len(run)), rng.integers(0, 1 << 33, len(run))))
+    best = {}
+    for number, r in zip(numbers.tolist(), rows):
+        for run, doc, spot in zip(*(x.tolist() for x in r)):
+            best[run] = min(best.get(run, (1 << 60,)), (doc, number, spot))
+    expected = sorted((number, run, best[run][0], best[run][2], best[run][1]) for number, r in zip(numbers.tolist(), rows)
+                      for run, doc, _ in zip(*(x.tolist() for x in r)) if best[run][0] < doc)
+    for most, several in ((1 << 20, False), (200, True)):
+        monkeypatch.setattr(passages, "AT_ONCE", most)
+        found = [(int(numbers[i]), data) for i, data in passages._places([_raw(*r) for r in rows], numbers)]
+        assert (len(found) > len(rows)) == several
+        assert sorted((k, *x) for k, data in found for x in zip(*(y.tolist() for y in _read(data, np.uint64, np.int64, np.int64, np.int64)))) == expected
+    assert list(passages._places([_raw(*rows[1])], numbers[1:2])) == []

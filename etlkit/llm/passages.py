@@ -314,8 +314,9 @@ def _around(chains) -> dict[tuple[int, int, int], int]:
 
 
 def _requests(chunks: Chunks, answers: DataFrame, parts: int) -> DataFrame:
-    """(chunk, data): to each chunk its own chains (tag 3), and to those referred to which words are wanted by whom (tag 4, how many). Words
-    that several chains need are asked for once, so two chunks exchange no more than the words of one."""
+    """(chunk, chains, wanted): to each chunk its own chains (tag 3), and to those referred to which words are wanted by whom (tag 4, how
+    many), in columns that are read by themselves. Words that several chains need are asked for once, so two chunks exchange no more than
+    the words of one."""
     def ask(ids, ends, data, got):
         number = int.from_bytes(got[0], "little")
         w = Words(ids, ends, data)
@@ -329,7 +330,8 @@ def _requests(chunks: Chunks, answers: DataFrame, parts: int) -> DataFrame:
                 spans.append([number, k, x, y])
         out = {c: b"4" + sum(s[3] - s[2] for s in spans).to_bytes(8, "big") + _raw(*np.array(spans, np.int64).T) for c, spans in wanted.items()}
         return out | ({number: b"3" + _raw(*[np.array(x, np.int64) for x in zip(*chains)])} if chains else {})
-    return chunks.route(ask, answers, every=True)
+    tagged = lambda tag: F.when(F.substring("data", 1, 1) == F.lit(tag), F.col("data"))
+    return chunks.route(ask, answers, every=True).select("chunk", tagged(b"3").alias("chains"), tagged(b"4").alias("wanted"))
 
 
 def _some(numbers, ids, ends, data) -> Words:
@@ -350,7 +352,7 @@ def _responses(chunks: Chunks, requests: DataFrame) -> DataFrame:
             out.setdefault(a, []).append(got[0] + np.array([t, x, len(words)], np.int64).tobytes() + words.tobytes())
         return {a: b"5" + b"".join(x) for a, x in out.items()}
     words = F.conv(F.hex(F.substring("data", 2, 8)), 16, 10).cast("long")
-    return chunks.spread(ask, requests.where(F.substring("data", 1, 1) == F.lit(b"4")), words, WORDS)
+    return chunks.spread(ask, requests.where("wanted IS NOT NULL").select("chunk", F.col("wanted").alias("data")), words, WORDS)
 
 
 def _tagged(answers: list[bytes], tag: bytes) -> list[bytes]:
@@ -616,4 +618,5 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     longer = staged(answered(chunks.ask(_longer(parts), told, parts), _places, numbered=True), "longer")
     requests = staged(_requests(chunks, told.union(tag(longer, "6")), parts), "requests")
     discard(flags, places, longer)
-    return chunks.finish(_result, SCHEMA, requests.union(_responses(chunks, requests)))
+    own = requests.where("chains IS NOT NULL").select("chunk", F.col("chains").alias("data"))
+    return chunks.finish(_result, SCHEMA, own.union(_responses(chunks, requests)))
